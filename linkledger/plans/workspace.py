@@ -138,12 +138,16 @@ class Workspace:
 _open: dict[tuple[str, str], tuple[tuple, Workspace]] = {}
 
 
+def fresh_workspace(spark: SparkSession, folder: str) -> Workspace:
+    """A workspace with nothing staged yet."""
+    return Workspace(spark, FixtureTables(spark, folder), Settings(as_of=FIXTURE_AS_OF))
+
+
 def open_workspace(spark: SparkSession, folder: str) -> Workspace:
     """Workspace over a folder of test tables; shared until the session or the data change."""
-    tables = FixtureTables(spark, folder)
     key = (spark.sparkContext.applicationId, folder)
-    mark = fingerprint(spark, tables.paths())
+    mark = fingerprint(spark, FixtureTables(spark, folder).paths())
     known = _open.get(key)
     if known is None or known[0] != mark:
-        _open[key] = (mark, Workspace(spark, tables, Settings(as_of=FIXTURE_AS_OF)))
+        _open[key] = (mark, fresh_workspace(spark, folder))
     return _open[key][1]

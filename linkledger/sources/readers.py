@@ -32,7 +32,7 @@ def read_query(spark: SparkSession, url: str, query: str, **options: str) -> Dat
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """A CSV with header, every column as text; an empty field reads as empty text."""
-    return spark.read.option("header", True).option("nullValue", "\u0000").option("emptyValue", "").csv(path)
+    return spark.read.option("header", True).csv(path).na.fill("")
 
 
 def read_match_reports(spark: SparkSession, paths: list[str]) -> DataFrame:
