@@ -1,79 +1,115 @@
-"""Column builders shared by all operators. No UDFs; everything stays in the JVM."""
+"""SQL expressions shared by all operators.
+
+Helpers take and return expression text for ``selectExpr``, ``filter`` and
+``F.expr``: one parsed text instead of many calls to the JVM per column. No
+UDFs; everything stays in generated code.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from linkledger.functions import lists
 
 
-def blank_to_null(c: Column) -> Column:
-    return F.nullif(F.trim(c), F.lit(""))
+def lit(value) -> str:
+    """A Python value as SQL literal."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, dt.date):
+        return f"DATE '{value:%Y-%m-%d}'"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value)
+
+
+def values(items: Iterable) -> str:
+    return "(" + ", ".join(lit(i) for i in items) + ")"
+
+
+def both(*tests: str) -> str:
+    return " AND ".join(f"({t})" for t in tests)
+
+
+def either(*tests: str) -> str:
+    return "(" + " OR ".join(f"({t})" for t in tests) + ")"
+
+
+def sure(test: str) -> str:
+    """A condition whose null counts as false."""
+    return f"coalesce({test}, false)"
+
+
+def blank_to_null(x: str) -> str:
+    return f"nullif(trim({x}), '')"
+
 
+def cleaned(names: Iterable[str]) -> list[str]:
+    return [f"{blank_to_null(n)} AS {n}" for n in names]
 
-def code_key(c: Column, case_sensitive: bool = False) -> Column:
+
+def code_key(x: str, case_sensitive: bool = False) -> str:
     """Join key of a contact code: upper case, trailing blanks dropped."""
-    return F.rtrim(c) if case_sensitive else F.upper(F.rtrim(c))
+    return f"rtrim({x})" if case_sensitive else f"upper(rtrim({x}))"
 
 
-def is_active(indicator: Column) -> Column:
-    return F.coalesce(indicator, F.lit("A")) != "I"
+IS_ACTIVE = "coalesce(inactive_indicator, 'A') <> 'I'"
+IS_PERSON = "contact_type IN ('I', 'C')"
+IS_FIRM = "contact_type IN ('B', 'C')"
 
 
-def is_valid_entity(entity: Column, sentinel: int) -> Column:
-    return entity.isNotNull() & (entity != sentinel)
+def valid_entity(x: str, sentinel: int) -> str:
+    return f"{x} IS NOT NULL AND {x} <> {sentinel}"
 
 
-def money(c: Column) -> Column:
+def money(x: str) -> str:
     """Amount as exact decimal, null counted as zero."""
-    return F.coalesce(c.cast("decimal(12,2)"), F.lit(0).cast("decimal(12,2)"))
+    return f"coalesce(cast({x} AS decimal(12,2)), 0)"
 
 
-def total(c: Column) -> Column:
-    return F.sum(c).cast("decimal(18,2)")
+def total(x: str) -> str:
+    return f"cast(sum({x}) AS decimal(18,2))"
 
 
-def optional(df: DataFrame, name: str, kind: str = "string") -> Column:
+def optional(df: DataFrame, name: str) -> str:
     """A column the source may not have."""
-    return F.col(name) if name in df.columns else F.lit(None).cast(kind)
+    return name if name in df.columns else "cast(NULL AS string)"
 
 
-def is_one_of(c: Column, values: Iterable[str]) -> Column:
-    return F.upper(c).isin(*values)
+def is_one_of(x: str, items: Iterable[str]) -> str:
+    return f"upper({x}) IN {values(items)}"
 
 
-def holds_any(c: Column, words: Iterable[str]) -> Column:
-    """True when the upper-cased text holds any of the words."""
-    return F.upper(c).rlike("|".join(words))
+def matches(x: str, pattern: str) -> str:
+    return f"{x} RLIKE {lit(pattern)}"
 
 
-def one_character(c: Column) -> Column:
-    return c.rlike(lists.ONE_CHARACTER)
+def holds_any(x: str, words: Iterable[str]) -> str:
+    """True when the upper-cased text holds any of the words."""
+    return matches(f"upper({x})", "|".join(words))
 
 
-def parity(left: Column, right: Column) -> Column:
+def parity(left: str, right: str) -> str:
     """Compare two texts without regard to case."""
-    return _outcome(left, right, F.upper(left) == F.upper(right))
+    return _outcome(left, f"{right} IS NULL", f"upper({left}) = upper({right})")
 
 
-def phone_parity(phone: Column, area: Column, number: Column) -> Column:
+def phone_parity(phone: str, area: str, number: str) -> str:
     """Compare a phone with one stored as area code and number."""
-    blank = F.lit("")
-    joined = F.concat(F.coalesce(area, blank), F.coalesce(number, blank))
-    present = F.when(area.isNotNull() | number.isNotNull(), joined)
-    return _outcome(phone, present, phone == joined)
+    return _outcome(
+        phone, f"coalesce({area}, {number}) IS NULL", f"{phone} = concat(coalesce({area}, ''), coalesce({number}, ''))"
+    )
 
 
-def _outcome(left: Column, right: Column, same: Column) -> Column:
+def _outcome(left: str, right_missing: str, same: str) -> str:
     return (
-        F.when(left.isNull() & right.isNull(), "both_null")
-        .when(right.isNull(), "equip_only")
-        .when(left.isNull(), "registry_only")
-        .when(same, "match")
-        .otherwise("mismatch")
+        f"CASE WHEN {left} IS NULL THEN if({right_missing}, 'both_null', 'registry_only') "
+        f"WHEN {right_missing} THEN 'equip_only' WHEN {same} THEN 'match' ELSE 'mismatch' END"
     )
 
 
@@ -84,32 +120,30 @@ COHORTS = {
 }
 
 
-def creation_cohort(created: Column, cohorts: str = "current") -> Column:
-    case = F.when(created.isNull(), "Unknown")
-    for label, last_year in COHORTS[cohorts]:
-        if last_year is None:
-            return case.otherwise(label)
-        case = case.when(F.year(created) <= last_year, label)
-
-
-def staleness_bucket(account: Column, last_date: Column, as_of: dt.date, step: str) -> Column:
-    case = F.when(account.isNull(), "no_account").when(last_date.isNull(), "never_transacted")
-    today = F.lit(as_of)
-    for years, label in enumerate(lists.STALENESS_BUCKETS[2:7], start=1):
-        edge = F.add_months(today, -12 * years) if step == "calendar" else F.date_sub(today, 365 * years)
-        case = case.when(last_date >= edge, label)
-    return case.otherwise(lists.STALENESS_BUCKETS[7])
-
-
-def match_tier() -> Column:
-    """How well an unlinked contact could be matched; reads the contact columns."""
-    has = lambda name: F.col(name).isNotNull()
-    person = F.col("contact_type").isin("I", "C")
-    business = F.col("contact_type") == "B"
-    nameless = (person & ~(has("first_name") & has("last_name"))) | (business & ~has("company_name"))
-    full_address = has("street") & ((has("city") & has("state")) | has("pcode"))
-    any_signal = F.coalesce(*(F.col(c) for c in (
-        "street", "city", "state", "pcode", "biz_phone", "priv_phone", "mob_phone", "email",
-    ))).isNotNull()
-    one, two, three, four = lists.MATCH_TIERS
-    return F.when(nameless, four).when(full_address, one).when(any_signal, two).otherwise(three)
+def creation_cohort(created: str, cohorts: str = "current") -> str:
+    steps = " ".join(
+        f"ELSE '{label}'" if last is None else f"WHEN year({created}) <= {last} THEN '{label}'"
+        for label, last in COHORTS[cohorts]
+    )
+    return f"CASE WHEN {created} IS NULL THEN 'Unknown' {steps} END"
+
+
+def staleness_bucket(account: str, last_date: str, as_of: dt.date, step: str) -> str:
+    def edge(years: int) -> str:
+        return f"add_months({lit(as_of)}, {-12 * years})" if step == "calendar" else f"date_sub({lit(as_of)}, {365 * years})"
+
+    none, never, *yearly, oldest = lists.STALENESS_BUCKETS
+    steps = " ".join(f"WHEN {last_date} >= {edge(n)} THEN '{label}'" for n, label in enumerate(yearly, start=1))
+    return (
+        f"CASE WHEN {account} IS NULL THEN '{none}' WHEN {last_date} IS NULL THEN '{never}' {steps} ELSE '{oldest}' END"
+    )
+
+
+# How well an unlinked contact could be matched.
+_STRONG, _PARTIAL, _NAME_ONLY, _NAMELESS = lists.MATCH_TIERS
+MATCH_TIER = f"""CASE
+    WHEN ({IS_PERSON} AND (first_name IS NULL OR last_name IS NULL)) OR (contact_type = 'B' AND company_name IS NULL)
+        THEN '{_NAMELESS}'
+    WHEN street IS NOT NULL AND (pcode IS NOT NULL OR (city IS NOT NULL AND state IS NOT NULL)) THEN '{_STRONG}'
+    WHEN coalesce(street, city, state, pcode, biz_phone, priv_phone, mob_phone, email) IS NOT NULL THEN '{_PARTIAL}'
+    ELSE '{_NAME_ONLY}' END"""

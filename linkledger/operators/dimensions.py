@@ -117,35 +117,33 @@ def dimension_usage(dim: DataFrame, contacts: DataFrame, column: str) -> DataFra
 
     Counts per id are a handful of rows, as ids come from the fixed list.
     """
-    used = contacts.groupBy(F.col(column).alias("id")).agg(F.count("*").alias("contacts"))
-    everyone = contacts.agg(F.count("*").alias("contacts")).select(F.lit("ALL").alias("id"), "contacts")
-    return dim.join(used.unionByName(everyone), "id", "left").select(
-        *dim.columns, F.coalesce("contacts", F.lit(0)).alias("contacts")
+    used = contacts.groupBy(F.col(column).alias("id")).agg(F.expr("count(*) AS contacts"))
+    everyone = contacts.agg(F.expr("count(*) AS contacts")).selectExpr("'ALL' AS id", "contacts")
+    return dim.join(used.unionByName(everyone), "id", "left").selectExpr(
+        *dim.columns, "coalesce(contacts, 0) AS contacts"
     ).orderBy("sort_order")
 
 
 def metric_usage(dim: DataFrame, snapshot: DataFrame) -> DataFrame:
-    used = snapshot.groupBy("metric_name").agg(F.count("*").alias("snapshot_rows"))
-    return dim.join(used, "metric_name", "left").select(
-        *dim.columns, F.coalesce("snapshot_rows", F.lit(0)).alias("snapshot_rows")
-    )
+    used = snapshot.groupBy("metric_name").agg(F.expr("count(*) AS snapshot_rows"))
+    return dim.join(used, "metric_name", "left").selectExpr(*dim.columns, "coalesce(snapshot_rows, 0) AS snapshot_rows")
 
 
 def metric_name_parity(snapshot: DataFrame, dim: DataFrame) -> DataFrame:
     """Names on one side only; an empty result is a pass."""
     facts, known = snapshot.select("metric_name").distinct(), dim.select("metric_name").distinct()
-    return facts.subtract(known).withColumn("finding", F.lit("missing from dimension")).unionByName(
-        known.subtract(facts).withColumn("finding", F.lit("not in snapshot"))
+    return facts.subtract(known).selectExpr("metric_name", "'missing from dimension' AS finding").unionByName(
+        known.subtract(facts).selectExpr("metric_name", "'not in snapshot' AS finding")
     )
 
 
 def dim_calendar(snapshot: DataFrame) -> DataFrame:
     """Every day of the years the snapshots span."""
-    span = snapshot.agg(F.min("snapshot_date").alias("lo"), F.max("snapshot_date").alias("hi"))
-    end = F.date_sub(F.add_months(F.trunc("hi", "year"), 12), 1)
-    days = span.select(F.explode(F.sequence(F.trunc("lo", "year").cast("date"), end)).alias("date"))
-    return days.select(
-        "date", F.year("date").alias("year"), F.month("date").alias("month_no"),
-        F.date_format("date", "MMMM").alias("month"), F.quarter("date").alias("quarter_no"),
-        F.concat(F.lit("Qtr "), F.quarter("date").cast("string")).alias("quarter"), F.day("date").alias("day"),
+    span = snapshot.agg(F.expr("min(snapshot_date) AS lo"), F.expr("max(snapshot_date) AS hi"))
+    days = span.selectExpr(
+        "explode(sequence(make_date(year(lo), 1, 1), make_date(year(hi), 12, 31))) AS date"
+    )
+    return days.selectExpr(
+        "date", "year(date) AS year", "month(date) AS month_no", "date_format(date, 'MMMM') AS month",
+        "quarter(date) AS quarter_no", "concat('Qtr ', quarter(date)) AS quarter", "day(date) AS day",
     )

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from linkledger.config import Settings
-from linkledger.functions.columns import blank_to_null, code_key, is_active, is_valid_entity, optional
+from linkledger.functions.columns import IS_ACTIVE, IS_FIRM, blank_to_null, code_key, lit, optional, valid_entity
 from linkledger.operators.population import matched_and_unmatched, without_employees
 from linkledger.operators.profiling import crm_contacts
 from linkledger.operators.ranking import Stage, in_global_order
+from linkledger.operators.revenue import exprs
 
 # Header texts of the upload templates, in template order.
 LINK_HEADERS = {"dbs_number": "DBS Number", "entity_id": "Entity Id", "contact_id": "Contact Id"}
@@ -27,60 +28,48 @@ MATCH_HEADERS = {
 FILE_ROWS = 60000
 
 
-def person_id(contact_type: Column, extra: Column, sentinel: int) -> Column:
-    """The registry id of a business contact; others have none."""
-    return F.when((contact_type == "C") & (extra > 0) & (extra != sentinel), extra)
-
-
 def known_unlinked(contact: DataFrame, xref: DataFrame, settings: Settings) -> DataFrame:
-    """Active contacts that carry an entity id but have no cross reference at all."""
-    codes = xref.select(code_key(F.col("cross_ref_number")).alias("code_key"))
-    known = contact.filter(
-        is_valid_entity(F.col("ckc_id"), settings.sentinel_entity) & is_active(F.col("inactive_indicator"))
-    )
-    return (
-        known.withColumn("code_key", code_key(F.col("contact_code"))).join(codes, "code_key", "left_anti")
-        .select(
-            "contact_code", "contact_type", F.col("ckc_id").alias("entity_id"),
-            person_id(F.col("contact_type"), F.col("cmp_ckc_id"), settings.sentinel_entity).alias("contact_id"),
-        )
+    """Active contacts that carry an entity id but have no cross reference at all.
+
+    Only a business contact has a second id, and the sentinel is none.
+    """
+    codes = xref.selectExpr(f"{code_key('cross_ref_number')} AS code_key")
+    known = contact.filter(f"{valid_entity('ckc_id', settings.sentinel_entity)} AND {IS_ACTIVE}")
+    person = f"contact_type = 'C' AND cmp_ckc_id > 0 AND cmp_ckc_id <> {settings.sentinel_entity}"
+    return known.selectExpr("*", f"{code_key('contact_code')} AS code_key").join(codes, "code_key", "left_anti").selectExpr(
+        "contact_code", "contact_type", "ckc_id AS entity_id", f"CASE WHEN {person} THEN cmp_ckc_id END AS contact_id"
     )
 
 
 def path_a_extract(contact, technician, salesperson, xref, settings) -> DataFrame:
-    found = known_unlinked(contact, xref, settings)
-    return without_employees(found, technician, salesperson).select(
-        F.col("contact_code").alias("dbs_number"), "entity_id", "contact_id"
-    ).orderBy("dbs_number")
+    found = without_employees(known_unlinked(contact, xref, settings), technician, salesperson)
+    return found.selectExpr("contact_code AS dbs_number", "entity_id", "contact_id").orderBy("dbs_number")
 
 
 def path_a_count(contact, technician, salesperson, xref, settings) -> DataFrame:
     found = without_employees(known_unlinked(contact, xref, settings), technician, salesperson)
-    kind = F.col("contact_type")
-    return found.agg(
-        F.count("*").alias("total"), F.count_if(kind == "B").alias("business"),
-        F.count_if(kind == "I").alias("individual"), F.count_if(kind == "C").alias("business_contact"),
-        F.count("contact_id").alias("contact_with_contact_id"),
-    )
+    return found.agg(*exprs(
+        "count(*) AS total", "count_if(contact_type = 'B') AS business", "count_if(contact_type = 'I') AS individual",
+        "count_if(contact_type = 'C') AS business_contact", "count(contact_id) AS contact_with_contact_id",
+    ))
 
 
 def path_a_validation(contact, xref, profile, settings) -> DataFrame:
     """Does the registry know the entity, and the person below it?"""
-    known = known_unlinked(contact, xref, settings)
-    registry = profile.filter(F.col("source_desc") == settings.source)
-    entity = registry.filter("contact_id = 0").select(
-        "entity_id", F.col("out_of_business").alias("entity_out_of_business"), F.col("deceased").alias("entity_deceased"),
-        F.lit("Found").alias("entity_in_registry"),
+    registry = profile.filter(f"source_desc = {lit(settings.source)}")
+    entity = registry.filter("contact_id = 0").selectExpr(
+        "entity_id", "out_of_business AS entity_out_of_business", "deceased AS entity_deceased", "true AS _entity"
     )
-    person = registry.select("entity_id", "contact_id", F.lit("Found").alias("_person"))
-    missing = F.lit("Not Found")
+    person = registry.selectExpr("entity_id", "contact_id", "true AS _person")
+    found = lambda flag: f"if({flag} IS NULL, 'Not Found', 'Found')"
     return (
-        known.join(entity, "entity_id", "left").join(person, ["entity_id", "contact_id"], "left")
-        .select(
-            "contact_code", "contact_type", "entity_id", "contact_id",
-            F.coalesce("entity_in_registry", missing).alias("entity_in_registry"),
+        known_unlinked(contact, xref, settings)
+        .join(entity, "entity_id", "left")
+        .join(person, ["entity_id", "contact_id"], "left")
+        .selectExpr(
+            "contact_code", "contact_type", "entity_id", "contact_id", f"{found('_entity')} AS entity_in_registry",
             "entity_out_of_business", "entity_deceased",
-            F.when(F.col("contact_id").isNull(), "N/A").otherwise(F.coalesce("_person", missing)).alias("contact_in_registry"),
+            f"if(contact_id IS NULL, 'N/A', {found('_person')}) AS contact_in_registry",
         )
         .orderBy(F.desc("entity_in_registry"), F.desc("contact_in_registry"), "contact_code")
     )
@@ -89,38 +78,41 @@ def path_a_validation(contact, xref, profile, settings) -> DataFrame:
 def quote_flow_customers(crm, account, contact, settings) -> DataFrame:
     """Active customers whose only entity id came from the quote flow."""
     return crm_contacts(
-        crm.filter("comp_entity_id IS NOT NULL AND erp_entity_id IS NULL"), account,
-        contact.filter(is_active(F.col("inactive_indicator"))), settings,
+        crm.filter("comp_entity_id IS NOT NULL AND erp_entity_id IS NULL"), account, contact.filter(IS_ACTIVE), settings
     )
 
 
 def match_layout(df: DataFrame) -> DataFrame:
-    """The 24 columns of the match upload; person fields of a business stay empty."""
-    kind = F.col("contact_type")
-    person = lambda c: F.when(kind != "B", c)
-    firm = kind.isin("B", "C")
-    col = F.col
-    return df.select(
-        col("contact_code").alias("dbs_customer_number"),
-        F.when(firm, col("company_name")).alias("business_name"),
-        optional(df, "doing_business_as").alias("doing_business_as"),
-        person(col("title")).alias("prefix"),
-        person(col("first_name")).alias("first_name"),
-        person(optional(df, "familiar_name")).alias("familiar_name"),
-        person(optional(df, "middle_name")).alias("middle_name"),
-        person(col("last_name")).alias("last_name"),
-        person(col("generation")).alias("generation"),
-        person(col("suffix")).alias("suffix"),
-        col("street").alias("address_line_1"),
-        optional(df, "street_2").alias("address_line_2"),
-        "city", col("state").alias("state_code"), col("pcode").alias("postal_code"),
-        F.coalesce(blank_to_null(col("country")), F.lit("US")).alias("country_code"),
-        col("email").alias("email_address"), col("biz_phone").alias("work_phone"),
-        col("priv_phone").alias("home_phone"), col("mob_phone").alias("mobile_phone"),
-        F.when(kind == "I", optional(df, "fax")).alias("home_fax"),
-        F.when(firm, optional(df, "fax")).alias("work_fax"),
-        F.lit(None).cast("string").alias("tax_type"), F.lit(None).cast("string").alias("tax_id"),
-    )
+    """The columns of the match upload; person fields of a business stay empty."""
+    when = lambda test, x: f"CASE WHEN {test} THEN {x} END"
+    not_business = "contact_type <> 'B'"
+    layout = {
+        "dbs_customer_number": "contact_code",
+        "business_name": when(IS_FIRM, "company_name"),
+        "doing_business_as": optional(df, "doing_business_as"),
+        "prefix": when(not_business, "title"),
+        "first_name": when(not_business, "first_name"),
+        "familiar_name": when(not_business, optional(df, "familiar_name")),
+        "middle_name": when(not_business, optional(df, "middle_name")),
+        "last_name": when(not_business, "last_name"),
+        "generation": when(not_business, "generation"),
+        "suffix": when(not_business, "suffix"),
+        "address_line_1": "street",
+        "address_line_2": optional(df, "street_2"),
+        "city": "city",
+        "state_code": "state",
+        "postal_code": "pcode",
+        "country_code": f"coalesce({blank_to_null('country')}, 'US')",
+        "email_address": "email",
+        "work_phone": "biz_phone",
+        "home_phone": "priv_phone",
+        "mobile_phone": "mob_phone",
+        "home_fax": when("contact_type = 'I'", optional(df, "fax")),
+        "work_fax": when(IS_FIRM, optional(df, "fax")),
+        "tax_type": "cast(NULL AS string)",
+        "tax_id": "cast(NULL AS string)",
+    }
+    return df.selectExpr(*(f"{x} AS {name}" for name, x in layout.items()))
 
 
 def path_b_extract(crm, account, contact, technician, salesperson, settings) -> DataFrame:
@@ -131,51 +123,46 @@ def path_b_extract(crm, account, contact, technician, salesperson, settings) ->
 def writeback_status(crm, account, contact, xref, settings) -> DataFrame:
     """After an upload: did the link reach the contact record?"""
     people = crm_contacts(
-        crm.filter("comp_entity_id IS NOT NULL"), account, contact.filter(is_active(F.col("inactive_indicator"))), settings
-    ).withColumn("code_key", code_key(F.col("contact_code")))
-    links = xref.select(
-        code_key(F.col("cross_ref_number")).alias("code_key"),
-        F.col("entity_id").alias("xref_entity_id"), F.col("contact_id").alias("xref_contact_id"),
+        crm.filter("comp_entity_id IS NOT NULL"), account, contact.filter(IS_ACTIVE), settings
+    ).selectExpr("*", f"{code_key('contact_code')} AS code_key")
+    links = xref.selectExpr(
+        f"{code_key('cross_ref_number')} AS code_key", "entity_id AS xref_entity_id", "contact_id AS xref_contact_id"
     )
     status = (
-        F.when(F.col("xref_entity_id").isNull(), "Not Linked")
-        .when(F.col("ckc_id").isNull(), "Linked - not updated")
-        .when(F.col("ckc_id") == F.col("xref_entity_id"), "Linked - matches")
-        .otherwise("Linked - mismatch")
+        "CASE WHEN xref_entity_id IS NULL THEN 'Not Linked' WHEN ckc_id IS NULL THEN 'Linked - not updated' "
+        "WHEN ckc_id = xref_entity_id THEN 'Linked - matches' ELSE 'Linked - mismatch' END"
     )
-    return matched_and_unmatched(people, links, "code_key").select(
+    return matched_and_unmatched(people, links, "code_key").selectExpr(
         "contact_code", "contact_type", "ckc_id", "cmp_ckc_id", "xref_entity_id", "xref_contact_id",
-        "comp_entity_id", "erp_entity_id", status.alias("writeback_status"),
+        "comp_entity_id", "erp_entity_id", f"{status} AS writeback_status",
     ).orderBy("writeback_status", "contact_code")
 
 
 def registry_status_check(crm, account, contact, technician, salesperson, profile, settings) -> DataFrame:
     """Customers whose entity is unknown, deceased or out of business."""
     people = without_employees(quote_flow_customers(crm, account, contact, settings), technician, salesperson)
-    entity = profile.filter((F.col("source_desc") == settings.source) & (F.col("contact_id") == 0)).select(
-        F.col("entity_id").alias("comp_entity_id"), "out_of_business", "deceased", F.lit(True).alias("_known")
+    entity = profile.filter(f"source_desc = {lit(settings.source)} AND contact_id = 0").selectExpr(
+        "entity_id AS comp_entity_id", "out_of_business", "deceased", "true AS _known"
     )
     status = (
-        F.when(F.col("_known").isNull(), "NOT IN REGISTRY")
-        .when(F.col("deceased") == "Y", "DECEASED")
-        .when(F.col("out_of_business") == "Y", "OUT OF BUSINESS")
+        "CASE WHEN _known IS NULL THEN 'NOT IN REGISTRY' WHEN deceased = 'Y' THEN 'DECEASED' "
+        "WHEN out_of_business = 'Y' THEN 'OUT OF BUSINESS' END"
     )
     return (
         people.select("account_no", "contact_code", "comp_entity_id").join(entity, "comp_entity_id", "left")
-        .select("account_no", "contact_code", F.col("comp_entity_id").alias("crm_entity_id"),
-                "out_of_business", "deceased", status.alias("registry_status"))
-        .filter(F.col("registry_status").isNotNull())
+        .selectExpr("account_no", "contact_code", "comp_entity_id AS crm_entity_id", "out_of_business", "deceased",
+                    f"{status} AS registry_status")
+        .filter("registry_status IS NOT NULL")
         .orderBy("registry_status", "contact_code")
     )
 
 
 def upload_batches(unlinked: DataFrame, stage: Stage, file_rows: int = FILE_ROWS) -> DataFrame:
     """Unlinked contacts by revenue, cut into files of at most ``file_rows``."""
-    order = [F.col("total_revenue").desc(), F.col("contact_code").asc(), F.col("account_no").asc_nulls_first()]
     rows = unlinked.select("contact_code", "contact_type", "account_no", "total_revenue")
-    return in_global_order(rows, order, stage).select(
-        "contact_code", "contact_type", "total_revenue", F.col("position").alias("upload_position"),
-        (F.floor((F.col("position") - 1) / file_rows) + 1).alias("batch_no"),
+    return in_global_order(rows, ["total_revenue DESC", "contact_code", "account_no"], stage).selectExpr(
+        "contact_code", "contact_type", "total_revenue", "position AS upload_position",
+        f"(position - 1) div {file_rows} + 1 AS batch_no",
     )
 
 
@@ -184,49 +171,43 @@ def upload_validation(upload: DataFrame) -> DataFrame:
 
     A repeated code counts every row that has it; codes are counted, not gathered.
     """
-    col = F.col
-    reasons = [
-        ("country_not_two_capitals", ~col("country_code").rlike("^[A-Z]{2}$")),
-        ("state_not_two_capitals", ~col("state_code").rlike("^[A-Z]{2}$")),
-        ("blank_in_code", col("dbs_customer_number").contains(" ")),
-    ]
-    per_code = upload.groupBy(F.upper("dbs_customer_number").alias("code")).agg(
-        F.count("*").alias("rows"), *(F.count_if(test).alias(name) for name, test in reasons)
+    reasons = {
+        "country_not_two_capitals": "NOT country_code RLIKE '^[A-Z]{2}$'",
+        "state_not_two_capitals": "NOT state_code RLIKE '^[A-Z]{2}$'",
+        "blank_in_code": "contains(dbs_customer_number, ' ')",
+    }
+    per_code = upload.groupBy(F.expr("upper(dbs_customer_number) AS code")).agg(
+        *exprs("count(*) AS all_rows", *(f"count_if({test}) AS {name}" for name, test in reasons.items()))
+    )
+    one_row = per_code.selectExpr("*", "if(all_rows > 1, all_rows, 0) AS repeated_code").agg(
+        *exprs(*(f"coalesce(sum({c}), 0) AS {c}" for c in ("all_rows", *reasons, "repeated_code")))
     )
-    one_row = per_code.agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("all_rows"),
-        *(F.coalesce(F.sum(name), F.lit(0)).alias(name) for name, _ in reasons),
-        F.coalesce(F.sum(F.when(col("rows") > 1, col("rows"))), F.lit(0)).alias("repeated_code"),
+    pairs = ", ".join(f"'{c}', {c}" for c in (*reasons, "repeated_code"))
+    return one_row.selectExpr(
+        f"stack({len(reasons) + 1}, {pairs}) AS (check_name, failed_rows)", "all_rows AS checked_rows"
     )
-    names = [*(name for name, _ in reasons), "repeated_code"]
-    return one_row.select(F.inline(F.array(*(
-        F.struct(F.lit(n).alias("check_name"), col(n).alias("failed_rows"), col("all_rows").alias("checked_rows"))
-        for n in names
-    ))))
 
 
 def match_type_alignment(tight_match: DataFrame, contact: DataFrame) -> DataFrame:
     """Contact type against the level of the returned match."""
-    kinds = contact.groupBy(code_key(F.col("contact_code")).alias("code_key"), "contact_type").agg(
-        F.count("*").alias("contacts")
+    kinds = contact.groupBy(F.expr(f"{code_key('contact_code')} AS code_key"), "contact_type").agg(
+        F.expr("count(*) AS contacts")
     )
-    matches = tight_match.groupBy(
-        code_key(F.col("dbs_number")).alias("code_key"),
-        F.when(F.coalesce("contact_id", F.lit("0")) == "0", "entity").otherwise("contact").alias("match_level"),
-    ).agg(F.count("*").alias("matches"))
-    expected = F.when(F.col("contact_type") == "C", "contact").otherwise("entity")
+    matches = tight_match.groupBy(*exprs(
+        f"{code_key('dbs_number')} AS code_key", "if(coalesce(contact_id, '0') = '0', 'entity', 'contact') AS match_level"
+    )).agg(F.expr("count(*) AS matches"))
     return matches.join(kinds, "code_key").groupBy("contact_type", "match_level").agg(
-        F.sum(F.col("contacts") * F.col("matches")).alias("matches")
-    ).withColumn("aligned", F.col("match_level") == expected)
+        F.expr("sum(contacts * matches) AS matches")
+    ).selectExpr("*", "match_level = if(contact_type = 'C', 'contact', 'entity') AS aligned")
 
 
 def contact_extract(unlinked: DataFrame, top: int, created_since: dt.date, with_account: bool = True, branch: str | None = None) -> DataFrame:
     """Top unlinked contacts by sales with the filters of the extract program."""
-    chosen = unlinked.filter(F.col("creation_date") >= F.lit(created_since))
+    chosen = unlinked.filter(f"creation_date >= {lit(created_since)}")
     if with_account:
-        chosen = chosen.filter(F.col("account_no").isNotNull())
+        chosen = chosen.filter("account_no IS NOT NULL")
     if branch is not None:
-        chosen = chosen.filter(F.col("branch") == branch)
+        chosen = chosen.filter(f"branch = {lit(branch)}")
     return chosen.select(
         "contact_code", "contact_type", "account_no", "branch", "creation_date", "total_revenue"
     ).orderBy(F.desc("total_revenue"), "contact_code").limit(top)
@@ -234,14 +215,12 @@ def contact_extract(unlinked: DataFrame, top: int, created_since: dt.date, with_
 
 def path_delete_extract(contact, xref, settings) -> DataFrame:
     """Codes whose link should go: inactive contacts that are still linked."""
-    links = xref.filter(F.col("source_desc") == settings.source).select(
-        code_key(F.col("cross_ref_number")).alias("code_key")
-    )
+    links = xref.filter(f"source_desc = {lit(settings.source)}").selectExpr(f"{code_key('cross_ref_number')} AS code_key")
     return (
-        contact.filter(F.col("inactive_indicator") == "I")
-        .withColumn("code_key", code_key(F.col("contact_code")))
+        contact.filter("inactive_indicator = 'I'")
+        .selectExpr("contact_code AS dbs_number", f"{code_key('contact_code')} AS code_key")
         .join(links, "code_key", "left_semi")
-        .select(F.col("contact_code").alias("dbs_number"))
+        .select("dbs_number")
         .distinct()
         .orderBy("dbs_number")
     )
@@ -249,12 +228,11 @@ def path_delete_extract(contact, xref, settings) -> DataFrame:
 
 def inactivation_candidates(enriched: DataFrame, last_activity: dt.date, created_before: dt.date, branch: str | None = None) -> DataFrame:
     """No activity after a date, created before a date or at an unknown time."""
-    created = F.col("creation_date")
     found = enriched.filter(
-        (F.col("last_tx_date") <= F.lit(last_activity)) & (created.isNull() | (created < F.lit(created_before)))
+        f"last_tx_date <= {lit(last_activity)} AND (creation_date IS NULL OR creation_date < {lit(created_before)})"
     )
     if branch is not None:
-        found = found.filter(F.col("branch") == branch)
+        found = found.filter(f"branch = {lit(branch)}")
     return found.select("contact_code", "account_no", "branch", "creation_date", "last_tx_date").orderBy(
         "last_tx_date", "contact_code"
     )
@@ -263,7 +241,7 @@ def inactivation_candidates(enriched: DataFrame, last_activity: dt.date, created
 def unlinked_recent_invoice(unlinked: DataFrame, invoice: DataFrame) -> DataFrame:
     """Unlinked contacts, newest invoice first."""
     newest = invoice.groupBy(F.col("bill_to_acc").alias("account_no")).agg(
-        F.max(F.col("invo_datetime").cast("date")).alias("last_invoice_date")
+        F.expr("max(cast(invo_datetime AS date)) AS last_invoice_date")
     )
     return unlinked.select("contact_code", "contact_type", "account_no").join(newest, "account_no").select(
         "contact_code", "contact_type", "account_no", "last_invoice_date"
@@ -272,11 +250,10 @@ def unlinked_recent_invoice(unlinked: DataFrame, invoice: DataFrame) -> DataFram
 
 def prospect_customer_pairs(crm: DataFrame, settings: Settings) -> DataFrame:
     """Prospects whose entity id is a customer's linked id."""
-    kind = F.col("record_type")
-    prospects = crm.filter(kind == settings.prospect_type).select(
-        F.col("crm_id").alias("prospect_id"), F.col("comp_entity_id").alias("entity_id")
+    prospects = crm.filter(f"record_type = {lit(settings.prospect_type)}").selectExpr(
+        "crm_id AS prospect_id", "comp_entity_id AS entity_id"
     )
-    customers = crm.filter(kind == settings.customer_type).select(
-        F.col("crm_id").alias("customer_id"), F.col("erp_entity_id").alias("entity_id")
+    customers = crm.filter(f"record_type = {lit(settings.customer_type)}").selectExpr(
+        "crm_id AS customer_id", "erp_entity_id AS entity_id"
     )
     return prospects.join(customers, "entity_id").select("prospect_id", "customer_id", "entity_id")

@@ -4,30 +4,31 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from linkledger.functions.columns import both, lit
 from linkledger.operators import parity
 from linkledger.operators.population import with_link_counts, with_repeat_flag
-from linkledger.operators.rules import Rule, scopes
+from linkledger.operators.rules import Rule
 
 ISSUE_OUTCOMES = ("mismatch", "equip_only", "registry_only")
 
 
-def _failed(df: DataFrame, checks: list[tuple[str, Column]]) -> DataFrame:
-    """One row per contact and failed check, all checks in one scan."""
-    names = F.array_compact(F.array(*(F.when(test, F.lit(name)) for name, test in checks)))
-    return df.select("contact_code", F.explode(names).alias("metric_name"))
+def _failed(df: DataFrame, names: list[str]) -> DataFrame:
+    """One row per contact and metric name; a name is an expression that is null when the check holds."""
+    return df.selectExpr("contact_code", f"explode(array_compact(array({', '.join(names)}))) AS metric_name")
+
+
+def _when(test: str, name: str) -> str:
+    return f"CASE WHEN {test} THEN {lit(name)} END"
 
 
 def linkage_issues(enriched: DataFrame, links: DataFrame) -> DataFrame:
-    linked = with_link_counts(enriched, links)
-    links_n, contact_level = F.col("links"), F.col("contact_level_links")
-    kind = F.col("contact_type")
-    return _failed(linked, [
-        ("unlinked_count", links_n == 0),
-        ("ckc_id_no_cross_ref", (links_n == 0) & F.col("ckc_id").isNotNull()),
-        ("type_mismatch_linkage",
-         ((kind == "C") & (links_n > contact_level)) | (kind.isin("B", "I") & (contact_level > 0))),
+    return _failed(with_link_counts(enriched, links), [
+        _when("links = 0", "unlinked_count"),
+        _when("links = 0 AND ckc_id IS NOT NULL", "ckc_id_no_cross_ref"),
+        _when("(contact_type = 'C' AND links > contact_level_links) OR "
+              "(contact_type IN ('B', 'I') AND contact_level_links > 0)", "type_mismatch_linkage"),
     ])
 
 
@@ -36,34 +37,36 @@ def shared_entity_issues(enriched: DataFrame, links: DataFrame) -> DataFrame:
 
     Works on counts per code, so contacts and links of a hot code are never paired.
     """
-    per_code = enriched.groupBy("code_key").agg(F.count("*").alias("contacts"))
+    per_code = enriched.groupBy("code_key").agg(F.expr("count(*) AS contacts"))
     shared = (
         links.join(per_code, "code_key")
         .groupBy("entity_id")
-        .agg(F.sum("contacts").alias("linked"))
+        .agg(F.expr("sum(contacts) AS linked"))
         .filter("linked > 1")
     )
-    codes = links.join(shared, "entity_id", "left_semi").select("code_key")
-    return enriched.join(codes, "code_key", "left_semi").select(
-        "contact_code", F.lit("duplicate_entity_id").alias("metric_name")
+    codes = links.join(shared, "entity_id", "left_semi").select("code_key").distinct()
+    return enriched.join(codes, "code_key", "left_semi").selectExpr(
+        "contact_code", "'duplicate_entity_id' AS metric_name"
     )
 
 
 def rule_issues(enriched: DataFrame, rules: list[Rule]) -> DataFrame:
-    conditions = scopes()
-    return _failed(with_repeat_flag(enriched), [(r.name, conditions[r.scope] & r.issue()) for r in rules])
+    return _failed(with_repeat_flag(enriched), [_when(r.failed, r.name) for r in rules])
 
 
 def parity_issues(linked: DataFrame) -> DataFrame:
-    checks = [
-        (f"{f.name}_{o}", f.scope() & (F.col(f"o_{f.name}") == o)) for f in parity.FIELDS for o in ISSUE_OUTCOMES
+    judged = linked.selectExpr(
+        "*", *(f"CASE WHEN {f.scope} THEN {f.outcome} END AS o_{f.name}" for f in parity.FIELDS)
+    )
+    outcomes = ", ".join(f"'{o}'" for o in ISSUE_OUTCOMES)
+    names = [
+        f"CASE WHEN o_{f.name} IN ({outcomes}) THEN concat('{f.name}_', o_{f.name}) END" for f in parity.FIELDS
     ]
-    checks += [(name, scope & issue) for name, scope, issue in parity.priorities()]
-    return _failed(linked.withColumns({f"o_{f.name}": f.outcome() for f in parity.FIELDS}), checks)
+    return _failed(judged, names + [_when(both(*check), m) for m, check in parity.PRIORITIES.items()])
 
 
 def inactive_issues(inactive: DataFrame) -> DataFrame:
-    return _failed(inactive, [(parity.PRIORITY[4], parity.reason_conflict())])
+    return _failed(inactive, [_when(parity.REASON_CONFLICT, parity.INACTIVE_REASON)])
 
 
 def issue_map(enriched, links, linked, inactive, rules: list[Rule], as_of: dt.date) -> DataFrame:
@@ -74,4 +77,4 @@ def issue_map(enriched, links, linked, inactive, rules: list[Rule], as_of: dt.da
     everything = parts[0]
     for part in parts[1:]:
         everything = everything.unionByName(part)
-    return everything.distinct().select(F.lit(as_of).alias("snapshot_date"), "metric_name", "contact_code")
+    return everything.distinct().selectExpr(f"{lit(as_of)} AS snapshot_date", "metric_name", "contact_code")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from linkledger.functions.columns import parity, phone_parity
+from linkledger.config import SLICE
+from linkledger.functions.columns import either, lit, parity, phone_parity, sure, values
 
 
 @dataclass(frozen=True)
@@ -15,90 +15,64 @@ class Field:
     name: str
     label: str
     types: tuple[str, ...]
-    outcome: Callable[[], Column]
+    outcome: str
 
-    def scope(self) -> Column:
-        return F.col("contact_type").isin(*self.types)
+    @property
+    def scope(self) -> str:
+        return f"contact_type IN {values(self.types)}"
 
 
-def _same(left: str, right: str) -> Callable[[], Column]:
-    return lambda: parity(F.col(left), F.col(right))
+def _phone(left: str, stem: str) -> str:
+    return phone_parity(left, f"{stem}_area", f"{stem}_num")
 
 
-def _phone(left: str, stem: str) -> Callable[[], Column]:
-    return lambda: phone_parity(F.col(left), F.col(f"{stem}_area"), F.col(f"{stem}_num"))
-
-
-def _zip() -> Column:
+def _zip() -> str:
     """Five characters decide in the US, the whole code elsewhere."""
-    us = F.coalesce(F.col("country"), F.lit("US")) == "US"
-    cut = lambda name: F.when(us, F.substring(name, 1, 5)).otherwise(F.col(name))
+    cut = lambda x: f"if(coalesce(country, 'US') = 'US', substring({x}, 1, 5), {x})"
     return parity(cut("pcode"), cut("reg_pcode"))
 
 
 _ALL = ("B", "C", "I")
 FIELDS = (
-    Field("company_name", "Company Name", ("B", "C"), _same("company_name", "reg_company_name")),
-    Field("first_name", "First Name", ("I", "C"), _same("first_name", "reg_first_name")),
-    Field("last_name", "Last Name", ("I", "C"), _same("last_name", "reg_last_name")),
-    Field("email", "Email", _ALL, _same("email", "reg_email")),
+    Field("company_name", "Company Name", ("B", "C"), parity("company_name", "reg_company_name")),
+    Field("first_name", "First Name", ("I", "C"), parity("first_name", "reg_first_name")),
+    Field("last_name", "Last Name", ("I", "C"), parity("last_name", "reg_last_name")),
+    Field("email", "Email", _ALL, parity("email", "reg_email")),
     Field("business_phone", "Business Phone", _ALL, _phone("biz_phone", "reg_biz")),
     Field("private_phone", "Home Phone", _ALL, _phone("priv_phone", "reg_priv")),
     Field("mobile_phone", "Mobile Phone", _ALL, _phone("mob_phone", "reg_mob")),
-    Field("street", "Street", _ALL, _same("street", "reg_street")),
-    Field("city", "City", _ALL, _same("city", "reg_city")),
-    Field("state", "State", _ALL, _same("state", "reg_state")),
-    Field("zip", "Zip Code", _ALL, _zip),
-    Field("country", "Country", _ALL, _same("country", "reg_country")),
-)
-
-PRIORITY = (
-    "phys_addr_certified_mismatch", "address_confirmed_undeliverable", "registry_oob_equip_active",
-    "registry_deceased_equip_active", "equip_inactive_reason_mismatch",
+    Field("street", "Street", _ALL, parity("street", "reg_street")),
+    Field("city", "City", _ALL, parity("city", "reg_city")),
+    Field("state", "State", _ALL, parity("state", "reg_state")),
+    Field("zip", "Zip Code", _ALL, _zip()),
+    Field("country", "Country", _ALL, parity("country", "reg_country")),
 )
 
 
-def field_outcomes() -> Column:
-    """Array of (field, outcome) of one linked contact; null outside the field's types."""
-    return F.array_compact(F.array(*(
-        F.when(f.scope(), F.struct(F.lit(f.name).alias("field_name"), f.outcome().alias("parity_result")))
-        for f in FIELDS
-    )))
-
-
 def field_parity(linked: DataFrame) -> DataFrame:
-    """One row per linked contact, field in scope and outcome."""
-    return linked.select(
-        "contact_code", "contact_type", "sales_decile", "staleness_bucket", "branch", "creation_cohort",
-        F.inline(field_outcomes()),
-    )
-
-
-def address_differs() -> Column:
-    text = lambda name: F.upper(F.coalesce(name, F.lit("")))
-    return (
-        (text("street") != text("reg_street")) | (text("city") != text("reg_city"))
-        | (text("state") != text("reg_state")) | (text("pcode") != text("reg_pcode"))
-    )
-
-
-def priorities() -> list[tuple[str, Column, Column]]:
-    """(metric, scope, issue) over linked contacts."""
-    col = F.col
-    return [
-        (PRIORITY[0], F.coalesce(col("postal_certified") == "CERTIFIED", F.lit(False)), address_differs()),
-        (PRIORITY[1], F.lit(True),
-         F.coalesce(col("phys_undeliverable") == "Y", F.lit(False)) | F.coalesce(col("mail_undeliverable") == "Y", F.lit(False))),
-        (PRIORITY[2], col("contact_type") == "B", col("out_of_business") == "Y"),
-        (PRIORITY[3], col("contact_type").isin("I", "C"), col("deceased") == "Y"),
-    ]
-
-
-def reason_conflict() -> Column:
-    """The inactive reason claims what the registry does not confirm."""
-    flag = lambda name: F.coalesce(name, F.lit("N")) != "Y"
-    reason = F.col("inactive_reason")
-    return F.coalesce(
-        ((reason == "Out of Business") & flag("out_of_business")) | ((reason == "Deceased") & flag("deceased")),
-        F.lit(False),
+    """One row per linked contact, field in scope and outcome, from one scan."""
+    pairs = ", ".join(
+        f"CASE WHEN {f.scope} THEN named_struct('field_name', {lit(f.name)}, 'parity_result', {f.outcome}) END" for f in FIELDS
     )
+    return linked.selectExpr("contact_code", *SLICE, f"inline(array_compact(array({pairs})))")
+
+
+_ADDRESS_DIFFERS = either(*(
+    f"upper(coalesce({name}, '')) <> upper(coalesce(reg_{name}, ''))" for name in ("street", "city", "state", "pcode")
+))
+
+# Priority metric -> (scope, issue) over linked contacts.
+PRIORITIES = {
+    "phys_addr_certified_mismatch": (sure("postal_certified = 'CERTIFIED'"), _ADDRESS_DIFFERS),
+    "address_confirmed_undeliverable": ("true", sure("phys_undeliverable = 'Y'") + " OR " + sure("mail_undeliverable = 'Y'")),
+    "registry_oob_equip_active": ("contact_type = 'B'", "out_of_business = 'Y'"),
+    "registry_deceased_equip_active": ("contact_type IN ('I', 'C')", "deceased = 'Y'"),
+}
+INACTIVE_REASON = "equip_inactive_reason_mismatch"
+PRIORITY = (*PRIORITIES, INACTIVE_REASON)
+
+# The inactive reason claims what the registry does not confirm.
+REASON_CONFLICT = sure(either(
+    "inactive_reason = 'Out of Business' AND coalesce(out_of_business, 'N') <> 'Y'",
+    "inactive_reason = 'Deceased' AND coalesce(deceased, 'N') <> 'Y'",
+))

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from linkledger.config import Settings
+from linkledger.config import SLICE, Settings
 from linkledger.functions.columns import (
-    blank_to_null, code_key, creation_cohort, is_active, is_valid_entity, staleness_bucket,
+    IS_ACTIVE, blank_to_null, cleaned, code_key, creation_cohort, lit, staleness_bucket, valid_entity,
 )
-from linkledger.operators.revenue import decile_label
+from linkledger.operators.revenue import DECILE_LABEL
 
 TEXT_FIELDS = (
     "first_name", "last_name", "company_name", "email", "biz_phone", "priv_phone", "mob_phone",
@@ -23,12 +23,13 @@ REGISTRY_FLAGS = (
     "postal_certified", "phys_undeliverable", "mail_undeliverable", "out_of_business", "deceased",
 )
 
+CONTACT_LEVEL = "coalesce(contact_id, 0) <> 0"
+
 
 def employee_keys(technician: DataFrame, salesperson: DataFrame) -> DataFrame:
     """Codes in either employee table, terminated or not."""
-    return technician.select(F.col("code").alias("contact_code")).unionByName(
-        salesperson.select(F.col("code").alias("contact_code"))
-    )
+    codes = technician.select("code").unionByName(salesperson.select("code"))
+    return codes.withColumnRenamed("code", "contact_code")
 
 
 def without_employees(contact: DataFrame, technician: DataFrame, salesperson: DataFrame) -> DataFrame:
@@ -41,72 +42,59 @@ def customers_and_leads(contact, technician, salesperson, account, vendor) -> Da
     All three joins use the contact code, so contacts are laid out by it once.
     """
     with_account = without_employees(contact, technician, salesperson).join(
-        account.select("contact_code", "account_no", blank_to_null(F.col("branch")).alias("branch")),
-        "contact_code", "left",
+        account.selectExpr("contact_code", "account_no", *cleaned(["branch"])), "contact_code", "left"
     )
     vendor_code = vendor.select(F.col("contact_code").alias("_vendor"))
-    vendor_only = (F.col("contact_code") == F.col("_vendor")) & F.col("account_no").isNull()
-    return with_account.join(vendor_code, vendor_only, "left_anti")
+    return with_account.join(vendor_code, F.expr("contact_code = _vendor AND account_no IS NULL"), "left_anti")
 
 
 def active_with_account(contact, technician, salesperson, account) -> DataFrame:
     """Active contacts with their account; vendors stay in."""
-    return without_employees(
-        contact.filter(is_active(F.col("inactive_indicator"))), technician, salesperson
-    ).join(account.select("contact_code", "account_no"), "contact_code", "left")
+    return without_employees(contact.filter(IS_ACTIVE), technician, salesperson).join(
+        account.select("contact_code", "account_no"), "contact_code", "left"
+    )
 
 
 def active_contacts(contact, technician, salesperson, account, vendor) -> DataFrame:
-    population = customers_and_leads(
-        contact.filter(is_active(F.col("inactive_indicator"))), technician, salesperson, account, vendor
-    )
-    return population.select(
-        "contact_code", "contact_type", "ckc_id", "cmp_ckc_id", "creation_date",
-        *(blank_to_null(F.col(c)).alias(c) for c in TEXT_FIELDS),
+    population = customers_and_leads(contact.filter(IS_ACTIVE), technician, salesperson, account, vendor)
+    return population.selectExpr(
+        "contact_code", "contact_type", "ckc_id", "cmp_ckc_id", "creation_date", *cleaned(TEXT_FIELDS),
         "account_no", "branch",
     )
 
 
 def contact_enriched(active: DataFrame, ranked: DataFrame, settings: Settings) -> DataFrame:
     """Active contacts with staleness, decile and cohort; ``ranked`` has one row per account."""
-    return active.join(ranked, "account_no", "left").select(
+    staleness = staleness_bucket("account_no", "last_tx_date", settings.as_of, settings.staleness_step)
+    return active.join(ranked, "account_no", "left").selectExpr(
         *active.columns,
-        code_key(F.col("contact_code")).alias("code_key"),
-        F.coalesce("total_revenue", F.lit(0).cast("decimal(18,2)")).alias("total_revenue"),
+        f"{code_key('contact_code')} AS code_key",
+        "cast(coalesce(total_revenue, 0) AS decimal(18,2)) AS total_revenue",
         "last_tx_date",
-        staleness_bucket(
-            F.col("account_no"), F.col("last_tx_date"), settings.as_of, settings.staleness_step
-        ).alias("staleness_bucket"),
-        decile_label(F.col("raw_decile")).alias("sales_decile"),
-        creation_cohort(F.col("creation_date"), settings.cohorts).alias("creation_cohort"),
+        f"{staleness} AS staleness_bucket",
+        f"{DECILE_LABEL} AS sales_decile",
+        f"{creation_cohort('creation_date', settings.cohorts)} AS creation_cohort",
     )
 
 
 def source_links(xref: DataFrame, settings: Settings) -> DataFrame:
     """Cross references of the chosen source to a real entity."""
     return xref.filter(
-        is_valid_entity(F.col("entity_id"), settings.sentinel_entity) & (F.col("source_desc") == settings.source)
-    ).select("entity_id", "contact_id", "cross_ref_number", code_key(F.col("cross_ref_number")).alias("code_key"))
-
-
-def is_contact_level(contact_id: Column) -> Column:
-    return F.coalesce(contact_id, F.lit(0)) != 0
+        f"{valid_entity('entity_id', settings.sentinel_entity)} AND source_desc = {lit(settings.source)}"
+    ).selectExpr("entity_id", "contact_id", "cross_ref_number", f"{code_key('cross_ref_number')} AS code_key")
 
 
 def links_per_code(links: DataFrame) -> DataFrame:
     """Link counts per code: one row per key, so joining it never multiplies contacts."""
     return links.groupBy("code_key").agg(
-        F.count("*").alias("links"),
-        F.count_if(is_contact_level(F.col("contact_id"))).alias("contact_level_links"),
+        F.expr("count(*) AS links"), F.expr(f"count_if({CONTACT_LEVEL}) AS contact_level_links")
     )
 
 
 def with_link_counts(enriched: DataFrame, links: DataFrame) -> DataFrame:
-    counted = enriched.join(links_per_code(links), "code_key", "left")
-    return counted.withColumns({
-        "links": F.coalesce("links", F.lit(0)),
-        "contact_level_links": F.coalesce("contact_level_links", F.lit(0)),
-    })
+    return enriched.join(links_per_code(links), "code_key", "left").selectExpr(
+        *enriched.columns, "coalesce(links, 0) AS links", "coalesce(contact_level_links, 0) AS contact_level_links"
+    )
 
 
 def unlinked_contacts(enriched: DataFrame, links: DataFrame) -> DataFrame:
@@ -125,18 +113,16 @@ def matched_and_unmatched(left: DataFrame, right: DataFrame, key: str) -> DataFr
 
 def contact_linkage(enriched: DataFrame, links: DataFrame) -> DataFrame:
     """One row per contact and link, unlinked contacts once."""
-    return matched_and_unmatched(enriched, links, "code_key").select(
-        "contact_code", "contact_type", "ckc_id", "sales_decile", "staleness_bucket", "branch",
-        "creation_cohort", "entity_id", "contact_id",
-        F.col("cross_ref_number").isNotNull().cast("int").alias("is_linked"),
+    return matched_and_unmatched(enriched, links, "code_key").selectExpr(
+        "contact_code", "contact_type", "ckc_id", *SLICE[1:], "entity_id", "contact_id",
+        "cast(cross_ref_number IS NOT NULL AS int) AS is_linked",
     )
 
 
 def registry_profiles(profile: DataFrame, settings: Settings) -> DataFrame:
     """Registry rows of the chosen source, blanks cleaned; filtered first, as other sources fan out."""
-    return profile.filter(F.col("source_desc") == settings.source).select(
-        "entity_id", "contact_id",
-        *(blank_to_null(F.col(c)).alias(c) for c in REGISTRY_FIELDS), *REGISTRY_FLAGS,
+    return profile.filter(f"source_desc = {lit(settings.source)}").selectExpr(
+        "entity_id", "contact_id", *cleaned(REGISTRY_FIELDS), *REGISTRY_FLAGS
     )
 
 
@@ -145,47 +131,41 @@ def active_linked(enriched: DataFrame, links: DataFrame, profiles: DataFrame) ->
     return (
         enriched.join(links.drop("cross_ref_number"), "code_key")
         .join(profiles, ["entity_id", "contact_id"])
-        .select(
-            "contact_code", "contact_type", "sales_decile", "staleness_bucket", "branch", "creation_cohort",
-            "entity_id", "contact_id", *TEXT_FIELDS[:12], *REGISTRY_FIELDS, *REGISTRY_FLAGS,
-        )
+        .select("contact_code", *SLICE, "entity_id", "contact_id", *TEXT_FIELDS[:12], *REGISTRY_FIELDS, *REGISTRY_FLAGS)
     )
 
 
 def inactive_linked(contact, technician, salesperson, account, vendor, links, profiles, settings) -> DataFrame:
     """Inactive contacts that are still linked."""
     inactive = customers_and_leads(
-        contact.filter(F.col("inactive_indicator") == "I"), technician, salesperson, account, vendor
+        contact.filter("inactive_indicator = 'I'"), technician, salesperson, account, vendor
     )
     return (
-        inactive.withColumn("code_key", code_key(F.col("contact_code")))
+        inactive.selectExpr("*", f"{code_key('contact_code')} AS code_key")
         .join(links.drop("cross_ref_number"), "code_key")
         .join(profiles.select("entity_id", "contact_id", "out_of_business", "deceased"), ["entity_id", "contact_id"])
-        .select(
-            "contact_code", "contact_type", blank_to_null(F.col("inactive_reason")).alias("inactive_reason"),
-            "out_of_business", "deceased",
-            F.lit("Inactive").alias("sales_decile"), F.lit("Inactive").alias("staleness_bucket"), "branch",
-            creation_cohort(F.col("creation_date"), settings.cohorts).alias("creation_cohort"),
+        .selectExpr(
+            "contact_code", "contact_type", f"{blank_to_null('inactive_reason')} AS inactive_reason",
+            "out_of_business", "deceased", "'Inactive' AS sales_decile", "'Inactive' AS staleness_bucket", "branch",
+            f"{creation_cohort('creation_date', settings.cohorts)} AS creation_cohort",
         )
     )
 
 
 def linked_counts(linked: DataFrame) -> DataFrame:
-    return linked.groupBy("contact_type", "sales_decile", "staleness_bucket", "branch", "creation_cohort").agg(
-        F.count("*").alias("total_linked"),
-        F.count_if(F.col("postal_certified") == "CERTIFIED").alias("certified_linked"),
+    return linked.groupBy(*SLICE).agg(
+        F.expr("count(*) AS total_linked"), F.expr("count_if(postal_certified = 'CERTIFIED') AS certified_linked")
     )
 
 
-def normal_code(c: Column) -> Column:
-    return F.upper(F.trim(c))
+NORMAL_CODE = "upper(trim(contact_code))"
 
 
 def dup_codes(enriched: DataFrame) -> DataFrame:
     """Normalized codes that occur more than once."""
     return (
-        enriched.groupBy(normal_code(F.col("contact_code")).alias("norm_code"))
-        .agg(F.count("*").alias("n"))
+        enriched.groupBy(F.expr(f"{NORMAL_CODE} AS norm_code"))
+        .agg(F.expr("count(*) AS n"))
         .filter("n > 1")
         .select("norm_code")
     )
@@ -193,10 +173,9 @@ def dup_codes(enriched: DataFrame) -> DataFrame:
 
 def with_repeat_flag(enriched: DataFrame) -> DataFrame:
     """Flag contacts whose normalized code repeats; joins one row per repeated code."""
-    repeated = dup_codes(enriched).withColumn("_repeats", F.lit(True))
+    repeated = dup_codes(enriched).selectExpr("norm_code", "true AS _repeats")
     return (
-        enriched.withColumn("norm_code", normal_code(F.col("contact_code")))
+        enriched.selectExpr("*", f"{NORMAL_CODE} AS norm_code")
         .join(repeated, "norm_code", "left")
-        .withColumn("code_repeats", F.coalesce("_repeats", F.lit(False)))
-        .drop("norm_code", "_repeats")
+        .selectExpr(*enriched.columns, "coalesce(_repeats, false) AS code_repeats")
     )

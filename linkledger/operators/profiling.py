@@ -2,23 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from linkledger.config import Settings
-from linkledger.functions.columns import code_key, is_active, is_valid_entity
-from linkledger.operators.population import is_contact_level, matched_and_unmatched, without_employees
+from linkledger.functions.columns import IS_ACTIVE, code_key, lit, valid_entity
+from linkledger.operators.population import CONTACT_LEVEL, matched_and_unmatched, without_employees
 from linkledger.operators.ranking import Stage, in_global_order
+from linkledger.operators.revenue import exprs
 
 # Members of a shared entity that go into one text; larger groups continue in a further part.
 LIST_PART = 1000
 
+LINK_LEVEL = f"if({CONTACT_LEVEL}, 'entity + contact_id', 'entity only') AS ref_type"
+SECOND_ID = (
+    "count_if(cmp_ckc_id IS NULL) AS cmp_null", "count_if(cmp_ckc_id = 0) AS cmp_zero",
+    "count_if(cmp_ckc_id > 0) AS cmp_populated",
+)
+
 
 def contact_type_breakdown(contact: DataFrame) -> DataFrame:
-    extra = F.col("cmp_ckc_id")
-    return contact.groupBy("contact_type", F.coalesce("inactive_indicator", F.lit("A")).alias("status")).agg(
-        F.count("*").alias("total"), F.count("ckc_id").alias("has_ckc_id"),
-        F.count_if(extra.isNull()).alias("cmp_null"), F.count_if(extra == 0).alias("cmp_zero"),
-        F.count_if(extra > 0).alias("cmp_populated"),
+    return contact.groupBy("contact_type", F.expr("coalesce(inactive_indicator, 'A') AS status")).agg(
+        *exprs("count(*) AS total", "count(ckc_id) AS has_ckc_id", *SECOND_ID)
     ).orderBy("contact_type", "status")
 
 
@@ -37,55 +41,46 @@ def links_per_entity(xref: DataFrame) -> DataFrame:
 
 
 def crm_breakdown(crm: DataFrame, settings: Settings) -> DataFrame:
-    kind = F.when(F.col("record_type") == settings.customer_type, "Customer").when(
-        F.col("record_type") == settings.prospect_type, "Prospect"
-    ).otherwise("Other")
-    comp, erp = F.col("comp_entity_id"), F.col("erp_entity_id")
-    return crm.groupBy(kind.alias("record_type")).agg(
-        F.count("*").alias("total"), F.count("account_no").alias("has_account_number"),
-        F.count(comp).alias("has_comp_entity_id"), F.count(erp).alias("has_erp_entity_id"),
-        F.count_if(comp.isNotNull() & erp.isNull()).alias("comp_only"),
-        F.count_if(erp.isNotNull()).alias("erp_sourced"),
-    ).orderBy("record_type")
+    kind = (
+        f"CASE record_type WHEN {lit(settings.customer_type)} THEN 'Customer' "
+        f"WHEN {lit(settings.prospect_type)} THEN 'Prospect' ELSE 'Other' END AS record_type"
+    )
+    return crm.groupBy(F.expr(kind)).agg(*exprs(
+        "count(*) AS total", "count(account_no) AS has_account_number", "count(comp_entity_id) AS has_comp_entity_id",
+        "count(erp_entity_id) AS has_erp_entity_id",
+        "count_if(comp_entity_id IS NOT NULL AND erp_entity_id IS NULL) AS comp_only",
+        "count_if(erp_entity_id IS NOT NULL) AS erp_sourced",
+    )).orderBy("record_type")
 
 
-def leading_digit(entity: str) -> Column:
-    return F.left(F.col(entity).cast("string"), F.lit(1)).alias("leading_digit")
+LEADING_DIGIT = "left(cast(entity_id AS string), 1) AS leading_digit"
 
 
 def entity_range_profile(profile: DataFrame) -> DataFrame:
-    return profile.groupBy(leading_digit("entity_id")).agg(
-        F.count("*").alias("total"),
-        F.count_if(F.col("out_of_business") == "Y").alias("out_of_business"),
-        F.count_if(F.col("deceased") == "Y").alias("deceased"),
-        F.min("entity_id").alias("min_id"), F.max("entity_id").alias("max_id"),
-    ).orderBy("leading_digit")
+    return profile.groupBy(F.expr(LEADING_DIGIT)).agg(*exprs(
+        "count(*) AS total", "count_if(out_of_business = 'Y') AS out_of_business", "count_if(deceased = 'Y') AS deceased",
+        "min(entity_id) AS min_id", "max(entity_id) AS max_id",
+    )).orderBy("leading_digit")
 
 
 def contact_links(contact: DataFrame, xref: DataFrame, case_sensitive: bool = False) -> DataFrame:
     """Every contact with each of its cross references, whatever their source."""
-    left = contact.select(
-        "contact_code", "contact_type", "ckc_id", "cmp_ckc_id",
-        code_key(F.col("contact_code"), case_sensitive).alias("code_key"),
+    left = contact.selectExpr(
+        "contact_code", "contact_type", "ckc_id", "cmp_ckc_id", f"{code_key('contact_code', case_sensitive)} AS code_key"
     )
-    right = xref.select(
-        "cross_ref_number", "entity_id", "contact_id",
-        code_key(F.col("cross_ref_number"), case_sensitive).alias("code_key"),
+    right = xref.selectExpr(
+        "cross_ref_number", "entity_id", "contact_id", f"{code_key('cross_ref_number', case_sensitive)} AS code_key"
     )
     return left.join(right, "code_key").drop("code_key")
 
 
-def ref_type() -> Column:
-    return F.when(is_contact_level(F.col("contact_id")), "entity + contact_id").otherwise("entity only").alias("ref_type")
-
-
 def case_mismatch_sample(contact: DataFrame, xref: DataFrame, rows: int = 30) -> DataFrame:
-    case = lambda c: F.when(F.col(c) == F.upper(c), "upper").otherwise("mixed/lower")
+    case = lambda c: f"if({c} = upper({c}), 'upper', 'mixed/lower')"
     return (
         contact_links(contact, xref)
-        .filter(F.col("cross_ref_number") != F.col("contact_code"))
-        .select("cross_ref_number", "contact_code",
-                case("cross_ref_number").alias("xref_case"), case("contact_code").alias("contact_case"))
+        .filter("cross_ref_number <> contact_code")
+        .selectExpr("cross_ref_number", "contact_code",
+                    f"{case('cross_ref_number')} AS xref_case", f"{case('contact_code')} AS contact_case")
         .orderBy("cross_ref_number", "contact_code")
         .limit(rows)
     )
@@ -93,39 +88,33 @@ def case_mismatch_sample(contact: DataFrame, xref: DataFrame, rows: int = 30) ->
 
 def case_false_positives(contact: DataFrame, xref: DataFrame, settings: Settings) -> DataFrame:
     """Links that an exact-case join misses and an upper-case join finds."""
-    keys = xref.groupBy(code_key(F.col("cross_ref_number")).alias("code_key")).agg(F.count("*").alias("links"))
-    known = contact.filter(
-        is_valid_entity(F.col("ckc_id"), settings.sentinel_entity) & is_active(F.col("inactive_indicator"))
-    ).withColumn("code_key", code_key(F.col("contact_code")))
+    keys = xref.groupBy(F.expr(f"{code_key('cross_ref_number')} AS code_key")).agg(F.expr("count(*) AS links"))
+    known = contact.filter(f"{valid_entity('ckc_id', settings.sentinel_entity)} AND {IS_ACTIVE}").selectExpr(
+        "contact_code", f"{code_key('contact_code')} AS code_key"
+    )
     exact = xref.select(F.col("cross_ref_number").alias("contact_code"))
-    return (
-        known.join(exact, "contact_code", "left_anti").join(keys, "code_key")
-        .agg(F.coalesce(F.sum("links"), F.lit(0)).alias("false_positives"))
+    return known.join(exact, "contact_code", "left_anti").join(keys, "code_key").agg(
+        F.expr("coalesce(sum(links), 0) AS false_positives")
     )
 
 
 def link_level_by_type(contact, xref, case_sensitive: bool = False) -> DataFrame:
-    return contact_links(contact, xref, case_sensitive).groupBy("contact_type", ref_type()).agg(
-        F.count("*").alias("row_count"), F.count_distinct("entity_id").alias("distinct_entity_ids")
+    return contact_links(contact, xref, case_sensitive).groupBy("contact_type", F.expr(LINK_LEVEL)).agg(
+        *exprs("count(*) AS row_count", "count(DISTINCT entity_id) AS distinct_entity_ids")
     ).orderBy("contact_type", "ref_type")
 
 
 def id_agreement(contact, xref, case_sensitive: bool = False) -> DataFrame:
-    entity, person = F.col("ckc_id") == F.col("entity_id"), F.col("cmp_ckc_id") == F.col("contact_id")
-    return contact_links(contact, xref.filter(is_contact_level(F.col("contact_id"))), case_sensitive).agg(
-        F.count("*").alias("total_with_contact_id"), F.count_if(entity).alias("ckc_matches_entity_id"),
-        F.count_if(person).alias("cmp_matches_contact_id"), F.count_if(entity & person).alias("both_match"),
-    )
+    return contact_links(contact, xref.filter(CONTACT_LEVEL), case_sensitive).agg(*exprs(
+        "count(*) AS total_with_contact_id", "count_if(ckc_id = entity_id) AS ckc_matches_entity_id",
+        "count_if(cmp_ckc_id = contact_id) AS cmp_matches_contact_id",
+        "count_if(ckc_id = entity_id AND cmp_ckc_id = contact_id) AS both_match",
+    ))
 
 
 def contact_entity_only(contact, xref, case_sensitive: bool = False) -> DataFrame:
-    extra = F.col("cmp_ckc_id")
-    return contact_links(
-        contact.filter(F.col("contact_type") == "C"), xref.filter(~is_contact_level(F.col("contact_id"))), case_sensitive
-    ).agg(
-        F.count_if(extra.isNull()).alias("cmp_null"), F.count_if(extra == 0).alias("cmp_zero"),
-        F.count_if(extra > 0).alias("cmp_populated"), F.count("ckc_id").alias("has_ckc_id"),
-    )
+    people, links = contact.filter("contact_type = 'C'"), xref.filter(f"NOT ({CONTACT_LEVEL})")
+    return contact_links(people, links, case_sensitive).agg(*exprs(*SECOND_ID, "count(ckc_id) AS has_ckc_id"))
 
 
 def duplicate_entity_list(contact, xref, stage: Stage, case_sensitive: bool = False) -> DataFrame:
@@ -137,17 +126,15 @@ def duplicate_entity_list(contact, xref, stage: Stage, case_sensitive: bool = Fa
     pairs = contact_links(contact, xref, case_sensitive).select(
         "entity_id", "contact_type", "cross_ref_number", "contact_code"
     )
-    sizes = pairs.groupBy("entity_id").agg(F.count("cross_ref_number").alias("dbs_count")).filter("dbs_count > 1")
-    order = [F.col(c).asc() for c in ("entity_id", "cross_ref_number", "contact_code")]
+    sizes = pairs.groupBy("entity_id").agg(F.expr("count(cross_ref_number) AS dbs_count")).filter("dbs_count > 1")
+    order = ["entity_id", "cross_ref_number", "contact_code"]
     placed = in_global_order(pairs.join(sizes, "entity_id"), order, stage).drop("running", "overall", "valued")
-    first = placed.groupBy("entity_id").agg(F.min("position").alias("_first"))
-    parts = placed.join(first, "entity_id").withColumn(
-        "part_no", F.floor((F.col("position") - F.col("_first")) / LIST_PART)
-    )
-    return parts.groupBy("entity_id", "dbs_count", "part_no").agg(
-        F.expr("listagg(contact_type, ', ') WITHIN GROUP (ORDER BY position)").alias("contact_types"),
-        F.expr("listagg(cross_ref_number, ', ') WITHIN GROUP (ORDER BY position)").alias("contact_codes"),
-    ).orderBy(F.desc("dbs_count"), "entity_id", "part_no")
+    first = placed.groupBy("entity_id").agg(F.expr("min(position) AS _first"))
+    parts = placed.join(first, "entity_id").selectExpr("*", f"(position - _first) div {LIST_PART} AS part_no")
+    return parts.groupBy("entity_id", "dbs_count", "part_no").agg(*exprs(
+        "listagg(contact_type, ', ') WITHIN GROUP (ORDER BY position) AS contact_types",
+        "listagg(cross_ref_number, ', ') WITHIN GROUP (ORDER BY position) AS contact_codes",
+    )).orderBy(F.desc("dbs_count"), "entity_id", "part_no")
 
 
 def duplicate_type_combo(contact, xref, case_sensitive: bool = False) -> DataFrame:
@@ -157,108 +144,99 @@ def duplicate_type_combo(contact, xref, case_sensitive: bool = False) -> DataFra
     it is written as a count (``I*1200``) instead of being spelled out.
     """
     per_type = contact_links(contact, xref, case_sensitive).groupBy("entity_id", "contact_type").agg(
-        F.count("cross_ref_number").alias("n")
+        F.expr("count(cross_ref_number) AS n")
     )
-    mixes = per_type.groupBy("entity_id").agg(
-        F.sum("n").alias("members"),
-        F.sort_array(F.collect_list(F.struct("contact_type", "n"))).alias("mix"),
-    ).filter("members > 1")
-    spelled = F.transform("mix", lambda m: F.when(
-        m["n"] <= LIST_PART, F.array_join(F.array_repeat(m["contact_type"], m["n"].cast("int")), "+")
-    ).otherwise(F.concat(m["contact_type"], F.lit("*"), m["n"].cast("string"))))
-    return mixes.groupBy("mix").agg(F.count("*").alias("entity_count")).select(
-        F.array_join(spelled, "+").alias("type_combo"), "entity_count"
+    mixes = per_type.groupBy("entity_id").agg(*exprs(
+        "sum(n) AS members", "sort_array(collect_list(struct(contact_type, n))) AS mix"
+    )).filter("members > 1")
+    spelled = (
+        f"transform(mix, m -> if(m.n <= {LIST_PART}, array_join(array_repeat(m.contact_type, cast(m.n AS int)), '+'), "
+        "concat(m.contact_type, '*', cast(m.n AS string))))"
+    )
+    return mixes.groupBy("mix").agg(F.expr("count(*) AS entity_count")).selectExpr(
+        f"array_join({spelled}, '+') AS type_combo", "entity_count"
     ).orderBy(F.desc("entity_count"), "type_combo")
 
 
 def entity_range_by_type(contact, xref, case_sensitive: bool = False) -> DataFrame:
     return contact_links(contact, xref, case_sensitive).groupBy(
-        leading_digit("entity_id"), "contact_type", ref_type()
-    ).agg(
-        F.count("*").alias("row_count"), F.min("entity_id").alias("min_entity_id"), F.max("entity_id").alias("max_entity_id")
-    ).orderBy("leading_digit", "contact_type", "ref_type")
+        F.expr(LEADING_DIGIT), "contact_type", F.expr(LINK_LEVEL)
+    ).agg(*exprs(
+        "count(*) AS row_count", "min(entity_id) AS min_entity_id", "max(entity_id) AS max_entity_id"
+    )).orderBy("leading_digit", "contact_type", "ref_type")
 
 
 def crm_contacts(crm: DataFrame, account: DataFrame, contact: DataFrame, settings: Settings) -> DataFrame:
     """CRM customers with their account's contact."""
     return (
-        crm.filter(F.col("record_type") == settings.customer_type)
+        crm.filter(f"record_type = {lit(settings.customer_type)}")
         .join(account.select("account_no", "contact_code"), "account_no")
         .join(contact, "contact_code")
     )
 
 
-def _crm_links(crm, account, contact, xref, settings, case_sensitive, how) -> DataFrame:
-    people = crm_contacts(crm.filter(F.col("erp_entity_id").isNotNull()), account, contact, settings).withColumn(
-        "code_key", code_key(F.col("contact_code"), case_sensitive)
+def _linked_customers(crm, account, contact, settings, case_sensitive: bool) -> DataFrame:
+    """Customers with an id from the ERP system, and their join key."""
+    return crm_contacts(crm.filter("erp_entity_id IS NOT NULL"), account, contact, settings).selectExpr(
+        "crm_id", "account_no", "erp_entity_id", "contact_code", "contact_type", "ckc_id",
+        f"{code_key('contact_code', case_sensitive)} AS code_key",
     )
-    keys = xref.select("entity_id", code_key(F.col("cross_ref_number"), case_sensitive).alias("code_key"))
-    return people.join(keys, "code_key", how)
+
+
+def _entity_keys(xref: DataFrame, case_sensitive: bool) -> DataFrame:
+    return xref.selectExpr("entity_id AS xref_entity_id", f"{code_key('cross_ref_number', case_sensitive)} AS code_key")
 
 
 def crm_xref_agreement(crm, account, contact, xref, settings, case_sensitive: bool = False) -> DataFrame:
     """Per code the links are first counted by entity, so a hot code joins as few rows."""
-    erp = F.col("erp_entity_id")
-    counted = xref.groupBy(
-        "entity_id", code_key(F.col("cross_ref_number"), case_sensitive).alias("code_key")
-    ).agg(F.count("*").alias("n"))
-    people = crm_contacts(crm.filter(erp.isNotNull()), account, contact, settings).select(
-        "erp_entity_id", code_key(F.col("contact_code"), case_sensitive).alias("code_key")
-    )
-    joined = people.join(counted, "code_key", "left")
-    weight = F.coalesce("n", F.lit(1))
-    summed = lambda test: F.coalesce(F.sum(F.when(test, weight)), F.lit(0))
-    return joined.agg(
-        F.coalesce(F.sum(weight), F.lit(0)).alias("customers_with_erp_id"),
-        summed(erp == F.col("entity_id")).alias("ids_agree"),
-        summed(erp != F.col("entity_id")).alias("ids_disagree"),
-        summed(F.col("entity_id").isNull()).alias("no_cross_ref_found"),
-    )
+    counted = _entity_keys(xref, case_sensitive).groupBy("code_key", "xref_entity_id").agg(F.expr("count(*) AS n"))
+    people = _linked_customers(crm, account, contact, settings, case_sensitive)
+    joined = people.join(counted, "code_key", "left").selectExpr("*", "coalesce(n, 1) AS weight")
+    summed = lambda test: f"coalesce(sum(CASE WHEN {test} THEN weight END), 0)"
+    return joined.agg(*exprs(
+        "coalesce(sum(weight), 0) AS customers_with_erp_id",
+        f"{summed('erp_entity_id = xref_entity_id')} AS ids_agree",
+        f"{summed('erp_entity_id <> xref_entity_id')} AS ids_disagree",
+        f"{summed('xref_entity_id IS NULL')} AS no_cross_ref_found",
+    ))
 
 
 def crm_xref_disagreements(crm, account, contact, xref, settings, case_sensitive: bool = False, rows: int = 50) -> DataFrame:
     return (
-        _crm_links(crm, account, contact, xref, settings, case_sensitive, "inner")
-        .filter(F.col("erp_entity_id") != F.col("entity_id"))
-        .select("crm_id", "account_no", "erp_entity_id", F.col("entity_id").alias("xref_entity_id"),
-                "contact_code", "contact_type")
+        _linked_customers(crm, account, contact, settings, case_sensitive)
+        .join(_entity_keys(xref, case_sensitive), "code_key")
+        .filter("erp_entity_id <> xref_entity_id")
+        .select("crm_id", "account_no", "erp_entity_id", "xref_entity_id", "contact_code", "contact_type")
         .orderBy("crm_id", "xref_entity_id")
         .limit(rows)
     )
 
 
 def crm_without_xref(crm, account, contact, xref, settings, case_sensitive: bool = False) -> DataFrame:
-    return _crm_links(
-        crm, account, contact, xref.filter(F.col("entity_id").isNotNull()), settings, case_sensitive, "left_anti"
-    ).agg(
-        F.count("*").alias("total"), F.count("ckc_id").alias("has_ckc_id"),
-        F.count_if(F.col("ckc_id") == F.col("erp_entity_id")).alias("ckc_agrees_with_crm"),
+    known = _entity_keys(xref.filter("entity_id IS NOT NULL"), case_sensitive)
+    return _linked_customers(crm, account, contact, settings, case_sensitive).join(known, "code_key", "left_anti").agg(
+        *exprs("count(*) AS total", "count(ckc_id) AS has_ckc_id", "count_if(ckc_id = erp_entity_id) AS ckc_agrees_with_crm")
     )
 
 
 def parent_lookup(contact: DataFrame) -> DataFrame:
     """Does the second id of a contact point at another contact's entity?"""
     child = contact.filter("cmp_ckc_id > 0").select("contact_code", "contact_type", "ckc_id", "cmp_ckc_id")
-    parent = contact.filter("ckc_id IS NOT NULL").select(
-        F.col("ckc_id").alias("cmp_ckc_id"), F.col("contact_code").alias("parent_contact_code"),
-        F.col("contact_type").alias("parent_type"),
+    parent = contact.filter("ckc_id IS NOT NULL").selectExpr(
+        "ckc_id AS cmp_ckc_id", "contact_code AS parent_contact_code", "contact_type AS parent_type"
     )
-    return matched_and_unmatched(child, parent, "cmp_ckc_id").select(
+    return matched_and_unmatched(child, parent, "cmp_ckc_id").selectExpr(
         "contact_code", "contact_type", "ckc_id", "cmp_ckc_id", "parent_contact_code", "parent_type",
-        F.when(F.col("parent_contact_code").isNotNull(), F.col("cmp_ckc_id")).alias("parent_ckc_id"),
+        "CASE WHEN parent_contact_code IS NOT NULL THEN cmp_ckc_id END AS parent_ckc_id",
     )
 
 
 def coded_value_listing(contact, technician, salesperson) -> DataFrame:
     """Distinct suffix and title values of active persons; both come from one scan."""
     people = without_employees(
-        contact.filter(is_active(F.col("inactive_indicator")) & F.col("contact_type").isin("I", "C")),
-        technician, salesperson,
+        contact.filter(f"{IS_ACTIVE} AND contact_type IN ('I', 'C')"), technician, salesperson
     )
-    pairs = people.select(F.inline(F.array(
-        F.struct(F.lit("suffix").alias("field_name"), F.col("suffix").alias("field_value")),
-        F.struct(F.lit("title").alias("field_name"), F.col("title").alias("field_value")),
-    )))
-    return pairs.filter(F.trim("field_value") != "").groupBy("field_name", "field_value").agg(
-        F.count("*").alias("contact_count")
+    pairs = people.selectExpr("stack(2, 'suffix', suffix, 'title', title) AS (field_name, field_value)")
+    return pairs.filter("trim(field_value) <> ''").groupBy("field_name", "field_value").agg(
+        F.expr("count(*) AS contact_count")
     ).orderBy("field_name", F.desc("contact_count"), "field_value")

@@ -2,30 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from linkledger.functions import lists
-from linkledger.functions.columns import match_tier
+from linkledger.functions.columns import IS_PERSON, MATCH_TIER, either, matches, sure, values
 from linkledger.operators.population import with_link_counts, with_repeat_flag
-from linkledger.operators.rules import Rule, scopes
+from linkledger.operators.revenue import exprs
+from linkledger.operators.rules import PHONES, Rule
 
 # Weight of each part of the quality index.
 INDEX_WEIGHTS = {"name": 25, "address": 25, "reachable": 20, "no_flags": 20, "ready": 10}
 
 
-def any_flag(rules: list[Rule]) -> Column:
+def any_flag(rules: list[Rule]) -> str:
     """True when a contact fails any of the rules."""
-    conditions = scopes()
-    failed = [F.coalesce(conditions[r.scope] & r.issue(), F.lit(False)).cast("int") for r in rules]
-    return F.greatest(*failed) == 1
+    return either(*(r.failed for r in rules))
 
 
 def clean_record_pct(enriched: DataFrame, rules: list[Rule]) -> DataFrame:
     """Share of active contacts without any completeness or field quality flag."""
-    judged = with_repeat_flag(enriched).select(any_flag(rules).alias("flagged"))
+    judged = with_repeat_flag(enriched).selectExpr(f"{any_flag(rules)} AS flagged")
     return judged.agg(
-        F.count_if(~F.col("flagged")).alias("clean_contacts"), F.count("*").alias("active_contacts")
-    ).withColumn("clean_record_pct", F.try_divide("clean_contacts", "active_contacts"))
+        *exprs("count_if(NOT flagged) AS clean_contacts", "count(*) AS active_contacts")
+    ).selectExpr("*", "try_divide(clean_contacts, active_contacts) AS clean_record_pct")
 
 
 def quality_index(enriched: DataFrame, links: DataFrame, field_rules: list[Rule]) -> DataFrame:
@@ -33,24 +32,20 @@ def quality_index(enriched: DataFrame, links: DataFrame, field_rules: list[Rule]
 
     A linked contact needs no match readiness and gets that part in full.
     """
-    has = lambda c: F.col(c).isNotNull()
-    person = F.col("contact_type").isin("I", "C")
-    name = F.when(person, has("first_name") & has("last_name")).otherwise(has("company_name"))
-    us = F.coalesce("country", F.lit("US")) == "US"
-    zip_ok = F.when(us, F.col("pcode").rlike(lists.US_ZIP)).otherwise(has("pcode"))
-    address = has("street") & has("city") & has("state") & F.coalesce(zip_ok, F.lit(False)) & (F.length("state") == 2)
-    phone = lambda c: F.coalesce(F.col(c).rlike(lists.NORTH_AMERICAN_PHONE), F.lit(False))
-    mail = F.coalesce(F.col("email").rlike(lists.EMAIL_SHAPE), F.lit(False))
-    reachable = phone("biz_phone") | phone("priv_phone") | phone("mob_phone") | mail
-    ready = (F.col("links") > 0) | match_tier().isin(*lists.MATCH_TIERS[:2])
-    parts = {"name": name, "address": address, "reachable": reachable, "no_flags": ~any_flag(field_rules), "ready": ready}
-    points = [F.when(test, INDEX_WEIGHTS[p]).otherwise(0) for p, test in parts.items()]
-    scored = with_link_counts(with_repeat_flag(enriched), links).select(
-        "contact_type", sum(points[1:], points[0]).alias("score")
-    )
+    zip_ok = f"if(coalesce(country, 'US') = 'US', {sure(matches('pcode', lists.US_ZIP))}, pcode IS NOT NULL)"
+    phones = [sure(matches(p, lists.NORTH_AMERICAN_PHONE)) for p in PHONES]
+    parts = {
+        "name": f"if({IS_PERSON}, first_name IS NOT NULL AND last_name IS NOT NULL, company_name IS NOT NULL)",
+        "address": f"street IS NOT NULL AND city IS NOT NULL AND length(state) = 2 AND {zip_ok}",
+        "reachable": either(*phones, sure(matches("email", lists.EMAIL_SHAPE))),
+        "no_flags": f"NOT {any_flag(field_rules)}",
+        "ready": f"links > 0 OR {MATCH_TIER} IN {values(lists.MATCH_TIERS[:2])}",
+    }
+    score = " + ".join(f"if({test}, {INDEX_WEIGHTS[p]}, 0)" for p, test in parts.items())
+    scored = with_link_counts(with_repeat_flag(enriched), links).selectExpr("contact_type", f"{score} AS score")
     return scored.groupBy("contact_type").agg(
-        F.count("*").alias("contacts"), F.sum("score").alias("score_sum")
-    ).withColumn("quality_index", F.try_divide("score_sum", "contacts")).orderBy("contact_type")
+        *exprs("count(*) AS contacts", "sum(score) AS score_sum")
+    ).selectExpr("*", "try_divide(score_sum, contacts) AS quality_index").orderBy("contact_type")
 
 
 def duplicate_candidates(enriched: DataFrame) -> DataFrame:
@@ -59,16 +54,14 @@ def duplicate_candidates(enriched: DataFrame) -> DataFrame:
     Every contact is spread over its keys, keys are counted, and the members of
     repeated keys are listed. Pairs are never formed.
     """
-    name = F.coalesce("company_name", F.concat_ws(" ", "first_name", "last_name"))
-    place = F.when(
-        (name != "") & F.col("city").isNotNull() & F.col("state").isNotNull(),
-        F.upper(F.concat_ws("|", name, "city", "state")),
+    name = "coalesce(company_name, concat_ws(' ', first_name, last_name))"
+    place = (
+        f"CASE WHEN {name} <> '' AND city IS NOT NULL AND state IS NOT NULL "
+        f"THEN upper(concat_ws('|', {name}, city, state)) END"
     )
-    key = lambda kind, value: F.struct(F.lit(kind).alias("key_type"), value.alias("key_value"))
-    col = F.col
-    own = enriched.select("contact_code", F.inline(F.array(
-        key("phone", col("biz_phone")), key("phone", col("priv_phone")), key("phone", col("mob_phone")),
-        key("email", F.upper("email")), key("name_place", place), key("entity", col("ckc_id").cast("string")),
-    ))).filter("key_value IS NOT NULL").distinct()
-    repeated = own.groupBy("key_type", "key_value").agg(F.count("*").alias("contacts")).filter("contacts > 1")
+    own = enriched.selectExpr("contact_code", (
+        "stack(6, 'phone', biz_phone, 'phone', priv_phone, 'phone', mob_phone, 'email', upper(email), "
+        f"'name_place', {place}, 'entity', cast(ckc_id AS string)) AS (key_type, key_value)"
+    )).filter("key_value IS NOT NULL").distinct()
+    repeated = own.groupBy("key_type", "key_value").agg(F.expr("count(*) AS contacts")).filter("contacts > 1")
     return own.join(repeated, ["key_type", "key_value"]).select("key_type", "key_value", "contacts", "contact_code")

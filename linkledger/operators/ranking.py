@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 Stage = Callable[[DataFrame, str], DataFrame]
 
@@ -18,59 +18,59 @@ def ranges(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def in_global_order(df: DataFrame, order: list[Column], stage: Stage, value: Column | None = None) -> DataFrame:
+def in_global_order(df: DataFrame, order: list[str], stage: Stage, value: str = "NULL") -> DataFrame:
     """Add ``position`` (1 = first), ``running`` (sum of value so far), ``overall``
     (its sum) and ``valued`` (how many rows have a value).
 
     The tagged rows are staged first: both branches below must see the same
     range of every row, also when an executor is lost and tasks run again.
     """
-    amount = F.lit(None) if value is None else value
+    keys: list[Column] = [F.expr(o.split()[0]).desc() if o.endswith(" DESC") else F.expr(o).asc() for o in order]
     tagged = stage(
-        df.withColumn("_amount", amount.cast("decimal(18,2)"))
-        .repartitionByRange(ranges(df), *order)
+        df.selectExpr("*", f"cast({value} AS decimal(18,2)) AS _amount")
+        .repartitionByRange(ranges(df), *keys)
         .withColumn("_range", F.spark_partition_id()),
         "global_order",
     )
 
     # One row per range: never more rows than shuffle partitions.
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = "OVER (ORDER BY _range ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     starts = (
         tagged.groupBy("_range")
-        .agg(F.count("*").alias("_rows"), F.sum("_amount").alias("_sum"), F.count("_amount").alias("_valued"))
-        .select(
+        .agg(F.expr("count(*) AS _rows"), F.expr("sum(_amount) AS _sum"), F.expr("count(_amount) AS _valued"))
+        .selectExpr(
             "_range",
-            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before"),
-            F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_sum_before"),
-            F.sum("_sum").over(whole).alias("overall"),
-            F.sum("_valued").over(whole).alias("valued"),
+            f"coalesce(sum(_rows) {before}, 0) AS _rows_before",
+            f"coalesce(sum(_sum) {before}, 0) AS _sum_before",
+            "sum(_sum) OVER () AS overall",
+            "sum(_valued) OVER () AS valued",
         )
     )
 
-    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = f"OVER (PARTITION BY _range ORDER BY {', '.join(order)} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     return (
-        tagged.withColumn("_row", F.row_number().over(inside))
-        .withColumn("_run", F.sum("_amount").over(inside))
+        tagged.selectExpr("*", f"row_number() {inside} AS _row", f"sum(_amount) {inside} AS _run")
         .join(F.broadcast(starts), "_range")
-        .withColumn("position", F.col("_rows_before") + F.col("_row"))
-        .withColumn("running", F.col("_sum_before") + F.coalesce("_run", F.lit(0)))
-        .drop("_range", "_row", "_run", "_rows_before", "_sum_before", "_amount")
+        .selectExpr(
+            *df.columns, "overall", "valued",
+            "_rows_before + _row AS position",
+            "_sum_before + coalesce(_run, 0) AS running",
+        )
     )
 
 
-def equal_count_tile(position: Column, rows: Column, tiles: int = 10) -> Column:
+def equal_count_tile(position: str, rows: str, tiles: int = 10) -> str:
     """Tile number of a position when the first tiles take the extra rows."""
-    size = F.floor(rows / tiles)
-    extra = rows % tiles
-    head = extra * (size + 1)
-    return F.when(position <= head, F.ceil(position / (size + 1))).otherwise(
-        extra + F.ceil((position - head) / size)
-    ).cast("int")
+    size, extra = f"({rows} div {tiles})", f"({rows} % {tiles})"
+    head = f"({extra} * ({size} + 1))"
+    ceil = lambda a, b: f"(({a} + {b} - 1) div {b})"
+    return (
+        f"cast(if({position} <= {head}, {ceil(position, f'({size} + 1)')}, "
+        f"{extra} + {ceil(f'({position} - {head})', f'greatest({size}, 1)')}) AS int)"
+    )
 
 
-def share_tile(running: Column, overall: Column, tiles: int = 10) -> Column:
+def share_tile(running: str, overall: str, tiles: int = 10) -> str:
     """Tile number by share of the total, in whole cents so no rounding creeps in."""
-    cents = lambda c: (c * 100).cast("decimal(30,0)")
-    part = cents(running) * tiles + cents(overall) - 1
-    return F.least(F.call_function("div", part, cents(overall)), F.lit(tiles)).cast("int")
+    cents = lambda x: f"cast({x} * 100 AS decimal(30,0))"
+    return f"cast(least(({cents(running)} * {tiles} + {cents(overall)} - 1) div {cents(overall)}, {tiles}) AS int)"

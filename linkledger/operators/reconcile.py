@@ -8,6 +8,7 @@ from linkledger.config import Settings
 from linkledger.functions.columns import code_key
 from linkledger.operators.extracts import quote_flow_customers
 from linkledger.operators.population import employee_keys
+from linkledger.operators.revenue import exprs
 
 STATUSES = ("AGREE", "DISAGREE", "SF_MISSING")
 
@@ -15,28 +16,25 @@ STATUSES = ("AGREE", "DISAGREE", "SF_MISSING")
 def crm_ids(crm, account, contact, settings: Settings) -> DataFrame:
     """One CRM entity id per code; a repeated code keeps its highest id."""
     return quote_flow_customers(crm, account, contact, settings).groupBy(
-        code_key(F.col("contact_code")).alias("code_key")
-    ).agg(F.max("comp_entity_id").cast("string").alias("crm_entity_id"))
+        F.expr(f"{code_key('contact_code')} AS code_key")
+    ).agg(F.expr("cast(max(comp_entity_id) AS string) AS crm_entity_id"))
 
 
 def reconcile_matches(tight_match: DataFrame, ids: DataFrame) -> DataFrame:
     status = (
-        F.when(F.col("crm_entity_id").isNull(), "SF_MISSING")
-        .when(F.col("crm_entity_id") == F.col("entity_id"), "AGREE")
-        .otherwise("DISAGREE")
+        "CASE WHEN crm_entity_id IS NULL THEN 'SF_MISSING' WHEN crm_entity_id = entity_id THEN 'AGREE' ELSE 'DISAGREE' END"
     )
-    return tight_match.withColumn("code_key", code_key(F.col("dbs_number"))).join(ids, "code_key", "left").select(
-        "dbs_number", F.col("entity_id").alias("match_entity_id"), F.col("contact_id").alias("match_contact_id"),
-        F.coalesce("crm_entity_id", F.lit("")).alias("crm_entity_id"), status.alias("status"),
+    return tight_match.selectExpr("*", f"{code_key('dbs_number')} AS code_key").join(ids, "code_key", "left").selectExpr(
+        "dbs_number", "entity_id AS match_entity_id", "contact_id AS match_contact_id",
+        "coalesce(crm_entity_id, '') AS crm_entity_id", f"{status} AS status",
     )
 
 
 def reconcile_summary(reconciled: DataFrame) -> DataFrame:
     """Rows per status; a status without rows shows zero."""
-    counted = reconciled.agg(*(F.count_if(F.col("status") == s).alias(s) for s in STATUSES))
-    return counted.select(F.inline(F.array(*(
-        F.struct(F.lit(s).alias("status"), F.col(s).alias("matches")) for s in STATUSES
-    ))))
+    counted = reconciled.agg(*exprs(*(f"count_if(status = '{s}') AS {s}" for s in STATUSES)))
+    pairs = ", ".join(f"'{s}', {s}" for s in STATUSES)
+    return counted.selectExpr(f"stack({len(STATUSES)}, {pairs}) AS (status, matches)")
 
 
 def employee_codes(contact, technician, salesperson) -> DataFrame:
@@ -47,14 +45,12 @@ def employee_codes(contact, technician, salesperson) -> DataFrame:
 
 def exclusion_keys(codes: DataFrame) -> DataFrame:
     """Codes to leave out, trimmed and in upper case, blank ones dropped."""
-    key = F.upper(F.trim(codes.columns[0]))
-    return codes.select(key.alias("code_key")).filter("code_key <> ''")
+    return codes.selectExpr(f"upper(trim({codes.columns[0]})) AS code_key").filter("code_key <> ''")
 
 
 def split_matches(reconciled: DataFrame, status: str, excluded: DataFrame) -> DataFrame:
     """Upload rows of one status without the excluded codes; contact id 0 is left empty."""
-    chosen = reconciled.filter(F.col("status") == status).withColumn("code_key", code_key(F.col("dbs_number")))
-    return chosen.join(exclusion_keys(excluded), "code_key", "left_anti").select(
-        "dbs_number", F.col("match_entity_id").alias("entity_id"),
-        F.when(F.col("match_contact_id") != "0", F.col("match_contact_id")).otherwise("").alias("contact_id"),
+    chosen = reconciled.filter(f"status = '{status}'").selectExpr("*", f"{code_key('dbs_number')} AS code_key")
+    return chosen.join(exclusion_keys(excluded), "code_key", "left_anti").selectExpr(
+        "dbs_number", "match_entity_id AS entity_id", "if(match_contact_id <> '0', match_contact_id, '') AS contact_id"
     )

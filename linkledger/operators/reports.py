@@ -7,29 +7,32 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from linkledger.config import SLICE
 from linkledger.functions import lists
+from linkledger.functions.columns import lit, values
+from linkledger.operators.revenue import exprs
 
 
-def _sum_of(column: str, *metrics: str) -> Column:
-    if not metrics:
-        return F.sum(column)
-    return F.sum(F.when(F.col("metric_name").isin(*metrics), F.col(column)))
+def _sum_of(column: str, *metrics: str) -> str:
+    return f"sum(CASE WHEN metric_name IN {values(metrics)} THEN {column} END)" if metrics else f"sum({column})"
+
+
+_READY = lists.MATCH_TIERS[:2]
+MEASURES = {
+    "issue_rate": f"try_divide({_sum_of('numerator')}, {_sum_of('denominator')})",
+    "issue_count": _sum_of("numerator"),
+    "record_count": _sum_of("denominator"),
+    "numerator": _sum_of("numerator"),
+    "denominator": _sum_of("denominator"),
+    "pct_linked": f"try_divide({_sum_of('numerator', 'linked_count')}, {_sum_of('denominator', 'linked_count')})",
+    "stale_5yr": _sum_of("numerator", lists.STALENESS_BUCKETS[-1]),
+    "match_ready": f"try_divide({_sum_of('numerator', *_READY)}, {_sum_of('denominator', _READY[0])})",
+}
 
 
 def measure(name: str) -> Column:
     """A report measure as one aggregate expression."""
-    one, two = lists.MATCH_TIERS[:2]
-    formulas = {
-        "issue_rate": lambda: F.try_divide(_sum_of("numerator"), _sum_of("denominator")),
-        "issue_count": lambda: _sum_of("numerator"),
-        "record_count": lambda: _sum_of("denominator"),
-        "numerator": lambda: _sum_of("numerator"),
-        "denominator": lambda: _sum_of("denominator"),
-        "pct_linked": lambda: F.try_divide(_sum_of("numerator", "linked_count"), _sum_of("denominator", "linked_count")),
-        "stale_5yr": lambda: _sum_of("numerator", "5+yr"),
-        "match_ready": lambda: F.try_divide(_sum_of("numerator", one, two), _sum_of("denominator", one)),
-    }
-    return formulas[name]().alias(name)
+    return F.expr(f"{MEASURES[name]} AS {name}")
 
 
 def latest_date(snapshot: DataFrame) -> dt.date | None:
@@ -38,14 +41,13 @@ def latest_date(snapshot: DataFrame) -> dt.date | None:
 
 
 def latest(snapshot: DataFrame) -> DataFrame:
-    return snapshot.filter(F.col("snapshot_date") == F.lit(latest_date(snapshot)))
+    return snapshot.filter(f"snapshot_date = {lit(latest_date(snapshot))}")
 
 
 def snapshot_verification(snapshot: DataFrame) -> DataFrame:
-    return latest(snapshot).groupBy("snapshot_date", "metric_category").agg(
-        F.count("*").alias("row_count"), F.sum("numerator").alias("total_numerator"),
-        F.sum("denominator").alias("total_denominator"),
-    ).orderBy("metric_category")
+    return latest(snapshot).groupBy("snapshot_date", "metric_category").agg(*exprs(
+        "count(*) AS row_count", "sum(numerator) AS total_numerator", "sum(denominator) AS total_denominator"
+    )).orderBy("metric_category")
 
 
 @dataclass(frozen=True)
@@ -106,18 +108,18 @@ VISUALS: dict[int, Visual] = {
 def slicers(snapshot: DataFrame, **equal: str) -> DataFrame:
     """Slicer choices of a report page: contact type, decile, cohort or category."""
     for column, value in equal.items():
-        snapshot = snapshot.filter(F.col(column) == value)
+        snapshot = snapshot.filter(f"{column} = {lit(value)}")
     return snapshot
 
 
 def report(snapshot: DataFrame, visual: Visual) -> DataFrame:
     rows = snapshot if visual.trend else latest(snapshot)
     if visual.category:
-        rows = rows.filter(F.col("metric_category") == visual.category)
+        rows = slicers(rows, metric_category=visual.category)
     if visual.metric:
-        rows = rows.filter(F.col("metric_name") == visual.metric)
+        rows = slicers(rows, metric_name=visual.metric)
     if visual.known_cohorts:
-        rows = rows.filter(~F.col("creation_cohort").isin("ALL", "Unknown"))
+        rows = rows.filter("creation_cohort NOT IN ('ALL', 'Unknown')")
     measures = [measure(m) for m in visual.measures]
     if not visual.by:
         return rows.agg(*measures)
@@ -135,34 +137,30 @@ def issue_rate_of_issues(snapshot: DataFrame, dim_metric: DataFrame) -> DataFram
 
 def snapshot_delta(snapshot: DataFrame, before: dt.date, after: dt.date) -> DataFrame:
     """Change of every metric between two snapshots, in one grouped pass."""
-    at = lambda day, c: F.coalesce(F.sum(F.when(F.col("snapshot_date") == F.lit(day), F.col(c))), F.lit(0))
+    at = lambda day: f"coalesce(sum(CASE WHEN snapshot_date = {lit(day)} THEN numerator END), 0)"
     return (
-        snapshot.filter(F.col("snapshot_date").isin(before, after))
+        snapshot.filter(f"snapshot_date IN {values((before, after))}")
         .groupBy("metric_category", "metric_name")
-        .agg(at(before, "numerator").alias("numerator_before"), at(after, "numerator").alias("numerator_after"))
-        .withColumn("numerator_delta", F.col("numerator_after") - F.col("numerator_before"))
+        .agg(*exprs(f"{at(before)} AS numerator_before", f"{at(after)} AS numerator_after"))
+        .selectExpr("*", "numerator_after - numerator_before AS numerator_delta")
         .orderBy("metric_category", "metric_name")
     )
 
 
 def parity_sum_check(snapshot: DataFrame, fields: list[str]) -> DataFrame:
     """Slices whose five outcomes do not add up to the denominator; none expected."""
-    slice_keys = ["snapshot_date", "contact_type", "sales_decile", "staleness_bucket", "branch", "creation_cohort"]
     names = [f"{f}_{o}" for f in fields for o in lists.PARITY_OUTCOMES]
     outcome = "_(" + "|".join(lists.PARITY_OUTCOMES) + ")$"
     return (
-        snapshot.filter(F.col("metric_category") == "parity").filter(F.col("metric_name").isin(*names))
-        .groupBy(*slice_keys, F.regexp_replace("metric_name", outcome, "").alias("field_name"))
-        .agg(F.sum("numerator").alias("outcomes"), F.max("denominator").alias("denominator"))
+        slicers(snapshot, metric_category="parity").filter(f"metric_name IN {values(names)}")
+        .groupBy("snapshot_date", *SLICE, F.expr(f"regexp_replace(metric_name, {lit(outcome)}, '') AS field_name"))
+        .agg(*exprs("sum(numerator) AS outcomes", "max(denominator) AS denominator"))
         .filter("outcomes <> denominator")
     )
 
 
 def linkage_progress(snapshot: DataFrame) -> DataFrame:
     """Linked and unlinked contacts per snapshot date."""
-    return (
-        snapshot.filter(F.col("metric_category") == "linkage")
-        .groupBy("snapshot_date")
-        .agg(_sum_of("numerator", "linked_count").alias("linked"), _sum_of("numerator", "unlinked_count").alias("unlinked"))
-        .orderBy("snapshot_date")
-    )
+    return slicers(snapshot, metric_category="linkage").groupBy("snapshot_date").agg(*exprs(
+        f"{_sum_of('numerator', 'linked_count')} AS linked", f"{_sum_of('numerator', 'unlinked_count')} AS unlinked"
+    )).orderBy("snapshot_date")

@@ -13,24 +13,28 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from linkledger.config import Settings, r60_window
 from linkledger.functions import lists
-from linkledger.functions.columns import money, total
+from linkledger.functions.columns import lit, money, total
 from linkledger.operators.ranking import Stage, equal_count_tile, in_global_order, share_tile
 
 STREAMS = ("goods", "parts", "service", "rental")
 
 
-def in_window(when: Column, start: dt.date, end: dt.date) -> Column:
+def exprs(*texts: str) -> list[Column]:
+    return [F.expr(t) for t in texts]
+
+
+def in_window(when: str, start: dt.date, end: dt.date) -> str:
     """Both bounds are dates; a time on the last day is past its midnight and stays out."""
-    return when.between(F.lit(start), F.lit(end))
+    return f"{when} BETWEEN {lit(start)} AND {lit(end)}"
 
 
-def in_years(when: Column, first: int, last: int) -> Column:
+def in_years(when: str, first: int, last: int) -> str:
     """Calendar years as a range on the bare column, so that the scan can prune."""
-    return (when >= F.lit(dt.date(first, 1, 1))) & (when < F.lit(dt.date(last + 1, 1, 1)))
+    return f"{when} >= {lit(dt.date(first, 1, 1))} AND {when} < {lit(dt.date(last + 1, 1, 1))}"
 
 
 def billed(invoice: DataFrame) -> DataFrame:
-    return invoice.filter(F.col("invo_type").isin("C", "I"))
+    return invoice.filter("invo_type IN ('C', 'I')")
 
 
 def invoice_amounts(invoice: DataFrame, rental: DataFrame) -> DataFrame:
@@ -39,106 +43,92 @@ def invoice_amounts(invoice: DataFrame, rental: DataFrame) -> DataFrame:
     Rental lines are summed per invoice first; the join then adds no rows, so
     one invoice scan serves parts, service and rental together.
     """
-    per_invoice = rental.groupBy(F.col("invoice_no").alias("document_no")).agg(
-        F.sum(money(F.col("rental_value"))).alias("rental"),
-        F.sum(money(F.col("depr_book_value"))).alias("rental_cost"),
-    )
-    is_parts, is_service = F.col("module_type") == "I", F.col("module_type") == "W"
-    m = lambda name: money(F.col(name))
-    return billed(invoice).join(per_invoice, "document_no", "left").select(
+    per_invoice = rental.groupBy(F.col("invoice_no").alias("document_no")).agg(*exprs(
+        f"sum({money('rental_value')}) AS rental", f"sum({money('depr_book_value')}) AS rental_cost",
+    ))
+    added = lambda *names: " + ".join(money(n) for n in names)
+    parts, service = "module_type = 'I'", "module_type = 'W'"
+    return billed(invoice).join(per_invoice, "document_no", "left").selectExpr(
         "bill_to_acc",
-        F.col("invo_datetime").alias("happened"),
-        F.when(is_parts, m("parts_sale")).alias("parts"),
-        F.when(is_service, m("parts_sale") + m("labour_sale") + m("sublet_sale") + m("other_sale")).alias("service"),
+        "invo_datetime AS happened",
+        f"CASE WHEN {parts} THEN {money('parts_sale')} END AS parts",
+        f"CASE WHEN {service} THEN {added('parts_sale', 'labour_sale', 'sublet_sale', 'other_sale')} END AS service",
         "rental",
-        F.when(is_parts, m("parts_cost")).alias("parts_cost"),
-        F.when(is_service, m("parts_cost") + m("labour_cost") + m("sublet_cost")).alias("service_cost"),
+        f"CASE WHEN {parts} THEN {money('parts_cost')} END AS parts_cost",
+        f"CASE WHEN {service} THEN {added('parts_cost', 'labour_cost', 'sublet_cost')} END AS service_cost",
         "rental_cost",
-        (F.coalesce(is_parts | is_service, F.lit(False)) | F.col("rental").isNotNull()).alias("counts_as_activity"),
+        "(coalesce(module_type IN ('I', 'W'), false) OR rental IS NOT NULL) AS counts_as_activity",
     )
 
 
-def unit_amounts(unit_sale: DataFrame, unit_accessory: DataFrame, *extra_keys: Column, within: Column | None = None) -> DataFrame:
+def unit_amounts(unit_sale: DataFrame, unit_accessory: DataFrame, *extra_keys: str, within: str = "true") -> DataFrame:
     """Sale of each unit to each owner; accessories count once per unit.
 
     Only rows ``within`` the condition add to the amounts; ``day`` looks at all.
     """
-    accessories = unit_accessory.groupBy("unit_no").agg(
-        F.sum(money(F.col("sale_value"))).alias("accessories")
-    )
-    within = F.lit(True) if within is None else within
-    costs = [money(F.col(c)) for c in lists.UNIT_COSTS if c in unit_sale.columns]
-    cost = sum(costs[1:], costs[0]) if costs else F.lit(0).cast("decimal(12,2)")
+    accessories = unit_accessory.groupBy("unit_no").agg(F.expr(f"sum({money('sale_value')}) AS accessories"))
+    cost = " + ".join(money(c) for c in lists.UNIT_COSTS if c in unit_sale.columns) or "cast(0 AS decimal(12,2))"
     # Both sides are hashed by unit; the aggregate below reuses that layout.
     return (
         unit_sale.join(accessories, "unit_no", "left")
-        .groupBy("unit_no", "owner_code", *extra_keys)
-        .agg(
-            F.sum(F.when(within, money(F.col("sales_value")))).alias("_sale"),
-            F.max(F.when(within, F.col("accessories"))).alias("_accessories"),
-            F.sum(F.when(within, cost)).alias("goods_cost"),
-            F.count(F.when(within, F.col("unit_no"))).alias("units"),
-            F.max(F.col("sales_date").cast("date")).alias("day"),
-        )
-        .withColumn("goods", (F.col("_sale") + F.coalesce("_accessories", F.lit(0))).cast("decimal(18,2)"))
-        .drop("_sale", "_accessories")
+        .groupBy("unit_no", "owner_code", *exprs(*extra_keys))
+        .agg(*exprs(
+            f"cast(sum(CASE WHEN {within} THEN {money('sales_value')} END) "
+            f"+ coalesce(max(CASE WHEN {within} THEN accessories END), 0) AS decimal(18,2)) AS goods",
+            f"sum(CASE WHEN {within} THEN {cost} END) AS goods_cost",
+            f"count(CASE WHEN {within} THEN unit_no END) AS units",
+            "max(cast(sales_date AS date)) AS day",
+        ))
     )
 
 
+def per_account(account: DataFrame, by_owner: DataFrame, by_biller: DataFrame) -> DataFrame:
+    """Rows summed per owner code and per billing number, brought to account numbers."""
+    owned = account.select("account_no", "contact_code").join(by_owner, "contact_code").drop("contact_code")
+    return owned.unionByName(account.select("account_no").join(by_biller, "account_no"), allowMissingColumns=True)
+
+
+def _owner(units: DataFrame, *keys: str):
+    return units.groupBy(F.col("owner_code").alias("contact_code"), *keys)
+
+
+def _biller(invoices: DataFrame, *keys: str):
+    return invoices.groupBy(F.col("bill_to_acc").alias("account_no"), *exprs(*keys))
+
+
 def account_revenue(account, unit_sale, unit_accessory, invoice, rental, start: dt.date, end: dt.date) -> DataFrame:
     """Revenue per account in a window, by stream and in total."""
-    units = unit_amounts(unit_sale.filter(in_window(F.col("sales_date"), start, end)), unit_accessory)
-    invoices = invoice_amounts(invoice.filter(in_window(F.col("invo_datetime"), start, end)), rental)
-
-    by_owner = units.groupBy(F.col("owner_code").alias("contact_code")).agg(total(F.col("goods")).alias("goods"))
-    by_biller = invoices.groupBy(F.col("bill_to_acc").alias("account_no")).agg(
-        *(total(F.col(s)).alias(s) for s in STREAMS[1:])
+    units = unit_amounts(unit_sale.filter(in_window("sales_date", start, end)), unit_accessory)
+    invoices = invoice_amounts(invoice.filter(in_window("invo_datetime", start, end)), rental)
+    by_owner = _owner(units).agg(F.expr(f"{total('goods')} AS goods"))
+    by_biller = _biller(invoices).agg(*exprs(*(f"{total(s)} AS {s}" for s in STREAMS[1:])))
+    summed = per_account(account, by_owner, by_biller).groupBy("account_no").agg(
+        *exprs(*(f"coalesce({total(s)}, 0) AS {s}" for s in STREAMS))
     )
-    rows = account.select("account_no", "contact_code").join(by_owner, "contact_code").drop("contact_code").unionByName(
-        account.select("account_no").join(by_biller, "account_no"), allowMissingColumns=True
-    )
-    zero = F.lit(0).cast("decimal(18,2)")
-    per_account = rows.groupBy("account_no").agg(*(F.coalesce(total(F.col(s)), zero).alias(s) for s in STREAMS))
-    amount = sum((F.col(s) for s in STREAMS[1:]), F.col(STREAMS[0]))
-    return per_account.withColumn("total_revenue", amount.cast("decimal(18,2)"))
+    return summed.selectExpr("*", f"cast({' + '.join(STREAMS)} AS decimal(18,2)) AS total_revenue")
 
 
 def last_transaction(account, unit_sale, invoice, rental) -> DataFrame:
     """Latest unit, parts, service or rental date per account."""
-    by_owner = (
-        unit_sale.filter(F.col("sales_date").isNotNull())
-        .groupBy(F.col("owner_code").alias("contact_code"))
-        .agg(F.max(F.col("sales_date").cast("date")).alias("day"))
-    )
-    by_biller = (
-        invoice_amounts(invoice, rental)
-        .filter("counts_as_activity AND happened IS NOT NULL")
-        .groupBy(F.col("bill_to_acc").alias("account_no"))
-        .agg(F.max(F.col("happened").cast("date")).alias("day"))
-    )
-    rows = account.select("account_no", "contact_code").join(by_owner, "contact_code").drop("contact_code").unionByName(
-        account.select("account_no").join(by_biller, "account_no")
-    )
+    day = F.expr("max(cast(happened AS date)) AS day")
+    sold = unit_sale.filter("sales_date IS NOT NULL").withColumnRenamed("sales_date", "happened")
+    used = invoice_amounts(invoice, rental).filter("counts_as_activity AND happened IS NOT NULL")
+    rows = per_account(account, _owner(sold).agg(day), _biller(used).agg(day))
     return rows.groupBy("account_no").agg(F.max("day").alias("last_tx_date"))
 
 
 def account_standing(account, unit_sale, unit_accessory, invoice, rental, as_of: dt.date) -> DataFrame:
     """Window revenue and last date of every account, in one pass over each transaction table."""
-    start, end = r60_window(as_of)
-    units = unit_amounts(unit_sale, unit_accessory, within=in_window(F.col("sales_date"), start, end))
-    by_owner = units.groupBy(F.col("owner_code").alias("contact_code")).agg(
-        total(F.col("goods")).alias("revenue"), F.max("day").alias("day")
-    )
-    streams = F.coalesce("parts", F.lit(0)) + F.coalesce("service", F.lit(0)) + F.coalesce("rental", F.lit(0))
-    by_biller = invoice_amounts(invoice, rental).groupBy(F.col("bill_to_acc").alias("account_no")).agg(
-        total(F.when(in_window(F.col("happened"), start, end), streams)).alias("revenue"),
-        F.max(F.when(F.col("counts_as_activity"), F.col("happened").cast("date"))).alias("day"),
-    )
-    rows = account.select("account_no", "contact_code").join(by_owner, "contact_code").drop("contact_code").unionByName(
-        account.select("account_no").join(by_biller, "account_no")
-    )
-    return rows.groupBy("account_no").agg(
-        total(F.col("revenue")).alias("total_revenue"), F.max("day").alias("last_tx_date")
+    window = r60_window(as_of)
+    units = unit_amounts(unit_sale, unit_accessory, within=in_window("sales_date", *window))
+    by_owner = _owner(units).agg(*exprs(f"{total('goods')} AS revenue", "max(day) AS day"))
+    streams = "coalesce(parts, 0) + coalesce(service, 0) + coalesce(rental, 0)"
+    by_biller = _biller(invoice_amounts(invoice, rental)).agg(*exprs(
+        total(f"CASE WHEN {in_window('happened', *window)} THEN {streams} END") + " AS revenue",
+        "max(CASE WHEN counts_as_activity THEN cast(happened AS date) END) AS day",
+    ))
+    return per_account(account, by_owner, by_biller).groupBy("account_no").agg(
+        *exprs(f"{total('revenue')} AS total_revenue", "max(day) AS last_tx_date")
     )
 
 
@@ -148,70 +138,54 @@ def with_sales_decile(revenue: DataFrame, stage: Stage, method: str = "share") -
     Those accounts sort last and add nothing to the running sum, so one global
     order serves them all and no account is dropped.
     """
-    earned = F.when(F.col("total_revenue") > 0, F.col("total_revenue"))
-    order = [F.col("total_revenue").desc_nulls_last(), F.col("account_no").asc()]
-    ordered = in_global_order(revenue, order, stage, earned)
-    if method == "share":
-        tile = share_tile(F.col("running"), F.col("overall"))
-    else:
-        tile = equal_count_tile(F.col("position"), F.col("valued"))
-    return ordered.withColumn("raw_decile", F.when(earned.isNotNull(), tile)).drop(
-        "position", "running", "overall", "valued"
-    )
+    earned = "CASE WHEN total_revenue > 0 THEN total_revenue END"
+    ordered = in_global_order(revenue, ["total_revenue DESC", "account_no"], stage, earned)
+    tile = share_tile("running", "overall") if method == "share" else equal_count_tile("position", "valued")
+    return ordered.selectExpr(*revenue.columns, f"CASE WHEN total_revenue > 0 THEN {tile} END AS raw_decile")
 
 
-def decile_label(raw: Column) -> Column:
-    return F.coalesce(F.concat(F.lit("D"), raw.cast("string")), F.lit("Unranked"))
+DECILE_LABEL = "coalesce(concat('D', cast(raw_decile AS string)), 'Unranked')"
 
 
 def sales_by_decile(ranked: DataFrame) -> DataFrame:
     return (
         ranked.groupBy("raw_decile")
-        .agg(F.count("*").alias("customer_count"), total(F.col("total_revenue")).alias("total_revenue"))
+        .agg(*exprs("count(*) AS customer_count", f"{total('total_revenue')} AS total_revenue"))
         .orderBy(F.col("raw_decile").asc_nulls_last())
-        .select(decile_label(F.col("raw_decile")).alias("sales_decile"), "customer_count", "total_revenue")
+        .selectExpr(f"{DECILE_LABEL} AS sales_decile", "customer_count", "total_revenue")
     )
 
 
 def account_sales_history(account, unit_sale, unit_accessory, invoice, rental, first: int, last: int) -> DataFrame:
     """Revenue, cost and units per account and month."""
-    year, month = F.year("sales_date").alias("year"), F.month("sales_date").alias("month")
-    units = unit_amounts(unit_sale.filter(in_years(F.col("sales_date"), first, last)), unit_accessory, year, month)
-    by_owner = units.groupBy(F.col("owner_code").alias("contact_code"), "year", "month").agg(
-        total(F.col("goods")).alias("goods"), total(F.col("goods_cost")).alias("goods_cost"), F.sum("units").alias("units")
-    )
+    month_of = lambda c: (f"year({c}) AS year", f"month({c}) AS month")
+    units = unit_amounts(unit_sale.filter(in_years("sales_date", first, last)), unit_accessory, *month_of("sales_date"))
+    by_owner = _owner(units, "year", "month").agg(*exprs(
+        f"{total('goods')} AS goods", f"{total('goods_cost')} AS goods_cost", "sum(units) AS units"
+    ))
     measures = ("parts", "parts_cost", "service", "service_cost", "rental", "rental_cost")
-    by_biller = (
-        invoice_amounts(invoice.filter(in_years(F.col("invo_datetime"), first, last)), rental)
-        .groupBy(F.col("bill_to_acc").alias("account_no"), F.year("happened").alias("year"), F.month("happened").alias("month"))
-        .agg(*(total(F.col(c)).alias(c) for c in measures))
-    )
-    rows = account.select("account_no", "contact_code").join(by_owner, "contact_code").drop("contact_code").unionByName(
-        account.select("account_no").join(by_biller, "account_no"), allowMissingColumns=True
-    )
-    zero = F.lit(0).cast("decimal(18,2)")
-    return rows.groupBy("account_no", "year", "month").agg(
-        *(F.coalesce(total(F.col(c)), zero).alias(c) for c in ("goods", "goods_cost", *measures)),
-        F.coalesce(F.sum("units"), F.lit(0)).alias("units"),
-    ).orderBy(F.desc("year"), F.desc("month"), "account_no")
+    invoices = invoice_amounts(invoice.filter(in_years("invo_datetime", first, last)), rental)
+    by_biller = _biller(invoices, *month_of("happened")).agg(*exprs(*(f"{total(c)} AS {c}" for c in measures)))
+    return per_account(account, by_owner, by_biller).groupBy("account_no", "year", "month").agg(*exprs(
+        *(f"coalesce({total(c)}, 0) AS {c}" for c in ("goods", "goods_cost", *measures)),
+        "coalesce(sum(units), 0) AS units",
+    )).orderBy(F.desc("year"), F.desc("month"), "account_no")
 
 
 def last_goods_date(unit_sale: DataFrame) -> DataFrame:
-    return unit_sale.groupBy(F.col("owner_code").alias("contact_code")).agg(
-        F.max(F.col("sales_date").cast("date")).alias("last_goods_date")
-    )
+    return _owner(unit_sale).agg(F.expr("max(cast(sales_date AS date)) AS last_goods_date"))
 
 
 def last_invoice_date(invoice: DataFrame, name: str) -> DataFrame:
-    return invoice.groupBy("bill_to_acc").agg(F.max(F.col("invo_datetime").cast("date")).alias(name))
+    return invoice.groupBy("bill_to_acc").agg(F.expr(f"max(cast(invo_datetime AS date)) AS {name}"))
 
 
 def last_parts_date(invoice: DataFrame) -> DataFrame:
-    return last_invoice_date(billed(invoice).filter(F.col("module_type") == "I"), "last_parts_date")
+    return last_invoice_date(billed(invoice).filter("module_type = 'I'"), "last_parts_date")
 
 
 def last_service_date(invoice: DataFrame) -> DataFrame:
-    return last_invoice_date(billed(invoice).filter(F.col("module_type") == "W"), "last_service_date")
+    return last_invoice_date(billed(invoice).filter("module_type = 'W'"), "last_service_date")
 
 
 def last_rental_date(invoice: DataFrame, rental: DataFrame) -> DataFrame:
@@ -223,15 +197,13 @@ def last_rental_date(invoice: DataFrame, rental: DataFrame) -> DataFrame:
 def account_sales_decile(active: DataFrame, ranked: DataFrame, settings: Settings) -> DataFrame:
     """Decile of each active contact with the window it was measured in."""
     start, end = r60_window(settings.as_of)
-    placed = ranked.filter(F.col("raw_decile").isNotNull())
     return (
         active.select("contact_code", "contact_type", "account_no")
-        .join(placed, "account_no", "left")
-        .select(
+        .join(ranked.filter("raw_decile IS NOT NULL"), "account_no", "left")
+        .selectExpr(
             "contact_code", "contact_type", "account_no",
-            F.coalesce("total_revenue", F.lit(0).cast("decimal(18,2)")).alias("total_revenue_r60"),
-            decile_label(F.col("raw_decile")).alias("sales_decile"),
-            F.lit(start).alias("r60_start"), F.lit(end).alias("r60_end"),
+            "cast(coalesce(total_revenue, 0) AS decimal(18,2)) AS total_revenue_r60",
+            f"{DECILE_LABEL} AS sales_decile", f"{lit(start)} AS r60_start", f"{lit(end)} AS r60_end",
         )
         .orderBy(F.desc("total_revenue_r60"), "contact_code")
     )

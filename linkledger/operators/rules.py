@@ -7,64 +7,43 @@ dimension are all read from here.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, functions as F
-
 from linkledger.config import Settings
 from linkledger.functions import lists
-from linkledger.functions.columns import holds_any, is_one_of, one_character
+from linkledger.functions.columns import (
+    IS_FIRM, IS_PERSON, both, either, holds_any, is_one_of, lit, matches, sure, values,
+)
+
+PHONES = ("biz_phone", "priv_phone", "mob_phone")
+NAMES = ("first_name", "last_name")
+
+# Conditions that put a contact into a denominator.
+SCOPES: dict[str, str] = {
+    "all": "true",
+    "person": IS_PERSON,
+    "company": IS_FIRM,
+    "us_zip": "pcode IS NOT NULL AND coalesce(country, 'US') = 'US'",
+    **{f"has_{f}": f"{f} IS NOT NULL" for f in ("street", "city", "state", "country", "email", "branch", *PHONES)},
+    **{f"person_{f}": f"{IS_PERSON} AND {f} IS NOT NULL" for f in ("generation", "title", "suffix")},
+}
 
 
 @dataclass(frozen=True)
 class Rule:
     name: str
     category: str
-    scope: str                       # key of scopes()
-    issue: Callable[[], Column]
+    scope: str                       # key of SCOPES
+    issue: str                       # condition over the enriched contact
     in_snapshot: bool = True         # else only in the standalone section
 
+    @property
+    def failed(self) -> str:
+        return sure(both(SCOPES[self.scope], self.issue))
 
-def c(name: str) -> Column:
-    return F.col(name)
-
-
-def scopes() -> dict[str, Column]:
-    """Conditions that put a contact into a denominator."""
-    person = c("contact_type").isin("I", "C")
-    us = F.coalesce(c("country"), F.lit("US")) == "US"
-    filled = ("street", "city", "state", "country", "email", "branch", "biz_phone", "priv_phone", "mob_phone")
-    return {
-        "all": F.lit(True),
-        "person": person,
-        "company": c("contact_type").isin("B", "C"),
-        "us_zip": c("pcode").isNotNull() & us,
-        **{f"has_{f}": c(f).isNotNull() for f in filled},
-        **{f"person_{f}": person & c(f).isNotNull() for f in ("generation", "title", "suffix")},
-    }
-
-
-def _missing(*fields: str) -> Callable[[], Column]:
-    return lambda: F.coalesce(*(c(f) for f in fields)).isNull()
 
-
-def _either(test: Callable[[Column], Column], *fields: str) -> Callable[[], Column]:
-    """True when the test holds for any of the fields; an empty field never fires."""
-    def issue() -> Column:
-        hits = [F.coalesce(test(c(f)), F.lit(False)) for f in fields]
-        found = hits[0]
-        for hit in hits[1:]:
-            found = found | hit
-        return found
-    return issue
-
-
-def _not_in(field: str, values: tuple[str, ...]) -> Callable[[], Column]:
-    return lambda: ~F.upper(F.trim(c(field))).isin(*values)
-
-
-PHONES = ("biz_phone", "priv_phone", "mob_phone")
+def _missing(*fields: str) -> str:
+    return f"coalesce({', '.join(fields)}) IS NULL" if len(fields) > 1 else f"{fields[0]} IS NULL"
 
 
 def completeness_rules() -> list[Rule]:
@@ -84,93 +63,101 @@ def completeness_rules() -> list[Rule]:
     return [Rule(n, "completeness", scope, _missing(*cols)) for n, (scope, cols) in fields.items()]
 
 
+def _any_field(test, *fields: str) -> str:
+    """True when the test holds for any of the fields; an empty field never fires."""
+    return either(*(sure(test(f)) for f in fields))
+
+
+def _one_character(field: str) -> str:
+    return matches(field, lists.ONE_CHARACTER)
+
+
+def _digits(field: str) -> str:
+    return matches(field, lists.DIGITS)
+
+
+def _unknown(field: str, known: tuple[str, ...]) -> str:
+    return f"upper(trim({field})) NOT IN {values(known)}"
+
+
+def _quality(name: str, scope: str, issue: str, in_snapshot: bool = True) -> Rule:
+    return Rule(name, "field_quality", scope, issue, in_snapshot)
+
+
 def _phone_rules(phone: str) -> list[Rule]:
     scope = f"has_{phone}"
-    size = lambda: F.length(c(phone))
-    checks: dict[str, Callable[[], Column]] = {
-        "sequential": lambda: c(phone) == lists.SEQUENTIAL_PHONE,
-        "repeated_digit": lambda: (size() == 10) & one_character(c(phone)),
-        "wrong_length": lambda: ~size().isin(10, 11),
-        "nanp_invalid": lambda: ~c(phone).rlike(lists.NORTH_AMERICAN_PHONE),
-    }
-    extra: dict[str, Callable[[], Column]] = {
-        "allzeros": lambda: c(phone) == lists.ALL_ZERO_PHONE,
-        "leading_zero": lambda: c(phone).startswith("0"),
-    }
-    return [Rule(f"{phone}_{n}", "field_quality", scope, i) for n, i in checks.items()] + [
-        Rule(f"{phone}_{n}", "field_quality", scope, i, in_snapshot=False) for n, i in extra.items()
+    return [
+        _quality(f"{phone}_sequential", scope, f"{phone} = {lit(lists.SEQUENTIAL_PHONE)}"),
+        _quality(f"{phone}_repeated_digit", scope, f"length({phone}) = 10 AND {_one_character(phone)}"),
+        _quality(f"{phone}_wrong_length", scope, f"length({phone}) NOT IN (10, 11)"),
+        _quality(f"{phone}_nanp_invalid", scope, f"NOT {matches(phone, lists.NORTH_AMERICAN_PHONE)}"),
+        _quality(f"{phone}_allzeros", scope, f"{phone} = {lit(lists.ALL_ZERO_PHONE)}", False),
+        _quality(f"{phone}_leading_zero", scope, f"startswith({phone}, '0')", False),
     ]
 
 
-def _type_mismatch() -> Column:
-    named = F.coalesce(c("first_name"), c("last_name")).isNotNull()
-    firm = c("company_name").isNotNull()
-    return ((c("contact_type") == "B") & named & ~firm) | (c("contact_type").isin("I", "C") & firm & ~named)
-
-
-def _placeholder_name() -> Column:
-    first = F.coalesce(is_one_of(c("first_name"), lists.FIRST_NAME_PLACEHOLDERS), F.lit(False))
-    last = F.coalesce(is_one_of(c("last_name"), lists.LAST_NAME_PLACEHOLDERS), F.lit(False))
-    return first | last
+def _alternatives(items) -> str:
+    return "(" + "|".join(i.replace(".", r"\.") for i in items) + ")"
 
 
-def _suffix_pattern() -> str:
-    return " (" + "|".join(s.replace(".", r"\.") for s in lists.NAME_SUFFIXES) + ")$"
+NEEDS_REPEAT_FLAG = "contact_code_duplicate_normalized"
 
 
 def field_quality_rules(settings: Settings) -> list[Rule]:
-    person, company, everyone = "person", "company", "all"
-    names = ("first_name", "last_name")
-    domains = "|".join(d.replace(".", r"\.") for d in settings.internal_domains)
-    rule = lambda name, scope, issue: Rule(name, "field_quality", scope, issue)
-    extra = lambda name, scope, issue: Rule(name, "field_quality", scope, issue, in_snapshot=False)
-    digits = lambda col: col.rlike(lists.DIGITS)
+    named = "coalesce(first_name, last_name) IS NOT NULL"
+    type_mismatch = either(
+        f"contact_type = 'B' AND {named} AND company_name IS NULL",
+        f"{IS_PERSON} AND company_name IS NOT NULL AND NOT ({named})",
+    )
+    placeholder_name = either(
+        sure(is_one_of("first_name", lists.FIRST_NAME_PLACEHOLDERS)),
+        sure(is_one_of("last_name", lists.LAST_NAME_PLACEHOLDERS)),
+    )
+    name_status = _any_field(lambda f: holds_any(f, lists.NAME_STATUS_WORDS), *NAMES)
+    test_name = _any_field(lambda f: is_one_of(f, lists.TEST_NAMES), *NAMES, "company_name")
     return [
-        rule("placeholder_name", person, _placeholder_name),
-        rule("placeholder_company_name", company, lambda: is_one_of(c("company_name"), lists.COMPANY_PLACEHOLDERS)),
-        rule("name_all_same_char", person, _either(one_character, *names)),
-        rule("company_name_all_same_char", company, lambda: one_character(c("company_name"))),
-        rule("name_numeric_only", person, _either(digits, *names)),
-        rule("company_name_numeric_only", company, lambda: digits(c("company_name"))),
-        rule("status_text_in_name", person, _either(lambda col: holds_any(col, lists.NAME_STATUS_WORDS), *names)),
-        rule("status_text_in_company", company, lambda: holds_any(c("company_name"), lists.COMPANY_STATUS_WORDS)),
-        rule("status_text_in_street", everyone, lambda: holds_any(c("street"), lists.STREET_STATUS_WORDS)),
-        rule("placeholder_street", "has_street", lambda: is_one_of(c("street"), lists.STREET_PLACEHOLDERS)),
-        rule("placeholder_city", "has_city", lambda: is_one_of(c("city"), lists.CITY_PLACEHOLDERS)),
-        rule("placeholder_state", "has_state", lambda: is_one_of(c("state"), lists.STATE_PLACEHOLDERS)),
-        rule("dba_in_company_name", company, lambda: holds_any(c("company_name"), lists.DBA_MARKS)),
-        rule("test_record", everyone, _either(lambda col: is_one_of(col, lists.TEST_NAMES), *names, "company_name")),
-        rule("contact_type_field_mismatch", everyone, _type_mismatch),
-        rule("prefix_in_name", person,
-             lambda: F.upper(c("first_name")).rlike("^(" + "|".join(lists.NAME_PREFIXES) + ")[. ]")),
-        rule("suffix_in_surname", person, lambda: F.upper(c("last_name")).rlike(_suffix_pattern())),
-        rule("combined_names_in_name", person, lambda: F.upper(c("first_name")).rlike("&|/| AND | OR ")),
-        rule("familiar_name_pattern", person, lambda: c("first_name").contains("(")),
-        rule("email_invalid_format", everyone, lambda: ~c("email").rlike(lists.EMAIL_SHAPE)),
-        rule("email_placeholder", "has_email",
-             lambda: F.lower(c("email")).rlike("^(" + "|".join(lists.EMAIL_PLACEHOLDER_STARTS) + ")")),
-        *(r for phone in PHONES for r in _phone_rules(phone)),
-        rule("state_not_2char", "has_state", lambda: F.length(c("state")) != 2),
-        rule("country_not_2char", "has_country", lambda: F.length(c("country")) != 2),
-        rule("zip_invalid_format", "us_zip", lambda: ~c("pcode").rlike(lists.US_ZIP)),
-        rule("generation_unrecognized", "person_generation", _not_in("generation", lists.GENERATIONS)),
-        rule("title_unrecognized", "person_title", _not_in("title", lists.TITLES)),
-        rule("suffix_unrecognized", "person_suffix", _not_in("suffix", lists.SUFFIXES)),
-        rule("invalid_branch", "has_branch", lambda: c("branch").isin(*settings.closed_branches)),
-        rule("contact_code_has_whitespace", everyone, lambda: c("contact_code").rlike(lists.CODE_WHITESPACE)),
-        rule("contact_code_non_alphanumeric", everyone, lambda: c("contact_code").rlike(lists.CODE_OTHER_CHARACTER)),
-        rule("contact_code_duplicate_normalized", everyone, lambda: c("code_repeats")),
-        extra("email_internal_domain", "has_email", lambda: F.lower(c("email")).rlike(f"@({domains})$")),
-        extra("email_missing_at", "has_email", lambda: ~c("email").contains("@")),
-        extra("country_written_out", "has_country", lambda: is_one_of(F.trim(c("country")), lists.COUNTRY_NAMES)),
-        extra("state_written_out", "has_state", lambda: is_one_of(F.trim(c("state")), lists.STATE_NAMES)),
-        extra("street_routing_text", "has_street", lambda: F.upper(c("street")).rlike(lists.STREET_ROUTING)),
+        _quality("placeholder_name", "person", placeholder_name),
+        _quality("placeholder_company_name", "company", is_one_of("company_name", lists.COMPANY_PLACEHOLDERS)),
+        _quality("name_all_same_char", "person", _any_field(_one_character, *NAMES)),
+        _quality("company_name_all_same_char", "company", _one_character("company_name")),
+        _quality("name_numeric_only", "person", _any_field(_digits, *NAMES)),
+        _quality("company_name_numeric_only", "company", _digits("company_name")),
+        _quality("status_text_in_name", "person", name_status),
+        _quality("status_text_in_company", "company", holds_any("company_name", lists.COMPANY_STATUS_WORDS)),
+        _quality("status_text_in_street", "all", holds_any("street", lists.STREET_STATUS_WORDS)),
+        _quality("placeholder_street", "has_street", is_one_of("street", lists.STREET_PLACEHOLDERS)),
+        _quality("placeholder_city", "has_city", is_one_of("city", lists.CITY_PLACEHOLDERS)),
+        _quality("placeholder_state", "has_state", is_one_of("state", lists.STATE_PLACEHOLDERS)),
+        _quality("dba_in_company_name", "company", holds_any("company_name", lists.DBA_MARKS)),
+        _quality("test_record", "all", test_name),
+        _quality("contact_type_field_mismatch", "all", type_mismatch),
+        _quality("prefix_in_name", "person", matches("upper(first_name)", f"^{_alternatives(lists.NAME_PREFIXES)}[. ]")),
+        _quality("suffix_in_surname", "person", matches("upper(last_name)", f" {_alternatives(lists.NAME_SUFFIXES)}$")),
+        _quality("combined_names_in_name", "person", matches("upper(first_name)", "&|/| AND | OR ")),
+        _quality("familiar_name_pattern", "person", "contains(first_name, '(')"),
+        _quality("email_invalid_format", "all", f"NOT {matches('email', lists.EMAIL_SHAPE)}"),
+        _quality("email_placeholder", "has_email",
+                 matches("lower(email)", f"^{_alternatives(lists.EMAIL_PLACEHOLDER_STARTS)}")),
+        *(rule for phone in PHONES for rule in _phone_rules(phone)),
+        _quality("state_not_2char", "has_state", "length(state) <> 2"),
+        _quality("country_not_2char", "has_country", "length(country) <> 2"),
+        _quality("zip_invalid_format", "us_zip", f"NOT {matches('pcode', lists.US_ZIP)}"),
+        _quality("generation_unrecognized", "person_generation", _unknown("generation", lists.GENERATIONS)),
+        _quality("title_unrecognized", "person_title", _unknown("title", lists.TITLES)),
+        _quality("suffix_unrecognized", "person_suffix", _unknown("suffix", lists.SUFFIXES)),
+        _quality("invalid_branch", "has_branch", f"branch IN {values(settings.closed_branches)}"),
+        _quality("contact_code_has_whitespace", "all", matches("contact_code", lists.CODE_WHITESPACE)),
+        _quality("contact_code_non_alphanumeric", "all", matches("contact_code", lists.CODE_OTHER_CHARACTER)),
+        _quality(NEEDS_REPEAT_FLAG, "all", "code_repeats"),
+        _quality("email_internal_domain", "has_email",
+                 matches("lower(email)", f"@{_alternatives(settings.internal_domains)}$"), False),
+        _quality("email_missing_at", "has_email", "NOT contains(email, '@')", False),
+        _quality("country_written_out", "has_country", is_one_of("trim(country)", lists.COUNTRY_NAMES), False),
+        _quality("state_written_out", "has_state", is_one_of("trim(state)", lists.STATE_NAMES), False),
+        _quality("street_routing_text", "has_street", matches("upper(street)", lists.STREET_ROUTING), False),
     ]
 
 
 def all_rules(settings: Settings, standalone: bool = False) -> list[Rule]:
     found = completeness_rules() + field_quality_rules(settings)
     return found if standalone else [r for r in found if r.in_snapshot]
-
-
-NEEDS_REPEAT_FLAG = "contact_code_duplicate_normalized"

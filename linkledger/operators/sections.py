@@ -9,40 +9,41 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from linkledger.config import SLICE, SNAPSHOT_COLUMNS
 from linkledger.functions import lists
-from linkledger.functions.columns import match_tier
+from linkledger.functions.columns import MATCH_TIER, both, lit, sure
 from linkledger.operators import parity
 from linkledger.operators.population import with_repeat_flag
-from linkledger.operators.rules import NEEDS_REPEAT_FLAG, Rule, scopes
+from linkledger.operators.rules import NEEDS_REPEAT_FLAG, SCOPES, Rule
 
 STANDALONE = ("contact_type", "creation_cohort")
+Entry = tuple[str, str, str]  # metric, numerator, denominator
 
 
-def fold_slice(df: DataFrame, keep: tuple[str, ...] = SLICE) -> DataFrame:
-    """Replace the slice columns not kept by 'ALL'."""
-    return df.withColumns({d: F.lit("ALL") for d in SLICE if d not in keep}) if set(SLICE) - set(keep) else df
+def folded(keep: tuple[str, ...] = SLICE) -> list[str]:
+    """The slice columns, those not kept replaced by 'ALL'."""
+    return [d if d in keep else f"'ALL' AS {d}" for d in SLICE]
 
 
-def metric_rows(counted: DataFrame, entries: list[tuple[str, Column, Column]], *keys: str) -> DataFrame:
-    """One row per (metric, numerator, denominator) entry of each counted slice."""
-    rows = F.array(*(
-        F.struct(
-            F.lit(name).alias("metric_name"),
-            num.cast("bigint").alias("numerator"),
-            den.cast("bigint").alias("denominator"),
-        )
+def counted(df: DataFrame, counts: list[str]) -> DataFrame:
+    return df.groupBy(*SLICE).agg(*(F.expr(c) for c in counts))
+
+
+def metric_rows(df: DataFrame, entries: list[Entry]) -> DataFrame:
+    """One row per entry of each counted slice."""
+    rows = ", ".join(
+        f"named_struct('metric_name', {lit(name)}, 'numerator', cast({num} AS bigint), 'denominator', cast({den} AS bigint))"
         for name, num, den in entries
-    ))
-    return counted.select(*(keys or SLICE), F.inline(rows))
+    )
+    return df.selectExpr(*SLICE, f"inline(array({rows}))")
 
 
 def to_snapshot_rows(df: DataFrame, category: str, as_of: dt.date) -> DataFrame:
-    return df.withColumns({
-        "snapshot_date": F.lit(as_of), "metric_category": F.lit(category),
-    }).select(*SNAPSHOT_COLUMNS)
+    return df.selectExpr(
+        f"{lit(as_of)} AS snapshot_date", f"{lit(category)} AS metric_category", *SNAPSHOT_COLUMNS[2:]
+    )
 
 
 # Linkage
@@ -52,27 +53,23 @@ def linkage_by_slice(linked: DataFrame, keep: tuple[str, ...] = SLICE, metrics:
 
     A contact with several links counts once per link, one without links once.
     """
-    links, contact_level = F.col("links"), F.col("contact_level_links")
-    weight, has_id, unlinked = F.greatest(links, F.lit(1)), F.col("ckc_id").isNotNull(), links == 0
-    conflict = F.when(F.col("contact_type") == "C", links - contact_level).when(
-        F.col("contact_type").isin("B", "I"), contact_level
+    slices = linked.selectExpr(
+        *folded(keep), "links", "greatest(links, 1) AS weight", "links = 0 AS unlinked", "ckc_id IS NOT NULL AS has_id",
+        "CASE WHEN contact_type = 'C' THEN links - contact_level_links "
+        "WHEN contact_type IN ('B', 'I') THEN contact_level_links END AS conflict",
     )
-    counted = fold_slice(linked, keep).groupBy(*SLICE).agg(
-        F.sum("links").alias("linked"),
-        F.count_if(unlinked).alias("unlinked"),
-        F.sum(weight).alias("every"),
-        F.count_if(has_id & unlinked).alias("id_unlinked"),
-        F.coalesce(F.sum(F.when(has_id, weight)), F.lit(0)).alias("with_id"),
-        F.coalesce(F.sum(conflict), F.lit(0)).alias("conflicts"),
-    )
-    col = F.col
+    numbers = counted(slices, [
+        "sum(links) AS linked", "count_if(unlinked) AS unlinked", "sum(weight) AS every",
+        "count_if(has_id AND unlinked) AS id_unlinked", "coalesce(sum(CASE WHEN has_id THEN weight END), 0) AS with_id",
+        "coalesce(sum(conflict), 0) AS conflicts",
+    ])
     entries = [
-        ("linked_count", col("linked"), col("every")),
-        ("unlinked_count", col("unlinked"), col("every")),
-        ("ckc_id_no_cross_ref", col("id_unlinked"), col("with_id")),
-        ("type_mismatch_linkage", col("conflicts"), col("linked")),
+        ("linked_count", "linked", "every"),
+        ("unlinked_count", "unlinked", "every"),
+        ("ckc_id_no_cross_ref", "id_unlinked", "with_id"),
+        ("type_mismatch_linkage", "conflicts", "linked"),
     ]
-    rows = metric_rows(counted, [e for e in entries if metrics is None or e[0] in metrics])
+    rows = metric_rows(numbers, [e for e in entries if metrics is None or e[0] in metrics])
     return rows.filter("metric_name <> 'type_mismatch_linkage' OR denominator > 0")
 
 
@@ -82,24 +79,17 @@ def linkage_overall(enriched: DataFrame, links: DataFrame, branch: str | None =
     Contacts are counted per code first; a code then meets its links once,
     whatever the number of contacts or links behind it.
     """
-    per_code = enriched.groupBy("code_key").agg(F.count("*").alias("contacts"))
-    found = links.join(per_code, "code_key", "left")
-    per_entity = found.groupBy("entity_id").agg(
-        F.sum("contacts").alias("linked"),
-        F.count_if(F.col("contacts").isNull()).alias("orphans"),
-        F.count("*").alias("links"),
+    per_code = enriched.groupBy("code_key").agg(F.expr("count(*) AS contacts"))
+    per_entity = links.join(per_code, "code_key", "left").groupBy("entity_id").agg(
+        F.expr("sum(contacts) AS linked"), F.expr("count_if(contacts IS NULL) AS orphans"), F.expr("count(*) AS links")
     )
     one_row = per_entity.agg(
-        F.count_if(F.col("linked") > 1).alias("shared"),
-        F.count("linked").alias("entities"),
-        F.coalesce(F.sum("orphans"), F.lit(0)).alias("orphans"),
-        F.coalesce(F.sum("links"), F.lit(0)).alias("all_links"),
+        F.expr("count_if(linked > 1) AS shared"), F.expr("count(linked) AS entities"),
+        F.expr("coalesce(sum(orphans), 0) AS orphans"), F.expr("coalesce(sum(links), 0) AS all_links"),
     )
-    col = F.col
-    folded = fold_slice(one_row, ()).withColumn("branch", F.lit(branch).cast("string"))
-    return metric_rows(folded, [
-        ("duplicate_entity_id", col("shared"), col("entities")),
-        ("orphan_cross_ref", col("orphans"), col("all_links")),
+    whole = [f"cast({lit(branch)} AS string) AS branch" if d == "branch" else f"'ALL' AS {d}" for d in SLICE]
+    return metric_rows(one_row.selectExpr("*", *whole), [
+        ("duplicate_entity_id", "shared", "entities"), ("orphan_cross_ref", "orphans", "all_links"),
     ])
 
 
@@ -108,38 +98,34 @@ def linkage_overall(enriched: DataFrame, links: DataFrame, branch: str | None =
 def field_parity_rows(linked: DataFrame, keep: tuple[str, ...] = SLICE, fields: list[str] | None = None) -> DataFrame:
     """All five outcomes of every field and slice, zero counts included."""
     checks = [f for f in parity.FIELDS if fields is None or f.name in fields]
-    judged = fold_slice(linked, keep).select(
-        *SLICE, *(F.when(f.scope(), f.outcome()).alias(f"o_{f.name}") for f in checks)
+    judged = linked.selectExpr(
+        *folded(keep), *(f"CASE WHEN {f.scope} THEN {f.outcome} END AS o_{f.name}" for f in checks)
     )
-    counts = [
-        F.count_if(F.col(f"o_{f.name}") == o).alias(f"{f.name}_{o}") for f in checks for o in lists.PARITY_OUTCOMES
-    ]
-    counted = judged.groupBy(*SLICE).agg(*counts)
-    entries = []
-    for f in checks:
-        parts = [F.col(f"{f.name}_{o}") for o in lists.PARITY_OUTCOMES]
-        everyone = sum(parts[1:], parts[0])
-        entries += [(f"{f.name}_{o}", n, everyone) for o, n in zip(lists.PARITY_OUTCOMES, parts)]
-    return metric_rows(counted, entries).filter("denominator > 0")
+    numbers = counted(judged, [
+        f"count_if(o_{f.name} = '{o}') AS {f.name}_{o}" for f in checks for o in lists.PARITY_OUTCOMES
+    ] + [f"count(o_{f.name}) AS d_{f.name}" for f in checks])
+    return metric_rows(numbers, [
+        (f"{f.name}_{o}", f"{f.name}_{o}", f"d_{f.name}") for f in checks for o in lists.PARITY_OUTCOMES
+    ]).filter("denominator > 0")
 
 
 def priority_rows(linked: DataFrame, keep: tuple[str, ...] = SLICE, metrics: set[str] | None = None) -> DataFrame:
     """Certified address differs, undeliverable, out of business, deceased."""
-    checks = [p for p in parity.priorities() if metrics is None or p[0] in metrics]
-    counted = fold_slice(linked, keep).groupBy(*SLICE).agg(
-        *(F.count_if(scope & F.coalesce(issue, F.lit(False))).alias(f"n_{name}") for name, scope, issue in checks),
-        *(F.count_if(scope).alias(f"d_{name}") for name, scope, _ in checks),
+    checks = {m: c for m, c in parity.PRIORITIES.items() if metrics is None or m in metrics}
+    judged = linked.selectExpr(
+        *folded(keep),
+        *(f"{sure(both(scope, issue))} AS i_{m}" for m, (scope, issue) in checks.items()),
+        *(f"{sure(scope)} AS s_{m}" for m, (scope, _) in checks.items()),
     )
-    return metric_rows(
-        counted, [(name, F.col(f"n_{name}"), F.col(f"d_{name}")) for name, _, _ in checks]
-    ).filter("denominator > 0")
+    numbers = counted(judged, [f"count_if({p}_{m}) AS {p}_{m}" for m in checks for p in ("i", "s")])
+    return metric_rows(numbers, [(m, f"i_{m}", f"s_{m}") for m in checks]).filter("denominator > 0")
 
 
 def inactive_reason_rows(inactive: DataFrame, keep: tuple[str, ...] = SLICE) -> DataFrame:
-    counted = fold_slice(inactive, keep).groupBy(*SLICE).agg(
-        F.count_if(parity.reason_conflict()).alias("n"), F.count("*").alias("d")
+    judged = inactive.selectExpr(*folded(keep), f"{parity.REASON_CONFLICT} AS conflict")
+    return metric_rows(
+        counted(judged, ["count_if(conflict) AS n", "count(*) AS d"]), [(parity.INACTIVE_REASON, "n", "d")]
     )
-    return metric_rows(counted, [("equip_inactive_reason_mismatch", F.col("n"), F.col("d"))])
 
 
 # Completeness and field quality
@@ -148,47 +134,39 @@ def rule_rows(enriched: DataFrame, rules: list[Rule], keep: tuple[str, ...] = SL
     """Count all rules in one pass; rules with the same scope share a denominator."""
     if any(r.name == NEEDS_REPEAT_FLAG for r in rules):
         enriched = with_repeat_flag(enriched)
-    conditions = scopes()
     used = sorted({r.scope for r in rules})
-    # Scopes and issues read the real contact type, so it is folded after judging.
-    judged = enriched.select(
-        *(F.lit("ALL").alias(d) if d not in keep else F.col(d) for d in SLICE),
-        *(F.coalesce(conditions[s], F.lit(False)).alias(f"s_{s}") for s in used),
-        *(F.coalesce(conditions[r.scope] & r.issue(), F.lit(False)).alias(f"i_{r.name}") for r in rules),
-    )
-    counted = judged.groupBy(*SLICE).agg(
-        *(F.count_if(f"s_{s}").alias(f"s_{s}") for s in used),
-        *(F.count_if(f"i_{r.name}").alias(f"i_{r.name}") for r in rules),
+    judged = enriched.selectExpr(
+        *folded(keep), *(f"{sure(SCOPES[s])} AS s_{s}" for s in used), *(f"{r.failed} AS i_{r.name}" for r in rules)
     )
-    return metric_rows(
-        counted, [(r.name, F.col(f"i_{r.name}"), F.col(f"s_{r.scope}")) for r in rules]
-    ).filter("denominator > 0")
+    numbers = counted(judged, [
+        *(f"count_if(s_{s}) AS s_{s}" for s in used), *(f"count_if(i_{r.name}) AS i_{r.name}" for r in rules)
+    ])
+    return metric_rows(numbers, [(r.name, f"i_{r.name}", f"s_{r.scope}") for r in rules]).filter("denominator > 0")
 
 
 # Staleness and match readiness
 
 def staleness_rows(enriched: DataFrame) -> DataFrame:
     """All eight buckets of every slice; the bucket is the metric."""
-    keys = [d for d in SLICE if d != "staleness_bucket"]
-    counted = enriched.groupBy(*keys).agg(
-        F.count("*").alias("everyone"),
-        *(F.count_if(F.col("staleness_bucket") == b).alias(b) for b in lists.STALENESS_BUCKETS),
-    ).withColumn("staleness_bucket", F.lit("ALL"))
-    return metric_rows(counted, [(b, F.col(f"`{b}`"), F.col("everyone")) for b in lists.STALENESS_BUCKETS])
+    keep = tuple(d for d in SLICE if d != "staleness_bucket")
+    slices = enriched.selectExpr(*folded(keep), "staleness_bucket AS bucket")
+    numbers = counted(slices, [
+        "count(*) AS everyone", *(f"count_if(bucket = '{b}') AS `{b}`" for b in lists.STALENESS_BUCKETS)
+    ])
+    return metric_rows(numbers, [(b, f"`{b}`", "everyone") for b in lists.STALENESS_BUCKETS])
 
 
 def readiness_rows(unlinked: DataFrame) -> DataFrame:
     """All four match tiers of every slice of unlinked contacts."""
-    counted = unlinked.select(*SLICE, match_tier().alias("tier")).groupBy(*SLICE).agg(
-        F.count("*").alias("everyone"),
-        *(F.count_if(F.col("tier") == t).alias(t) for t in lists.MATCH_TIERS),
-    )
-    return metric_rows(counted, [(t, F.col(t), F.col("everyone")) for t in lists.MATCH_TIERS])
+    numbers = counted(unlinked.selectExpr(*SLICE, f"{MATCH_TIER} AS tier"), [
+        "count(*) AS everyone", *(f"count_if(tier = '{t}') AS {t}" for t in lists.MATCH_TIERS)
+    ])
+    return metric_rows(numbers, [(t, t, "everyone") for t in lists.MATCH_TIERS])
 
 
-def occurring(df: DataFrame, metric: Column, keep: tuple[str, ...]) -> DataFrame:
+def occurring(df: DataFrame, metric: str, keep: tuple[str, ...]) -> DataFrame:
     """Count only the metrics that occur; the slice total is a window over the few counted rows."""
-    counted = fold_slice(df.withColumn("metric_name", metric), keep).groupBy("metric_name", *SLICE).agg(
-        F.count("*").alias("numerator")
+    numbers = df.selectExpr(f"{metric} AS metric_name", *folded(keep)).groupBy("metric_name", *SLICE).agg(
+        F.expr("count(*) AS numerator")
     )
-    return counted.withColumn("denominator", F.sum("numerator").over(Window.partitionBy(*SLICE)))
+    return numbers.selectExpr("*", f"sum(numerator) OVER (PARTITION BY {', '.join(SLICE)}) AS denominator")

@@ -2,29 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from linkledger.config import Settings
+from linkledger.functions.columns import lit
+from linkledger.operators.revenue import exprs
 
 
 def tracking_totals(xref: DataFrame, settings: Settings) -> DataFrame:
-    """Links before the start, since then, and altogether, in one pass."""
-    since = F.coalesce(F.col("created_ts") >= F.lit(settings.project_start), F.lit(False))
-    counted = xref.filter(F.col("dealer_id") == settings.dealer_id).agg(
-        F.count_if(~since).alias("BASELINE"), F.count_if(since).alias("PROJECT"), F.count("*").alias("TOTAL")
+    """Links before the start, since then, and altogether, in one pass; no date counts as before."""
+    since = f"coalesce(created_ts >= {lit(settings.project_start)}, false)"
+    counted = xref.filter(f"dealer_id = {lit(settings.dealer_id)}").agg(*exprs(
+        f"count_if(NOT {since}) AS baseline", f"count_if({since}) AS project", "count(*) AS total"
+    ))
+    return counted.selectExpr(
+        "stack(3, 'BASELINE', baseline, 'PROJECT', project, 'TOTAL', total) AS (period, linkage_count)"
     )
-    return counted.select(F.inline(F.array(*(
-        F.struct(F.lit(p).alias("period"), F.col(p).alias("linkage_count")) for p in ("BASELINE", "PROJECT", "TOTAL")
-    ))))
 
 
 def tracking_daily(xref: DataFrame, settings: Settings) -> DataFrame:
     """New links per day with a running total; the window sees one row per calendar day."""
     daily = (
-        xref.filter((F.col("dealer_id") == settings.dealer_id) & (F.col("created_ts") >= F.lit(settings.project_start)))
-        .groupBy(F.col("created_ts").cast("date").alias("created_date"))
-        .agg(F.count("*").alias("new_linkages"))
+        xref.filter(f"dealer_id = {lit(settings.dealer_id)} AND created_ts >= {lit(settings.project_start)}")
+        .groupBy(F.expr("cast(created_ts AS date) AS created_date"))
+        .agg(F.expr("count(*) AS new_linkages"))
     )
-    return daily.withColumn(
-        "project_running_total", F.sum("new_linkages").over(Window.orderBy("created_date"))
+    return daily.selectExpr(
+        "*", "sum(new_linkages) OVER (ORDER BY created_date) AS project_running_total"
     ).orderBy("created_date")

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 
 from linkledger.config import r60_window
-from linkledger.functions.columns import match_tier
+from linkledger.functions.columns import MATCH_TIER, lit
 from linkledger.operators import (
     dimensions, extracts, issues, parity, population, profiling, quality, reconcile, reports, revenue, tracking,
 )
@@ -29,12 +29,12 @@ def _t(ws: Workspace, *names: str) -> list[DataFrame]:
 def r60_window_volumes(ws: Workspace) -> DataFrame:
     """The revenue window with the billed invoices and sold units inside it."""
     start, end = r60_window(ws.settings.as_of)
-    invoices = revenue.billed(ws.table("invoice")).select(F.lit(1).alias("invoices"), F.lit(0).alias("units"), F.col("invo_datetime").alias("day"))
-    units = ws.table("unit_sale").select(F.lit(0).alias("invoices"), F.lit(1).alias("units"), F.col("sales_date").alias("day"))
-    inside = invoices.unionByName(units).filter(revenue.in_window(F.col("day"), start, end))
+    invoices = revenue.billed(ws.table("invoice")).selectExpr("1 AS invoices", "0 AS units", "invo_datetime AS happened")
+    units = ws.table("unit_sale").selectExpr("0 AS invoices", "1 AS units", "sales_date AS happened")
+    inside = invoices.unionByName(units).filter(revenue.in_window("happened", start, end))
     return inside.agg(
-        F.coalesce(F.sum("invoices"), F.lit(0)).alias("invoices"), F.coalesce(F.sum("units"), F.lit(0)).alias("units")
-    ).select(F.lit(start).alias("start_date"), F.lit(end).alias("end_date"), "invoices", "units")
+        *revenue.exprs("coalesce(sum(invoices), 0) AS invoices", "coalesce(sum(units), 0) AS units")
+    ).selectExpr(f"{lit(start)} AS start_date", f"{lit(end)} AS end_date", "invoices", "units")
 
 
 STAGES: dict[str, Query] = {
@@ -52,7 +52,7 @@ STAGES: dict[str, Query] = {
     "field_parity": lambda ws: parity.field_parity(ws.linked()),
     "linked_counts": lambda ws: population.linked_counts(ws.linked()),
     "dup_codes": lambda ws: population.dup_codes(ws.enriched()),
-    "match_tier": lambda ws: ws.unlinked().select("contact_code", "contact_type", match_tier().alias("tier")),
+    "match_tier": lambda ws: ws.unlinked().selectExpr("contact_code", "contact_type", f"{MATCH_TIER} AS tier"),
     "dq_snapshot": snapshot.dq_snapshot,
 }
 
@@ -284,8 +284,7 @@ def io_match_reports(ws: Workspace) -> DataFrame:
     """Write the match report as two files, read both as one and reconcile."""
     paths = [ws.scratch.path(f"matches{i}") + ".csv" for i in (1, 2)]
     matches = ws.table("tight_match")
-    business = F.col("contact_id") == "0"
-    for path, part in zip(paths, (matches.filter(business), matches.filter(~business))):
+    for path, part in zip(paths, (matches.filter("contact_id = '0'"), matches.filter("contact_id <> '0'"))):
         sinks.export_text(part, path)
     ids = reconcile.crm_ids(*_t(ws, "crm_account", "account", "contact"), ws.settings)
     return reconcile.reconcile_matches(readers.read_match_reports(ws.spark, paths), ids)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from linkledger.config import SLICE
-from linkledger.functions.columns import match_tier
+from linkledger.functions.columns import MATCH_TIER
 from linkledger.operators import parity, sections
 from linkledger.operators.population import unlinked_contacts, with_link_counts
 from linkledger.operators.rules import all_rules, completeness_rules, field_quality_rules
@@ -87,14 +87,14 @@ def dq_field_quality(ws: Workspace) -> DataFrame:
 def dq_staleness(ws: Workspace) -> DataFrame:
     """Buckets that occur, by type, decile and cohort."""
     enriched = ws.enriched().select(*SLICE)
-    rows = sections.occurring(enriched, F.col("staleness_bucket"), (*sections.STANDALONE, "sales_decile"))
+    rows = sections.occurring(enriched, "staleness_bucket", (*sections.STANDALONE, "sales_decile"))
     return sections.to_snapshot_rows(rows, "staleness", ws.settings.as_of)
 
 
 def dq_match_readiness(ws: Workspace) -> DataFrame:
     """Tiers that occur, by type and cohort."""
     unlinked = unlinked_contacts(ws.enriched(), ws.links())
-    rows = sections.occurring(unlinked, match_tier(), sections.STANDALONE)
+    rows = sections.occurring(unlinked, MATCH_TIER, sections.STANDALONE)
     return sections.to_snapshot_rows(rows, "match_readiness", ws.settings.as_of)
 
 
@@ -109,7 +109,7 @@ def metric(ws: Workspace, category: str, name: str) -> DataFrame:
     s = ws.settings
     if category == "linkage":
         if name in ("duplicate_entity_id", "orphan_cross_ref"):
-            rows = sections.linkage_overall(ws.enriched(), ws.links()).filter(F.col("metric_name") == name)
+            rows = sections.linkage_overall(ws.enriched(), ws.links()).filter(f"metric_name = '{name}'")
         else:
             rows = sections.linkage_by_slice(with_link_counts(ws.enriched(), ws.links()), metrics={name})
     elif category == "priority":

@@ -52,8 +52,9 @@ class Workspace:
     def with_cohorts(self, cohorts: str) -> "Workspace":
         """The same stages with other creation cohorts."""
         other = Workspace(self.spark, self.tables, replace(self.settings, cohorts=cohorts), self.scratch)
-        regroup = lambda df: df.withColumn("creation_cohort", creation_cohort(F.col("creation_date"), cohorts))
-        other._stages["enriched"] = regroup(self.enriched())
+        other._stages["enriched"] = self.enriched().withColumn(
+            "creation_cohort", F.expr(creation_cohort("creation_date", cohorts))
+        )
         return other
 
     def _once(self, name: str, build) -> DataFrame:
