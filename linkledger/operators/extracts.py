@@ -249,11 +249,17 @@ def unlinked_recent_invoice(unlinked: DataFrame, invoice: DataFrame) -> DataFram
 
 
 def prospect_customer_pairs(crm: DataFrame, settings: Settings) -> DataFrame:
-    """Prospects whose entity id is a customer's linked id."""
-    prospects = crm.filter(f"record_type = {lit(settings.prospect_type)}").selectExpr(
-        "crm_id AS prospect_id", "comp_entity_id AS entity_id"
-    )
-    customers = crm.filter(f"record_type = {lit(settings.customer_type)}").selectExpr(
-        "crm_id AS customer_id", "erp_entity_id AS entity_id"
-    )
-    return prospects.join(customers, "entity_id").select("prospect_id", "customer_id", "entity_id")
+    """Prospects and customers that share an entity id, as members of that entity.
+
+    Every prospect of an entity pairs with every customer of it. The pairs are
+    given by their members, so the result grows with the rows, not their product.
+    """
+    prospect, customer = lit(settings.prospect_type), lit(settings.customer_type)
+    members = crm.selectExpr(
+        f"CASE record_type WHEN {prospect} THEN comp_entity_id WHEN {customer} THEN erp_entity_id END AS entity_id",
+        "record_type", "crm_id",
+    ).filter("entity_id IS NOT NULL")
+    both = members.groupBy("entity_id").agg(*exprs(
+        f"count_if(record_type = {prospect}) AS prospects", f"count_if(record_type = {customer}) AS customers"
+    )).filter("prospects > 0 AND customers > 0")
+    return members.join(both, "entity_id").select("entity_id", "record_type", "crm_id", "prospects", "customers")

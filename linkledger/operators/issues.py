@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from linkledger.functions.columns import both, lit
 from linkledger.operators import parity
-from linkledger.operators.population import with_link_counts, with_repeat_flag
+from linkledger.operators.population import with_repeat_flag
 from linkledger.operators.rules import Rule
 
 ISSUE_OUTCOMES = ("mismatch", "equip_only", "registry_only")
@@ -23,8 +23,8 @@ def _when(test: str, name: str) -> str:
     return f"CASE WHEN {test} THEN {lit(name)} END"
 
 
-def linkage_issues(enriched: DataFrame, links: DataFrame) -> DataFrame:
-    return _failed(with_link_counts(enriched, links), [
+def linkage_issues(enriched: DataFrame) -> DataFrame:
+    return _failed(enriched, [
         _when("links = 0", "unlinked_count"),
         _when("links = 0 AND ckc_id IS NOT NULL", "ckc_id_no_cross_ref"),
         _when("(contact_type = 'C' AND links > contact_level_links) OR "
@@ -71,7 +71,7 @@ def inactive_issues(inactive: DataFrame) -> DataFrame:
 
 def issue_map(enriched, links, linked, inactive, rules: list[Rule], as_of: dt.date) -> DataFrame:
     parts = [
-        linkage_issues(enriched, links), shared_entity_issues(enriched, links), rule_issues(enriched, rules),
+        linkage_issues(enriched), shared_entity_issues(enriched, links), rule_issues(enriched, rules),
         parity_issues(linked), inactive_issues(inactive),
     ]
     everything = parts[0]

@@ -42,7 +42,7 @@ def customers_and_leads(contact, technician, salesperson, account, vendor) -> Da
     All three joins use the contact code, so contacts are laid out by it once.
     """
     with_account = without_employees(contact, technician, salesperson).join(
-        account.selectExpr("contact_code", "account_no", *cleaned(["branch"])), "contact_code", "left"
+        account.selectExpr(*(c for c in account.columns if c != "branch"), *cleaned(["branch"])), "contact_code", "left"
     )
     vendor_code = vendor.select(F.col("contact_code").alias("_vendor"))
     return with_account.join(vendor_code, F.expr("contact_code = _vendor AND account_no IS NULL"), "left_anti")
@@ -55,19 +55,27 @@ def active_with_account(contact, technician, salesperson, account) -> DataFrame:
     )
 
 
+CONTACT_COLUMNS = ("contact_code", "contact_type", "ckc_id", "cmp_ckc_id", "creation_date")
+
+
 def active_contacts(contact, technician, salesperson, account, vendor) -> DataFrame:
-    population = customers_and_leads(contact.filter(IS_ACTIVE), technician, salesperson, account, vendor)
-    return population.selectExpr(
-        "contact_code", "contact_type", "ckc_id", "cmp_ckc_id", "creation_date", *cleaned(TEXT_FIELDS),
-        "account_no", "branch",
+    population = customers_and_leads(
+        contact.filter(IS_ACTIVE), technician, salesperson, account.select("contact_code", "account_no", "branch"), vendor
     )
+    return population.selectExpr(*CONTACT_COLUMNS, *cleaned(TEXT_FIELDS), "account_no", "branch")
 
 
-def contact_enriched(active: DataFrame, ranked: DataFrame, settings: Settings) -> DataFrame:
-    """Active contacts with staleness, decile and cohort; ``ranked`` has one row per account."""
+def contact_enriched(contact, technician, salesperson, account, vendor, ranked, settings: Settings) -> DataFrame:
+    """Active contacts with staleness, decile and cohort; ``ranked`` has one row per account.
+
+    The ranking joins the narrow account table first, so that the wide contact
+    rows are shuffled once, by their code.
+    """
+    standing = account.select("contact_code", "account_no", "branch").join(ranked, "account_no", "left")
+    population = customers_and_leads(contact.filter(IS_ACTIVE), technician, salesperson, standing, vendor)
     staleness = staleness_bucket("account_no", "last_tx_date", settings.as_of, settings.staleness_step)
-    return active.join(ranked, "account_no", "left").selectExpr(
-        *active.columns,
+    return population.selectExpr(
+        *CONTACT_COLUMNS, *cleaned(TEXT_FIELDS), "account_no", "branch",
         f"{code_key('contact_code')} AS code_key",
         "cast(coalesce(total_revenue, 0) AS decimal(18,2)) AS total_revenue",
         "last_tx_date",
@@ -138,7 +146,8 @@ def active_linked(enriched: DataFrame, links: DataFrame, profiles: DataFrame) ->
 def inactive_linked(contact, technician, salesperson, account, vendor, links, profiles, settings) -> DataFrame:
     """Inactive contacts that are still linked."""
     inactive = customers_and_leads(
-        contact.filter("inactive_indicator = 'I'"), technician, salesperson, account, vendor
+        contact.filter("inactive_indicator = 'I'"), technician, salesperson,
+        account.select("contact_code", "account_no", "branch"), vendor,
     )
     return (
         inactive.selectExpr("*", f"{code_key('contact_code')} AS code_key")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from linkledger.functions import lists
 from linkledger.functions.columns import IS_PERSON, MATCH_TIER, either, matches, sure, values
-from linkledger.operators.population import with_link_counts, with_repeat_flag
+from linkledger.operators.population import with_repeat_flag
 from linkledger.operators.revenue import exprs
 from linkledger.operators.rules import PHONES, Rule
 
@@ -27,7 +27,7 @@ def clean_record_pct(enriched: DataFrame, rules: list[Rule]) -> DataFrame:
     ).selectExpr("*", "try_divide(clean_contacts, active_contacts) AS clean_record_pct")
 
 
-def quality_index(enriched: DataFrame, links: DataFrame, field_rules: list[Rule]) -> DataFrame:
+def quality_index(enriched: DataFrame, field_rules: list[Rule]) -> DataFrame:
     """Weighted score of 0 to 100 per contact, averaged by type.
 
     A linked contact needs no match readiness and gets that part in full.
@@ -42,7 +42,7 @@ def quality_index(enriched: DataFrame, links: DataFrame, field_rules: list[Rule]
         "ready": f"links > 0 OR {MATCH_TIER} IN {values(lists.MATCH_TIERS[:2])}",
     }
     score = " + ".join(f"if({test}, {INDEX_WEIGHTS[p]}, 0)" for p, test in parts.items())
-    scored = with_link_counts(with_repeat_flag(enriched), links).selectExpr("contact_type", f"{score} AS score")
+    scored = with_repeat_flag(enriched).selectExpr("contact_type", f"{score} AS score")
     return scored.groupBy("contact_type").agg(
         *exprs("count(*) AS contacts", "sum(score) AS score_sum")
     ).selectExpr("*", "try_divide(score_sum, contacts) AS quality_index").orderBy("contact_type")

@@ -37,57 +37,50 @@ def billed(invoice: DataFrame) -> DataFrame:
     return invoice.filter("invo_type IN ('C', 'I')")
 
 
-def invoice_amounts(invoice: DataFrame, rental: DataFrame) -> DataFrame:
-    """One row per billed invoice with its amounts by stream.
+def _added(*names: str) -> str:
+    return " + ".join(money(n) for n in names)
 
-    Rental lines are summed per invoice first; the join then adds no rows, so
-    one invoice scan serves parts, service and rental together.
+
+# Amounts of an invoice by stream; null where the invoice is of another module.
+PARTS = f"CASE WHEN module_type = 'I' THEN {_added('parts_sale')} END"
+PARTS_COST = f"CASE WHEN module_type = 'I' THEN {_added('parts_cost')} END"
+SERVICE = f"CASE WHEN module_type = 'W' THEN {_added('parts_sale', 'labour_sale', 'sublet_sale', 'other_sale')} END"
+SERVICE_COST = f"CASE WHEN module_type = 'W' THEN {_added('parts_cost', 'labour_cost', 'sublet_cost')} END"
+INVOICE_DAY = "cast(invo_datetime AS date)"
+
+
+def rentals(invoice: DataFrame, rental: DataFrame) -> DataFrame:
+    """Invoices with rental lines and their rental sums.
+
+    Kept apart from parts and service: those are summed straight from the scan,
+    and only three narrow columns of invoices are shuffled to meet the rentals.
     """
     per_invoice = rental.groupBy(F.col("invoice_no").alias("document_no")).agg(*exprs(
         f"sum({money('rental_value')}) AS rental", f"sum({money('depr_book_value')}) AS rental_cost",
     ))
-    added = lambda *names: " + ".join(money(n) for n in names)
-    parts, service = "module_type = 'I'", "module_type = 'W'"
-    return billed(invoice).join(per_invoice, "document_no", "left").selectExpr(
-        "bill_to_acc",
-        "invo_datetime AS happened",
-        f"CASE WHEN {parts} THEN {money('parts_sale')} END AS parts",
-        f"CASE WHEN {service} THEN {added('parts_sale', 'labour_sale', 'sublet_sale', 'other_sale')} END AS service",
-        "rental",
-        f"CASE WHEN {parts} THEN {money('parts_cost')} END AS parts_cost",
-        f"CASE WHEN {service} THEN {added('parts_cost', 'labour_cost', 'sublet_cost')} END AS service_cost",
-        "rental_cost",
-        "(coalesce(module_type IN ('I', 'W'), false) OR rental IS NOT NULL) AS counts_as_activity",
-    )
+    return billed(invoice).select("document_no", "bill_to_acc", "invo_datetime").join(per_invoice, "document_no")
 
 
 def unit_amounts(unit_sale: DataFrame, unit_accessory: DataFrame, *extra_keys: str, within: str = "true") -> DataFrame:
     """Sale of each unit to each owner; accessories count once per unit.
 
     Only rows ``within`` the condition add to the amounts; ``day`` looks at all.
+    Both sides are summed before they are joined, so neither brings a hot unit.
     """
-    accessories = unit_accessory.groupBy("unit_no").agg(F.expr(f"sum({money('sale_value')}) AS accessories"))
     cost = " + ".join(money(c) for c in lists.UNIT_COSTS if c in unit_sale.columns) or "cast(0 AS decimal(12,2))"
-    # Both sides are hashed by unit; the aggregate below reuses that layout.
-    return (
-        unit_sale.join(accessories, "unit_no", "left")
-        .groupBy("unit_no", "owner_code", *exprs(*extra_keys))
-        .agg(*exprs(
-            f"cast(sum(CASE WHEN {within} THEN {money('sales_value')} END) "
-            f"+ coalesce(max(CASE WHEN {within} THEN accessories END), 0) AS decimal(18,2)) AS goods",
-            f"sum(CASE WHEN {within} THEN {cost} END) AS goods_cost",
-            f"count(CASE WHEN {within} THEN unit_no END) AS units",
-            "max(cast(sales_date AS date)) AS day",
-        ))
+    units = unit_sale.groupBy("unit_no", "owner_code", *exprs(*extra_keys)).agg(*exprs(
+        f"sum(CASE WHEN {within} THEN {money('sales_value')} END) AS _sale",
+        f"sum(CASE WHEN {within} THEN {cost} END) AS goods_cost",
+        f"count(CASE WHEN {within} THEN unit_no END) AS units",
+        "max(cast(sales_date AS date)) AS day",
+    ))
+    accessories = unit_accessory.groupBy("unit_no").agg(F.expr(f"sum({money('sale_value')}) AS _accessories"))
+    # Without a sale in the window the sum is null, and so is the whole amount.
+    return units.join(accessories, "unit_no", "left").selectExpr(
+        *(c for c in units.columns if c != "_sale"), "cast(_sale + coalesce(_accessories, 0) AS decimal(18,2)) AS goods"
     )
 
 
-def per_account(account: DataFrame, by_owner: DataFrame, by_biller: DataFrame) -> DataFrame:
-    """Rows summed per owner code and per billing number, brought to account numbers."""
-    owned = account.select("account_no", "contact_code").join(by_owner, "contact_code").drop("contact_code")
-    return owned.unionByName(account.select("account_no").join(by_biller, "account_no"), allowMissingColumns=True)
-
-
 def _owner(units: DataFrame, *keys: str):
     return units.groupBy(F.col("owner_code").alias("contact_code"), *keys)
 
@@ -96,38 +89,59 @@ def _biller(invoices: DataFrame, *keys: str):
     return invoices.groupBy(F.col("bill_to_acc").alias("account_no"), *exprs(*keys))
 
 
+def per_account(account: DataFrame, by_owner: DataFrame, *by_biller: DataFrame) -> DataFrame:
+    """Rows summed per owner code and per billing number, brought to account numbers."""
+    billing = by_biller[0]
+    for rows in by_biller[1:]:
+        billing = billing.unionByName(rows, allowMissingColumns=True)
+    owned = account.select("account_no", "contact_code").join(by_owner, "contact_code").drop("contact_code")
+    return owned.unionByName(account.select("account_no").join(billing, "account_no"), allowMissingColumns=True)
+
+
 def account_revenue(account, unit_sale, unit_accessory, invoice, rental, start: dt.date, end: dt.date) -> DataFrame:
     """Revenue per account in a window, by stream and in total."""
     units = unit_amounts(unit_sale.filter(in_window("sales_date", start, end)), unit_accessory)
-    invoices = invoice_amounts(invoice.filter(in_window("invo_datetime", start, end)), rental)
-    by_owner = _owner(units).agg(F.expr(f"{total('goods')} AS goods"))
-    by_biller = _biller(invoices).agg(*exprs(*(f"{total(s)} AS {s}" for s in STREAMS[1:])))
-    summed = per_account(account, by_owner, by_biller).groupBy("account_no").agg(
-        *exprs(*(f"coalesce({total(s)}, 0) AS {s}" for s in STREAMS))
+    invoices = billed(invoice).filter(in_window("invo_datetime", start, end))
+    rows = per_account(
+        account,
+        _owner(units).agg(F.expr(f"{total('goods')} AS goods")),
+        _biller(invoices).agg(*exprs(f"{total(PARTS)} AS parts", f"{total(SERVICE)} AS service")),
+        _biller(rentals(invoices, rental)).agg(F.expr(f"{total('rental')} AS rental")),
     )
+    summed = rows.groupBy("account_no").agg(*exprs(*(f"coalesce({total(s)}, 0) AS {s}" for s in STREAMS)))
     return summed.selectExpr("*", f"cast({' + '.join(STREAMS)} AS decimal(18,2)) AS total_revenue")
 
 
 def last_transaction(account, unit_sale, invoice, rental) -> DataFrame:
     """Latest unit, parts, service or rental date per account."""
-    day = F.expr("max(cast(happened AS date)) AS day")
-    sold = unit_sale.filter("sales_date IS NOT NULL").withColumnRenamed("sales_date", "happened")
-    used = invoice_amounts(invoice, rental).filter("counts_as_activity AND happened IS NOT NULL")
-    rows = per_account(account, _owner(sold).agg(day), _biller(used).agg(day))
+    used = billed(invoice).filter("module_type IN ('I', 'W') AND invo_datetime IS NOT NULL")
+    invoice_day = F.expr(f"max({INVOICE_DAY}) AS day")
+    rows = per_account(
+        account,
+        _owner(unit_sale.filter("sales_date IS NOT NULL")).agg(F.expr("max(cast(sales_date AS date)) AS day")),
+        _biller(used).agg(invoice_day),
+        _biller(rentals(invoice, rental)).agg(invoice_day),
+    )
     return rows.groupBy("account_no").agg(F.max("day").alias("last_tx_date"))
 
 
 def account_standing(account, unit_sale, unit_accessory, invoice, rental, as_of: dt.date) -> DataFrame:
-    """Window revenue and last date of every account, in one pass over each transaction table."""
+    """Window revenue and last date of every account, both from the same aggregates."""
     window = r60_window(as_of)
     units = unit_amounts(unit_sale, unit_accessory, within=in_window("sales_date", *window))
-    by_owner = _owner(units).agg(*exprs(f"{total('goods')} AS revenue", "max(day) AS day"))
-    streams = "coalesce(parts, 0) + coalesce(service, 0) + coalesce(rental, 0)"
-    by_biller = _biller(invoice_amounts(invoice, rental)).agg(*exprs(
-        total(f"CASE WHEN {in_window('happened', *window)} THEN {streams} END") + " AS revenue",
-        "max(CASE WHEN counts_as_activity THEN cast(happened AS date) END) AS day",
-    ))
-    return per_account(account, by_owner, by_biller).groupBy("account_no").agg(
+    recent = in_window("invo_datetime", *window)
+    rows = per_account(
+        account,
+        _owner(units).agg(*exprs(f"{total('goods')} AS revenue", "max(day) AS day")),
+        _biller(billed(invoice)).agg(*exprs(
+            total(f"CASE WHEN {recent} THEN coalesce({PARTS}, {SERVICE}, 0) END") + " AS revenue",
+            f"max(CASE WHEN module_type IN ('I', 'W') THEN {INVOICE_DAY} END) AS day",
+        )),
+        _biller(rentals(invoice, rental)).agg(*exprs(
+            total(f"CASE WHEN {recent} THEN rental END") + " AS revenue", f"max({INVOICE_DAY}) AS day",
+        )),
+    )
+    return rows.groupBy("account_no").agg(
         *exprs(f"{total('revenue')} AS total_revenue", "max(day) AS last_tx_date")
     )
 
@@ -160,15 +174,18 @@ def account_sales_history(account, unit_sale, unit_accessory, invoice, rental, f
     """Revenue, cost and units per account and month."""
     month_of = lambda c: (f"year({c}) AS year", f"month({c}) AS month")
     units = unit_amounts(unit_sale.filter(in_years("sales_date", first, last)), unit_accessory, *month_of("sales_date"))
-    by_owner = _owner(units, "year", "month").agg(*exprs(
-        f"{total('goods')} AS goods", f"{total('goods_cost')} AS goods_cost", "sum(units) AS units"
-    ))
-    measures = ("parts", "parts_cost", "service", "service_cost", "rental", "rental_cost")
-    invoices = invoice_amounts(invoice.filter(in_years("invo_datetime", first, last)), rental)
-    by_biller = _biller(invoices, *month_of("happened")).agg(*exprs(*(f"{total(c)} AS {c}" for c in measures)))
-    return per_account(account, by_owner, by_biller).groupBy("account_no", "year", "month").agg(*exprs(
-        *(f"coalesce({total(c)}, 0) AS {c}" for c in ("goods", "goods_cost", *measures)),
-        "coalesce(sum(units), 0) AS units",
+    invoices = billed(invoice).filter(in_years("invo_datetime", first, last))
+    sold = ("goods", "goods_cost")
+    rented = ("rental", "rental_cost")
+    worked = {"parts": PARTS, "parts_cost": PARTS_COST, "service": SERVICE, "service_cost": SERVICE_COST}
+    rows = per_account(
+        account,
+        _owner(units, "year", "month").agg(*exprs(*(f"{total(c)} AS {c}" for c in sold), "sum(units) AS units")),
+        _biller(invoices, *month_of("invo_datetime")).agg(*exprs(*(f"{total(x)} AS {c}" for c, x in worked.items()))),
+        _biller(rentals(invoices, rental), *month_of("invo_datetime")).agg(*exprs(*(f"{total(c)} AS {c}" for c in rented))),
+    )
+    return rows.groupBy("account_no", "year", "month").agg(*exprs(
+        *(f"coalesce({total(c)}, 0) AS {c}" for c in (*sold, *worked, *rented)), "coalesce(sum(units), 0) AS units",
     )).orderBy(F.desc("year"), F.desc("month"), "account_no")
 
 

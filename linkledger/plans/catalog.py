@@ -44,9 +44,10 @@ STAGES: dict[str, Query] = {
     "sales_decile_share": lambda ws: ws.ranked_revenue("share").filter("raw_decile IS NOT NULL"),
     "last_transaction": Workspace.last_transaction,
     "active_contacts": Workspace.active,
-    "contact_enriched": lambda ws: ws.enriched().drop("code_key"),
+    "contact_enriched": lambda ws: ws.enriched().drop("code_key", "links", "contact_level_links"),
     "contact_linkage": lambda ws: population.contact_linkage(ws.enriched(), ws.links()),
-    "unlinked_contacts": lambda ws: ws.unlinked().drop("code_key"),
+    "unlinked_contacts": lambda ws: population.unlinked_contacts(ws.enriched(), ws.links()).drop(
+        "code_key", "links", "contact_level_links"),
     "active_linked": Workspace.linked,
     "inactive_linked": Workspace.inactive_linked,
     "field_parity": lambda ws: parity.field_parity(ws.linked()),
@@ -234,7 +235,7 @@ FIELD_NAMES = [f.name for f in parity.FIELDS]
 SPECIFIED: dict[str, Query] = {
     "clean_record_pct": clean_records,
     "quality_index": lambda ws: quality.quality_index(
-        ws.enriched(), ws.links(), [r for r in field_quality_rules(ws.settings) if r.in_snapshot]),
+        ws.enriched(), [r for r in field_quality_rules(ws.settings) if r.in_snapshot]),
     "parity_sum_check": lambda ws: reports.parity_sum_check(ws.snapshots(), FIELD_NAMES),
     "snapshot_delta": lambda ws: reports.snapshot_delta(ws.snapshots(), FIXTURE_HISTORY[0], FIXTURE_HISTORY[-1]),
     "prospect_customer_pairs": lambda ws: extracts.prospect_customer_pairs(ws.table("crm_account"), ws.settings),

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from linkledger.config import SLICE
 from linkledger.functions.columns import MATCH_TIER
 from linkledger.operators import parity, sections
-from linkledger.operators.population import unlinked_contacts, with_link_counts
 from linkledger.operators.rules import all_rules, completeness_rules, field_quality_rules
 from linkledger.plans.workspace import Workspace
 
@@ -25,7 +24,7 @@ def section(ws: Workspace, category: str) -> DataFrame:
     s = ws.settings
     if category == "linkage":
         rows = union([
-            sections.linkage_by_slice(with_link_counts(ws.enriched(), ws.links())),
+            sections.linkage_by_slice(ws.enriched()),
             sections.linkage_overall(ws.enriched(), ws.links()),
         ])
     elif category == "parity":
@@ -41,7 +40,7 @@ def section(ws: Workspace, category: str) -> DataFrame:
     elif category == "staleness":
         rows = sections.staleness_rows(ws.enriched())
     else:
-        rows = sections.readiness_rows(unlinked_contacts(ws.enriched(), ws.links()))
+        rows = sections.readiness_rows(ws.unlinked())
     return sections.to_snapshot_rows(rows, category, s.as_of)
 
 
@@ -53,7 +52,7 @@ def dq_snapshot(ws: Workspace) -> DataFrame:
 
 def dq_linkage(ws: Workspace) -> DataFrame:
     rows = union([
-        sections.linkage_by_slice(with_link_counts(ws.enriched(), ws.links()), sections.STANDALONE),
+        sections.linkage_by_slice(ws.enriched(), sections.STANDALONE),
         sections.linkage_overall(ws.enriched(), ws.links(), branch="ALL"),
     ])
     return sections.to_snapshot_rows(rows, "linkage", ws.settings.as_of)
@@ -93,7 +92,7 @@ def dq_staleness(ws: Workspace) -> DataFrame:
 
 def dq_match_readiness(ws: Workspace) -> DataFrame:
     """Tiers that occur, by type and cohort."""
-    unlinked = unlinked_contacts(ws.enriched(), ws.links())
+    unlinked = ws.unlinked()
     rows = sections.occurring(unlinked, MATCH_TIER, sections.STANDALONE)
     return sections.to_snapshot_rows(rows, "match_readiness", ws.settings.as_of)
 
@@ -111,7 +110,7 @@ def metric(ws: Workspace, category: str, name: str) -> DataFrame:
         if name in ("duplicate_entity_id", "orphan_cross_ref"):
             rows = sections.linkage_overall(ws.enriched(), ws.links()).filter(f"metric_name = '{name}'")
         else:
-            rows = sections.linkage_by_slice(with_link_counts(ws.enriched(), ws.links()), metrics={name})
+            rows = sections.linkage_by_slice(ws.enriched(), metrics={name})
     elif category == "priority":
         if name == parity.PRIORITY[4]:
             rows = sections.inactive_reason_rows(ws.inactive_linked())

@@ -91,11 +91,12 @@ class Workspace:
         return population.active_contacts(*self._people())
 
     def enriched(self) -> DataFrame:
-        """Active contacts with staleness, decile and cohort; read by every section."""
+        """Active contacts with staleness, decile, cohort and link counts; read by every section."""
         def build() -> DataFrame:
             standing = revenue.account_standing(*self._transactions(), self.settings.as_of)
             ranked = revenue.with_sales_decile(standing, self.scratch.stage, self.settings.decile_method)
-            return population.contact_enriched(self.active(), ranked, self.settings)
+            enriched = population.contact_enriched(*self._people(), ranked, self.settings)
+            return population.with_link_counts(enriched, self.links())
         return self._staged("enriched", build)
 
     def links(self) -> DataFrame:
@@ -114,7 +115,7 @@ class Workspace:
         return population.inactive_linked(*self._people(), self.links(), self.profiles(), self.settings)
 
     def unlinked(self) -> DataFrame:
-        return population.unlinked_contacts(self.enriched(), self.links())
+        return self.enriched().filter("links = 0")
 
     # Stored snapshots
 

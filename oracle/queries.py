@@ -618,9 +618,12 @@ def specified() -> dict[str, tuple[str, dict[str, str]] | str]:
             FROM (SELECT metric_category, metric_name, {big("sum(numerator)")} AS n FROM snapshots WHERE snapshot_date = DATE '{HISTORY[0]}' GROUP BY 1, 2) a
             FULL JOIN (SELECT metric_category, metric_name, {big("sum(numerator)")} AS n FROM snapshots WHERE snapshot_date = DATE '{AS_OF}' GROUP BY 1, 2) b
             ON a.metric_category = b.metric_category AND a.metric_name = b.metric_name""", snapshots(days=[HISTORY[0], AS_OF])),
-        "prospect_customer_pairs": """SELECT p.crm_id AS prospect_id, c.crm_id AS customer_id, p.comp_entity_id AS entity_id
-            FROM crm_account p JOIN crm_account c ON c.erp_entity_id = p.comp_entity_id
-            WHERE p.record_type = 'PROSPECT' AND c.record_type = 'CUSTOMER'""",
+        "prospect_customer_pairs": """SELECT * FROM (WITH pairs AS (SELECT p.crm_id AS p, c.crm_id AS c, p.comp_entity_id AS entity_id
+                FROM crm_account p JOIN crm_account c ON c.erp_entity_id = p.comp_entity_id
+                WHERE p.record_type = 'PROSPECT' AND c.record_type = 'CUSTOMER'),
+            sizes AS (SELECT entity_id, count(DISTINCT p) AS prospects, count(DISTINCT c) AS customers FROM pairs GROUP BY 1)
+            SELECT DISTINCT s.entity_id, 'PROSPECT' AS record_type, p AS crm_id, prospects, customers FROM pairs JOIN sizes s USING (entity_id)
+            UNION ALL SELECT DISTINCT s.entity_id, 'CUSTOMER', c, prospects, customers FROM pairs JOIN sizes s USING (entity_id))""",
         "duplicate_candidates": f"""SELECT key_type, key_value, contacts, contact_code FROM (
             SELECT *, count(*) OVER (PARTITION BY key_type, key_value) AS contacts FROM ({own})) WHERE contacts > 1""",
         "upload_batches": """SELECT contact_code, contact_type, total_revenue, pos AS upload_position,
