@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from linkledger.functions.columns import both, lit
 from linkledger.operators import parity
 from linkledger.operators.population import with_repeat_flag
-from linkledger.operators.rules import Rule
+from linkledger.operators.rules import NEEDS_REPEAT_FLAG, Rule
 
 ISSUE_OUTCOMES = ("mismatch", "equip_only", "registry_only")
 
@@ -51,7 +51,12 @@ def shared_entity_issues(enriched: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def rule_issues(enriched: DataFrame, rules: list[Rule]) -> DataFrame:
-    return _failed(with_repeat_flag(enriched), [_when(r.failed, r.name) for r in rules])
+    """All rules in one scan; the repeated-code rule joins by itself over the code alone."""
+    plain = [_when(r.failed, r.name) for r in rules if r.name != NEEDS_REPEAT_FLAG]
+    repeated = with_repeat_flag(enriched.select("contact_code")).filter("code_repeats")
+    return _failed(enriched, plain).unionByName(
+        repeated.selectExpr("contact_code", f"{lit(NEEDS_REPEAT_FLAG)} AS metric_name")
+    )
 
 
 def parity_issues(linked: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ zero counts keep their row and no spine has to be joined.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -131,9 +132,20 @@ def inactive_reason_rows(inactive: DataFrame, keep: tuple[str, ...] = SLICE) ->
 # Completeness and field quality
 
 def rule_rows(enriched: DataFrame, rules: list[Rule], keep: tuple[str, ...] = SLICE) -> DataFrame:
-    """Count all rules in one pass; rules with the same scope share a denominator."""
-    if any(r.name == NEEDS_REPEAT_FLAG for r in rules):
-        enriched = with_repeat_flag(enriched)
+    """Count all rules in one pass; rules with the same scope share a denominator.
+
+    The repeated-code rule needs a join, so it runs by itself over a few
+    columns and the wide contact rows are not shuffled for it.
+    """
+    joined = [r for r in rules if r.name == NEEDS_REPEAT_FLAG]
+    plain = [r for r in rules if r.name != NEEDS_REPEAT_FLAG]
+    parts = [_rule_counts(enriched, plain, keep)] if plain else []
+    if joined:
+        parts.append(_rule_counts(with_repeat_flag(enriched.select("contact_code", *SLICE)), joined, keep))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _rule_counts(enriched: DataFrame, rules: list[Rule], keep: tuple[str, ...]) -> DataFrame:
     used = sorted({r.scope for r in rules})
     judged = enriched.selectExpr(
         *folded(keep), *(f"{sure(SCOPES[s])} AS s_{s}" for s in used), *(f"{r.failed} AS i_{r.name}" for r in rules)
