@@ -29,6 +29,7 @@ class Settings:
     decile_method: str = "share"      # "share" of revenue, or "ntile" of accounts
     staleness_step: str = "calendar"  # "calendar" years, or "365d" steps
     cohorts: str = "current"          # "current" or "older" year edges
+    parity_us_default: bool = False   # compare an empty country as US
     history_from: int = 1996          # first calendar year of the sales history
 
     def at(self, as_of: dt.date) -> "Settings":

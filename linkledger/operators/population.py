@@ -14,6 +14,7 @@ TEXT_FIELDS = (
     "first_name", "last_name", "company_name", "email", "biz_phone", "priv_phone", "mob_phone",
     "street", "city", "state", "pcode", "country", "title", "generation", "suffix",
 )
+COMPARED_FIELDS = TEXT_FIELDS[:12]  # up to country
 REGISTRY_FIELDS = (
     "reg_company_name", "reg_first_name", "reg_last_name", "reg_email", "reg_biz_area",
     "reg_biz_num", "reg_priv_area", "reg_priv_num", "reg_mob_area", "reg_mob_num",
@@ -134,12 +135,16 @@ def registry_profiles(profile: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def active_linked(enriched: DataFrame, links: DataFrame, profiles: DataFrame) -> DataFrame:
+def active_linked(enriched: DataFrame, links: DataFrame, profiles: DataFrame, us_default: bool = False) -> DataFrame:
     """Linked contacts with both systems' values side by side."""
+    country = "coalesce(country, 'US') AS country" if us_default else "country"
     return (
         enriched.join(links.drop("cross_ref_number"), "code_key")
         .join(profiles, ["entity_id", "contact_id"])
-        .select("contact_code", *SLICE, "entity_id", "contact_id", *TEXT_FIELDS[:12], *REGISTRY_FIELDS, *REGISTRY_FLAGS)
+        .selectExpr(
+            "contact_code", *SLICE, "entity_id", "contact_id", *COMPARED_FIELDS[:-1], country,
+            *REGISTRY_FIELDS, *REGISTRY_FLAGS,
+        )
     )
 
 

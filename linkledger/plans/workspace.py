@@ -108,7 +108,8 @@ class Workspace:
     def linked(self) -> DataFrame:
         """Linked contacts with both systems' values; read by all parity checks."""
         return self._staged(
-            "linked", lambda: population.active_linked(self.enriched(), self.links(), self.profiles())
+            "linked", lambda: population.active_linked(
+                self.enriched(), self.links(), self.profiles(), self.settings.parity_us_default)
         )
 
     def inactive_linked(self) -> DataFrame:

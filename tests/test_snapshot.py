@@ -141,6 +141,31 @@ def test_named_tables(spark, tmp_path):
     assert tables.table("contact").columns == ["contact_code", "contact_type"]
 
 
+def test_options_of_the_settings(spark, ws):
+    """Empty country as US, decile by count, staleness in 365 day steps."""
+    from dataclasses import replace
+
+    from linkledger.plans.workspace import Workspace
+
+    other = Workspace(spark, ws.tables, replace(
+        ws.settings, parity_us_default=True, decile_method="ntile", staleness_step="365d"))
+    assert ws.linked().filter("country IS NULL").count() > 0 == other.linked().filter("country IS NULL").count()
+    assert other.enriched().count() == ws.enriched().count()
+    sizes = [r["count"] for r in other.ranked_revenue().filter("raw_decile IS NOT NULL").groupBy("raw_decile").count().collect()]
+    assert len(sizes) == 10 and max(sizes) - min(sizes) <= 1
+    other.release()
+
+
+def test_extract_filters(ws):
+    everyone = extracts.contact_extract(ws.unlinked(), 10**6, dt.date(1900, 1, 1), with_account=False)
+    assert everyone.count() == ws.unlinked().filter("creation_date IS NOT NULL").count()
+    branch = ws.unlinked().filter("branch IS NOT NULL").first()["branch"]
+    one = extracts.contact_extract(ws.unlinked(), 3, dt.date(1900, 1, 1), branch=branch)
+    assert 0 < one.count() <= 3 and {r["branch"] for r in one.collect()} == {branch}
+    stale = extracts.inactivation_candidates(ws.enriched(), dt.date(2001, 8, 1), dt.date(2030, 1, 1), branch=branch)
+    assert {r["branch"] for r in stale.collect()} <= {branch}
+
+
 def test_slicers(ws):
     rows = reports.slicers(ws.snapshots(), contact_type="B", metric_category="linkage")
     assert {r[0] for r in rows.select("contact_type").distinct().collect()} == {"B"}
