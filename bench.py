@@ -13,9 +13,8 @@ import time
 
 from pyspark.sql import SparkSession
 
-from linkledger.config import Settings
 from linkledger.plans import catalog
-from linkledger.plans.workspace import FIXTURE_AS_OF, fresh_workspace
+from linkledger.plans.fixture_run import SETTINGS, fresh_workspace
 
 HEADLINE = (
     "lk_linked_count", "account_revenue", "last_transaction", "sales_decile_share", "sales_decile_ntile",
@@ -39,7 +38,7 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    found = catalog.all_queries(Settings(as_of=FIXTURE_AS_OF))
+    found = catalog.all_queries(SETTINGS)
     chosen = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or list(HEADLINE)
 
     def run(name: str) -> float:

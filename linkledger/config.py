@@ -16,6 +16,7 @@ SNAPSHOT_COLUMNS = (
 @dataclass(frozen=True)
 class Settings:
     as_of: dt.date
+    history: tuple[dt.date, ...] = ()  # dates of the stored snapshots; only as_of if empty
     source: str = "DEALER XREF"
     sentinel_entity: int = 999999998
     dealer_id: str = "034"

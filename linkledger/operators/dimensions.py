@@ -35,7 +35,7 @@ OUTCOME_NOTES = {
     "both_null": "Neither side holds a value",
 }
 OUTCOME_LABELS = {
-    "match": "Match", "mismatch": "Mismatch", "equip_only": "EQUIP Only",
+    "match": "Match", "mismatch": "Mismatch", "equip_only": "Contact Only",
     "registry_only": "Registry Only", "both_null": "Both Null",
 }
 _ACRONYMS = {"id": "ID", "dba": "DBA", "oob": "OOB", "ckc": "CKC", "nanp": "NANP", "2char": "2-Char"}

@@ -14,7 +14,7 @@ from linkledger.operators import (
 )
 from linkledger.operators.rules import all_rules, completeness_rules, field_quality_rules
 from linkledger.plans import snapshot
-from linkledger.plans.workspace import FIXTURE_HISTORY, Workspace
+from linkledger.plans.workspace import Workspace
 from linkledger.sources import readers, sinks
 
 Query = Callable[[Workspace], DataFrame]
@@ -134,7 +134,7 @@ def _split(status: str) -> Query:
 
 
 def _history(ws: Workspace) -> DataFrame:
-    return revenue.account_sales_history(*ws._transactions(), ws.settings.history_from, ws.settings.as_of.year)
+    return revenue.account_sales_history(*ws.transactions(), ws.settings.history_from, ws.settings.as_of.year)
 
 
 LINKAGE_WORK: dict[str, Query] = {
@@ -190,16 +190,16 @@ def _older(fn: Query) -> Query:
 STORED: dict[str, Query] = {
     "issue_map": issue_map,
     "issue_map_counts": lambda ws: issue_map(ws).groupBy("metric_name").agg(F.count("*").alias("issue_rows")).orderBy("metric_name"),
-    "snapshot_verification": lambda ws: reports.snapshot_verification(ws.snapshots()),
-    "dim_metric": lambda ws: dimensions.metric_usage(dimensions.dim_metric(ws.spark, ws.settings), ws.snapshots()),
-    "metric_name_parity": lambda ws: dimensions.metric_name_parity(ws.snapshots(), dimensions.dim_metric(ws.spark, ws.settings)),
+    "snapshot_verification": lambda ws: reports.snapshot_verification(snapshot.stored_snapshots(ws)),
+    "dim_metric": lambda ws: dimensions.metric_usage(dimensions.dim_metric(ws.spark, ws.settings), snapshot.stored_snapshots(ws)),
+    "metric_name_parity": lambda ws: dimensions.metric_name_parity(snapshot.stored_snapshots(ws), dimensions.dim_metric(ws.spark, ws.settings)),
     "dim_contact_type": _usage("dim_contact_type", "contact_type"),
     "dim_sales_decile": _usage("dim_sales_decile", "sales_decile"),
     "dim_staleness_bucket": _usage("dim_staleness_bucket", "staleness_bucket"),
     "dim_parity_field": _parity_usage("dim_parity_field", "field_name"),
     "dim_parity_outcome": _parity_usage("dim_parity_outcome", "parity_result"),
     "dim_creation_cohort": _usage("dim_creation_cohort", "creation_cohort"),
-    "dim_calendar": lambda ws: dimensions.dim_calendar(ws.snapshots()),
+    "dim_calendar": lambda ws: dimensions.dim_calendar(snapshot.stored_snapshots(ws)),
     **snapshot.STANDALONE_SECTIONS,
     **{f"{n}_older_cohorts": _older(fn) for n, fn in snapshot.STANDALONE_SECTIONS.items()},
 }
@@ -208,11 +208,11 @@ STORED: dict[str, Query] = {
 # Measures and report rollups
 
 def _measure(name: str) -> Query:
-    return lambda ws: reports.latest(ws.snapshots()).agg(reports.measure(name))
+    return lambda ws: reports.latest(snapshot.stored_snapshots(ws)).agg(reports.measure(name))
 
 
 def _report(visual: reports.Visual) -> Query:
-    return lambda ws: reports.report(ws.snapshots(), visual)
+    return lambda ws: reports.report(snapshot.stored_snapshots(ws), visual)
 
 
 def clean_records(ws: Workspace) -> DataFrame:
@@ -222,7 +222,7 @@ def clean_records(ws: Workspace) -> DataFrame:
 REPORTS: dict[str, Query] = {
     **{f"measure_{m}": _measure(m) for m in ("issue_rate", "issue_count", "record_count", "pct_linked", "stale_5yr", "match_ready")},
     "measure_issue_rate_issues_only": lambda ws: reports.issue_rate_of_issues(
-        ws.snapshots(), dimensions.dim_metric(ws.spark, ws.settings)),
+        snapshot.stored_snapshots(ws), dimensions.dim_metric(ws.spark, ws.settings)),
     **{f"rpt_{n}": _report(v) for n, v in reports.VISUALS.items()},
     "rpt_2": clean_records,
 }
@@ -236,8 +236,8 @@ SPECIFIED: dict[str, Query] = {
     "clean_record_pct": clean_records,
     "quality_index": lambda ws: quality.quality_index(
         ws.enriched(), [r for r in field_quality_rules(ws.settings) if r.in_snapshot]),
-    "parity_sum_check": lambda ws: reports.parity_sum_check(ws.snapshots(), FIELD_NAMES),
-    "snapshot_delta": lambda ws: reports.snapshot_delta(ws.snapshots(), FIXTURE_HISTORY[0], FIXTURE_HISTORY[-1]),
+    "parity_sum_check": lambda ws: reports.parity_sum_check(snapshot.stored_snapshots(ws), FIELD_NAMES),
+    "snapshot_delta": lambda ws: reports.snapshot_delta(snapshot.stored_snapshots(ws), ws.settings.history[0], ws.settings.history[-1]),
     "prospect_customer_pairs": lambda ws: extracts.prospect_customer_pairs(ws.table("crm_account"), ws.settings),
     "duplicate_candidates": lambda ws: quality.duplicate_candidates(ws.enriched()),
     "upload_batches": lambda ws: extracts.upload_batches(ws.unlinked(), ws.scratch.stage),
@@ -248,7 +248,7 @@ SPECIFIED: dict[str, Query] = {
     "inactivation_candidates": lambda ws: extracts.inactivation_candidates(
         ws.enriched(), dt.date(1999, 8, 15), dt.date(2020, 1, 1)),
     "unlinked_recent_invoice": lambda ws: extracts.unlinked_recent_invoice(ws.unlinked(), ws.table("invoice")),
-    "linkage_progress": lambda ws: reports.linkage_progress(ws.snapshots()),
+    "linkage_progress": lambda ws: reports.linkage_progress(snapshot.stored_snapshots(ws)),
 }
 
 
@@ -257,7 +257,7 @@ SPECIFIED: dict[str, Query] = {
 def io_append_roundtrip(ws: Workspace) -> DataFrame:
     """Append two dates one after the other and read both back."""
     path = ws.scratch.path("append")
-    for day in FIXTURE_HISTORY[-2:]:
+    for day in ws.settings.history[-2:]:
         sinks.append_snapshot(snapshot.section(ws.at(day), "linkage"), path)
     return readers.read_snapshot(ws.spark, path)
 
@@ -265,7 +265,7 @@ def io_append_roundtrip(ws: Workspace) -> DataFrame:
 def io_overwrite_roundtrip(ws: Workspace) -> DataFrame:
     """Reset, append another date, then write that date again: its rows stay single."""
     path = ws.scratch.path("overwrite")
-    first, second = (snapshot.section(ws.at(day), "completeness") for day in FIXTURE_HISTORY[-2:])
+    first, second = (snapshot.section(ws.at(day), "completeness") for day in ws.settings.history[-2:])
     sinks.reset_snapshots(first, path)
     sinks.append_snapshot(second, path)
     sinks.replace_snapshot(second, path)

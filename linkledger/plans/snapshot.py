@@ -11,6 +11,8 @@ from linkledger.functions.columns import MATCH_TIER
 from linkledger.operators import parity, sections
 from linkledger.operators.rules import all_rules, completeness_rules, field_quality_rules
 from linkledger.plans.workspace import Workspace
+from linkledger.sources.readers import read_snapshot
+from linkledger.sources.sinks import append_snapshot
 
 CATEGORIES = ("linkage", "parity", "completeness", "field_quality", "staleness", "match_readiness")
 
@@ -48,6 +50,16 @@ def dq_snapshot(ws: Workspace) -> DataFrame:
     return union([section(ws, c) for c in CATEGORIES])
 
 
+def stored_snapshots(ws: Workspace) -> DataFrame:
+    """The snapshot table over all history dates, each date appended as its own run."""
+    def build() -> DataFrame:
+        path = ws.scratch.path("snapshots")
+        for day in ws.settings.history or (ws.settings.as_of,):
+            append_snapshot(dq_snapshot(ws.at(day)), path)
+        return read_snapshot(ws.spark, path)
+    return ws.once("snapshots", build)
+
+
 # Standalone sections: contact type and cohort only, the rest folded to ALL.
 
 def dq_linkage(ws: Workspace) -> DataFrame:

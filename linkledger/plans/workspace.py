@@ -10,12 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from linkledger.config import Settings, r60_window
 from linkledger.functions.columns import creation_cohort
 from linkledger.operators import population, revenue
-from linkledger.sources import readers, sinks
-from linkledger.sources.fixtures import FixtureTables
-from linkledger.storage import Scratch, fingerprint
-
-FIXTURE_AS_OF = dt.date(2001, 8, 15)
-FIXTURE_HISTORY = (dt.date(2001, 6, 15), dt.date(2001, 7, 15), FIXTURE_AS_OF)
+from linkledger.storage import Scratch
 
 
 class Workspace:
@@ -57,21 +52,23 @@ class Workspace:
         )
         return other
 
-    def _once(self, name: str, build) -> DataFrame:
+    def once(self, name: str, build) -> DataFrame:
+        """A relation of this run, built on first use."""
         if name not in self._stages:
             self._stages[name] = build()
         return self._stages[name]
 
-    def _staged(self, name: str, build) -> DataFrame:
-        return self._once(name, lambda: self.scratch.stage(build(), name))
+    def staged(self, name: str, build) -> DataFrame:
+        """A relation that several sections read, written once."""
+        return self.once(name, lambda: self.scratch.stage(build(), name))
 
     # Revenue
 
-    def _transactions(self) -> list[DataFrame]:
+    def transactions(self) -> list[DataFrame]:
         return [self.table(t) for t in ("account", "unit_sale", "unit_accessory", "invoice", "rental")]
 
     def account_revenue(self) -> DataFrame:
-        return revenue.account_revenue(*self._transactions(), *r60_window(self.settings.as_of))
+        return revenue.account_revenue(*self.transactions(), *r60_window(self.settings.as_of))
 
     def ranked_revenue(self, method: str | None = None) -> DataFrame:
         return revenue.with_sales_decile(
@@ -84,73 +81,42 @@ class Workspace:
 
     # Populations
 
-    def _people(self) -> list[DataFrame]:
+    def people(self) -> list[DataFrame]:
         return [self.table(t) for t in ("contact", "technician", "salesperson", "account", "vendor")]
 
     def active(self) -> DataFrame:
-        return population.active_contacts(*self._people())
+        return population.active_contacts(*self.people())
 
     def enriched(self) -> DataFrame:
         """Active contacts with staleness, decile, cohort and link counts; read by every section."""
         def build() -> DataFrame:
-            standing = revenue.account_standing(*self._transactions(), self.settings.as_of)
+            standing = revenue.account_standing(*self.transactions(), self.settings.as_of)
             ranked = revenue.with_sales_decile(standing, self.scratch.stage, self.settings.decile_method)
-            enriched = population.contact_enriched(*self._people(), ranked, self.settings)
+            enriched = population.contact_enriched(*self.people(), ranked, self.settings)
             return population.with_link_counts(enriched, self.links())
-        return self._staged("enriched", build)
+        return self.staged("enriched", build)
 
     def links(self) -> DataFrame:
-        return self._once("links", lambda: population.source_links(self.table("xref"), self.settings))
+        return self.once("links", lambda: population.source_links(self.table("xref"), self.settings))
 
     def profiles(self) -> DataFrame:
         return population.registry_profiles(self.table("profile"), self.settings)
 
     def linked(self) -> DataFrame:
         """Linked contacts with both systems' values; read by all parity checks."""
-        return self._staged(
+        return self.staged(
             "linked", lambda: population.active_linked(
                 self.enriched(), self.links(), self.profiles(), self.settings.parity_us_default)
         )
 
     def inactive_linked(self) -> DataFrame:
-        return population.inactive_linked(*self._people(), self.links(), self.profiles(), self.settings)
+        return population.inactive_linked(*self.people(), self.links(), self.profiles(), self.settings)
 
     def unlinked(self) -> DataFrame:
         return self.enriched().filter("links = 0")
 
-    # Stored snapshots
-
-    def snapshots(self) -> DataFrame:
-        """The stored snapshots of the history dates."""
-        from linkledger.plans.snapshot import dq_snapshot
-
-        def build() -> DataFrame:
-            path = self.scratch.path("snapshots")
-            for day in FIXTURE_HISTORY:
-                sinks.append_snapshot(dq_snapshot(self.at(day)), path)
-            return readers.read_snapshot(self.spark, path)
-        return self._once("snapshots", build)
-
     def release(self) -> None:
         """Delete the staged tables of this run."""
         self.scratch.release()
         for ws in self._dated.values():
             ws._stages.clear()
-
-
-_open: dict[tuple[str, str], tuple[tuple, Workspace]] = {}
-
-
-def fresh_workspace(spark: SparkSession, folder: str) -> Workspace:
-    """A workspace with nothing staged yet."""
-    return Workspace(spark, FixtureTables(spark, folder), Settings(as_of=FIXTURE_AS_OF))
-
-
-def open_workspace(spark: SparkSession, folder: str) -> Workspace:
-    """Workspace over a folder of test tables; shared until the session or the data change."""
-    key = (spark.sparkContext.applicationId, folder)
-    mark = fingerprint(spark, FixtureTables(spark, folder).paths())
-    known = _open.get(key)
-    if known is None or known[0] != mark:
-        _open[key] = (mark, fresh_workspace(spark, folder))
-    return _open[key][1]

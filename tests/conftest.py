@@ -28,7 +28,7 @@ def spark(tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def ws(spark):
-    from linkledger.plans.workspace import open_workspace
+    from linkledger.plans.fixture_run import open_workspace
 
     return open_workspace(spark, DATA)
 

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from linkledger.operators import revenue
 from linkledger.plans import catalog
-from linkledger.plans.workspace import Settings
+from linkledger.plans.fixture_run import SETTINGS
 
 BAD = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "PythonUDF")
-NAMES = sorted(catalog.all_queries(Settings(as_of=dt.date(2001, 8, 15))))
+NAMES = sorted(catalog.all_queries(SETTINGS))
 
 
 def plan_of(df) -> str:

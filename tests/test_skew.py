@@ -125,7 +125,7 @@ def test_hot_account_revenue(spark):
 
 
 def test_standing_equals_its_parts(ws):
-    both = revenue.account_standing(*ws._transactions(), ws.settings.as_of)
+    both = revenue.account_standing(*ws.transactions(), ws.settings.as_of)
     apart = ws.account_revenue().select("account_no", "total_revenue").join(ws.last_transaction(), "account_no", "full")
     zero = lambda df: df.selectExpr("account_no", "coalesce(total_revenue, 0) AS r", "last_tx_date")
     assert zero(both).exceptAll(zero(apart)).count() == 0

@@ -10,7 +10,7 @@ from linkledger.functions import lists
 from linkledger.operators import dimensions, extracts, parity, reports
 from linkledger.operators.rules import all_rules
 from linkledger.plans import catalog, snapshot
-from linkledger.plans.workspace import FIXTURE_HISTORY, fresh_workspace, open_workspace
+from linkledger.plans.fixture_run import SETTINGS, fresh_workspace, open_workspace
 from linkledger.sources import readers, sinks
 from linkledger import storage
 from conftest import DATA
@@ -81,21 +81,21 @@ def test_window():
 
 def test_same_date_twice_leaves_the_same_rows(ws, tmp_path):
     path = str(tmp_path / "snap")
-    one, two = (snapshot.section(ws.at(d), "staleness") for d in FIXTURE_HISTORY[:2])
+    one, two = (snapshot.section(ws.at(d), "staleness") for d in SETTINGS.history[:2])
     sinks.append_snapshot(one, path)
     sinks.append_snapshot(two, path)
     before = readers.read_snapshot(ws.spark, path).count()
     sinks.replace_snapshot(two, path)
     stored = readers.read_snapshot(ws.spark, path)
     assert stored.count() == before == one.count() + two.count()
-    assert reports.latest_date(stored) == FIXTURE_HISTORY[1]
+    assert reports.latest_date(stored) == SETTINGS.history[1]
     sinks.reset_snapshots(one, path)
     assert readers.read_snapshot(ws.spark, path).count() == one.count()
 
 
 def test_snapshot_schema_grows(ws, tmp_path):
     path = str(tmp_path / "snap")
-    one, two = (snapshot.section(ws.at(d), "staleness") for d in FIXTURE_HISTORY[:2])
+    one, two = (snapshot.section(ws.at(d), "staleness") for d in SETTINGS.history[:2])
     sinks.append_snapshot(one, path)
     sinks.append_snapshot(two.withColumn("note", F.lit("x")), path)
     stored = readers.read_snapshot(ws.spark, path)
@@ -103,7 +103,7 @@ def test_snapshot_schema_grows(ws, tmp_path):
 
 
 def test_newest_snapshot_reads_one_partition(ws):
-    plan = reports.latest(ws.snapshots())._jdf.queryExecution().executedPlan().toString()
+    plan = reports.latest(snapshot.stored_snapshots(ws))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(snapshot_date" in plan
 
 
@@ -167,7 +167,7 @@ def test_extract_filters(ws):
 
 
 def test_slicers(ws):
-    rows = reports.slicers(ws.snapshots(), contact_type="B", metric_category="linkage")
+    rows = reports.slicers(snapshot.stored_snapshots(ws), contact_type="B", metric_category="linkage")
     assert {r[0] for r in rows.select("contact_type").distinct().collect()} == {"B"}
 
 
