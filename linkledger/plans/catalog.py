@@ -291,6 +291,17 @@ def io_match_reports(ws: Workspace) -> DataFrame:
     return reconcile.reconcile_matches(readers.read_match_reports(ws.spark, paths), ids)
 
 
+def io_upload_files(ws: Workspace) -> DataFrame:
+    """Write upload batches of at most 200 contacts and profile the files read back."""
+    folder = ws.scratch.path("batches")
+    sinks.export_batches(extracts.upload_batches(ws.unlinked(), ws.scratch.stage, 200), folder, 200)
+    return readers.read_csv(ws.spark, folder).groupBy("batch_no").agg(*revenue.exprs(
+        "count(*) AS contacts", "min(cast(upload_position AS bigint)) AS first_position",
+        "max(cast(upload_position AS bigint)) AS last_position",
+        "cast(sum(cast(total_revenue AS decimal(18,2))) AS decimal(18,2)) AS total_revenue",
+    )).orderBy("batch_no")
+
+
 def io_exclusion_file(ws: Workspace) -> DataFrame:
     """Write employee codes one per line and split the agreeing matches with that file."""
     path = ws.scratch.path("employees")
@@ -320,6 +331,7 @@ IO: dict[str, Query] = {
     "io_csv_roundtrip": io_csv_roundtrip,
     "io_match_reports": io_match_reports,
     "io_exclusion_file": io_exclusion_file,
+    "io_upload_files": io_upload_files,
     "io_dimension_roundtrip": io_dimension_roundtrip,
     "io_sql_scan": io_sql_scan,
 }

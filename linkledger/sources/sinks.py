@@ -55,6 +55,16 @@ def export_text(df: DataFrame, path: str, null_text: str = "", headers: dict[str
     )
 
 
+def export_batches(df: DataFrame, folder: str, file_rows: int) -> None:
+    """One CSV file per ``batch_no``, of at most ``file_rows`` rows; batches are spread over the tasks."""
+    (
+        df.repartition("batch_no").sortWithinPartitions("batch_no", "upload_position")
+        .write.mode("overwrite").partitionBy("batch_no")
+        .option("header", True).option("maxRecordsPerFile", file_rows).option("emptyValue", "")
+        .csv(folder)
+    )
+
+
 def export_name(stem: str, extension: str, stamp: dt.datetime) -> str:
     """File name with time stamp; the stem is cut so that the name fits."""
     tail = f"-{stamp:%Y%m%d-%H%M%S}{extension}"

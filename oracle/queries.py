@@ -8,7 +8,7 @@ from linkledger.operators import dimensions, parity
 from linkledger.operators.reports import VISUALS
 from linkledger.config import Settings
 from oracle import rules
-from oracle.relations import AS_OF, FLAGS, HISTORY, PARITY, REGISTRY_TEXT, SLICE, TEXT_FIELDS, suffix, window, with_relations
+from oracle.relations import AS_OF, HISTORY, PARITY, SLICE, TEXT_FIELDS, suffix, window, with_relations
 
 OUT = f"snapshot_date, metric_category, metric_name, {SLICE}, numerator, denominator"
 DIMS = SLICE.split(", ")
@@ -679,6 +679,10 @@ def io() -> dict[str, str]:
             f"FROM ({work['path_a_extract']})",
         "io_match_reports": RECONCILED,
         "io_exclusion_file": split("AGREE"),
+        "io_upload_files": """SELECT CAST((pos - 1) // 200 + 1 AS INTEGER) AS batch_no, count(*) AS contacts, min(pos) AS first_position,
+            max(pos) AS last_position, CAST(sum(total_revenue) AS DECIMAL(18,2)) AS total_revenue
+            FROM (SELECT *, row_number() OVER (ORDER BY total_revenue DESC, contact_code, account_no NULLS FIRST) AS pos FROM unlinked)
+            GROUP BY 1""",
         "io_dimension_roundtrip": dimension("dim_contact_type", "contact_type", "contact_enriched"),
         "io_sql_scan": "SELECT contact_type, count(*) AS contacts, count(ckc_id) AS with_id FROM contact GROUP BY 1",
     }

@@ -117,6 +117,15 @@ def test_exports(spark, tmp_path):
     assert "a\tNULL" in lines and "x\ty" in lines
 
 
+def test_upload_files_stay_small(ws, tmp_path):
+    batches = extracts.upload_batches(ws.unlinked(), ws.scratch.stage, 10)
+    sinks.export_batches(batches, str(tmp_path / "up"), 10)
+    files = sorted((tmp_path / "up").glob("batch_no=*/*.csv"))
+    sizes = [len(f.read_text().splitlines()) - 1 for f in files]
+    assert len(files) == -(-ws.unlinked().count() // 10)
+    assert max(sizes) <= 10 and sum(sizes) == ws.unlinked().count()
+
+
 def test_export_name():
     name = sinks.export_name("a" * 60, ".csv", dt.datetime(2026, 1, 2, 3, 4, 5))
     assert len(name) == 50 and name.endswith("a-20260102-030405.csv")
