@@ -8,6 +8,7 @@ zero counts keep their row and no spine has to be joined.
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -41,7 +42,24 @@ def metric_rows(df: DataFrame, entries: list[Entry]) -> DataFrame:
     return df.selectExpr(*SLICE, f"inline(array({rows}))")
 
 
+@dataclass(frozen=True)
+class Part:
+    """Checks that can share a pass: per-row columns, their counts, and the metrics made of them."""
+
+    judged: list[str]
+    counts: list[str]
+    entries: list[Entry]
+
+
+def part_rows(df: DataFrame, *parts: Part, keep: tuple[str, ...] = SLICE) -> DataFrame:
+    """Metrics of several parts from one grouped scan; empty denominators give no row."""
+    judged = df.selectExpr(*folded(keep), *(x for p in parts for x in p.judged))
+    numbers = counted(judged, [c for p in parts for c in p.counts])
+    return metric_rows(numbers, [e for p in parts for e in p.entries]).filter("denominator > 0")
+
+
 def to_snapshot_rows(df: DataFrame, category: str, as_of: dt.date) -> DataFrame:
+    """Rows of one category in the snapshot's columns."""
     return df.selectExpr(
         f"{lit(as_of)} AS snapshot_date", f"{lit(category)} AS metric_category", *SNAPSHOT_COLUMNS[2:]
     )
@@ -96,30 +114,26 @@ def linkage_overall(enriched: DataFrame, links: DataFrame, branch: str | None =
 
 # Parity
 
-def field_parity_rows(linked: DataFrame, keep: tuple[str, ...] = SLICE, fields: list[str] | None = None) -> DataFrame:
-    """All five outcomes of every field and slice, zero counts included."""
+def field_part(fields: list[str] | None = None) -> Part:
+    """All five outcomes of every field, zero counts included."""
     checks = [f for f in parity.FIELDS if fields is None or f.name in fields]
-    judged = linked.selectExpr(
-        *folded(keep), *(f"CASE WHEN {f.scope} THEN {f.outcome} END AS o_{f.name}" for f in checks)
+    outcomes = [(f.name, o) for f in checks for o in lists.PARITY_OUTCOMES]
+    return Part(
+        [f"CASE WHEN {f.scope} THEN {f.outcome} END AS o_{f.name}" for f in checks],
+        [f"count_if(o_{f} = '{o}') AS {f}_{o}" for f, o in outcomes] + [f"count(o_{f.name}) AS d_{f.name}" for f in checks],
+        [(f"{f}_{o}", f"{f}_{o}", f"d_{f}") for f, o in outcomes],
     )
-    numbers = counted(judged, [
-        f"count_if(o_{f.name} = '{o}') AS {f.name}_{o}" for f in checks for o in lists.PARITY_OUTCOMES
-    ] + [f"count(o_{f.name}) AS d_{f.name}" for f in checks])
-    return metric_rows(numbers, [
-        (f"{f.name}_{o}", f"{f.name}_{o}", f"d_{f.name}") for f in checks for o in lists.PARITY_OUTCOMES
-    ]).filter("denominator > 0")
 
 
-def priority_rows(linked: DataFrame, keep: tuple[str, ...] = SLICE, metrics: set[str] | None = None) -> DataFrame:
+def priority_part(metrics: tuple[str, ...] | None = None) -> Part:
     """Certified address differs, undeliverable, out of business, deceased."""
     checks = {m: c for m, c in parity.PRIORITIES.items() if metrics is None or m in metrics}
-    judged = linked.selectExpr(
-        *folded(keep),
-        *(f"{sure(both(scope, issue))} AS i_{m}" for m, (scope, issue) in checks.items()),
-        *(f"{sure(scope)} AS s_{m}" for m, (scope, _) in checks.items()),
+    return Part(
+        [f"{sure(both(scope, issue))} AS i_{m}" for m, (scope, issue) in checks.items()]
+        + [f"{sure(scope)} AS s_{m}" for m, (scope, _) in checks.items()],
+        [f"count_if({p}_{m}) AS {p}_{m}" for m in checks for p in ("i", "s")],
+        [(m, f"i_{m}", f"s_{m}") for m in checks],
     )
-    numbers = counted(judged, [f"count_if({p}_{m}) AS {p}_{m}" for m in checks for p in ("i", "s")])
-    return metric_rows(numbers, [(m, f"i_{m}", f"s_{m}") for m in checks]).filter("denominator > 0")
 
 
 def inactive_reason_rows(inactive: DataFrame, keep: tuple[str, ...] = SLICE) -> DataFrame:
@@ -131,29 +145,29 @@ def inactive_reason_rows(inactive: DataFrame, keep: tuple[str, ...] = SLICE) ->
 
 # Completeness and field quality
 
+def rule_part(rules: list[Rule]) -> Part:
+    """Rules with the same scope share a denominator."""
+    used = sorted({r.scope for r in rules})
+    return Part(
+        [f"{sure(SCOPES[s])} AS s_{s}" for s in used] + [f"{r.failed} AS i_{r.name}" for r in rules],
+        [f"count_if(s_{s}) AS s_{s}" for s in used] + [f"count_if(i_{r.name}) AS i_{r.name}" for r in rules],
+        [(r.name, f"i_{r.name}", f"s_{r.scope}") for r in rules],
+    )
+
+
 def rule_rows(enriched: DataFrame, rules: list[Rule], keep: tuple[str, ...] = SLICE) -> DataFrame:
-    """Count all rules in one pass; rules with the same scope share a denominator.
+    """Count all rules in one pass.
 
     The repeated-code rule needs a join, so it runs by itself over a few
     columns and the wide contact rows are not shuffled for it.
     """
     joined = [r for r in rules if r.name == NEEDS_REPEAT_FLAG]
     plain = [r for r in rules if r.name != NEEDS_REPEAT_FLAG]
-    parts = [_rule_counts(enriched, plain, keep)] if plain else []
+    found = [part_rows(enriched, rule_part(plain), keep=keep)] if plain else []
     if joined:
-        parts.append(_rule_counts(with_repeat_flag(enriched.select("contact_code", *SLICE)), joined, keep))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _rule_counts(enriched: DataFrame, rules: list[Rule], keep: tuple[str, ...]) -> DataFrame:
-    used = sorted({r.scope for r in rules})
-    judged = enriched.selectExpr(
-        *folded(keep), *(f"{sure(SCOPES[s])} AS s_{s}" for s in used), *(f"{r.failed} AS i_{r.name}" for r in rules)
-    )
-    numbers = counted(judged, [
-        *(f"count_if(s_{s}) AS s_{s}" for s in used), *(f"count_if(i_{r.name}) AS i_{r.name}" for r in rules)
-    ])
-    return metric_rows(numbers, [(r.name, f"i_{r.name}", f"s_{r.scope}") for r in rules]).filter("denominator > 0")
+        narrow = with_repeat_flag(enriched.select("contact_code", *SLICE))
+        found.append(part_rows(narrow, rule_part(joined), keep=keep))
+    return reduce(DataFrame.unionByName, found)
 
 
 # Staleness and match readiness

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from linkledger.config import SLICE
-from linkledger.functions.columns import MATCH_TIER
+from linkledger.functions.columns import MATCH_TIER, values
 from linkledger.operators import parity, sections
 from linkledger.operators.rules import all_rules, completeness_rules, field_quality_rules
 from linkledger.plans.workspace import Workspace
@@ -31,8 +31,7 @@ def section(ws: Workspace, category: str) -> DataFrame:
         ])
     elif category == "parity":
         rows = union([
-            sections.field_parity_rows(ws.linked()),
-            sections.priority_rows(ws.linked()),
+            sections.part_rows(ws.linked(), sections.field_part(), sections.priority_part()),
             sections.inactive_reason_rows(ws.inactive_linked()),
         ])
     elif category == "completeness":
@@ -47,7 +46,15 @@ def section(ws: Workspace, category: str) -> DataFrame:
 
 
 def dq_snapshot(ws: Workspace) -> DataFrame:
-    return union([section(ws, c) for c in CATEGORIES])
+    """All categories; completeness and field quality share one scan of the contacts."""
+    rules = sections.rule_rows(ws.enriched(), all_rules(ws.settings))
+    first = f"metric_name IN {values(r.name for r in completeness_rules())}"
+    return union([
+        *(section(ws, c) for c in CATEGORIES if c not in ("completeness", "field_quality")),
+        sections.to_snapshot_rows(rules, "field_quality", ws.settings.as_of).withColumn(
+            "metric_category", F.expr(f"if({first}, 'completeness', metric_category)")
+        ),
+    ])
 
 
 def stored_snapshots(ws: Workspace) -> DataFrame:
@@ -72,10 +79,10 @@ def dq_linkage(ws: Workspace) -> DataFrame:
 
 def dq_parity(ws: Workspace) -> DataFrame:
     """Only outcomes that occur, and the two address checks."""
-    rows = union([
-        sections.field_parity_rows(ws.linked(), sections.STANDALONE).filter("numerator > 0"),
-        sections.priority_rows(ws.linked(), sections.STANDALONE, set(parity.PRIORITY[:2])),
-    ])
+    address = parity.PRIORITY[:2]
+    rows = sections.part_rows(
+        ws.linked(), sections.field_part(), sections.priority_part(address), keep=sections.STANDALONE
+    ).filter(f"numerator > 0 OR metric_name IN {values(address)}")
     return sections.to_snapshot_rows(rows, "parity", ws.settings.as_of)
 
 
@@ -127,10 +134,10 @@ def metric(ws: Workspace, category: str, name: str) -> DataFrame:
         if name == parity.PRIORITY[4]:
             rows = sections.inactive_reason_rows(ws.inactive_linked())
         else:
-            rows = sections.priority_rows(ws.linked(), metrics={name})
+            rows = sections.part_rows(ws.linked(), sections.priority_part((name,)))
         category = "parity"
     elif category == "parity":
-        rows = sections.field_parity_rows(ws.linked(), fields=[name])
+        rows = sections.part_rows(ws.linked(), sections.field_part([name]))
     else:
         rows = sections.rule_rows(ws.enriched(), [r for r in all_rules(s, standalone=True) if r.name == name])
     return sections.to_snapshot_rows(rows, category, s.as_of)
