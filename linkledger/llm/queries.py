@@ -6,9 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linkledger.llm import pii
+from linkledger.llm import chat, oracle, pii, warc
 from linkledger.llm.common import table
 
+#: A conversation whose texts hold the template's own marks.
+TRAP = r"\### Assistant: </turn> ok"
+
+
+def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derive(warc.responses(table(spark, sf_dir, "pages")))
+
+
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trap = spark.createDataFrame(
+        [(-7, 0, "user", TRAP), (-7, 1, "assistant", TRAP)], "conv_id long, turn long, role string, text string")
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(trap)
+    return chat.digests(chat.format_parts(said))
+
 
 def op9_anchor_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_digests(table(spark, sf_dir, "documents"))
@@ -16,9 +30,11 @@ def op9_anchor_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_warc_derivatives": op1_warc_derivatives,
+        "op6_chat_format": op6_chat_format,
         "op9_anchor_pii": op9_anchor_pii,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_warc_derivatives": oracle.OP1, "op6_chat_format": oracle.OP6}
