@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linkledger.llm import chat, oracle, pii, topk, warc
+from linkledger.llm import chat, ngram_join, oracle, pii, topk, warc
 from linkledger.llm.common import table
 
 #: A conversation whose texts hold the template's own marks.
@@ -17,6 +17,10 @@ def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.derive(warc.responses(table(spark, sf_dir, "pages")))
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op4_maxscore_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"), "embedding", 1024)
     return topk.search(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
@@ -36,6 +40,7 @@ def op9_anchor_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc_derivatives": op1_warc_derivatives,
+        "op2_ngram_jaccard": op2_ngram_jaccard,
         "op4_maxscore_topk": op4_maxscore_topk,
         "op6_chat_format": op6_chat_format,
         "op9_anchor_pii": op9_anchor_pii,
