@@ -48,14 +48,14 @@ def _plain(text: Column) -> Column:
 
 def plain_text(html: Column) -> Column:
     """Text of a page: one line per block element, spaces and blank lines closed up."""
+    silent = "|".join(_SILENT)
     text = F.regexp_replace(html, r"(?s)<!--.*?(?:-->|\z)", "")
-    for name in _SILENT:
-        text = F.regexp_replace(text, rf"(?is)<{name}(?:\s[^>]*)?>.*?(?:</{name}\s*>|\z)", " ")
+    text = F.regexp_replace(text, rf"(?is)<({silent})(?:\s[^>]*)?>.*?(?:</\1\s*>|\z)", " ")
     text = F.regexp_replace(text, rf"(?i)</?(?:{_LINE})(?:[\s/][^>]*)?>", "\n")
     text = _plain(F.regexp_replace(text, r"</?[A-Za-z!?][^>]*>", ""))
-    text = F.regexp_replace(text, r"[ \t\r\f\x0B]+", " ")
-    text = F.regexp_replace(text, r" ?\n[ \n]*", "\n")
-    return F.regexp_replace(text, r"^[ \n]+|[ \n]+\z", "")
+    text = F.regexp_replace(text, r"[ \t\r\f\x0B]{2,}|[\t\r\f\x0B]", " ")
+    text = F.regexp_replace(text, r" \n[ \n]*|\n[ \n]+", "\n")
+    return F.btrim(text, F.lit(" \n"))
 
 
 def responses(pages: DataFrame, date: str = NO_DATE) -> DataFrame:
