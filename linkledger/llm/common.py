@@ -5,8 +5,14 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+
+#: Rows whose values are Python objects at one time.
+ROWS_AT_ONCE = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,9 +63,58 @@ def with_columns(df: DataFrame, source: str, make, schema: str) -> DataFrame:
         from pyspark.sql.pandas.types import to_arrow_type
 
         kinds = [to_arrow_type(f.dataType) for f in new.fields]
-        for batch in batches:
-            made = make(batch.column(at).to_pylist())
-            arrays = [pa.array(v, k) for v, k in zip(made, kinds)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], [f.name for f in out.fields])
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(start, ROWS_AT_ONCE)
+                made = make(batch.column(at).to_pylist())
+                arrays = [pa.array(v, k) for v, k in zip(made, kinds)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], [f.name for f in out.fields])
 
     return df.mapInArrow(run, out)
+
+
+#: Rows of partial sums that one task adds up, and numbers in such a row.
+FAN_IN, SLICE = 32, 1 << 14
+
+
+def tree_sum(df: DataFrame, run, size: int, stages: Stages, name: str) -> np.ndarray:
+    """The sum over all partitions of an array of a fixed size.
+
+    ``run(batches)`` yields one (array, last number) per partition, together of ``size`` numbers. Sums are added in a
+    tree of fan-in FAN_IN, slice by slice, so no task and not the driver holds more than a fixed number of arrays.
+    """
+    slices = -(-size // SLICE)
+
+    def partial(batches):
+        from pyspark import TaskContext
+
+        total = np.zeros(slices * SLICE)
+        for array, last in run(batches):
+            total[: size - 1] += array
+            total[size - 1] += last
+        part = TaskContext.get().partitionId()
+        yield pa.RecordBatch.from_pydict({
+            "part": pa.array([part] * slices, pa.int64()), "slice": pa.array(range(slices), pa.int64()),
+            "sums": pa.array([total[i * SLICE: (i + 1) * SLICE].tobytes() for i in range(slices)], pa.binary()),
+        })
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(SLICE)
+        for sums in rows["sums"]:
+            total += np.frombuffer(sums)
+        return rows.head(1).assign(sums=total.tobytes())
+
+    schema = "part long, slice long, sums binary"
+    sums = stages.write(df.mapInArrow(partial, schema), f"{name}-0")
+    parts, level = (sums.selectExpr("max(part) + 1").first()[0] or 0), 0
+    while parts > 1:
+        level += 1
+        groups = sums.withColumn("part", F.floor(F.col("part") / FAN_IN)).groupBy("part", "slice")
+        sums = stages.write(groups.applyInPandas(add, schema), f"{name}-{level}")
+        stages.drop(f"{name}-{level - 1}")
+        parts = -(-parts // FAN_IN)
+    total = np.zeros(slices * SLICE)
+    for row in sums.collect():  # one row per slice
+        total[row.slice * SLICE: (row.slice + 1) * SLICE] += np.frombuffer(row.sums)
+    stages.drop(f"{name}-{level}")
+    return total[:size]

@@ -13,10 +13,11 @@
    below the bound are dropped without a look at their shingles.
 5. The other pairs are settled by intersecting their sorted shingle arrays.
 
-Tiles are worked in two passes. The first compares each node with one leader of its tile, which joins most members of
-a large group of near copies. The second compares, in blocks, all pairs that are not in one component yet, so no
-link between components is lost and a large group is not compared with itself. Blocks are of bounded size, and a
-tile of any size is spread over many tasks.
+Tiles are worked in three passes. The first compares each node with one leader of its tile, which joins most members
+of a large group of near copies. The second compares bitmaps, in blocks, of all pairs that are not in one component
+yet, and settles for each node the nearest of every other component. The third does the same and settles all pairs
+that are still open, so no link between components is lost, and a large group is not compared with itself. Blocks are
+of bounded size, and a tile of any size is spread over many tasks.
 
 Null and empty texts have an empty set and no link. Repeated rows are copies. Rows without an id count as copies and
 get the smallest id of their group, or null.
@@ -33,58 +34,33 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from linkledger.llm.common import Stages, with_columns
+from linkledger.llm.common import Stages, tree_sum, with_columns
 from linkledger.llm.components import components
 from linkledger.llm.shingles import shingle_set
 
 THRESHOLD = Fraction(3, 4)
-#: Counters for the order of shingles, and counters in a row of the table that sums them.
-COUNTERS, SLICE = 1 << 20, 1 << 14
-#: Rows of tables of counters that one task adds up.
-FAN_IN = 32
+#: Counters for the order of shingles.
+COUNTERS = 1 << 20
 #: Nodes in a block of a tile.
 BLOCK = 2048
 #: Rows of tiles that one task compares, about.
-TASK_ROWS = 40_000
+TASK_ROWS = 20_000
 #: Ids that may be broadcast to a scan of the texts; beyond that, texts are shuffled.
 BROADCAST_IDS = 2_000_000
 
 
 def shingle_order(docs: DataFrame, stages: Stages):
     """Counters over the shingles of all texts, as a broadcast array of fixed size."""
-    def count(batches):
-        from pyspark import TaskContext
-
-        table = np.zeros(COUNTERS, np.int64)
+    def run(batches):
+        total = np.zeros(COUNTERS)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                np.add.at(table, (shingle_set(text) & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
-        part = TaskContext.get().partitionId()
-        yield pa.RecordBatch.from_pydict({
-            "part": pa.array([part] * (COUNTERS // SLICE), pa.int64()),
-            "slice": pa.array(range(COUNTERS // SLICE), pa.int64()),
-            "counts": pa.array([table[i: i + SLICE].tobytes() for i in range(0, COUNTERS, SLICE)], pa.binary()),
-        })
-
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(SLICE, np.int64)
-        for counts in rows["counts"]:
-            total += np.frombuffer(counts, np.int64)
-        return rows.head(1).assign(counts=total.tobytes())
-
-    schema = "part long, slice long, counts binary"
-    sums = stages.write(docs.select("text").mapInArrow(count, schema), "counts-0")
-    parts, level = sums.selectExpr("max(part) + 1").first()[0] or 0, 0
-    while parts > 1:
-        grouped = sums.withColumn("part", F.floor(F.col("part") / FAN_IN)).groupBy("part", "slice")
-        level += 1
-        sums = stages.write(grouped.applyInPandas(add, schema), f"counts-{level}")
-        stages.drop(f"counts-{level - 1}")
-        parts = -(-parts // FAN_IN)
-    table = np.zeros(COUNTERS, np.int64)
-    for row in sums.collect():  # of fixed size
-        table[row.slice * SLICE: (row.slice + 1) * SLICE] = np.frombuffer(row.counts, np.int64)
-    return docs.sparkSession.sparkContext.broadcast(np.minimum(table, 2 ** 31 - 1).astype(np.int32))
+            for text in batch.column(0):
+                s = shingle_set(text.as_py())
+                np.add.at(total, (s & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
+        yield total, 0
+
+    total = tree_sum(docs.select("text"), run, COUNTERS + 1, stages, "counts")
+    return docs.sparkSession.sparkContext.broadcast(np.minimum(total[:-1], 2 ** 31 - 1).astype(np.int32))
 
 
 def band(n: int) -> int:
@@ -139,7 +115,8 @@ def signatures(docs: DataFrame, order) -> DataFrame:
 
 
 def tiles(signed: DataFrame) -> DataFrame:
-    """(tile, band, key, n) of tiles with two members or more, from signatures."""
+    """(tile, band, key, n, top) of tiles with two members or more, from signatures; ``top`` marks members of the
+    tile's own band. Those of the band below meet each other in their own tile."""
     rows = signed.filter("key is not null").select("key", "n", "band", F.explode("prefix").alias("token"))
     rows = rows.repartition("token").groupBy("token", "key").agg(F.first("n").alias("n"), F.first("band").alias("band"))
     shared = rows.selectExpr(
@@ -148,8 +125,8 @@ def tiles(signed: DataFrame) -> DataFrame:
     ).filter("members > 1")
     own = shared.selectExpr("xxhash64(mark, members) as members", "key", "n", "band").distinct()
     # Each node is in the tile of its band and in that of the band above, where it meets larger sets.
-    return own.selectExpr("members", "key", "n", "explode(array(band, band + 1)) as band").selectExpr(
-        "xxhash64(members, band) as tile", "band", "key", "n")
+    return own.selectExpr("members", "key", "n", "band as own", "explode(array(band, band + 1)) as band").selectExpr(
+        "xxhash64(members, band) as tile", "band", "key", "n", "own = band as top")
 
 
 def most_apart(nx: np.ndarray, ny: np.ndarray) -> np.ndarray:
@@ -159,24 +136,31 @@ def most_apart(nx: np.ndarray, ny: np.ndarray) -> np.ndarray:
     return total - 2 * -(-(p * total) // (p + q))
 
 
-def _near(left: pd.DataFrame, right: pd.DataFrame, bits: int):
-    """Index pairs of rows that size and bitmaps leave open and whose components differ."""
+def _near(left: pd.DataFrame, right: pd.DataFrame, bits: int, nearest: bool):
+    """Index pairs of rows that size and bitmaps leave open and whose components differ; with ``nearest``, only the
+    one per component of the right side whose bitmap differs least."""
     def maps(rows):
         return np.stack([folded(np.frombuffer(b, np.uint64), bits) for b in rows["bits"]])
 
     a, b = maps(left), maps(right)
     na, nb = left["n"].to_numpy(), right["n"].to_numpy()
     ca, cb = left["component"].to_numpy(), right["component"].to_numpy()
+    ta, tb = left["top"].to_numpy(), right["top"].to_numpy()
     p, q = THRESHOLD.numerator, THRESHOLD.denominator
     for i in range(len(left)):
-        near = (ca[i] != cb) & (p * np.maximum(na[i], nb) <= q * np.minimum(na[i], nb))
+        near = (ca[i] != cb) & (ta[i] | tb) & (p * np.maximum(na[i], nb) <= q * np.minimum(na[i], nb))
         js = np.flatnonzero(near)
         if len(js):
             apart = np.bitwise_count(a[i] ^ b[js]).sum(axis=1, dtype=np.int64)
-            yield i, js[apart <= most_apart(na[i], nb[js])]
+            open_ = apart <= most_apart(na[i], nb[js])
+            js, apart = js[open_], apart[open_]
+            if nearest and len(js) > 1:
+                js = js[np.lexsort((apart, cb[js]))]
+                js = js[np.unique(cb[js], return_index=True)[1]]
+            yield i, js
 
 
-def _compare(rows: pd.DataFrame) -> pd.DataFrame:
+def _compare(rows: pd.DataFrame, nearest: bool) -> pd.DataFrame:
     """Open pairs of the tile blocks in ``rows``: those of the left side (1) with all of the right (0)."""
     xs, ys = [], []
     for (_, number), tile in rows.groupby(["unit", "band"], sort=False):
@@ -185,8 +169,7 @@ def _compare(rows: pd.DataFrame) -> pd.DataFrame:
             continue
         ka, kb = left["key"].to_numpy(), right["key"].to_numpy()
         # Members of a tile are of its band or the one below; the narrower bitmaps decide.
-        bits = bitmap_bits(int(number) - 1)
-        for i, js in _near(left, right, bits):
+        for i, js in _near(left, right, bitmap_bits(int(number) - 1), nearest):
             xs.append(np.minimum(ka[i], kb[js]))
             ys.append(np.maximum(ka[i], kb[js]))
     pairs = pd.DataFrame({"x": np.concatenate(xs) if xs else np.empty(0, np.int64),
@@ -194,12 +177,34 @@ def _compare(rows: pd.DataFrame) -> pd.DataFrame:
     return pairs.drop_duplicates()
 
 
-def _open_pairs(sided: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs (x, y) that stay open, of rows (unit, band, side, key, n, component)."""
+def _across(parts: DataFrame, nodes: DataFrame, stages: Stages, name: str, nearest: bool) -> DataFrame:
+    """Open pairs (x, y) across components, of tiles whose members have a ``component``.
+
+    Members outside a tile's largest component meet all members, in blocks."""
+    per = parts.groupBy("tile", "component").agg(F.count("*").alias("held"), F.max("top").alias("top"))
+    sizes = per.groupBy("tile").agg(
+        F.max(F.struct("held", "component"))["component"].alias("major"), F.sum("held").alias("size"),
+        F.max("held").alias("major_size"), F.count("*").alias("components"), F.max("top").alias("any_top"),
+    ).filter("components > 1 and any_top").selectExpr(
+        "tile", "major", f"cast(ceil(size / {BLOCK}) as int) as blocks",
+        f"cast(ceil((size - major_size) / {BLOCK}) as int) as minor_blocks")
+    rows = parts.join(sizes, "tile")
+    fields = ["tile", "band", "key", "n", "top", "component"]
+    right = rows.selectExpr(
+        *fields, "0 as side", "cast(pmod(xxhash64(key), blocks) as int) as block",
+        "explode(sequence(0, minor_blocks - 1)) as minor")
+    left = rows.filter("component <> major").selectExpr(
+        *fields, "1 as side", "explode(sequence(0, blocks - 1)) as block",
+        "cast(pmod(xxhash64(key, 1), minor_blocks) as int) as minor")
+    sided = stages.write(right.unionByName(left).selectExpr(
+        "xxhash64(tile, block, minor) as unit", *fields[1:], "side"), f"{name}-sided")
     tasks = max(1, sided.count() // TASK_ROWS)
-    rows = sided.join(nodes.select("key", "bits"), "key").select(
-        F.pmod(F.xxhash64("unit"), F.lit(tasks)).alias("task"), "unit", "band", "side", "key", "n", "component", "bits")
-    return rows.groupBy("task").applyInPandas(_compare, "x long, y long").distinct()
+    dealt = sided.join(nodes.select("key", "bits"), "key").withColumn("task", F.pmod(F.xxhash64("unit"), F.lit(tasks)))
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        return _compare(rows, nearest)
+
+    return dealt.groupBy("task").applyInPandas(compare, "x long, y long").distinct()
 
 
 def shingle_arrays(docs: DataFrame, nodes: DataFrame, keys: DataFrame) -> DataFrame:
@@ -245,53 +250,38 @@ def links_between(docs: DataFrame, signed: DataFrame, stages: Stages):
     tiled = stages.write(tiles(signed), "tiles")
 
     # First pass: each node of a tile with the tile's leader.
-    leaders = tiled.groupBy("tile", "band").agg(
-        F.min(F.struct(F.xxhash64("key").alias("h"), "key", "n")).alias("leader"), F.count("*").alias("members"))
-    leaders = leaders.filter("members > 1").select("tile", "band", "leader.key", "leader.n")
-    stars = tiled.join(leaders.selectExpr("tile", "key as lead", "n as lead_n"), "tile").filter("key <> lead")
-    star_pairs = stars.selectExpr("least(key, lead) as x", "greatest(key, lead) as y").filter("x <> y").distinct()
-    links = stages.write(_settled(star_pairs, docs, nodes, stages, "star"), "links-1")
-    labels = stages.write(components(links, stages, "parts-1"), "labels-1")
-
-    # Second pass: pairs across components.
-    parts = tiled.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn(
-        "component", F.coalesce("component", "key"))
-    parts = stages.write(parts, "parted")
-    per = parts.groupBy("tile", "component").agg(F.count("*").alias("held"))
-    tile_sizes = per.groupBy("tile").agg(
-        F.max(F.struct("held", "component"))["component"].alias("major"), F.sum("held").alias("size"),
-        F.max("held").alias("major_size"), F.count("*").alias("components"),
-    ).filter("components > 1").selectExpr(
-        "tile", "major", f"cast(ceil(size / {BLOCK}) as int) as blocks",
-        f"cast(ceil((size - major_size) / {BLOCK}) as int) as minor_blocks")
-    rows = parts.join(tile_sizes, "tile")
-    right = rows.selectExpr(
-        "tile", "band", "key", "n", "component", "0 as side", "cast(pmod(xxhash64(key), blocks) as int) as block",
-        "explode(sequence(0, minor_blocks - 1)) as minor")
-    left = rows.filter("component <> major").selectExpr(
-        "tile", "band", "key", "n", "component", "1 as side", "explode(sequence(0, blocks - 1)) as block",
-        "cast(pmod(xxhash64(key, 1), minor_blocks) as int) as minor")
-    sided = right.unionByName(left).selectExpr(
-        "xxhash64(tile, block, minor) as unit", "band", "side", "key", "n", "component")
-    sided = stages.write(sided, "sided")
-    more = _settled(_open_pairs(sided, nodes), docs, nodes, stages, "rest")
-    return stages.write(links.unionByName(more), "links-2"), nodes
+    leaders = tiled.groupBy("tile").agg(
+        F.min(F.struct(F.xxhash64("key").alias("h"), "key")).alias("leader"), F.count("*").alias("members"))
+    leaders = leaders.filter("members > 1").selectExpr("tile", "leader.key as lead")
+    stars = tiled.join(leaders, "tile").filter("key <> lead")
+    pairs = _bounded(stars.selectExpr("least(key, lead) as x", "greatest(key, lead) as y").distinct(), nodes)
+    links = stages.write(_settled(pairs, docs, nodes, stages, "star"), "links-0")
+
+    # Then across components: each node with the nearest of another component, and at last with all that are open.
+    for number, nearest in enumerate((True, False), 1):
+        labels = stages.write(components(links, stages, f"parts-{number}"), f"labels-{number}")
+        parts = stages.write(
+            tiled.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn(
+                "component", F.coalesce("component", "key")), f"parted-{number}")
+        open_ = _across(parts, nodes, stages, f"pass-{number}", nearest)
+        more = _settled(open_, docs, nodes, stages, f"pass-{number}")
+        links = stages.write(links.unionByName(more), f"links-{number}")
+    return links, nodes
 
 
 def _settled(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, stages: Stages, name: str) -> DataFrame:
-    """Links among pairs; the bitmaps of pairs that did not pass them yet are compared first."""
-    side = nodes.select("key", "n", "bits")
-    if name == "star":
-        pairs = _bounded(pairs.join(side.selectExpr("key as x", "n as nx", "bits as bx"), "x").join(
-            side.selectExpr("key as y", "n as ny", "bits as by"), "y"))
+    """Links among open pairs."""
     pairs = stages.write(pairs, f"{name}-pairs")
     keys = pairs.selectExpr("explode(array(x, y)) as key").distinct()
     arrays = stages.write(shingle_arrays(docs, nodes, keys), f"{name}-arrays")
     return _verified(pairs, arrays)
 
 
-def _bounded(pairs: DataFrame) -> DataFrame:
-    """Pairs whose sizes and bitmaps allow a link."""
+def _bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs (x, y) whose sizes and bitmaps allow a link."""
+    pairs = pairs.join(nodes.selectExpr("key as x", "n as nx", "bits as bx"), "x").join(
+        nodes.selectExpr("key as y", "n as ny", "bits as by"), "y")
+
     def check(batches):
         p, q = THRESHOLD.numerator, THRESHOLD.denominator
         for batch in batches:
@@ -315,7 +305,7 @@ def near_groups(docs: DataFrame, stages: Stages | None = None) -> DataFrame:
     order = shingle_order(docs, stages)
     signed = stages.write(signatures(docs, order), "signed")
     links, nodes = links_between(docs, signed, stages)
-    labels = components(links, stages, "parts-2")
+    labels = components(links, stages, "parts-end")
     named = nodes.join(labels.withColumnRenamed("node", "key"), "key", "left").select(
         "key", "first", F.coalesce("component", "key").alias("component"))
     least = named.groupBy("component").agg(F.min("first").alias("least"))
