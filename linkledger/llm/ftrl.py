@@ -1,7 +1,7 @@
 """Logistic regression on sparse features, trained with follow-the-regularised-leader updates.
 
-Examples are dealt to a fixed number of shards. In a round every shard runs the updates over its examples from the
-common state and returns what it changed; changes are averaged over shards for the sums of gradients and added for
+Examples are dealt to a fixed number of shards. In a round every shard runs the updates over its examples, one or
+more times, from the common state and returns what it changed; changes are averaged over shards for the sums of gradients and added for
 the squared ones. State and changes have one entry per feature at most, so the driver holds a fixed size.
 """
 
@@ -23,6 +23,7 @@ class Ftrl:
     l2: float = 0.5
     rounds: int = 4
     shards: int = 8
+    passes: int = 1
 
     def weights(self, z: np.ndarray, n: np.ndarray) -> np.ndarray:
         shrunk = z - np.sign(z) * self.l1
@@ -52,8 +53,10 @@ def train(examples: DataFrame, model: Ftrl) -> np.ndarray:
         def run(rows: pd.DataFrame) -> pd.DataFrame:
             z0, n0 = state.value
             z1, n1 = z0.copy(), n0.copy()
-            for row in rows.sort_values("pick").itertuples():
-                model.learn(z1, n1, row.label, np.asarray(row.at, np.int64), np.asarray(row.value, np.float64))
+            found = [(r.label, np.asarray(r.at, np.int64), np.asarray(r.value, np.float64))
+                     for r in rows.sort_values("pick").itertuples()]
+            for label, at, value in found * model.passes:
+                model.learn(z1, n1, label, at, value)
             at = np.flatnonzero((z1 != z0) | (n1 != n0))
             return pd.DataFrame({"at": at.astype(np.int32), "dz": (z1 - z0)[at], "dn": (n1 - n0)[at]})
 

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linkledger.llm import chat, ngram_join, oracle, pii, topk, warc
+from linkledger.llm import (
+    chat, decontam, maxent, ngram_join, oracle, packing, pii, quality, topk, toxicity, warc,
+)
 from linkledger.llm.common import table
 
 #: A conversation whose texts hold the template's own marks.
@@ -21,11 +23,21 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_dominance_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op4_maxscore_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"), "embedding", 1024)
     return topk.search(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
 
 
+def op5_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     trap = spark.createDataFrame(
         [(-7, 0, "user", TRAP), (-7, 1, "assistant", TRAP)], "conv_id long, turn long, role string, text string")
@@ -33,17 +45,36 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_parts(said))
 
 
+def op7_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.scored(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op8_levenshtein_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_anchor_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_digests(table(spark, sf_dir, "documents"))
 
 
+def op10_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.scored(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc_derivatives": op1_warc_derivatives,
         "op2_ngram_jaccard": op2_ngram_jaccard,
+        "op3_dominance_packing": op3_dominance_packing,
         "op4_maxscore_topk": op4_maxscore_topk,
+        "op5_suffix_decontamination": op5_suffix_decontamination,
         "op6_chat_format": op6_chat_format,
+        "op7_ftrl_quality": op7_ftrl_quality,
+        "op8_levenshtein_toxicity": op8_levenshtein_toxicity,
         "op9_anchor_pii": op9_anchor_pii,
+        "op10_maxent_scores": op10_maxent_scores,
     }
 
 

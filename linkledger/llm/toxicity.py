@@ -29,8 +29,9 @@ from linkledger.llm.labelled import remainder, training_rows
 #: Labelled documents to learn from at most.
 SAMPLE = 12_000
 THRESHOLD = 0.7
-#: A term stands in so many toxic documents, after so many different words, and in so small a share of others.
-LEAST_DOCUMENTS, LEAST_CONTEXTS, MOST_CLEAN = 4, 4, 0.05
+#: A term stands in so many toxic documents and in such a share of them, after so many different words; and of the
+#: documents it stands in, so small a share is clean.
+LEAST_DOCUMENTS, LEAST_SHARE, LEAST_CONTEXTS, MOST_CLEAN = 4, 0.005, 4, 0.05
 #: Terms at most, the most frequent first: the lexicon is broadcast.
 MOST_TERMS = 20_000
 #: Words on a side of a hit that show how it is meant.
@@ -46,7 +47,7 @@ _OPEN, _CLOSE = "\"“„«‘", "\"”“»’"
 
 #: Features: the constant, then one per class of hits, then the share of words that are hits.
 DIMS = 16
-MODEL = Ftrl(dims=DIMS, alpha=0.5, l1=0.001, l2=0.01, rounds=5)
+MODEL = Ftrl(dims=DIMS, alpha=0.5, l1=0.001, l2=0.001, rounds=4, passes=15)
 
 
 def edits_allowed(term: str) -> int:
@@ -206,8 +207,9 @@ def learn_lexicon(rows: DataFrame) -> list[str]:
     per = per.groupBy("word").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"),
         F.sum((F.col("toxic") > 0).cast("int")).alias("contexts"))
+    least = max(LEAST_DOCUMENTS, LEAST_SHARE * rows.filter("label = 1").count())
     per = per.filter(
-        f"toxic >= {LEAST_DOCUMENTS} and contexts >= {LEAST_CONTEXTS} and clean <= {MOST_CLEAN} * (toxic + clean)")
+        f"toxic >= {least} and contexts >= {LEAST_CONTEXTS} and clean <= {MOST_CLEAN} * (toxic + clean)")
     return [r.word for r in per.orderBy(F.desc("toxic"), "word").limit(MOST_TERMS).select("word").collect()]
 
 
