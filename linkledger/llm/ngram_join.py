@@ -299,8 +299,9 @@ def _bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.mapInArrow(check, "x long, y long")
 
 
-def near_groups(docs: DataFrame, stages: Stages | None = None) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text)."""
+def grouped(docs: DataFrame, stages: Stages | None = None) -> DataFrame:
+    """doc_id, text_hash, n, and component (a number per group, null for empty sets) and least (its smallest id) of
+    every row of ``docs`` (doc_id, text)."""
     stages = stages or Stages(docs.sparkSession, "ngram-join")
     order = shingle_order(docs, stages)
     signed = stages.write(signatures(docs, order), "signed")
@@ -309,7 +310,39 @@ def near_groups(docs: DataFrame, stages: Stages | None = None) -> DataFrame:
     named = nodes.join(labels.withColumnRenamed("node", "key"), "key", "left").select(
         "key", "first", F.coalesce("component", "key").alias("component"))
     least = named.groupBy("component").agg(F.min("first").alias("least"))
-    named = named.join(least, "component").select("key", "least")
-    return signed.select("doc_id", "n", "key").join(named, "key", "left").select(
+    named = named.join(least, "component").select("key", "component", "least")
+    return signed.select("doc_id", "text_hash", "n", "key").join(named, "key", "left").drop("key")
+
+
+def near_groups(docs: DataFrame, stages: Stages | None = None) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text)."""
+    return grouped(docs, stages).select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+        F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+
+
+def one_of_each_group(docs: DataFrame, stages: Stages | None = None) -> DataFrame:
+    """Rows of ``docs``, all columns, of which one stays per group: that of the smallest id, of one id the text of the
+    smallest hash, of repeated rows one. Rows with an empty set all stay."""
+    stages = stages or Stages(docs.sparkSession, "ngram-join")
+    rows = stages.write(grouped(docs, stages).filter("component is not null"), "grouped")
+    place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")
+    best = rows.groupBy("component").agg(F.min(place).alias("best"))
+    own = rows.groupBy("component", "doc_id", "text_hash").agg(F.count("*").alias("copies"))
+    own = own.join(best, "component").withColumn("stays", place == F.col("best"))
+    names = [F.col("doc_id").alias("other_id"), F.col("text_hash").alias("other_hash")]
+    gone = stages.write(own.filter("not stays").select(*names), "gone")
+    again = stages.write(own.filter("stays and copies > 1").select(*names), "again")
+
+    def meets(other: DataFrame):
+        return docs["doc_id"].eqNullSafe(other["other_id"]) & (F.xxhash64(docs["text"]) == other["other_hash"])
+
+    def small(other: DataFrame) -> DataFrame:
+        return F.broadcast(other) if other.count() <= BROADCAST_IDS else other
+
+    left = docs.join(small(gone), meets(gone), "left_anti")
+    if again.isEmpty():
+        return left
+    once = left.join(small(again), meets(again), "left_anti")
+    repeated = left.join(small(again), meets(again), "left_semi")
+    return once.unionByName(repeated.dropDuplicates(["doc_id", "text"]))

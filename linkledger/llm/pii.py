@@ -16,7 +16,7 @@ import hashlib
 import re
 
 import ahocorasick
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from linkledger.llm.common import with_columns
 
@@ -144,10 +144,16 @@ def mask(text: str | None) -> str | None:
     return "".join(out) + text[done:]
 
 
-def masked(docs: DataFrame) -> DataFrame:
-    """All rows and columns of ``docs``; only texts with personal data change."""
+def masked(docs: DataFrame, length: str | None = None) -> DataFrame:
+    """All rows and columns of ``docs``; only texts with personal data change, and with them the column ``length``, if
+    it is named, which holds their characters."""
     name = "masked_text"
     while name in docs.columns:
         name += "_"
     done = with_columns(docs, "text", lambda texts: [[mask(t) for t in texts]], f"{name} string")
-    return done.select([done[name].alias("text") if c == "text" else done[c] for c in docs.columns])
+    changed = {"text": done[name].alias("text")}
+    if length:
+        kind = docs.schema[length].dataType
+        same = done[name].eqNullSafe(done["text"])
+        changed[length] = F.when(same, done[length]).otherwise(F.length(done[name]).cast(kind)).alias(length)
+    return done.select([changed.get(c, done[c]) for c in docs.columns])
