@@ -2,7 +2,8 @@
 
 A blank that has other than white space on a side always begins a piece of the tokenizer's own split, so words between
 blanks are encoded once each and looked up afterwards; a text where blanks meet other white space goes to the
-tokenizer whole. Both ways give the ids of the whole text.
+tokenizer whole. Letters with a mark after them are two pieces of that split, and go straight to the tokenizer's BPE
+model. All ways give the ids of the whole text.
 """
 
 from __future__ import annotations
@@ -10,15 +11,19 @@ from __future__ import annotations
 import functools
 import os
 import re
+from array import array
 
 import numpy as np
 
 _BLANKS = re.compile(r"(?:\s|\A) (?:\s|\Z)")
-_WORDS, _IDS = 250_000, 2_000_000
+#: Words of one generation of the table; two are kept.
+_WORDS = 200_000
+_MARKS = frozenset((".", ",", ";", ":", "!", "?", ")"))
 
 
 class Encoder:
-    """Ids of texts, with a table of words that is emptied when full."""
+    """Ids of texts. Words seen lately are kept with their ids: when the table is full its words become the older
+    generation, and words that are used again move back, so that frequent ones stay."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -26,42 +31,65 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.rows: dict[str, int] = {}
-        self.begin = np.zeros(_WORDS + 1, np.int64)
-        self.ids = np.zeros(_IDS, np.uint32)
-
-    def _plain(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-
-    def _add(self, word: str) -> int:
-        ids = self._plain(" " + word)
-        row = len(self.rows)
-        start = self.begin[row]
-        if start + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(ids)), np.uint32)])
-        self.ids[start: start + len(ids)] = ids
-        self.begin[row + 1] = start + len(ids)
-        self.rows[word] = row
-        return row
+        self.model = self.tokenizer.model
+        self.written, self.blank = self._alphabet()
+        self.marks = {m: self._plain(m) for m in (*_MARKS, "\n")}
+        self.older: dict[str, bytes] = {}
+        self.words = _Table(self._word)
+
+    def _alphabet(self) -> tuple[dict[int, str], str]:
+        """How the tokenizer's split writes the bytes of Latin letters, and a blank."""
+        split = self.tokenizer.pre_tokenizer
+        out = {}
+        for char in (chr(c) for c in range(0x41, 0x250) if chr(c).isalpha()):
+            out |= dict(zip(char.encode(), "".join(piece for piece, _ in split.pre_tokenize_str(char))))
+        return out, split.pre_tokenize_str(" a")[0][0][0]
+
+    def _plain(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _letters(self, word: str, before: str) -> bytes | None:
+        """Ids of Latin letters with a mark after them or none; None for any other word."""
+        core, mark = (word[:-1], self.marks[word[-1]]) if word[-1:] in _MARKS else (word, b"")
+        if not core.isalpha():
+            return None
+        if not core.isascii():
+            if max(core) >= "\u0250":
+                return None
+            core = core.encode().decode("latin-1").translate(self.written)
+        return array("I", [t.id for t in self.model.tokenize(before + core)]).tobytes() + mark
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a blank and a word, which may hold a line feed between two words."""
+        found = self.older.get(word) or self._letters(word, self.blank)
+        if found is None and word.count("\n") == 1:
+            first, _, second = word.partition("\n")
+            found, rest = self._letters(first, self.blank), self._letters(second, "")
+            found = found + self.marks["\n"] + rest if found and rest else None
+        if found is None:
+            found = self._plain(" " + word)
+        if len(self.words) >= _WORDS:
+            self.older = dict(self.words)
+            self.words.clear()
+        return found
 
     def encode(self, text: str) -> np.ndarray:
         if _BLANKS.search(text):
-            return self._plain(text)
-        first, *words = text.split(" ")
-        parts = [self._plain(first)] if first else []
-        for at in range(0, len(words), _WORDS // 2):
-            part = words[at: at + _WORDS // 2]
-            if len(self.rows) + len(part) > _WORDS:
-                known = len(self.rows) + len(set(part) - self.rows.keys())
-                if known > _WORDS:
-                    self.rows.clear()
-            get = self.rows.get
-            rows = np.fromiter((r if (r := get(w)) is not None else self._add(w) for w in part), np.int64, len(part))
-            start = self.begin[rows]
-            length = self.begin[rows + 1] - start
-            ends = np.cumsum(length)
-            parts.append(self.ids[np.arange(ends[-1]) + np.repeat(start - ends + length, length)])
-        return np.concatenate(parts) if parts else np.empty(0, np.uint32)
+            return np.frombuffer(self._plain(text), "<u4")
+        first, *rest = text.split(" ")
+        head = self._plain(first) if first else b""
+        return np.frombuffer(head + b"".join(map(self.words.__getitem__, rest)), "<u4")
+
+
+class _Table(dict):
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, word: str) -> bytes:
+        value = self.make(word)
+        self[word] = value
+        return value
 
 
 @functools.cache
