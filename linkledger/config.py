@@ -19,20 +19,27 @@ class Settings:
     history: tuple[dt.date, ...] = ()  # dates of the stored snapshots; only as_of if empty
     source: str = "DEALER XREF"
     sentinel_entity: int = 999999998
-    dealer_id: str = "034"
+    dealer_id: str | None = None               # links of one dealer only
     customer_type: str = "CUSTOMER"
     prospect_type: str = "PROSPECT"
-    project_start: dt.date = dt.date(2001, 7, 1)
-    closed_branches: tuple[str, ...] = (
-        "07", "13", "52", "55", "61", "63", "64", "67", "70", "71",
-    )
-    internal_domains: tuple[str, ...] = ("internal.example",)
+    project_start: dt.date | None = None  # links from this day on are the project's
+    closed_branches: tuple[str, ...] = ()      # codes that no contact should carry any more
+    internal_domains: tuple[str, ...] = ()     # mail domains of the own staff
     decile_method: str = "share"      # "share" of revenue, or "ntile" of accounts
     staleness_step: str = "calendar"  # "calendar" years, or "365d" steps
     cohorts: str = "current"          # "current" or "older" year edges
     parity_us_default: bool = False   # compare an empty country as US
     history_from: int = 1996          # first calendar year of the sales history
 
+    @property
+    def started(self) -> dt.date:
+        """First day of the project; the year of the run if none is given."""
+        return self.project_start or self.as_of.replace(month=1, day=1)
+
+    @property
+    def dates(self) -> tuple[dt.date, ...]:
+        return self.history or (self.as_of,)
+
     def at(self, as_of: dt.date) -> "Settings":
         return replace(self, as_of=as_of)
 

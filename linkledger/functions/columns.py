@@ -10,8 +10,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
-
 from linkledger.functions import lists
 
 
@@ -76,11 +74,6 @@ def total(x: str) -> str:
     return f"cast(sum({x}) AS decimal(18,2))"
 
 
-def optional(df: DataFrame, name: str) -> str:
-    """A column the source may not have."""
-    return name if name in df.columns else "cast(NULL AS string)"
-
-
 def is_one_of(x: str, items: Iterable[str]) -> str:
     return f"upper({x}) IN {values(items)}"
 

@@ -7,13 +7,13 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from linkledger.config import Settings
-from linkledger.functions.columns import IS_ACTIVE, IS_FIRM, blank_to_null, code_key, lit, optional, valid_entity
+from linkledger.functions.columns import IS_ACTIVE, IS_FIRM, blank_to_null, code_key, lit, valid_entity
 from linkledger.operators.population import matched_and_unmatched, without_employees
 from linkledger.operators.profiling import crm_contacts
 from linkledger.operators.ranking import Stage, in_global_order
 from linkledger.operators.revenue import exprs
 
-# Header texts of the upload templates, in template order.
+# Header texts of the upload templates, in template order.
 LINK_HEADERS = {"dbs_number": "DBS Number", "entity_id": "Entity Id", "contact_id": "Contact Id"}
 MATCH_HEADERS = {
     "dbs_customer_number": "DBS Customer Number", "business_name": "Business Name",
@@ -23,7 +23,8 @@ MATCH_HEADERS = {
     "address_line_2": "Address Line 2", "city": "City", "state_code": "State Code",
     "postal_code": "Postal Code", "country_code": "Country Code", "email_address": "Email Address",
     "work_phone": "Work Phone", "home_phone": "Home Phone", "mobile_phone": "Mobile Phone",
-    "home_fax": "Home Fax", "work_fax": "Work Fax", "tax_type": "Tax Type", "tax_id": "Tax ID",
+    "home_fax": "Home Fax", "work_fax": "Work Fax", "tax_type": "Tax Type", "tax_id": "Tax ID used only in countryCode: AR AU BO BR BZ CL CO CR DO EC GF GT GY HN HT JM MX NI NZ PA PE PR PY SR SV "
+    "TT UY VE",
 }
 FILE_ROWS = 60000
 
@@ -54,13 +55,20 @@ def path_a_count(contact, technician, salesperson, xref, settings) -> DataFrame:
     ))
 
 
+def entity_flags(profile: DataFrame, settings: Settings) -> DataFrame:
+    """Registry entities, one row each however often the registry repeats them; any repeated flag counts."""
+    return profile.filter(f"source_desc = {lit(settings.source)} AND contact_id = 0").groupBy("entity_id").agg(
+        *exprs("max(out_of_business) AS out_of_business", "max(deceased) AS deceased")
+    )
+
+
 def path_a_validation(contact, xref, profile, settings) -> DataFrame:
     """Does the registry know the entity, and the person below it?"""
-    registry = profile.filter(f"source_desc = {lit(settings.source)}")
-    entity = registry.filter("contact_id = 0").selectExpr(
+    entity = entity_flags(profile, settings).selectExpr(
         "entity_id", "out_of_business AS entity_out_of_business", "deceased AS entity_deceased", "true AS _entity"
     )
-    person = registry.selectExpr("entity_id", "contact_id", "true AS _person")
+    person = profile.filter(f"source_desc = {lit(settings.source)}").selectExpr(
+        "entity_id", "contact_id", "true AS _person").distinct()
     found = lambda flag: f"if({flag} IS NULL, 'Not Found', 'Found')"
     return (
         known_unlinked(contact, xref, settings)
@@ -89,16 +97,16 @@ def match_layout(df: DataFrame) -> DataFrame:
     layout = {
         "dbs_customer_number": "contact_code",
         "business_name": when(IS_FIRM, "company_name"),
-        "doing_business_as": optional(df, "doing_business_as"),
+        "doing_business_as": "doing_business_as",
         "prefix": when(not_business, "title"),
         "first_name": when(not_business, "first_name"),
-        "familiar_name": when(not_business, optional(df, "familiar_name")),
-        "middle_name": when(not_business, optional(df, "middle_name")),
+        "familiar_name": when(not_business, "familiar_name"),
+        "middle_name": when(not_business, "middle_name"),
         "last_name": when(not_business, "last_name"),
         "generation": when(not_business, "generation"),
         "suffix": when(not_business, "suffix"),
         "address_line_1": "street",
-        "address_line_2": optional(df, "street_2"),
+        "address_line_2": "street_2",
         "city": "city",
         "state_code": "state",
         "postal_code": "pcode",
@@ -107,8 +115,8 @@ def match_layout(df: DataFrame) -> DataFrame:
         "work_phone": "biz_phone",
         "home_phone": "priv_phone",
         "mobile_phone": "mob_phone",
-        "home_fax": when("contact_type = 'I'", optional(df, "fax")),
-        "work_fax": when(IS_FIRM, optional(df, "fax")),
+        "home_fax": when("contact_type = 'I'", "fax"),
+        "work_fax": when(IS_FIRM, "fax"),
         "tax_type": "cast(NULL AS string)",
         "tax_id": "cast(NULL AS string)",
     }
@@ -141,7 +149,7 @@ def writeback_status(crm, account, contact, xref, settings) -> DataFrame:
 def registry_status_check(crm, account, contact, technician, salesperson, profile, settings) -> DataFrame:
     """Customers whose entity is unknown, deceased or out of business."""
     people = without_employees(quote_flow_customers(crm, account, contact, settings), technician, salesperson)
-    entity = profile.filter(f"source_desc = {lit(settings.source)} AND contact_id = 0").selectExpr(
+    entity = entity_flags(profile, settings).selectExpr(
         "entity_id AS comp_entity_id", "out_of_business", "deceased", "true AS _known"
     )
     status = (
@@ -157,10 +165,16 @@ def registry_status_check(crm, account, contact, technician, salesperson, profil
     )
 
 
+def per_code(unlinked: DataFrame, *more: str) -> DataFrame:
+    """One row per contact code, with the revenue of all its accounts."""
+    return unlinked.groupBy("contact_code", "contact_type").agg(
+        *exprs("cast(sum(total_revenue) AS decimal(18,2)) AS total_revenue", *more)
+    )
+
+
 def upload_batches(unlinked: DataFrame, stage: Stage, file_rows: int = FILE_ROWS) -> DataFrame:
     """Unlinked contacts by revenue, cut into files of at most ``file_rows``."""
-    rows = unlinked.select("contact_code", "contact_type", "account_no", "total_revenue")
-    return in_global_order(rows, ["total_revenue DESC", "contact_code", "account_no"], stage).selectExpr(
+    return in_global_order(per_code(unlinked), ["total_revenue DESC", "contact_code"], stage).selectExpr(
         "contact_code", "contact_type", "total_revenue", "position AS upload_position",
         f"(position - 1) div {file_rows} + 1 AS batch_no",
     )
@@ -202,14 +216,19 @@ def match_type_alignment(tight_match: DataFrame, contact: DataFrame) -> DataFram
 
 
 def contact_extract(unlinked: DataFrame, top: int, created_since: dt.date, with_account: bool = True, branch: str | None = None) -> DataFrame:
-    """Top unlinked contacts by sales with the filters of the extract program."""
+    """Top unlinked contacts by sales with the filters of the extract program.
+
+    A contact is one row: with the number of its accounts that pass, the first
+    of them and its branch, and their revenue.
+    """
     chosen = unlinked.filter(f"creation_date >= {lit(created_since)}")
     if with_account:
         chosen = chosen.filter("account_no IS NOT NULL")
     if branch is not None:
         chosen = chosen.filter(f"branch = {lit(branch)}")
-    return chosen.select(
-        "contact_code", "contact_type", "account_no", "branch", "creation_date", "total_revenue"
+    return per_code(
+        chosen, "count(account_no) AS accounts", "min(account_no) AS account_no", "min_by(branch, account_no) AS branch",
+        "min(creation_date) AS creation_date",
     ).orderBy(F.desc("total_revenue"), "contact_code").limit(top)
 
 

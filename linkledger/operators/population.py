@@ -40,20 +40,22 @@ def without_employees(contact: DataFrame, technician: DataFrame, salesperson: Da
 def customers_and_leads(contact, technician, salesperson, account, vendor) -> DataFrame:
     """Contacts with their account, without employees and vendor-only contacts.
 
-    All three joins use the contact code, so contacts are laid out by it once.
+    All joins use the contact code, so contacts are laid out by it once. A code
+    that owns very many accounts meets them in an inner join, which Spark can
+    split; the vendor rule concerns contacts without account only.
     """
-    with_account = without_employees(contact, technician, salesperson).join(
-        account.selectExpr(*(c for c in account.columns if c != "branch"), *cleaned(["branch"])), "contact_code", "left"
+    people = without_employees(contact, technician, salesperson)
+    accounts = account.selectExpr(*(c for c in account.columns if c != "branch"), *cleaned(["branch"]))
+    alone = people.join(accounts.select("contact_code"), "contact_code", "left_anti").join(
+        vendor.select("contact_code"), "contact_code", "left_anti"
     )
-    vendor_code = vendor.select(F.col("contact_code").alias("_vendor"))
-    return with_account.join(vendor_code, F.expr("contact_code = _vendor AND account_no IS NULL"), "left_anti")
+    return people.join(accounts, "contact_code").unionByName(alone, allowMissingColumns=True)
 
 
 def active_with_account(contact, technician, salesperson, account) -> DataFrame:
     """Active contacts with their account; vendors stay in."""
-    return without_employees(contact.filter(IS_ACTIVE), technician, salesperson).join(
-        account.select("contact_code", "account_no"), "contact_code", "left"
-    )
+    people = without_employees(contact.filter(IS_ACTIVE), technician, salesperson)
+    return matched_and_unmatched(people, account.select("contact_code", "account_no"), "contact_code")
 
 
 CONTACT_COLUMNS = ("contact_code", "contact_type", "ckc_id", "cmp_ckc_id", "creation_date")
@@ -142,7 +144,7 @@ def active_linked(enriched: DataFrame, links: DataFrame, profiles: DataFrame, us
         enriched.join(links.drop("cross_ref_number"), "code_key")
         .join(profiles, ["entity_id", "contact_id"])
         .selectExpr(
-            "contact_code", *SLICE, "entity_id", "contact_id", *COMPARED_FIELDS[:-1], country,
+            "contact_code", "creation_date", *SLICE, "entity_id", "contact_id", *COMPARED_FIELDS[:-1], country,
             *REGISTRY_FIELDS, *REGISTRY_FLAGS,
         )
     )

@@ -10,9 +10,6 @@ from linkledger.operators.population import CONTACT_LEVEL, matched_and_unmatched
 from linkledger.operators.ranking import Stage, in_global_order
 from linkledger.operators.revenue import exprs
 
-# Members of a shared entity that go into one text; larger groups continue in a further part.
-LIST_PART = 1000
-
 LINK_LEVEL = f"if({CONTACT_LEVEL}, 'entity + contact_id', 'entity only') AS ref_type"
 SECOND_ID = (
     "count_if(cmp_ckc_id IS NULL) AS cmp_null", "count_if(cmp_ckc_id = 0) AS cmp_zero",
@@ -118,43 +115,34 @@ def contact_entity_only(contact, xref, case_sensitive: bool = False) -> DataFram
 
 
 def duplicate_entity_list(contact, xref, stage: Stage, case_sensitive: bool = False) -> DataFrame:
-    """Entities with several links and their ordered types and codes.
+    """Entities with several links: one row per member, numbered by code.
 
-    The order is a distributed one and the text is cut into parts of at most
-    LIST_PART members, so no entity is gathered whole in one task.
+    The order is a distributed one, so no entity is gathered in one task,
+    and the form is the same for every number of members.
     """
     pairs = contact_links(contact, xref, case_sensitive).select(
         "entity_id", "contact_type", "cross_ref_number", "contact_code"
     )
     sizes = pairs.groupBy("entity_id").agg(F.expr("count(cross_ref_number) AS dbs_count")).filter("dbs_count > 1")
     order = ["entity_id", "cross_ref_number", "contact_code"]
-    placed = in_global_order(pairs.join(sizes, "entity_id"), order, stage).drop("running", "overall", "valued")
+    placed = in_global_order(pairs.join(sizes, "entity_id"), order, stage)
     first = placed.groupBy("entity_id").agg(F.expr("min(position) AS _first"))
-    parts = placed.join(first, "entity_id").selectExpr("*", f"(position - _first) div {LIST_PART} AS part_no")
-    return parts.groupBy("entity_id", "dbs_count", "part_no").agg(*exprs(
-        "listagg(contact_type, ', ') WITHIN GROUP (ORDER BY position) AS contact_types",
-        "listagg(cross_ref_number, ', ') WITHIN GROUP (ORDER BY position) AS contact_codes",
-    )).orderBy(F.desc("dbs_count"), "entity_id", "part_no")
+    return placed.join(first, "entity_id").selectExpr(
+        "entity_id", "dbs_count", "position - _first + 1 AS member_no", "contact_type", "cross_ref_number"
+    ).orderBy(F.desc("dbs_count"), "entity_id", "member_no")
 
 
 def duplicate_type_combo(contact, xref, case_sensitive: bool = False) -> DataFrame:
-    """How often each mix of contact types shares an entity, such as B+C or I+I.
-
-    A mix is built from counts per type. Beyond LIST_PART members of one type
-    it is written as a count (``I*1200``) instead of being spelled out.
-    """
+    """How often each mix of contact types shares an entity, as types with counts such as B:1+C:2."""
     per_type = contact_links(contact, xref, case_sensitive).groupBy("entity_id", "contact_type").agg(
         F.expr("count(cross_ref_number) AS n")
     )
     mixes = per_type.groupBy("entity_id").agg(*exprs(
         "sum(n) AS members", "sort_array(collect_list(struct(contact_type, n))) AS mix"
     )).filter("members > 1")
-    spelled = (
-        f"transform(mix, m -> if(m.n <= {LIST_PART}, array_join(array_repeat(m.contact_type, cast(m.n AS int)), '+'), "
-        "concat(m.contact_type, '*', cast(m.n AS string))))"
-    )
     return mixes.groupBy("mix").agg(F.expr("count(*) AS entity_count")).selectExpr(
-        f"array_join({spelled}, '+') AS type_combo", "entity_count"
+        "array_join(transform(mix, m -> concat(m.contact_type, ':', cast(m.n AS string))), '+') AS type_combo",
+        "entity_count",
     ).orderBy(F.desc("entity_count"), "type_combo")
 
 
@@ -188,16 +176,23 @@ def _entity_keys(xref: DataFrame, case_sensitive: bool) -> DataFrame:
 
 
 def crm_xref_agreement(crm, account, contact, xref, settings, case_sensitive: bool = False) -> DataFrame:
-    """Per code the links are first counted by entity, so a hot code joins as few rows."""
-    counted = _entity_keys(xref, case_sensitive).groupBy("code_key", "xref_entity_id").agg(F.expr("count(*) AS n"))
+    """Links are counted per code, and per code and entity, before customers meet them.
+
+    Both joins find one row at most, so a code with very many links or entities
+    stays one row; disagreeing links are those known less those that agree.
+    """
+    links = _entity_keys(xref, case_sensitive)
+    per_code = links.groupBy("code_key").agg(*exprs("count(*) AS links", "count(xref_entity_id) AS known"))
+    per_entity = links.groupBy("code_key", F.col("xref_entity_id").alias("erp_entity_id")).agg(F.expr("count(*) AS agreeing"))
     people = _linked_customers(crm, account, contact, settings, case_sensitive)
-    joined = people.join(counted, "code_key", "left").selectExpr("*", "coalesce(n, 1) AS weight")
-    summed = lambda test: f"coalesce(sum(CASE WHEN {test} THEN weight END), 0)"
+    joined = people.join(per_code, "code_key", "left").join(per_entity, ["code_key", "erp_entity_id"], "left").selectExpr(
+        "coalesce(links, 1) AS weight", "coalesce(known, 0) AS known", "coalesce(agreeing, 0) AS agreeing"
+    )
     return joined.agg(*exprs(
         "coalesce(sum(weight), 0) AS customers_with_erp_id",
-        f"{summed('erp_entity_id = xref_entity_id')} AS ids_agree",
-        f"{summed('erp_entity_id <> xref_entity_id')} AS ids_disagree",
-        f"{summed('xref_entity_id IS NULL')} AS no_cross_ref_found",
+        "coalesce(sum(agreeing), 0) AS ids_agree",
+        "coalesce(sum(known - agreeing), 0) AS ids_disagree",
+        "coalesce(sum(weight - known), 0) AS no_cross_ref_found",
     ))
 
 

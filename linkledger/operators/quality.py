@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from linkledger.config import Settings
 from linkledger.functions import lists
-from linkledger.functions.columns import IS_PERSON, MATCH_TIER, either, matches, sure, values
+from linkledger.functions.columns import IS_PERSON, MATCH_TIER, either, matches, sure, valid_entity, values
 from linkledger.operators.population import with_repeat_flag
 from linkledger.operators.revenue import exprs
 from linkledger.operators.rules import PHONES, Rule
@@ -48,8 +49,8 @@ def quality_index(enriched: DataFrame, field_rules: list[Rule]) -> DataFrame:
     ).selectExpr("*", "try_divide(score_sum, contacts) AS quality_index").orderBy("contact_type")
 
 
-def duplicate_candidates(enriched: DataFrame) -> DataFrame:
-    """Contacts that share a phone, a mail, a name in one place, or an entity.
+def duplicate_candidates(enriched: DataFrame, settings: Settings) -> DataFrame:
+    """Contacts that share a phone, a mail, a name in one place, or one of the two ids.
 
     Every contact is spread over its keys, keys are counted, and the members of
     repeated keys are listed. Pairs are never formed.
@@ -59,9 +60,14 @@ def duplicate_candidates(enriched: DataFrame) -> DataFrame:
         f"CASE WHEN {name} <> '' AND city IS NOT NULL AND state IS NOT NULL "
         f"THEN upper(concat_ws('|', {name}, city, state)) END"
     )
+    entity = f"CASE WHEN {valid_entity('ckc_id', settings.sentinel_entity)} THEN cast(ckc_id AS string) END"
+    second = (
+        f"CASE WHEN cmp_ckc_id > 0 AND {valid_entity('cmp_ckc_id', settings.sentinel_entity)} "
+        "THEN cast(cmp_ckc_id AS string) END"
+    )
     own = enriched.selectExpr("contact_code", (
-        "stack(6, 'phone', biz_phone, 'phone', priv_phone, 'phone', mob_phone, 'email', upper(email), "
-        f"'name_place', {place}, 'entity', cast(ckc_id AS string)) AS (key_type, key_value)"
+        "stack(7, 'phone', biz_phone, 'phone', priv_phone, 'phone', mob_phone, 'email', upper(email), "
+        f"'name_place', {place}, 'entity', {entity}, 'second_id', {second}) AS (key_type, key_value)"
     )).filter("key_value IS NOT NULL").distinct()
     repeated = own.groupBy("key_type", "key_value").agg(F.expr("count(*) AS contacts")).filter("contacts > 1")
     return own.join(repeated, ["key_type", "key_value"]).select("key_type", "key_value", "contacts", "contact_code")

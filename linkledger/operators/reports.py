@@ -54,7 +54,6 @@ def snapshot_verification(snapshot: DataFrame) -> DataFrame:
 class Visual:
     """What one report visual asks of the snapshot table."""
 
-    title: str
     by: tuple[str, ...] = ()
     measures: tuple[str, ...] = ("numerator",)
     category: str | None = None
@@ -66,42 +65,42 @@ class Visual:
 
 _TYPED = ("metric_name", "contact_type")
 VISUALS: dict[int, Visual] = {
-    1: Visual("Issue Count by Category", ("metric_category",), ("issue_count",)),
-    3: Visual("% Linked", (), ("pct_linked",), "linkage"),
-    4: Visual("Match Readiness Tier 1+2 %", (), ("match_ready",), "match_readiness"),
-    5: Visual("Staleness Risk %", (), ("stale_5yr",), "staleness"),
-    6: Visual("Issue Trend", ("snapshot_date", "metric_category"), ("issue_count",), trend=True),
-    7: Visual("Linkage Issues by Type", _TYPED, ("issue_count",), "linkage"),
-    8: Visual("Duplicate Entity IDs", (), ("issue_count",), "linkage", "duplicate_entity_id"),
-    9: Visual("Linked Contacts", (), ("issue_count",), "linkage", "linked_count"),
-    10: Visual("Orphan Cross-Ref Entries", (), ("issue_count",), "linkage", "orphan_cross_ref"),
-    11: Visual("Unlinked Contacts", (), ("issue_count",), "linkage", "unlinked_count"),
-    12: Visual("Total Linkages Over Time", ("snapshot_date",), ("issue_count",), "linkage", "linked_count", trend=True),
-    13: Visual("Missing Field Counts by Contact Type", _TYPED, ("issue_count",), "completeness"),
-    14: Visual("No Contact Info", (), ("issue_count",), "completeness", "no_contact_info"),
-    15: Visual("Missing Email", (), ("issue_count",), "completeness", "missing_email"),
-    16: Visual("Missing All Phones", (), ("issue_count",), "completeness", "missing_all_phones"),
-    17: Visual("Completeness Detail", _TYPED, ("numerator", "denominator", "issue_count", "record_count"), "completeness"),
-    18: Visual("Field Quality Issues by Check", _TYPED, category="field_quality"),
-    19: Visual("Issue Detail", ("metric_name",), ("numerator", "denominator"), "field_quality"),
-    20: Visual("Parity Breakdown by Field and Result", _TYPED, category="parity"),
-    21: Visual("Certified-but-Different Addresses", category="parity", metric="phys_addr_certified_mismatch"),
-    22: Visual("Confirmed Undeliverable Addresses", category="parity", metric="address_confirmed_undeliverable"),
-    23: Visual("Parity Detail", _TYPED, category="parity"),
-    24: Visual("Distribution by Staleness Bucket", _TYPED, category="staleness"),
-    25: Visual("Never Transacted", category="staleness", metric="never_transacted"),
-    26: Visual("No Account Record", category="staleness", metric="no_account"),
-    27: Visual("5+ Year Stale", category="staleness", metric="5+yr"),
-    28: Visual("Staleness x Sales Decile", ("metric_name",), category="staleness", pivot=("sales_decile", lists.DECILES)),
-    29: Visual("Tier Distribution by Contact Type", _TYPED, category="match_readiness"),
-    30: Visual("Tier 1 - Strong Match Candidates", category="match_readiness", metric="tier_1_strong"),
-    31: Visual("Tier 2 - Partial Match Candidates", category="match_readiness", metric="tier_2_partial"),
-    32: Visual("Tier 4 - No Name", category="match_readiness", metric="tier_4_no_name"),
-    33: Visual("Overall Tier Distribution", ("metric_name",), category="match_readiness"),
-    34: Visual("Issue Count by Category Over Time", ("snapshot_date", "metric_category"), trend=True),
-    35: Visual("Issue Count Trend by Metric", ("snapshot_date", "metric_name"), trend=True),
-    36: Visual("Metric Matrix", ("metric_category", "metric_name"), ("numerator", "denominator", "issue_rate")),
-    37: Visual("Issue Rate by Cohort", ("creation_cohort",), ("issue_rate",), known_cohorts=True),
+    1: Visual(("metric_category",), ("issue_count",)),
+    3: Visual((), ("pct_linked",), "linkage"),
+    4: Visual((), ("match_ready",), "match_readiness"),
+    5: Visual((), ("stale_5yr",), "staleness"),
+    6: Visual(("snapshot_date", "metric_category"), ("issue_count",), trend=True),
+    7: Visual(_TYPED, ("issue_count",), "linkage"),
+    8: Visual((), ("issue_count",), "linkage", "duplicate_entity_id"),
+    9: Visual((), ("issue_count",), "linkage", "linked_count"),
+    10: Visual((), ("issue_count",), "linkage", "orphan_cross_ref"),
+    11: Visual((), ("issue_count",), "linkage", "unlinked_count"),
+    12: Visual(("snapshot_date",), ("issue_count",), "linkage", "linked_count", trend=True),
+    13: Visual(_TYPED, ("issue_count",), "completeness"),
+    14: Visual((), ("issue_count",), "completeness", "no_contact_info"),
+    15: Visual((), ("issue_count",), "completeness", "missing_email"),
+    16: Visual((), ("issue_count",), "completeness", "missing_all_phones"),
+    17: Visual(_TYPED, ("numerator", "denominator", "issue_count", "record_count"), "completeness"),
+    18: Visual(_TYPED, category="field_quality"),
+    19: Visual(("metric_name",), ("numerator", "denominator"), "field_quality"),
+    20: Visual(_TYPED, category="parity"),
+    21: Visual(category="parity", metric="phys_addr_certified_mismatch"),
+    22: Visual(category="parity", metric="address_confirmed_undeliverable"),
+    23: Visual(_TYPED, category="parity"),
+    24: Visual(_TYPED, category="staleness"),
+    25: Visual(category="staleness", metric="never_transacted"),
+    26: Visual(category="staleness", metric="no_account"),
+    27: Visual(category="staleness", metric="5+yr"),
+    28: Visual(("metric_name",), category="staleness", pivot=("sales_decile", lists.DECILES)),
+    29: Visual(_TYPED, category="match_readiness"),
+    30: Visual(category="match_readiness", metric="tier_1_strong"),
+    31: Visual(category="match_readiness", metric="tier_2_partial"),
+    32: Visual(category="match_readiness", metric="tier_4_no_name"),
+    33: Visual(("metric_name",), category="match_readiness"),
+    34: Visual(("snapshot_date", "metric_category"), trend=True),
+    35: Visual(("snapshot_date", "metric_name"), trend=True),
+    36: Visual(("metric_category", "metric_name"), ("numerator", "denominator", "issue_rate")),
+    37: Visual(("creation_cohort",), ("issue_rate",), known_cohorts=True),
 }
 
 

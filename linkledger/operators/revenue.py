@@ -67,7 +67,7 @@ def unit_amounts(unit_sale: DataFrame, unit_accessory: DataFrame, *extra_keys: s
     Only rows ``within`` the condition add to the amounts; ``day`` looks at all.
     Both sides are summed before they are joined, so neither brings a hot unit.
     """
-    cost = " + ".join(money(c) for c in lists.UNIT_COSTS if c in unit_sale.columns) or "cast(0 AS decimal(12,2))"
+    cost = _added(*lists.UNIT_COSTS)
     units = unit_sale.groupBy("unit_no", "owner_code", *exprs(*extra_keys)).agg(*exprs(
         f"sum(CASE WHEN {within} THEN {money('sales_value')} END) AS _sale",
         f"sum(CASE WHEN {within} THEN {cost} END) AS goods_cost",

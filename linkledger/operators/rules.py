@@ -145,12 +145,13 @@ def field_quality_rules(settings: Settings) -> list[Rule]:
         _quality("generation_unrecognized", "person_generation", _unknown("generation", lists.GENERATIONS)),
         _quality("title_unrecognized", "person_title", _unknown("title", lists.TITLES)),
         _quality("suffix_unrecognized", "person_suffix", _unknown("suffix", lists.SUFFIXES)),
-        _quality("invalid_branch", "has_branch", f"branch IN {values(settings.closed_branches)}"),
+        _quality("invalid_branch", "has_branch", f"branch IN {values(settings.closed_branches)}" if settings.closed_branches else "false"),
         _quality("contact_code_has_whitespace", "all", matches("contact_code", lists.CODE_WHITESPACE)),
         _quality("contact_code_non_alphanumeric", "all", matches("contact_code", lists.CODE_OTHER_CHARACTER)),
         _quality(NEEDS_REPEAT_FLAG, "all", "code_repeats"),
         _quality("email_internal_domain", "has_email",
-                 matches("lower(email)", f"@{_alternatives(settings.internal_domains)}$"), False),
+                 matches("lower(email)", f"@{_alternatives(settings.internal_domains)}$")
+                 if settings.internal_domains else "false", False),
         _quality("email_missing_at", "has_email", "NOT contains(email, '@')", False),
         _quality("country_written_out", "has_country", is_one_of("trim(country)", lists.COUNTRY_NAMES), False),
         _quality("state_written_out", "has_state", is_one_of("trim(state)", lists.STATE_NAMES), False),

@@ -9,10 +9,14 @@ from linkledger.functions.columns import lit
 from linkledger.operators.revenue import exprs
 
 
+def _of_dealer(xref: DataFrame, settings: Settings) -> DataFrame:
+    return xref if settings.dealer_id is None else xref.filter(f"dealer_id = {lit(settings.dealer_id)}")
+
+
 def tracking_totals(xref: DataFrame, settings: Settings) -> DataFrame:
     """Links before the start, since then, and altogether, in one pass; no date counts as before."""
-    since = f"coalesce(created_ts >= {lit(settings.project_start)}, false)"
-    counted = xref.filter(f"dealer_id = {lit(settings.dealer_id)}").agg(*exprs(
+    since = f"coalesce(created_ts >= {lit(settings.started)}, false)"
+    counted = _of_dealer(xref, settings).agg(*exprs(
         f"count_if(NOT {since}) AS baseline", f"count_if({since}) AS project", "count(*) AS total"
     ))
     return counted.selectExpr(
@@ -23,7 +27,7 @@ def tracking_totals(xref: DataFrame, settings: Settings) -> DataFrame:
 def tracking_daily(xref: DataFrame, settings: Settings) -> DataFrame:
     """New links per day with a running total; the window sees one row per calendar day."""
     daily = (
-        xref.filter(f"dealer_id = {lit(settings.dealer_id)} AND created_ts >= {lit(settings.project_start)}")
+        _of_dealer(xref, settings).filter(f"created_ts >= {lit(settings.started)}")
         .groupBy(F.expr("cast(created_ts AS date) AS created_date"))
         .agg(F.expr("count(*) AS new_linkages"))
     )

@@ -48,7 +48,7 @@ STAGES: dict[str, Query] = {
     "contact_linkage": lambda ws: population.contact_linkage(ws.enriched(), ws.links()),
     "unlinked_contacts": lambda ws: population.unlinked_contacts(ws.enriched(), ws.links()).drop(
         "code_key", "links", "contact_level_links"),
-    "active_linked": Workspace.linked,
+    "active_linked": lambda ws: ws.linked().drop("creation_date"),
     "inactive_linked": Workspace.inactive_linked,
     "field_parity": lambda ws: parity.field_parity(ws.linked()),
     "linked_counts": lambda ws: population.linked_counts(ws.linked()),
@@ -237,9 +237,9 @@ SPECIFIED: dict[str, Query] = {
     "quality_index": lambda ws: quality.quality_index(
         ws.enriched(), [r for r in field_quality_rules(ws.settings) if r.in_snapshot]),
     "parity_sum_check": lambda ws: reports.parity_sum_check(snapshot.stored_snapshots(ws), FIELD_NAMES),
-    "snapshot_delta": lambda ws: reports.snapshot_delta(snapshot.stored_snapshots(ws), ws.settings.history[0], ws.settings.history[-1]),
+    "snapshot_delta": lambda ws: reports.snapshot_delta(snapshot.stored_snapshots(ws), ws.settings.dates[0], ws.settings.dates[-1]),
     "prospect_customer_pairs": lambda ws: extracts.prospect_customer_pairs(ws.table("crm_account"), ws.settings),
-    "duplicate_candidates": lambda ws: quality.duplicate_candidates(ws.enriched()),
+    "duplicate_candidates": lambda ws: quality.duplicate_candidates(ws.enriched(), ws.settings),
     "upload_batches": lambda ws: extracts.upload_batches(ws.unlinked(), ws.scratch.stage),
     "upload_validation": lambda ws: extracts.upload_validation(LINKAGE_WORK["path_b_extract"](ws)),
     "match_type_alignment": lambda ws: extracts.match_type_alignment(*_t(ws, "tight_match", "contact")),
@@ -257,7 +257,7 @@ SPECIFIED: dict[str, Query] = {
 def io_append_roundtrip(ws: Workspace) -> DataFrame:
     """Append two dates one after the other and read both back."""
     path = ws.scratch.path("append")
-    for day in ws.settings.history[-2:]:
+    for day in ws.settings.dates[-2:]:
         sinks.append_snapshot(snapshot.section(ws.at(day), "linkage"), path)
     return readers.read_snapshot(ws.spark, path)
 
@@ -265,10 +265,11 @@ def io_append_roundtrip(ws: Workspace) -> DataFrame:
 def io_overwrite_roundtrip(ws: Workspace) -> DataFrame:
     """Reset, append another date, then write that date again: its rows stay single."""
     path = ws.scratch.path("overwrite")
-    first, second = (snapshot.section(ws.at(day), "completeness") for day in ws.settings.history[-2:])
+    first, *later = [snapshot.section(ws.at(day), "completeness") for day in ws.settings.dates[-2:]]
     sinks.reset_snapshots(first, path)
-    sinks.append_snapshot(second, path)
-    sinks.replace_snapshot(second, path)
+    for rows in later:
+        sinks.append_snapshot(rows, path)
+    sinks.replace_snapshot(later[-1] if later else first, path)
     return readers.read_snapshot(ws.spark, path)
 
 

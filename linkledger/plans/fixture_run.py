@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import datetime as dt
+import functools
+import shutil
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -12,13 +16,35 @@ from linkledger.sources.fixtures import FixtureTables
 from linkledger.storage import fingerprint
 
 AS_OF = dt.date(2001, 8, 15)
-SETTINGS = Settings(as_of=AS_OF, history=(dt.date(2001, 6, 15), dt.date(2001, 7, 15), AS_OF))
+SETTINGS = Settings(
+    as_of=AS_OF,
+    history=(dt.date(2001, 6, 15), dt.date(2001, 7, 15), AS_OF),
+    dealer_id="034",
+    project_start=dt.date(2001, 7, 1),
+    closed_branches=("07", "13", "52", "55", "61", "63", "64", "67", "70", "71"),
+    internal_domains=("internal.example",),
+)
 
 _open: dict[tuple[str, str], tuple[tuple, Workspace]] = {}
 
 
+@functools.cache
+def _test_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="linkledger-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
+def with_folder(spark: SparkSession) -> None:
+    """Name a folder for staged tables in a local session that has none; a cluster must name a shared one."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named and spark.sparkContext.master.startswith("local["):
+        spark.conf.set("spark.checkpoint.dir", _test_folder())
+
+
 def fresh_workspace(spark: SparkSession, folder: str) -> Workspace:
     """A workspace with nothing staged yet."""
+    with_folder(spark)
     return Workspace(spark, FixtureTables(spark, folder), SETTINGS)
 
 
@@ -28,5 +54,7 @@ def open_workspace(spark: SparkSession, folder: str) -> Workspace:
     mark = fingerprint(spark, FixtureTables(spark, folder).paths())
     known = _open.get(key)
     if known is None or known[0] != mark:
+        if known is not None:
+            known[1].release()
         _open[key] = (mark, fresh_workspace(spark, folder))
     return _open[key][1]

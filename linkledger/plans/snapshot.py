@@ -61,7 +61,7 @@ def stored_snapshots(ws: Workspace) -> DataFrame:
     """The snapshot table over all history dates, each date appended as its own run."""
     def build() -> DataFrame:
         path = ws.scratch.path("snapshots")
-        for day in ws.settings.history or (ws.settings.as_of,):
+        for day in ws.settings.dates:
             append_snapshot(dq_snapshot(ws.at(day)), path)
         return read_snapshot(ws.spark, path)
     return ws.once("snapshots", build)

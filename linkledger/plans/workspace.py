@@ -26,6 +26,7 @@ class Workspace:
         self.scratch = scratch or Scratch(spark)
         self._stages: dict[str, DataFrame] = {}
         self._dated: dict[dt.date, Workspace] = {settings.as_of: self}
+        self._other_cohorts: dict[str, Workspace] = {}
 
     # Inputs
 
@@ -45,12 +46,14 @@ class Workspace:
         return self._dated[as_of]
 
     def with_cohorts(self, cohorts: str) -> "Workspace":
-        """The same stages with other creation cohorts."""
-        other = Workspace(self.spark, self.tables, replace(self.settings, cohorts=cohorts), self.scratch)
-        other._stages["enriched"] = self.enriched().withColumn(
-            "creation_cohort", F.expr(creation_cohort("creation_date", cohorts))
-        )
-        return other
+        """The same stages with other creation cohorts; nothing is written again."""
+        if cohorts not in self._other_cohorts:
+            other = Workspace(self.spark, self.tables, replace(self.settings, cohorts=cohorts), self.scratch)
+            cohort = F.expr(creation_cohort("creation_date", cohorts))
+            for name, rows in (("enriched", self.enriched()), ("linked", self.linked())):
+                other._stages[name] = rows.withColumn("creation_cohort", cohort)
+            self._other_cohorts[cohorts] = other
+        return self._other_cohorts[cohorts]
 
     def once(self, name: str, build) -> DataFrame:
         """A relation of this run, built on first use."""
@@ -120,3 +123,4 @@ class Workspace:
         self.scratch.release()
         for ws in self._dated.values():
             ws._stages.clear()
+            ws._other_cohorts.clear()

@@ -12,6 +12,9 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from linkledger.functions.lists import UNIT_COSTS
+from linkledger.sources.readers import without_padding
+
 BASE_TABLES = ("customer", "supplier", "orders", "lineitem")
 
 # Spellings that differ between the two engines.
@@ -36,32 +39,36 @@ RELATIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
             ("inactive_reason", "CASE WHEN c_custkey % 11 <> 10 THEN NULL WHEN c_custkey % 3 = 0 THEN 'Deceased' WHEN c_custkey % 3 = 1 THEN 'Out of Business' ELSE 'Other' END"),
             ("creation_date", "CASE WHEN c_custkey % 41 = 0 THEN NULL ELSE DATE '2012-01-15' + CAST((c_custkey * 37) % 5200 AS INT) END"),
             ("ckc_id", "CASE WHEN c_custkey % 499 = 7 THEN 999999998 WHEN c_custkey % 4 = 3 THEN NULL ELSE 500000000 + c_custkey END"),
-            ("cmp_ckc_id", "CASE WHEN c_custkey % 5 <> 1 THEN CASE WHEN c_custkey % 2 = 0 THEN 0 ELSE NULL END WHEN c_custkey % 3 = 0 THEN NULL WHEN c_custkey % 3 = 1 THEN 0 ELSE 700000000 + c_custkey END"),
+            ("cmp_ckc_id", "CASE WHEN c_custkey % 5 <> 1 THEN CASE WHEN c_custkey % 2 = 0 THEN 0 ELSE NULL END WHEN c_custkey % 3 = 0 THEN NULL WHEN c_custkey % 3 = 1 THEN 0 WHEN c_custkey % 30 = 26 THEN 699999985 + c_custkey ELSE 700000000 + c_custkey END"),
             ("first_name", "CASE c_custkey % 29 WHEN 0 THEN NULL WHEN 1 THEN '  ' WHEN 2 THEN 'Firstname' WHEN 3 THEN 'XXXX' WHEN 4 THEN '1234' WHEN 5 THEN 'Mr. Ann' WHEN 6 THEN 'John & Mary' WHEN 7 THEN 'Billy (Joe)' WHEN 8 THEN 'Deceased' WHEN 9 THEN 'Test' WHEN 10 THEN 'dr bob' ELSE concat(' Fn', CAST(c_custkey % 211 AS STRING), ' ') END"),
             ("last_name", "CASE c_custkey % 31 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'LNAME' WHEN 3 THEN '.....' WHEN 4 THEN 'Smith Jr.' WHEN 5 THEN 'Jones III' WHEN 6 THEN 'Do Not Use' WHEN 7 THEN '77' ELSE concat('Ln', CAST(c_custkey % 307 AS STRING)) END"),
             ("company_name", "CASE WHEN c_custkey % 5 > 1 AND c_custkey % 17 <> 0 THEN NULL WHEN c_custkey % 19 = 0 THEN ' ' WHEN c_custkey % 23 = 1 THEN 'Acme DBA Widgets' WHEN c_custkey % 23 = 2 THEN 'N/A' WHEN c_custkey % 23 = 3 THEN 'Farm OOB Supply' WHEN c_custkey % 23 = 4 THEN '999' WHEN c_custkey % 23 = 5 THEN 'ZZZ' ELSE concat('Co ', c_mktsegment, ' ', CAST(c_custkey % 401 AS STRING)) END"),
-            ("street", "CASE c_custkey % 13 WHEN 0 THEN NULL WHEN 1 THEN ' ' WHEN 2 THEN 'n/a' WHEN 3 THEN 'CLOSED 2 Elm' ELSE concat(CAST(c_custkey % 900 + 1 AS STRING), ' Main St') END"),
+            ("street", "CASE c_custkey % 13 WHEN 0 THEN NULL WHEN 1 THEN ' ' WHEN 2 THEN 'n/a' WHEN 3 THEN 'CLOSED 2 Elm' WHEN 4 THEN 'c/o Bob 5 Elm' WHEN 5 THEN 'Attn: Desk' ELSE concat(CAST(c_custkey % 900 + 1 AS STRING), ' Main St') END"),
             ("city", "CASE c_custkey % 21 WHEN 0 THEN NULL WHEN 1 THEN 'Unknown' WHEN 2 THEN '' ELSE concat('City', CAST(c_nationkey AS STRING)) END"),
             ("state", "CASE c_custkey % 25 WHEN 0 THEN NULL WHEN 1 THEN 'Iowa' WHEN 2 THEN 'XX' WHEN 3 THEN 'zz' ELSE CASE WHEN c_nationkey % 2 = 0 THEN 'KY' ELSE 'TN' END END"),
             ("pcode", "CASE c_custkey % 27 WHEN 0 THEN NULL WHEN 1 THEN '4210' WHEN 2 THEN '42101-1234' WHEN 3 THEN '421011234' WHEN 4 THEN 'K1A 0B1' ELSE lpad(CAST(40000 + c_custkey % 3000 AS STRING), 5, '0') END"),
             ("country", "CASE c_custkey % 9 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'USA' WHEN 3 THEN 'CA' ELSE 'US' END"),
             ("biz_phone", "CASE c_custkey % 15 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '1234567890' WHEN 3 THEN '0000000000' WHEN 4 THEN '5551234' WHEN 5 THEN concat('1', CAST(2702005555 + c_custkey AS STRING)) ELSE CAST(2702005555 + c_custkey AS STRING) END"),
-            ("priv_phone", "CASE WHEN c_custkey % 3 = 0 THEN NULL WHEN c_custkey % 14 = 1 THEN '1112223333' ELSE CAST(6152005555 + c_custkey AS STRING) END"),
-            ("mob_phone", "CASE WHEN c_custkey % 4 <> 0 THEN NULL WHEN c_custkey % 16 = 0 THEN '5555555555' ELSE CAST(9312005555 + c_custkey AS STRING) END"),
+            ("priv_phone", "CASE WHEN c_custkey % 3 = 1 THEN NULL WHEN c_custkey % 14 = 1 THEN '1112223333' WHEN c_custkey % 28 = 2 THEN '0000000000' WHEN c_custkey % 28 = 4 THEN '1234567890' WHEN c_custkey % 28 = 5 THEN '555123' WHEN c_custkey % 28 = 10 THEN '0152005555' WHEN c_custkey % 28 = 11 THEN '8888888888' ELSE CAST(6152005555 + c_custkey AS STRING) END"),
+            ("mob_phone", "CASE WHEN c_custkey % 4 <> 0 THEN NULL WHEN c_custkey % 16 = 0 THEN '5555555555' WHEN c_custkey % 48 = 4 THEN '1234567890' WHEN c_custkey % 48 = 8 THEN '0000000000' WHEN c_custkey % 48 = 20 THEN '93120' WHEN c_custkey % 48 = 28 THEN '0312005555' ELSE CAST(9312005555 + c_custkey AS STRING) END"),
             ("email", "CASE c_custkey % 12 WHEN 0 THEN NULL WHEN 1 THEN ' ' WHEN 2 THEN 'NoEmail@x.com' WHEN 3 THEN 'bad.at.example' WHEN 4 THEN 'user@nodot' WHEN 5 THEN 'emp@internal.example' WHEN 6 THEN NULL ELSE concat('User', CAST(c_custkey AS STRING), '@mail.example.com') END"),
             ("title", "CASE c_custkey % 6 WHEN 0 THEN 'Mr.' WHEN 1 THEN ' ms ' WHEN 2 THEN 'Farmer' ELSE NULL END"),
             ("generation", "CASE c_custkey % 33 WHEN 0 THEN 'Jr' WHEN 1 THEN 'III' WHEN 2 THEN '3rd' ELSE NULL END"),
             ("suffix", "CASE c_custkey % 35 WHEN 0 THEN 'MD' WHEN 1 THEN '123 Main St' ELSE NULL END"),
+            ("doing_business_as", "CASE WHEN c_custkey % 10 = 1 THEN concat('Shop ', CAST(c_custkey % 90 AS STRING)) ELSE NULL END"),
+            ("familiar_name", "CASE WHEN c_custkey % 7 = 2 THEN concat('Fam', CAST(c_custkey % 40 AS STRING)) ELSE NULL END"),
+            ("middle_name", "CASE WHEN c_custkey % 12 = 9 THEN 'M' ELSE NULL END"),
+            ("street_2", "CASE WHEN c_custkey % 11 = 4 THEN 'Unit 3' ELSE NULL END"),
             ("fax", "CASE WHEN c_custkey % 8 = 0 THEN CAST(8002005555 + c_custkey AS STRING) ELSE NULL END"),
         ],
     ),
     "account": (
-        "contact WHERE k % 13 <> 0",
+        "contact c {levels} WHERE c.k % 13 <> 0 AND (v.lvl = 0 OR (v.lvl = 1 AND c.k % 23 = 4) OR (v.lvl = 2 AND c.k % 50 = 3))",
         [
-            ("account_no", "k + 100000"),
-            ("bill_to_acc", "CASE WHEN k % 499 = 0 THEN k + 99999 ELSE k + 100000 END"),
-            ("contact_code", "contact_code"),
-            ("branch", "CASE WHEN k % 17 = 0 THEN ' ' ELSE lpad(CAST((k * 7) % 73 AS STRING), 2, '0') END"),
+            ("account_no", "c.k + 100000 + v.lvl * 10000000"),
+            ("bill_to_acc", "CASE WHEN c.k % 499 = 0 THEN c.k + 99999 ELSE c.k + 100000 END + v.lvl * 10000000"),
+            ("contact_code", "CASE WHEN v.lvl = 2 THEN 'Cust0000004' WHEN c.k % 6 = 1 THEN rpad(c.contact_code, 15, ' ') ELSE c.contact_code END"),
+            ("branch", "CASE WHEN c.k % 17 = 0 THEN ' ' ELSE lpad(CAST((c.k * 7 + v.lvl) % 73 AS STRING), 2, '0') END"),
         ],
     ),
     "vendor": (
@@ -74,7 +81,7 @@ RELATIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
     "technician": (
         "supplier s JOIN contact c ON c.k = s.s_suppkey * 7 + 3 WHERE s.s_suppkey % 5 = 0",
         [
-            ("code", "c.contact_code"),
+            ("code", "CASE WHEN s.s_suppkey % 2 = 0 THEN rpad(c.contact_code, 15, ' ') ELSE c.contact_code END"),
             ("is_terminated", "CASE WHEN s.s_suppkey % 2 = 0 THEN 'Y' ELSE 'N' END"),
         ],
     ),
@@ -99,7 +106,7 @@ RELATIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
             ("k", "k"),
             ("entity_id", "link_entity_id"),
             ("contact_id", "link_contact_id"),
-            ("cross_ref_number", "upper(contact_code)"),
+            ("cross_ref_number", "CASE WHEN k % 8 = 1 THEN rpad(upper(contact_code), 15, ' ') ELSE upper(contact_code) END"),
             ("source_desc", "CASE WHEN k % 23 = 0 THEN 'THIRD PARTY BUYERS' ELSE 'DEALER XREF' END"),
             ("dealer_id", "'034'"),
             ("created_ts", "CASE WHEN k % 29 = 0 THEN NULL ELSE CAST(DATE '2001-05-01' + CAST((k * 11) % 100 AS INT) AS {ts}) END"),
@@ -117,11 +124,11 @@ RELATIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
         ],
     ),
     "profile": (
-        "linked_contact c {levels} WHERE c.k % 10 <> 5 AND c.k % 43 <> 2 AND (v.lvl = 0 OR (v.lvl = 1 AND c.link_contact_id <> 0) OR (v.lvl = 2 AND c.k % 31 = 1))",
+        "linked_contact c {levels} WHERE c.k % 10 <> 5 AND c.k % 43 <> 2 AND (v.lvl = 0 OR (v.lvl = 1 AND c.link_contact_id <> 0) OR (v.lvl = 2 AND (c.k % 31 = 1 OR c.k % 37 = 2)))",
         [
             ("entity_id", "c.link_entity_id"),
             ("contact_id", "CASE WHEN v.lvl = 1 THEN c.link_contact_id ELSE 0 END"),
-            ("source_desc", "CASE WHEN v.lvl = 2 THEN 'THIRD PARTY BUYERS' ELSE 'DEALER XREF' END"),
+            ("source_desc", "CASE WHEN v.lvl = 2 AND c.k % 31 = 1 THEN 'THIRD PARTY BUYERS' ELSE 'DEALER XREF' END"),
             ("reg_company_name", "CASE WHEN c.k % 6 = 0 THEN NULL ELSE upper(c.company_name) END"),
             ("reg_first_name", "CASE WHEN c.k % 8 = 0 THEN NULL WHEN c.k % 8 = 1 THEN 'Other' ELSE upper(c.first_name) END"),
             ("reg_last_name", "CASE WHEN c.k % 8 = 2 THEN ' ' ELSE upper(c.last_name) END"),
@@ -140,7 +147,7 @@ RELATIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
             ("postal_certified", "CASE WHEN c.k % 3 = 1 THEN 'CERTIFIED' WHEN c.k % 7 = 0 THEN 'NO MATCH' ELSE NULL END"),
             ("phys_undeliverable", "CASE WHEN c.k % 37 = 1 THEN 'Y' ELSE 'N' END"),
             ("mail_undeliverable", "CASE WHEN c.k % 39 = 1 THEN 'Y' ELSE NULL END"),
-            ("out_of_business", "CASE WHEN c.k % 20 = 10 THEN 'Y' WHEN c.k % 20 = 5 THEN NULL ELSE 'N' END"),
+            ("out_of_business", "CASE WHEN v.lvl = 2 THEN 'Y' WHEN c.k % 20 = 10 THEN 'Y' WHEN c.k % 20 = 5 THEN NULL ELSE 'N' END"),
             ("deceased", "CASE WHEN c.k % 22 = 1 THEN 'Y' ELSE 'N' END"),
         ],
     ),
@@ -162,7 +169,7 @@ RELATIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
         ],
     ),
     "unit_sale": (
-        "lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN contact c ON c.k = o.o_custkey WHERE l.l_linenumber = 1 AND o.o_custkey % 19 <> 0",
+        "lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN contact c ON c.k = o.o_custkey WHERE l.l_linenumber % 2 = 1 AND o.o_custkey % 19 <> 0",
         [
             ("unit_no", "l.l_orderkey * 10 + l.l_linenumber"),
             ("owner_code", "c.contact_code"),
@@ -170,17 +177,19 @@ RELATIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
             ("sales_value", "CASE WHEN l.l_partkey % 9 = 0 THEN NULL ELSE CAST(l.l_extendedprice AS DECIMAL(12,2)) END"),
             ("wholesale", "CAST(l.l_partkey AS DECIMAL(12,2))"),
             ("repair_cost", "CASE WHEN l.l_partkey % 2 = 0 THEN CAST(l.l_suppkey AS DECIMAL(12,2)) ELSE NULL END"),
+            *((name, f"CASE WHEN l.l_partkey % {n} = 0 THEN CAST(l.l_suppkey % {n + 20} AS DECIMAL(12,2)) ELSE NULL END")
+              for n, name in enumerate((c for c in UNIT_COSTS if c not in ("wholesale", "repair_cost")), start=3)),
         ],
     ),
     "unit_accessory": (
-        "lineitem WHERE l_linenumber = 1 AND l_returnflag = 'R'",
+        "lineitem WHERE l_linenumber % 2 = 1 AND l_returnflag = 'R'",
         [
             ("unit_no", "l_orderkey * 10 + l_linenumber"),
             ("sale_value", "CASE WHEN l_partkey % 8 = 0 THEN NULL ELSE CAST(l_quantity AS DECIMAL(12,2)) END"),
         ],
     ),
     "rental": (
-        "lineitem WHERE l_linenumber = 2 AND l_returnflag = 'N'",
+        "lineitem WHERE l_linenumber % 2 = 0",
         [
             ("invoice_no", "l_orderkey"),
             ("rental_value", "CASE WHEN l_partkey % 8 = 0 THEN NULL ELSE CAST(l_extendedprice AS DECIMAL(12,2)) END"),
@@ -198,11 +207,11 @@ RELATIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
         ],
     ),
     "tight_match": (
-        "contact WHERE k % 3 = 0 AND k % 4 <> 1",
+        "contact c {levels} WHERE c.k % 3 = 0 AND c.k % 4 <> 1 AND (v.lvl = 0 OR (v.lvl = 1 AND c.k % 33 = 0))",
         [
-            ("dbs_number", "lower(contact_code)"),
-            ("entity_id", "CAST(CASE WHEN k % 30 = 0 THEN 999 ELSE CASE WHEN k % 6 = 0 THEN 100000000 ELSE 300000000 END + k END AS STRING)"),
-            ("contact_id", "CASE WHEN k % 15 = 6 THEN CAST(700000000 + k AS STRING) ELSE '0' END"),
+            ("dbs_number", "lower(c.contact_code)"),
+            ("entity_id", "CAST(CASE WHEN c.k % 30 = 0 THEN 999 ELSE CASE WHEN c.k % 6 = 0 THEN 100000000 ELSE 300000000 END + c.k END AS STRING)"),
+            ("contact_id", "CASE WHEN c.k % 15 = 6 THEN CAST(700000000 + c.k AS STRING) ELSE '0' END"),
         ],
     ),
 }
@@ -246,4 +255,4 @@ class FixtureTables:
         inputs = _inputs_of(text)
         for n in inputs:
             text = re.sub(rf"\b(FROM|JOIN) {n}\b", rf"\1 {{{n}}}", text)
-        return self.spark.sql(text, **{n: self.table(n) for n in inputs})
+        return without_padding(self.spark.sql(text, **{n: self.table(n) for n in inputs}), name)

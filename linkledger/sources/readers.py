@@ -7,6 +7,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 MATCH_REPORT_SCHEMA = "dbs_number string, entity_id string, contact_id string"
 
 
+# Code columns are fixed-width in some sources: padding goes when a relation is read, so that all joins agree.
+CODE_COLUMNS = {
+    "contact": "contact_code", "account": "contact_code", "vendor": "contact_code", "technician": "code",
+    "salesperson": "code", "xref": "cross_ref_number", "unit_sale": "owner_code", "tight_match": "dbs_number",
+}
+
+
+def without_padding(df: DataFrame, relation: str) -> DataFrame:
+    code = CODE_COLUMNS.get(relation)
+    return df.withColumn(code, F.rtrim(code)) if code in df.columns else df
+
+
 class NamedTables:
     """Input relations from catalog tables or parquet paths.
 
@@ -22,7 +34,8 @@ class NamedTables:
     def table(self, name: str) -> DataFrame:
         source = self.tables[name]
         df = self.spark.read.parquet(source) if "/" in source else self.spark.read.table(source)
-        return df.withColumnsRenamed({theirs: ours for ours, theirs in self.columns.get(name, {}).items()})
+        named = df.withColumnsRenamed({theirs: ours for ours, theirs in self.columns.get(name, {}).items()})
+        return without_padding(named, name)
 
 
 def read_query(spark: SparkSession, url: str, query: str, **options: str) -> DataFrame:

@@ -6,31 +6,17 @@ so it outlives executors and is visible to all of them.
 
 from __future__ import annotations
 
-import atexit
-import functools
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@functools.cache
-def _local_folder() -> str:
-    """A temporary folder for local runs, removed when the process ends."""
-    folder = tempfile.mkdtemp(prefix="linkledger-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    return folder
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder; a temporary one only for local runs without any."""
+    """The checkpoint folder that the session names."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return _local_folder()
+    return folder.rstrip("/")
 
 
 def hadoop_path(spark: SparkSession, path: str):

@@ -299,14 +299,14 @@ def profiling() -> dict[str, str]:
             f"contact_entity_only{tail}": f"SELECT count(*) FILTER (c.cmp_ckc_id IS NULL) AS cmp_null, "
                 f"count(*) FILTER (c.cmp_ckc_id = 0) AS cmp_zero, count(*) FILTER (c.cmp_ckc_id > 0) AS cmp_populated, "
                 f"count(c.ckc_id) AS has_ckc_id FROM {both} WHERE c.contact_type = 'C' AND (x.contact_id IS NULL OR x.contact_id = 0)",
-            f"duplicate_entity_list{tail}": f"""SELECT entity_id, max(n) AS dbs_count, CAST(floor((pos - 1) / 1000) AS BIGINT) AS part_no,
-                string_agg(contact_type, ', ' ORDER BY pos) AS contact_types, string_agg(cross_ref_number, ', ' ORDER BY pos) AS contact_codes
-                FROM (SELECT x.entity_id, c.contact_type, x.cross_ref_number, count(*) OVER (PARTITION BY x.entity_id) AS n,
-                    row_number() OVER (PARTITION BY x.entity_id ORDER BY x.cross_ref_number, c.contact_code) AS pos FROM {both})
-                WHERE n > 1 GROUP BY entity_id, 3""",
+            f"duplicate_entity_list{tail}": f"""SELECT entity_id, dbs_count, member_no, contact_type, cross_ref_number
+                FROM (SELECT x.entity_id, c.contact_type, x.cross_ref_number, count(*) OVER (PARTITION BY x.entity_id) AS dbs_count,
+                    row_number() OVER (PARTITION BY x.entity_id ORDER BY x.cross_ref_number, c.contact_code) AS member_no FROM {both})
+                WHERE dbs_count > 1""",
             f"duplicate_type_combo{tail}": f"""SELECT type_combo, count(*) AS entity_count FROM (
-                SELECT x.entity_id, string_agg(c.contact_type, '+' ORDER BY c.contact_type) AS type_combo FROM {both}
-                GROUP BY x.entity_id HAVING count(*) > 1) GROUP BY 1""",
+                SELECT entity_id, string_agg(contact_type || ':' || n, '+' ORDER BY contact_type) AS type_combo FROM (
+                    SELECT x.entity_id, c.contact_type, count(*) AS n FROM {both} GROUP BY 1, 2)
+                GROUP BY entity_id HAVING sum(n) > 1) GROUP BY 1""",
             f"entity_range_by_type{tail}": f"SELECT left(CAST(x.entity_id AS VARCHAR), 1) AS leading_digit, c.contact_type, {REF} AS ref_type, "
                 f"count(*) AS row_count, min(x.entity_id) AS min_entity_id, max(x.entity_id) AS max_entity_id FROM {both} GROUP BY 1, 2, 3",
             f"crm_xref_agreement{tail}": f"SELECT count(*) AS customers_with_erp_id, count(*) FILTER (s.erp_entity_id = x.entity_id) AS "
@@ -337,12 +337,12 @@ RECONCILED = f"""SELECT t.dbs_number, t.entity_id AS match_entity_id, t.contact_
 
 def path_b() -> str:
     person = lambda c, a: f"CASE WHEN c.contact_type = 'B' THEN NULL ELSE {c} END AS {a}"
-    none = "CAST(NULL AS VARCHAR)"
+    none = "CAST(NULL AS VARCHAR)"  # no tax number is kept
     return f"""SELECT c.contact_code AS dbs_customer_number,
-        CASE WHEN c.contact_type IN ('B', 'C') THEN c.company_name END AS business_name, {none} AS doing_business_as,
-        {person("c.title", "prefix")}, {person("c.first_name", "first_name")}, {none} AS familiar_name, {none} AS middle_name,
+        CASE WHEN c.contact_type IN ('B', 'C') THEN c.company_name END AS business_name, c.doing_business_as,
+        {person("c.title", "prefix")}, {person("c.first_name", "first_name")}, {person("c.familiar_name", "familiar_name")}, {person("c.middle_name", "middle_name")},
         {person("c.last_name", "last_name")}, {person("c.generation", "generation")}, {person("c.suffix", "suffix")},
-        c.street AS address_line_1, {none} AS address_line_2, c.city, c.state AS state_code, c.pcode AS postal_code,
+        c.street AS address_line_1, c.street_2 AS address_line_2, c.city, c.state AS state_code, c.pcode AS postal_code,
         coalesce(NULLIF(trim(c.country), ''), 'US') AS country_code, c.email AS email_address, c.biz_phone AS work_phone,
         c.priv_phone AS home_phone, c.mob_phone AS mobile_phone, CASE WHEN c.contact_type = 'I' THEN c.fax END AS home_fax,
         CASE WHEN c.contact_type IN ('B', 'C') THEN c.fax END AS work_fax, {none} AS tax_type, {none} AS tax_id
@@ -357,19 +357,27 @@ def split(status: str) -> str:
     )
 
 
+# Cost columns of a sold unit.
+UNIT_COSTS = [
+    "wholesale", "retail", "predel_cost", "repair_cost", "access_cost", "rego_fees", "lot_fees", "stamp_duty", "transfer_fees",
+    "other_cost", "option_cost", "paint_cost", "trim_cost", "charge_cost", "after_market_cost", "surcharge_cost",
+]
+
+
 def history() -> str:
     span = "year({0}) >= 1996 AND year({0}) <= 2001"
     inv = "account a JOIN invoice i ON i.bill_to_acc = a.account_no AND i.invo_type IN ('C', 'I')"
     key = "a.account_no, year(i.invo_datetime) AS y, month(i.invo_datetime) AS m"
     service = " + ".join(f"coalesce(i.{c}, 0)" for c in ("parts_sale", "labour_sale", "sublet_sale", "other_sale"))
     cost = " + ".join(f"coalesce(i.{c}, 0)" for c in ("parts_cost", "labour_cost", "sublet_cost"))
+    unit_cost = " + ".join(f"coalesce(v.{c}, 0)" for c in UNIT_COSTS)
     when = span.format("i.invo_datetime")
     names = ["goods", "goods_cost", "parts", "parts_cost", "service", "service_cost", "rental", "rental_cost"]
     sums = ", ".join(f"CAST(sum(c{n}) AS DECIMAL(18,2)) AS {name}" for n, name in enumerate(names, start=1))
     return f"""SELECT account_no, y AS year, m AS month, {sums}, {big("sum(u)")} AS units FROM (
         SELECT a.account_no, year(v.sales_date) AS y, month(v.sales_date) AS m,
             sum(coalesce(v.sales_value, 0)) + coalesce(max(x.accessories), 0) AS c1,
-            sum(coalesce(v.wholesale, 0) + coalesce(v.repair_cost, 0)) AS c2, 0 AS c3, 0 AS c4, 0 AS c5, 0 AS c6, 0 AS c7, 0 AS c8,
+            sum({unit_cost}) AS c2, 0 AS c3, 0 AS c4, 0 AS c5, 0 AS c6, 0 AS c7, 0 AS c8,
             count(v.unit_no) AS u
         FROM account a JOIN unit_sale v ON v.owner_code = a.contact_code LEFT JOIN accessory_total x ON x.unit_no = v.unit_no
         WHERE {span.format("v.sales_date")} GROUP BY v.unit_no, a.account_no, 2, 3
@@ -388,9 +396,14 @@ def last_date(name: str, where: str, source: str = "invoice i") -> str:
     )
 
 
+ENTITY_FLAGS = (
+    "(SELECT entity_id, max(out_of_business) AS out_of_business, max(deceased) AS deceased FROM profile "
+    "WHERE source_desc = 'DEALER XREF' AND contact_id = 0 GROUP BY entity_id)"
+)
+
+
 def linkage_work() -> dict[str, str]:
     start, end = window(AS_OF)
-    registry = "profile {0} ON {0}.source_desc = 'DEALER XREF' AND {0}.entity_id = "
     return {
         "path_a_extract": f"SELECT c.contact_code AS dbs_number, c.ckc_id AS entity_id, {PERSON_ID} AS contact_id FROM {KNOWN} AND {NOT_STAFF}",
         "path_a_count": f"""SELECT count(*) AS total, count(*) FILTER (c.contact_type = 'B') AS business,
@@ -401,8 +414,9 @@ def linkage_work() -> dict[str, str]:
             e.out_of_business AS entity_out_of_business, e.deceased AS entity_deceased,
             CASE WHEN k.contact_id IS NULL THEN 'N/A' WHEN p.entity_id IS NULL THEN 'Not Found' ELSE 'Found' END AS contact_in_registry
             FROM (SELECT c.contact_code, c.contact_type, c.ckc_id AS entity_id, {PERSON_ID} AS contact_id FROM {KNOWN}) k
-            LEFT JOIN {registry.format("e")} k.entity_id AND e.contact_id = 0
-            LEFT JOIN {registry.format("p")} k.entity_id AND p.contact_id = k.contact_id""",
+            LEFT JOIN {ENTITY_FLAGS} e ON e.entity_id = k.entity_id
+            LEFT JOIN (SELECT DISTINCT entity_id, contact_id FROM profile WHERE source_desc = 'DEALER XREF') p
+                ON p.entity_id = k.entity_id AND p.contact_id = k.contact_id""",
         "path_b_extract": path_b(),
         "writeback_status": f"""SELECT c.contact_code, c.contact_type, c.ckc_id, c.cmp_ckc_id, x.entity_id AS xref_entity_id,
             x.contact_id AS xref_contact_id, s.comp_entity_id, s.erp_entity_id,
@@ -413,7 +427,7 @@ def linkage_work() -> dict[str, str]:
         "registry_status_check": f"""SELECT * FROM (SELECT s.account_no, c.contact_code, s.comp_entity_id AS crm_entity_id,
             p.out_of_business, p.deceased, CASE WHEN p.entity_id IS NULL THEN 'NOT IN REGISTRY' WHEN p.deceased = 'Y' THEN 'DECEASED'
                 WHEN p.out_of_business = 'Y' THEN 'OUT OF BUSINESS' END AS registry_status
-            FROM {CRM} LEFT JOIN {registry.format("p")} s.comp_entity_id AND p.contact_id = 0
+            FROM {CRM} LEFT JOIN {ENTITY_FLAGS} p ON p.entity_id = s.comp_entity_id
             WHERE s.record_type = 'CUSTOMER' AND s.comp_entity_id IS NOT NULL AND s.erp_entity_id IS NULL AND {ACTIVE} AND {NOT_STAFF})
             WHERE registry_status IS NOT NULL""",
         "tracking_totals": """
@@ -595,12 +609,19 @@ def quality_index() -> str:
             FROM contact_enriched) GROUP BY 1"""
 
 
+UNLINKED_CODES = (
+    "(SELECT contact_code, contact_type, CAST(sum(total_revenue) AS DECIMAL(18,2)) AS total_revenue FROM unlinked "
+    "GROUP BY contact_code, contact_type)"
+)
+
+
 def specified() -> dict[str, tuple[str, dict[str, str]] | str]:
     name = "coalesce(company_name, concat_ws(' ', first_name, last_name))"
     keys = [
         ("phone", "biz_phone"), ("phone", "priv_phone"), ("phone", "mob_phone"), ("email", "upper(email)"),
         ("name_place", f"CASE WHEN {name} <> '' AND city IS NOT NULL AND state IS NOT NULL THEN upper({name} || '|' || city || '|' || state) END"),
-        ("entity", "CAST(ckc_id AS VARCHAR)"),
+        ("entity", "CASE WHEN ckc_id <> 999999998 THEN CAST(ckc_id AS VARCHAR) END"),
+        ("second_id", "CASE WHEN cmp_ckc_id > 0 AND cmp_ckc_id <> 999999998 THEN CAST(cmp_ckc_id AS VARCHAR) END"),
     ]
     own = " UNION ".join(f"SELECT contact_code, '{k}' AS key_type, {e} AS key_value FROM contact_enriched WHERE {e} IS NOT NULL" for k, e in keys)
     b = path_b()
@@ -626,9 +647,9 @@ def specified() -> dict[str, tuple[str, dict[str, str]] | str]:
             UNION ALL SELECT DISTINCT s.entity_id, 'CUSTOMER', c, prospects, customers FROM pairs JOIN sizes s USING (entity_id))""",
         "duplicate_candidates": f"""SELECT key_type, key_value, contacts, contact_code FROM (
             SELECT *, count(*) OVER (PARTITION BY key_type, key_value) AS contacts FROM ({own})) WHERE contacts > 1""",
-        "upload_batches": """SELECT contact_code, contact_type, total_revenue, pos AS upload_position,
+        "upload_batches": f"""SELECT contact_code, contact_type, total_revenue, pos AS upload_position,
             CAST(floor((pos - 1) / 60000) AS BIGINT) + 1 AS batch_no FROM (SELECT *, row_number() OVER (
-                ORDER BY total_revenue DESC, contact_code, account_no NULLS FIRST) AS pos FROM unlinked)""",
+                ORDER BY total_revenue DESC, contact_code) AS pos FROM {UNLINKED_CODES})""",
         "upload_validation": " UNION ALL ".join(
             f"SELECT '{n}' AS check_name, count(*) FILTER ({t}) AS failed_rows, count(*) AS checked_rows FROM ("
             f"SELECT *, count(*) OVER (PARTITION BY upper(dbs_customer_number)) AS same_code FROM ({b}))"
@@ -641,8 +662,11 @@ def specified() -> dict[str, tuple[str, dict[str, str]] | str]:
             match_level = CASE WHEN contact_type = 'C' THEN 'contact' ELSE 'entity' END AS aligned FROM (
                 SELECT c.contact_type, CASE WHEN coalesce(t.contact_id, '0') = '0' THEN 'entity' ELSE 'contact' END AS match_level
                 FROM tight_match t JOIN contact c ON upper(rtrim(c.contact_code)) = upper(rtrim(t.dbs_number))) GROUP BY 1, 2""",
-        "contact_extract": """SELECT contact_code, contact_type, account_no, branch, creation_date, total_revenue FROM unlinked
-            WHERE creation_date >= DATE '2016-01-01' AND account_no IS NOT NULL ORDER BY total_revenue DESC, contact_code LIMIT 500""",
+        "contact_extract": """SELECT contact_code, contact_type, CAST(sum(total_revenue) AS DECIMAL(18,2)) AS total_revenue,
+            count(*) AS accounts, min(account_no) AS account_no, arg_min_null(branch, account_no) AS branch,
+            min(creation_date) AS creation_date FROM unlinked
+            WHERE creation_date >= DATE '2016-01-01' AND account_no IS NOT NULL GROUP BY 1, 2
+            ORDER BY total_revenue DESC, contact_code LIMIT 500""",
         "path_delete_extract": """SELECT DISTINCT c.contact_code AS dbs_number FROM contact c WHERE c.inactive_indicator = 'I' AND EXISTS (
             SELECT 1 FROM xref x WHERE x.source_desc = 'DEALER XREF' AND upper(rtrim(x.cross_ref_number)) = upper(rtrim(c.contact_code)))""",
         "inactivation_candidates": """SELECT contact_code, account_no, branch, creation_date, last_tx_date FROM contact_enriched
@@ -679,9 +703,9 @@ def io() -> dict[str, str]:
             f"FROM ({work['path_a_extract']})",
         "io_match_reports": RECONCILED,
         "io_exclusion_file": split("AGREE"),
-        "io_upload_files": """SELECT CAST((pos - 1) // 200 + 1 AS INTEGER) AS batch_no, count(*) AS contacts, min(pos) AS first_position,
+        "io_upload_files": f"""SELECT CAST((pos - 1) // 200 + 1 AS INTEGER) AS batch_no, count(*) AS contacts, min(pos) AS first_position,
             max(pos) AS last_position, CAST(sum(total_revenue) AS DECIMAL(18,2)) AS total_revenue
-            FROM (SELECT *, row_number() OVER (ORDER BY total_revenue DESC, contact_code, account_no NULLS FIRST) AS pos FROM unlinked)
+            FROM (SELECT *, row_number() OVER (ORDER BY total_revenue DESC, contact_code) AS pos FROM {UNLINKED_CODES})
             GROUP BY 1""",
         "io_dimension_roundtrip": dimension("dim_contact_type", "contact_type", "contact_enriched"),
         "io_sql_scan": "SELECT contact_type, count(*) AS contacts, count(ckc_id) AS with_id FROM contact GROUP BY 1",

@@ -46,8 +46,16 @@ COHORT = {
 }
 
 
+CODES = {
+    "contact": "contact_code", "account": "contact_code", "vendor": "contact_code", "technician": "code",
+    "salesperson": "code", "xref": "cross_ref_number", "unit_sale": "owner_code", "tight_match": "dbs_number",
+}
+
+
 def undated() -> dict[str, str]:
     found = {name: select_text(name, DUCKDB) for name in RELATIONS}
+    for name, code in CODES.items():  # padding of fixed-width codes means nothing
+        found[name] = f"SELECT * REPLACE (rtrim({code}) AS {code}) FROM ({found[name]})"
     found["employees"] = "SELECT code FROM technician UNION SELECT code FROM salesperson"
     found["links"] = (
         "SELECT * FROM xref WHERE source_desc = 'DEALER XREF' AND entity_id <> 999999998"

@@ -10,7 +10,8 @@ from linkledger.functions import columns
 from linkledger.operators.population import TEXT_FIELDS
 from linkledger.operators.rules import SCOPES, all_rules, completeness_rules
 
-SETTINGS = Settings(as_of=dt.date(2001, 8, 15))
+SETTINGS = Settings(
+    as_of=dt.date(2001, 8, 15), closed_branches=("07", "13"), internal_domains=("internal.example",))
 RULES = {r.name: r for r in all_rules(SETTINGS, standalone=True)}
 FIELDS = ("contact_type", "contact_code", "branch", *TEXT_FIELDS)
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkledger.config import Settings
+from linkledger.functions import lists
 from linkledger.operators import extracts, issues, population, profiling, quality, revenue, sections
 
 SETTINGS = Settings(as_of=dt.date(2001, 8, 15))
@@ -61,11 +62,8 @@ def test_linkage_keeps_all_rows(hot):
     assert totals["linked_count"] == (linkage.filter("is_linked = 1").count(), linkage.count())
 
 
-@pytest.mark.parametrize("part", [3, 1000])
-def test_entity_list_in_parts(hot, stage, monkeypatch, part):
-    """A group larger than one text goes on in further parts; nothing is lost."""
+def test_entity_list_by_member(hot, stage):
     contact, xref, links = hot
-    monkeypatch.setattr(profiling, "LIST_PART", part)
     codes = {r[0].upper() for r in contact.select("contact_code").collect()}
     expected = defaultdict(list)
     for e, _, code, _ in links:
@@ -73,21 +71,57 @@ def test_entity_list_in_parts(hot, stage, monkeypatch, part):
             expected[e].append(code)
     expected = {e: sorted(c) for e, c in expected.items() if len(c) > 1}
     got = defaultdict(list)
-    for r in profiling.duplicate_entity_list(contact, xref, stage).orderBy("entity_id", "part_no").collect():
-        texts = r["contact_codes"].split(", ")
-        assert len(texts) <= part and len(r["contact_types"].split(", ")) == len(texts)
-        assert r["dbs_count"] == len(expected[r["entity_id"]])
-        got[r["entity_id"]] += texts
+    for r in profiling.duplicate_entity_list(contact, xref, stage).orderBy("entity_id", "member_no").collect():
+        got[r["entity_id"]].append(r["cross_ref_number"])
+        assert r["member_no"] == len(got[r["entity_id"]]) and r["dbs_count"] == len(expected[r["entity_id"]])
     assert got == expected
 
 
-def test_type_mix_of_a_large_group(hot, monkeypatch):
-    contact, xref, _ = hot
-    spelled = {r["type_combo"]: r["entity_count"] for r in profiling.duplicate_type_combo(contact, xref).collect()}
-    monkeypatch.setattr(profiling, "LIST_PART", 2)
-    short = {r["type_combo"]: r["entity_count"] for r in profiling.duplicate_type_combo(contact, xref).collect()}
-    assert sum(spelled.values()) == sum(short.values())
-    assert any("*" in k for k in short) and not any("*" in k for k in spelled)
+@pytest.mark.parametrize("members", [1000, 1001, 100_000])
+def test_one_form_at_every_size(spark, stage, members):
+    contact = spark.range(members).selectExpr(
+        "concat('C', id) AS contact_code", "if(id % 2 = 0, 'B', 'I') AS contact_type", "id AS ckc_id", "id AS cmp_ckc_id")
+    xref = contact.selectExpr("cast(7 AS bigint) AS entity_id", "cast(0 AS bigint) AS contact_id", "contact_code AS cross_ref_number")
+    assert [tuple(r) for r in profiling.duplicate_type_combo(contact, xref).collect()] == [
+        (f"B:{(members + 1) // 2}+I:{members // 2}", 1)]
+    listed = profiling.duplicate_entity_list(contact, xref, stage)
+    assert listed.columns == ["entity_id", "dbs_count", "member_no", "contact_type", "cross_ref_number"]
+    sizes = listed.selectExpr("count(*)", "min(member_no)", "max(member_no)", "count(DISTINCT member_no)").first()
+    assert tuple(sizes) == (members, 1, members, members)
+
+
+def test_hot_account_code_and_vendors(spark):
+    """One code owns very many accounts; a vendor stays only if it has an account."""
+    contact = spark.createDataFrame([(f"C{i}", "A") for i in range(6)], "contact_code string, inactive_indicator string")
+    none = spark.createDataFrame([("C5",)], "code string")
+    account = spark.range(3000).selectExpr("if(id < 2990, 'C1', 'C2') AS contact_code", "id AS account_no", "'07' AS branch")
+    vendor = spark.createDataFrame([("C2",), ("C3",)], "contact_code string")
+    got = population.customers_and_leads(contact, none, none, account, vendor).groupBy("contact_code").count().collect()
+    assert {r[0]: r[1] for r in got} == {"C0": 1, "C1": 2990, "C2": 10, "C4": 1}
+
+
+def test_agreement_of_a_code_with_many_entities(spark):
+    contact = spark.createDataFrame([(f"C{i}", "B", 1) for i in range(3)], "contact_code string, contact_type string, ckc_id bigint")
+    account = spark.createDataFrame([(i, f"C{i}") for i in range(3)], "account_no bigint, contact_code string")
+    crm = spark.createDataFrame([(f"R{i}", i % 3, "CUSTOMER", 100) for i in range(9)], "crm_id string, account_no bigint, record_type string, erp_entity_id bigint")
+    xref = spark.range(500).selectExpr("if(id % 3 = 0, 'C0', 'C1') AS cross_ref_number", "CASE WHEN id < 490 THEN id END AS entity_id")
+    got = profiling.crm_xref_agreement(crm, account, contact, xref, SETTINGS).first()
+    c0 = [i if i < 490 else None for i in range(500) if i % 3 == 0]
+    c1 = [i if i < 490 else None for i in range(500) if i % 3]
+    links = 3 * (c0 + c1)
+    assert got["customers_with_erp_id"] == len(links) + 3
+    assert got["ids_agree"] == links.count(100) and got["no_cross_ref_found"] == links.count(None) + 3
+    assert got["ids_disagree"] == len(links) - links.count(100) - links.count(None)
+
+
+def test_repeated_registry_rows(spark):
+    contact = spark.createDataFrame([("C1", "B", 5, None, "A")], "contact_code string, contact_type string, ckc_id bigint, cmp_ckc_id bigint, inactive_indicator string")
+    xref = spark.createDataFrame([("X", 1)], "cross_ref_number string, entity_id bigint")
+    profile = spark.range(2000).selectExpr(
+        "cast(5 AS bigint) AS entity_id", "cast(0 AS bigint) AS contact_id", "'DEALER XREF' AS source_desc",
+        "if(id = 7, 'Y', 'N') AS out_of_business", "cast(NULL AS string) AS deceased")
+    rows = extracts.path_a_validation(contact, xref, profile, SETTINGS).collect()
+    assert len(rows) == 1 and rows[0]["entity_out_of_business"] == "Y"
 
 
 def test_hot_account_revenue(spark):
@@ -107,6 +141,7 @@ def test_hot_account_revenue(spark):
     unit = spark.createDataFrame(
         [(1, f"C{i % 2}", day, Decimal(100)) for i in range(30)] + [(2, "C5", None, Decimal(9))],
         "unit_no bigint, owner_code string, sales_date timestamp_ntz, sales_value decimal(12,2)")
+    unit = unit.selectExpr("*", *(f"cast(NULL AS decimal(12,2)) AS {c}" for c in lists.UNIT_COSTS))
     accessory = spark.createDataFrame([(1, Decimal(5)), (1, None), (1, Decimal(6))], "unit_no bigint, sale_value decimal(12,2)")
 
     expected = defaultdict(int)
@@ -139,15 +174,23 @@ def test_upload_batches_cut(spark, stage):
     assert [(r["batch_no"], r["count"]) for r in sizes] == [(1, 100), (2, 100), (3, 50)]
 
 
+def test_one_upload_row_per_code(spark, stage):
+    df = spark.createDataFrame([("A", "I", 1, 5), ("A", "I", 2, 6), ("B", "I", 3, 9)], "contact_code string, contact_type string, account_no bigint, r int")
+    rows = extracts.upload_batches(df.selectExpr("*", "cast(r AS decimal(18,2)) AS total_revenue"), stage).collect()
+    assert {(r["contact_code"], int(r["total_revenue"]), r["upload_position"]) for r in rows} == {("A", 11, 1), ("B", 9, 2)}
+
+
 def test_duplicate_candidates_list_members(spark):
     fields = ("contact_code", "company_name", "first_name", "last_name", "city", "state", "email", "biz_phone", "priv_phone", "mob_phone")
     rows = [(f"C{i}", None, "Ann", "Lee", "Rome" if i < 5 else None, "KY", f"{i % 2}@X.y" if i < 4 else None, "1" if i % 3 == 0 else None,
              "1" if i == 0 else None, None) for i in range(30)]
-    df = spark.createDataFrame(rows, ", ".join(f"{f} string" for f in fields)).selectExpr("*", "cast(NULL AS bigint) AS ckc_id")
-    got = quality.duplicate_candidates(df).groupBy("key_type", "key_value", "contacts").count().collect()
+    df = spark.createDataFrame(rows, ", ".join(f"{f} string" for f in fields)).selectExpr(
+        "*", "if(contact_code < 'C2', 999999998, NULL) AS ckc_id", "if(contact_code >= 'C8', 4, 0) AS cmp_ckc_id")
+    got = quality.duplicate_candidates(df, SETTINGS).groupBy("key_type", "key_value", "contacts").count().collect()
     assert all(r["contacts"] == r["count"] for r in got)
     assert {(r["key_type"], r["key_value"]): r["count"] for r in got} == {
         ("phone", "1"): 10, ("name_place", "ANN LEE|ROME|KY"): 5, ("email", "0@X.Y"): 2, ("email", "1@X.Y"): 2,
+        ("second_id", "4"): 2,
     }
 
 
