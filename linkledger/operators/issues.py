@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from linkledger.functions.columns import both, lit
 from linkledger.operators import parity
 from linkledger.operators.population import with_repeat_flag
-from linkledger.operators.rules import NEEDS_REPEAT_FLAG, Rule
+from linkledger.operators.rules import Rule
 
 ISSUE_OUTCOMES = ("mismatch", "equip_only", "registry_only")
 
@@ -23,13 +23,12 @@ def _when(test: str, name: str) -> str:
     return f"CASE WHEN {test} THEN {lit(name)} END"
 
 
-def linkage_issues(enriched: DataFrame) -> DataFrame:
-    return _failed(enriched, [
-        _when("links = 0", "unlinked_count"),
-        _when("links = 0 AND ckc_id IS NOT NULL", "ckc_id_no_cross_ref"),
-        _when("(contact_type = 'C' AND links > contact_level_links) OR "
-              "(contact_type IN ('B', 'I') AND contact_level_links > 0)", "type_mismatch_linkage"),
-    ])
+LINKAGE_ISSUES = [
+    _when("links = 0", "unlinked_count"),
+    _when("links = 0 AND ckc_id IS NOT NULL", "ckc_id_no_cross_ref"),
+    _when("(contact_type = 'C' AND links > contact_level_links) OR "
+          "(contact_type IN ('B', 'I') AND contact_level_links > 0)", "type_mismatch_linkage"),
+]
 
 
 def shared_entity_issues(enriched: DataFrame, links: DataFrame) -> DataFrame:
@@ -50,13 +49,9 @@ def shared_entity_issues(enriched: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
-def rule_issues(enriched: DataFrame, rules: list[Rule]) -> DataFrame:
-    """All rules in one scan; the repeated-code rule joins by itself over the code alone."""
-    plain = [_when(r.failed, r.name) for r in rules if r.name != NEEDS_REPEAT_FLAG]
-    repeated = with_repeat_flag(enriched.select("contact_code")).filter("code_repeats")
-    return _failed(enriched, plain).unionByName(
-        repeated.selectExpr("contact_code", f"{lit(NEEDS_REPEAT_FLAG)} AS metric_name")
-    )
+def contact_issues(enriched: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Linkage and all rules in one scan."""
+    return _failed(with_repeat_flag(enriched), LINKAGE_ISSUES + [_when(r.failed, r.name) for r in rules])
 
 
 def parity_issues(linked: DataFrame) -> DataFrame:
@@ -76,7 +71,7 @@ def inactive_issues(inactive: DataFrame) -> DataFrame:
 
 def issue_map(enriched, links, linked, inactive, rules: list[Rule], as_of: dt.date) -> DataFrame:
     parts = [
-        linkage_issues(enriched), shared_entity_issues(enriched, links), rule_issues(enriched, rules),
+        contact_issues(enriched, rules), shared_entity_issues(enriched, links),
         parity_issues(linked), inactive_issues(inactive),
     ]
     everything = parts[0]

@@ -68,18 +68,21 @@ def active_contacts(contact, technician, salesperson, account, vendor) -> DataFr
     return population.selectExpr(*CONTACT_COLUMNS, *cleaned(TEXT_FIELDS), "account_no", "branch")
 
 
-def contact_enriched(contact, technician, salesperson, account, vendor, ranked, settings: Settings) -> DataFrame:
-    """Active contacts with staleness, decile and cohort; ``ranked`` has one row per account.
+def active_base(contact, technician, salesperson, account, vendor, links: DataFrame) -> DataFrame:
+    """Active contacts with their account, link counts and repeated-code flag: all that no date changes."""
+    rows = active_contacts(contact, technician, salesperson, account, vendor).selectExpr(
+        "*", f"{code_key('contact_code')} AS code_key")
+    return with_repeat_flag(with_link_counts(rows, links))
 
-    The ranking joins the narrow account table first, so that the wide contact
-    rows are shuffled once, by their code.
-    """
-    standing = account.select("contact_code", "account_no", "branch").join(ranked, "account_no", "left")
-    population = customers_and_leads(contact.filter(IS_ACTIVE), technician, salesperson, standing, vendor)
+
+def contact_enriched(base: DataFrame, ranked: DataFrame, settings: Settings) -> DataFrame:
+    """The contacts with staleness, decile and cohort; ``ranked`` has one row per account."""
     staleness = staleness_bucket("account_no", "last_tx_date", settings.as_of, settings.staleness_step)
-    return population.selectExpr(
-        *CONTACT_COLUMNS, *cleaned(TEXT_FIELDS), "account_no", "branch",
-        f"{code_key('contact_code')} AS code_key",
+    # Contacts without account do not meet the ranking, so that their missing number is no hot key.
+    known = base.filter("account_no IS NOT NULL").join(ranked, "account_no", "left")
+    rows = known.unionByName(base.filter("account_no IS NULL"), allowMissingColumns=True)
+    return rows.selectExpr(
+        *base.columns,
         "cast(coalesce(total_revenue, 0) AS decimal(18,2)) AS total_revenue",
         "last_tx_date",
         f"{staleness} AS staleness_bucket",
@@ -188,7 +191,9 @@ def dup_codes(enriched: DataFrame) -> DataFrame:
 
 
 def with_repeat_flag(enriched: DataFrame) -> DataFrame:
-    """Flag contacts whose normalized code repeats; joins one row per repeated code."""
+    """Flag contacts whose normalized code repeats, unless they are flagged; joins one row per repeated code."""
+    if "code_repeats" in enriched.columns:
+        return enriched
     repeated = dup_codes(enriched).selectExpr("norm_code", "true AS _repeats")
     return (
         enriched.selectExpr("*", f"{NORMAL_CODE} AS norm_code")

@@ -67,29 +67,35 @@ def to_snapshot_rows(df: DataFrame, category: str, as_of: dt.date) -> DataFrame:
 
 # Linkage
 
+LINK_COUNTS = [
+    "sum(links) AS linked", "count_if(unlinked) AS unlinked", "sum(weight) AS every",
+    "count_if(has_id AND unlinked) AS id_unlinked", "coalesce(sum(CASE WHEN has_id THEN weight END), 0) AS with_id",
+    "coalesce(sum(conflict), 0) AS conflicts",
+]
+LINK_ENTRIES: list[Entry] = [
+    ("linked_count", "linked", "every"),
+    ("unlinked_count", "unlinked", "every"),
+    ("ckc_id_no_cross_ref", "id_unlinked", "with_id"),
+    ("type_mismatch_linkage", "conflicts", "linked"),
+]
+LINK_JUDGED = [
+    "links", "greatest(links, 1) AS weight", "links = 0 AS unlinked", "ckc_id IS NOT NULL AS has_id",
+    "CASE WHEN contact_type = 'C' THEN links - contact_level_links "
+    "WHEN contact_type IN ('B', 'I') THEN contact_level_links END AS conflict",
+]
+
+
+def _linkage_of(numbers: DataFrame, metrics: set[str] | None = None) -> DataFrame:
+    rows = metric_rows(numbers, [e for e in LINK_ENTRIES if metrics is None or e[0] in metrics])
+    return rows.filter("metric_name <> 'type_mismatch_linkage' OR denominator > 0")
+
+
 def linkage_by_slice(linked: DataFrame, keep: tuple[str, ...] = SLICE, metrics: set[str] | None = None) -> DataFrame:
     """Linked, unlinked, id without link, level conflict; input has link counts per contact.
 
     A contact with several links counts once per link, one without links once.
     """
-    slices = linked.selectExpr(
-        *folded(keep), "links", "greatest(links, 1) AS weight", "links = 0 AS unlinked", "ckc_id IS NOT NULL AS has_id",
-        "CASE WHEN contact_type = 'C' THEN links - contact_level_links "
-        "WHEN contact_type IN ('B', 'I') THEN contact_level_links END AS conflict",
-    )
-    numbers = counted(slices, [
-        "sum(links) AS linked", "count_if(unlinked) AS unlinked", "sum(weight) AS every",
-        "count_if(has_id AND unlinked) AS id_unlinked", "coalesce(sum(CASE WHEN has_id THEN weight END), 0) AS with_id",
-        "coalesce(sum(conflict), 0) AS conflicts",
-    ])
-    entries = [
-        ("linked_count", "linked", "every"),
-        ("unlinked_count", "unlinked", "every"),
-        ("ckc_id_no_cross_ref", "id_unlinked", "with_id"),
-        ("type_mismatch_linkage", "conflicts", "linked"),
-    ]
-    rows = metric_rows(numbers, [e for e in entries if metrics is None or e[0] in metrics])
-    return rows.filter("metric_name <> 'type_mismatch_linkage' OR denominator > 0")
+    return _linkage_of(counted(linked.selectExpr(*folded(keep), *LINK_JUDGED), LINK_COUNTS), metrics)
 
 
 def linkage_overall(enriched: DataFrame, links: DataFrame, branch: str | None = None) -> DataFrame:
@@ -158,11 +164,12 @@ def rule_part(rules: list[Rule]) -> Part:
 def rule_rows(enriched: DataFrame, rules: list[Rule], keep: tuple[str, ...] = SLICE) -> DataFrame:
     """Count all rules in one pass.
 
-    The repeated-code rule needs a join, so it runs by itself over a few
-    columns and the wide contact rows are not shuffled for it.
+    The repeated-code rule needs a join unless contacts are flagged before; it
+    then runs by itself over a few columns and wide rows are not shuffled.
     """
-    joined = [r for r in rules if r.name == NEEDS_REPEAT_FLAG]
-    plain = [r for r in rules if r.name != NEEDS_REPEAT_FLAG]
+    flagged = "code_repeats" in enriched.columns
+    joined = [r for r in rules if r.name == NEEDS_REPEAT_FLAG and not flagged]
+    plain = [r for r in rules if r not in joined]
     found = [part_rows(enriched, rule_part(plain), keep=keep)] if plain else []
     if joined:
         narrow = with_repeat_flag(enriched.select("contact_code", *SLICE))
@@ -172,24 +179,38 @@ def rule_rows(enriched: DataFrame, rules: list[Rule], keep: tuple[str, ...] = SL
 
 # Staleness and match readiness
 
-def staleness_rows(enriched: DataFrame) -> DataFrame:
-    """All eight buckets of every slice; the bucket is the metric."""
+TIER_COUNTS = [f"count_if(tier = '{t}') AS {t}" for t in lists.MATCH_TIERS]
+
+
+def _staleness_of(slices: DataFrame) -> DataFrame:
+    """Buckets folded from slices counted as ``everyone``."""
     keep = tuple(d for d in SLICE if d != "staleness_bucket")
-    slices = enriched.selectExpr(*folded(keep), "staleness_bucket AS bucket")
-    numbers = counted(slices, [
-        "count(*) AS everyone", *(f"count_if(bucket = '{b}') AS `{b}`" for b in lists.STALENESS_BUCKETS)
+    numbers = counted(slices.selectExpr(*folded(keep), "staleness_bucket AS bucket", "everyone AS n"), [
+        "sum(n) AS everyone",
+        *(f"coalesce(sum(CASE WHEN bucket = '{b}' THEN n END), 0) AS `{b}`" for b in lists.STALENESS_BUCKETS),
     ])
     return metric_rows(numbers, [(b, f"`{b}`", "everyone") for b in lists.STALENESS_BUCKETS])
 
 
+def staleness_rows(enriched: DataFrame) -> DataFrame:
+    """All eight buckets of every slice; the bucket is the metric."""
+    return _staleness_of(counted(enriched.select(*SLICE), ["count(*) AS everyone"]))
+
+
 def readiness_rows(unlinked: DataFrame) -> DataFrame:
     """All four match tiers of every slice of unlinked contacts."""
-    numbers = counted(unlinked.selectExpr(*SLICE, f"{MATCH_TIER} AS tier"), [
-        "count(*) AS everyone", *(f"count_if(tier = '{t}') AS {t}" for t in lists.MATCH_TIERS)
-    ])
+    numbers = counted(unlinked.selectExpr(*SLICE, f"{MATCH_TIER} AS tier"), ["count(*) AS everyone", *TIER_COUNTS])
     return metric_rows(numbers, [(t, t, "everyone") for t in lists.MATCH_TIERS])
 
 
+def contact_rows(enriched: DataFrame) -> dict[str, DataFrame]:
+    """Linkage by slice, staleness and match readiness, all from one grouped pass over the contacts."""
+    judged = enriched.selectExpr(*SLICE, *LINK_JUDGED, f"CASE WHEN links = 0 THEN {MATCH_TIER} END AS tier")
+    numbers = counted(judged, [*LINK_COUNTS, "count(*) AS everyone", *TIER_COUNTS])
+    tiers = metric_rows(numbers.filter("unlinked > 0"), [(t, t, "unlinked") for t in lists.MATCH_TIERS])
+    return {"linkage": _linkage_of(numbers), "staleness": _staleness_of(numbers), "match_readiness": tiers}
+
+
 def occurring(df: DataFrame, metric: str, keep: tuple[str, ...]) -> DataFrame:
     """Count only the metrics that occur; the slice total is a window over the few counted rows."""
     numbers = df.selectExpr(f"{metric} AS metric_name", *folded(keep)).groupBy("metric_name", *SLICE).agg(

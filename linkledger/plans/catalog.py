@@ -37,6 +37,8 @@ def r60_window_volumes(ws: Workspace) -> DataFrame:
     ).selectExpr(f"{lit(start)} AS start_date", f"{lit(end)} AS end_date", "invoices", "units")
 
 
+INTERNAL = ("code_key", "links", "contact_level_links", "code_repeats")
+
 STAGES: dict[str, Query] = {
     "r60_window": r60_window_volumes,
     "account_revenue": Workspace.account_revenue,
@@ -44,10 +46,9 @@ STAGES: dict[str, Query] = {
     "sales_decile_share": lambda ws: ws.ranked_revenue("share").filter("raw_decile IS NOT NULL"),
     "last_transaction": Workspace.last_transaction,
     "active_contacts": Workspace.active,
-    "contact_enriched": lambda ws: ws.enriched().drop("code_key", "links", "contact_level_links"),
+    "contact_enriched": lambda ws: ws.enriched().drop(*INTERNAL),
     "contact_linkage": lambda ws: population.contact_linkage(ws.enriched(), ws.links()),
-    "unlinked_contacts": lambda ws: population.unlinked_contacts(ws.enriched(), ws.links()).drop(
-        "code_key", "links", "contact_level_links"),
+    "unlinked_contacts": lambda ws: population.unlinked_contacts(ws.enriched(), ws.links()).drop(*INTERNAL),
     "active_linked": lambda ws: ws.linked().drop("creation_date"),
     "inactive_linked": Workspace.inactive_linked,
     "field_parity": lambda ws: parity.field_parity(ws.linked()),

@@ -46,11 +46,15 @@ def section(ws: Workspace, category: str) -> DataFrame:
 
 
 def dq_snapshot(ws: Workspace) -> DataFrame:
-    """All categories; completeness and field quality share one scan of the contacts."""
+    """All categories. Completeness and field quality share one scan of the contacts; linkage, staleness and match
+    readiness are counts of the same slices and share another."""
+    counts = sections.contact_rows(ws.enriched())
+    counts["linkage"] = counts["linkage"].unionByName(sections.linkage_overall(ws.enriched(), ws.links()))
     rules = sections.rule_rows(ws.enriched(), all_rules(ws.settings))
     first = f"metric_name IN {values(r.name for r in completeness_rules())}"
     return union([
-        *(section(ws, c) for c in CATEGORIES if c not in ("completeness", "field_quality")),
+        *(sections.to_snapshot_rows(rows, c, ws.settings.as_of) for c, rows in counts.items()),
+        section(ws, "parity"),
         sections.to_snapshot_rows(rules, "field_quality", ws.settings.as_of).withColumn(
             "metric_category", F.expr(f"if({first}, 'completeness', metric_category)")
         ),

@@ -27,6 +27,7 @@ class Workspace:
         self._stages: dict[str, DataFrame] = {}
         self._dated: dict[dt.date, Workspace] = {settings.as_of: self}
         self._other_cohorts: dict[str, Workspace] = {}
+        self._dateless: dict[str, DataFrame] = {}
 
     # Inputs
 
@@ -41,7 +42,7 @@ class Workspace:
         """The same inputs seen from another date."""
         if as_of not in self._dated:
             other = Workspace(self.spark, self.tables, self.settings.at(as_of), self.scratch)
-            other._dated = self._dated
+            other._dated, other._dateless = self._dated, self._dateless
             self._dated[as_of] = other
         return self._dated[as_of]
 
@@ -95,10 +96,15 @@ class Workspace:
         def build() -> DataFrame:
             standing = revenue.account_standing(*self.transactions(), self.settings.as_of)
             ranked = revenue.with_sales_decile(standing, self.scratch.stage, self.settings.decile_method)
-            enriched = population.contact_enriched(*self.people(), ranked, self.settings)
-            return population.with_link_counts(enriched, self.links())
+            return population.contact_enriched(self.base(), ranked, self.settings)
         return self.staged("enriched", build)
 
+    def base(self) -> DataFrame:
+        """Contacts as far as no date changes them; written once for all dates of a run."""
+        if "base" not in self._dateless:
+            self._dateless["base"] = self.scratch.stage(population.active_base(*self.people(), self.links()), "base")
+        return self._dateless["base"]
+
     def links(self) -> DataFrame:
         return self.once("links", lambda: population.source_links(self.table("xref"), self.settings))
 
@@ -121,6 +127,7 @@ class Workspace:
     def release(self) -> None:
         """Delete the staged tables of this run."""
         self.scratch.release()
+        self._dateless.clear()
         for ws in self._dated.values():
             ws._stages.clear()
             ws._other_cohorts.clear()

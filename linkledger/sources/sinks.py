@@ -11,17 +11,22 @@ NAME_LENGTH = 50  # longest file name the upload tool takes
 
 def append_snapshot(df: DataFrame, path: str) -> None:
     """Add a run to the stored snapshots."""
-    df.write.mode("append").partitionBy("snapshot_date").parquet(path)
+    _by_category(df).write.mode("append").partitionBy("snapshot_date").parquet(path)
+
+
+def _by_category(df: DataFrame) -> DataFrame:
+    """Few files per date, instead of one per task of each section."""
+    return df.repartition("snapshot_date", "metric_category")
 
 
 def reset_snapshots(df: DataFrame, path: str) -> None:
     """Drop all stored snapshots and start with this run."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("snapshot_date").parquet(path)
+    _by_category(df).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("snapshot_date").parquet(path)
 
 
 def replace_snapshot(df: DataFrame, path: str) -> None:
     """Write a run again; only the partitions of its dates are replaced."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(path)
+    _by_category(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(path)
 
 
 def overwrite(df: DataFrame, path: str) -> None:
