@@ -8,6 +8,7 @@ from linkledger.config import Settings
 from linkledger.functions import lists
 from linkledger.functions.columns import COHORTS
 from linkledger.operators import parity
+from linkledger.operators.definitions import LINKAGE_TEXTS, PRIORITY_TEXTS, TIER_TEXTS, ratio, rule_definition
 from linkledger.operators.rules import all_rules
 
 LINKAGE_METRICS = (
@@ -25,9 +26,9 @@ TYPE_LABELS = {
     "I": ("Individual", "A person on their own"), "ALL": ("All Types", "Every contact type together"),
 }
 BUCKET_LABELS = {
-    "0-1yr": "<1 Year", "1-2yr": "1–2 Years", "2-3yr": "2–3 Years", "3-4yr": "3–4 Years",
-    "4-5yr": "4–5 Years", "5+yr": "5+ Years", "never_transacted": "Never Transacted",
-    "no_account": "No Account",
+    "0-1yr": "Within a year", "1-2yr": "One to two years ago", "2-3yr": "Two to three years ago",
+    "3-4yr": "Three to four years ago", "4-5yr": "Four to five years ago", "5+yr": "Five years ago or longer",
+    "never_transacted": "Account without activity", "no_account": "Without account",
 }
 OUTCOME_NOTES = {
     "match": "Both sides hold the same value", "mismatch": "The two sides hold different values",
@@ -81,25 +82,28 @@ def dimension_rows() -> dict[str, list[tuple]]:
 def metric_rows(settings: Settings) -> list[tuple]:
     """One row per snapshot metric, derived from the registries."""
     rows = [
-        (m, "linkage", title_of(m), f"Linkage: {title_of(m).lower()}", m != "linked_count", None, None)
+        (m, "linkage", title_of(m), ratio(*LINKAGE_TEXTS[m]), m != "linked_count", None, None)
         for m in LINKAGE_METRICS
     ]
     rows += [
-        (f"{f.name}_{o}", "parity", f"{f.label}: {OUTCOME_LABELS[o]}", f"{OUTCOME_NOTES[o]}; types {', '.join(f.types)}",
+        (f"{f.name}_{o}", "parity", f"{f.label}: {OUTCOME_LABELS[o]}",
+         ratio(f"{f.label.lower()}: {OUTCOME_NOTES[o].lower()}", f"linked contacts of type {', '.join(f.types)}"),
          o not in ("match", "both_null"), f.name, o)
         for f in parity.FIELDS for o in lists.PARITY_OUTCOMES
     ]
-    rows += [(m, "parity", title_of(m), f"Parity: {title_of(m).lower()}", True, None, None) for m in parity.PRIORITY]
+    rows += [(m, "parity", title_of(m), ratio(*PRIORITY_TEXTS[m]), True, None, None) for m in parity.PRIORITY]
     rows += [
-        (r.name, r.category, title_of(r.name), f"Contacts in scope '{r.scope}' that fail this check", True, None, None)
+        (r.name, r.category, title_of(r.name), rule_definition(r.name, r.scope), True, None, None)
         for r in all_rules(settings)
     ]
     rows += [
-        (b, "staleness", BUCKET_LABELS[b], f"Last account activity: {BUCKET_LABELS[b].lower()}", False, None, None)
+        (b, "staleness", BUCKET_LABELS[b],
+         ratio(f"contacts whose last account activity is: {BUCKET_LABELS[b].lower()}", "all active contacts"), False, None, None)
         for b in lists.STALENESS_BUCKETS
     ]
     rows += [
-        (t, "match_readiness", title_of(t), "Unlinked contacts of this tier", False, None, None) for t in lists.MATCH_TIERS
+        (t, "match_readiness", title_of(t), ratio(TIER_TEXTS[t], "unlinked contacts"), False, None, None)
+        for t in lists.MATCH_TIERS
     ]
     return rows
 

@@ -13,10 +13,13 @@ from linkledger.functions.columns import either, lit, parity, phone_parity, sure
 @dataclass(frozen=True)
 class Field:
     name: str
-    label: str
     types: tuple[str, ...]
     outcome: str
 
+    @property
+    def label(self) -> str:
+        return " ".join(w.capitalize() for w in self.name.split("_"))
+
     @property
     def scope(self) -> str:
         return f"contact_type IN {values(self.types)}"
@@ -34,18 +37,18 @@ def _zip() -> str:
 
 _ALL = ("B", "C", "I")
 FIELDS = (
-    Field("company_name", "Company Name", ("B", "C"), parity("company_name", "reg_company_name")),
-    Field("first_name", "First Name", ("I", "C"), parity("first_name", "reg_first_name")),
-    Field("last_name", "Last Name", ("I", "C"), parity("last_name", "reg_last_name")),
-    Field("email", "Email", _ALL, parity("email", "reg_email")),
-    Field("business_phone", "Business Phone", _ALL, _phone("biz_phone", "reg_biz")),
-    Field("private_phone", "Home Phone", _ALL, _phone("priv_phone", "reg_priv")),
-    Field("mobile_phone", "Mobile Phone", _ALL, _phone("mob_phone", "reg_mob")),
-    Field("street", "Street", _ALL, parity("street", "reg_street")),
-    Field("city", "City", _ALL, parity("city", "reg_city")),
-    Field("state", "State", _ALL, parity("state", "reg_state")),
-    Field("zip", "Zip Code", _ALL, _zip()),
-    Field("country", "Country", _ALL, parity("country", "reg_country")),
+    Field("company_name", ("B", "C"), parity("company_name", "reg_company_name")),
+    Field("first_name", ("I", "C"), parity("first_name", "reg_first_name")),
+    Field("last_name", ("I", "C"), parity("last_name", "reg_last_name")),
+    Field("email", _ALL, parity("email", "reg_email")),
+    Field("business_phone", _ALL, _phone("biz_phone", "reg_biz")),
+    Field("private_phone", _ALL, _phone("priv_phone", "reg_priv")),
+    Field("mobile_phone", _ALL, _phone("mob_phone", "reg_mob")),
+    Field("street", _ALL, parity("street", "reg_street")),
+    Field("city", _ALL, parity("city", "reg_city")),
+    Field("state", _ALL, parity("state", "reg_state")),
+    Field("zip", _ALL, _zip()),
+    Field("country", _ALL, parity("country", "reg_country")),
 )
 
 

@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, functions as F
 from linkledger.config import r60_window
 from linkledger.functions.columns import MATCH_TIER, lit
 from linkledger.operators import (
-    dimensions, extracts, issues, parity, population, profiling, quality, reconcile, reports, revenue, tracking,
+    dimensions, extracts, parity, population, profiling, quality, reconcile, reports, revenue, tracking,
 )
 from linkledger.operators.rules import all_rules, completeness_rules, field_quality_rules
-from linkledger.plans import snapshot
+from linkledger.plans import snapshot, weekly
 from linkledger.plans.workspace import Workspace
 from linkledger.sources import readers, sinks
 
@@ -168,12 +168,6 @@ LINKAGE_WORK: dict[str, Query] = {
 
 # Issue map, dimensions, stored snapshots
 
-def issue_map(ws: Workspace) -> DataFrame:
-    return issues.issue_map(
-        ws.enriched(), ws.links(), ws.linked(), ws.inactive_linked(), all_rules(ws.settings), ws.settings.as_of
-    )
-
-
 def _usage(name: str, column: str) -> Query:
     return lambda ws: dimensions.dimension_usage(dimensions.dimension(ws.spark, name), ws.enriched(), column)
 
@@ -189,8 +183,8 @@ def _older(fn: Query) -> Query:
 
 
 STORED: dict[str, Query] = {
-    "issue_map": issue_map,
-    "issue_map_counts": lambda ws: issue_map(ws).groupBy("metric_name").agg(F.count("*").alias("issue_rows")).orderBy("metric_name"),
+    "issue_map": weekly.issue_map,
+    "issue_map_counts": lambda ws: weekly.issue_map(ws).groupBy("metric_name").agg(F.count("*").alias("issue_rows")).orderBy("metric_name"),
     "snapshot_verification": lambda ws: reports.snapshot_verification(snapshot.stored_snapshots(ws)),
     "dim_metric": lambda ws: dimensions.metric_usage(dimensions.dim_metric(ws.spark, ws.settings), snapshot.stored_snapshots(ws)),
     "metric_name_parity": lambda ws: dimensions.metric_name_parity(snapshot.stored_snapshots(ws), dimensions.dim_metric(ws.spark, ws.settings)),
@@ -293,6 +287,45 @@ def io_match_reports(ws: Workspace) -> DataFrame:
     return reconcile.reconcile_matches(readers.read_match_reports(ws.spark, paths), ids)
 
 
+def io_weekly_run(ws: Workspace) -> DataFrame:
+    """Run for two dates, the later one twice, and profile what the three targets hold."""
+    targets = weekly.Targets(*(ws.scratch.path(f"weekly-{n}") for n in ("snapshots", "issues", "dimensions")))
+    days = ws.settings.dates[-2:]
+    for day in (*days, days[-1]):
+        weekly.weekly_run(ws.at(day), targets)
+    counts = readers.read_snapshot(ws.spark, targets.snapshots).groupBy("snapshot_date", "metric_category").agg(
+        *revenue.exprs("count(*) AS row_count", "sum(numerator) AS total")
+    ).selectExpr("'snapshot' AS target", "snapshot_date", "metric_category AS name", "row_count", "total")
+    mapped = ws.spark.read.parquet(targets.issue_map).groupBy("snapshot_date", "metric_name").agg(
+        F.expr("count(*) AS row_count")
+    ).selectExpr("'issue map' AS target", "snapshot_date", "metric_name AS name", "row_count", "cast(NULL AS bigint) AS total")
+    found = counts.unionByName(mapped)
+    for name in weekly.lookup_tables(ws):
+        found = found.unionByName(ws.spark.read.parquet(f"{targets.dimensions}/{name}").agg(
+            *revenue.exprs("'lookup' AS target", "cast(NULL AS date) AS snapshot_date", f"{lit(name)} AS name",
+                           "count(*) AS row_count", "cast(NULL AS bigint) AS total")))
+    return found
+
+
+def io_named_files(ws: Workspace) -> DataFrame:
+    """Export the match layout and both outcomes of the reconciliation as named files; profile the files read back."""
+    folder, stamp = ws.scratch.path("files"), dt.datetime.combine(ws.settings.as_of, dt.time())
+    exports = {
+        "match-upload": (LINKAGE_WORK["path_b_extract"](ws), "dbs_customer_number", extracts.MATCH_HEADERS),
+        "agree": (LINKAGE_WORK["split_agree"](ws), "dbs_number", extracts.LINK_HEADERS),
+        "disagree": (LINKAGE_WORK["split_disagree"](ws), "dbs_number", extracts.LINK_HEADERS),
+    }
+    for stem, (rows, key, headers) in exports.items():
+        sinks.export_files(rows, folder, stem, stamp, [key], ws.scratch.stage, headers, file_rows=100)
+    found = None
+    for stem, (_, key, headers) in exports.items():
+        read = readers.read_csv(ws.spark, f"{folder}/{stem}-*").withColumnRenamed(headers[key], "code").selectExpr(
+            "element_at(split(input_file_name(), '/'), -1) AS file_name", "code")
+        found = read if found is None else found.unionByName(read)
+    return found.groupBy("file_name").agg(*revenue.exprs(
+        "count(*) AS row_count", "min(code) AS first_code", "max(code) AS last_code"))
+
+
 def io_upload_files(ws: Workspace) -> DataFrame:
     """Write upload batches of at most 200 contacts and profile the files read back."""
     folder = ws.scratch.path("batches")
@@ -334,6 +367,8 @@ IO: dict[str, Query] = {
     "io_match_reports": io_match_reports,
     "io_exclusion_file": io_exclusion_file,
     "io_upload_files": io_upload_files,
+    "io_named_files": io_named_files,
+    "io_weekly_run": io_weekly_run,
     "io_dimension_roundtrip": io_dimension_roundtrip,
     "io_sql_scan": io_sql_scan,
 }

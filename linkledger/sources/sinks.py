@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
-NAME_LENGTH = 50  # longest file name the upload tool takes
+from linkledger.operators.ranking import in_global_order
+from linkledger.storage import hadoop_path
+
+# Limits of the upload tool.
+NAME_LENGTH = 50
+FILE_ROWS = 60_000
+FILE_BYTES = 6_000_000
 
 
 def append_snapshot(df: DataFrame, path: str) -> None:
@@ -70,7 +76,56 @@ def export_batches(df: DataFrame, folder: str, file_rows: int) -> None:
     )
 
 
-def export_name(stem: str, extension: str, stamp: dt.datetime) -> str:
+def export_name(stem: str, extension: str, stamp: dt.datetime, number: int | None = None) -> str:
     """File name with time stamp; the stem is cut so that the name fits."""
-    tail = f"-{stamp:%Y%m%d-%H%M%S}{extension}"
+    tail = f"{'' if number is None else f'-{number}'}-{stamp:%Y%m%d-%H%M%S}{extension}"
     return stem[: NAME_LENGTH - len(tail)] + tail
+
+
+def rows_per_file(df: DataFrame, header: str, file_rows: int, file_bytes: int) -> int:
+    """Rows that fit a file whatever rows it gets: the widest row sets the number.
+
+    A field may double its quotation marks and gets two around it and a comma.
+    """
+    width = " + ".join(
+        f"coalesce(octet_length(cast(`{c}` AS string)) + length(cast(`{c}` AS string)) "
+        f"- length(replace(cast(`{c}` AS string), '\"', '')), 0) + 3" for c in df.columns
+    )
+    widest = df.agg(F.expr(f"coalesce(max({width}), 1) AS w")).first()[0]
+    return max(1, min(file_rows, (file_bytes - len(header.encode()) - 2) // (widest + 1)))
+
+
+def export_files(df: DataFrame, folder: str, stem: str, stamp: dt.datetime, order: list[str], stage,
+                 headers: dict[str, str], file_rows: int = FILE_ROWS, file_bytes: int = FILE_BYTES) -> None:
+    """CSV files with the template's header, in order, named and within the limits of the upload tool.
+
+    Rows are numbered in a distributed order and every file is written by one task; the driver only renames files.
+    An empty table gives one file with the header.
+    """
+    renamed = df.withColumnsRenamed(headers)
+    size = rows_per_file(renamed, ",".join(renamed.columns), file_rows, file_bytes)
+    placed = in_global_order(df, order, stage).withColumn("_file", F.expr(f"cast((position - 1) div {size} + 1 AS int)"))
+    parts = f"{folder}/_parts-{stem}"
+    (
+        placed.repartition("_file").sortWithinPartitions("_file", "position")
+        .select("_file", *df.columns).withColumnsRenamed(headers)
+        .write.mode("overwrite").partitionBy("_file").option("header", True).option("emptyValue", "").csv(parts)
+    )
+    fs, at = hadoop_path(df.sparkSession, parts)
+    found = 0
+    for written in fs.listStatus(at):
+        label = written.getPath().getName()
+        if not label.startswith("_file="):
+            continue
+        number = int(label.partition("=")[2])
+        part = next(f.getPath() for f in fs.listStatus(written.getPath()) if f.getPath().getName().endswith(".csv"))
+        _, target = hadoop_path(df.sparkSession, f"{folder}/{export_name(stem, '.csv', stamp, number)}")
+        fs.delete(target, False)
+        fs.rename(part, target)
+        found += 1
+    fs.delete(at, True)
+    if not found:
+        _, target = hadoop_path(df.sparkSession, f"{folder}/{export_name(stem, '.csv', stamp, 1)}")
+        out = fs.create(target, True)
+        out.write(bytearray((",".join(renamed.columns) + "\n").encode()))
+        out.close()

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from linkledger.operators import dimensions, parity
-from linkledger.operators.reports import VISUALS
+from linkledger.operators import dimensions
 from linkledger.config import Settings
 from oracle import rules
 from oracle.relations import AS_OF, HISTORY, PARITY, SLICE, TEXT_FIELDS, suffix, window, with_relations
@@ -492,8 +491,42 @@ def values(rows: list[tuple], columns: str) -> str:
     return "(VALUES " + ", ".join("(" + ", ".join(map(literal, r)) + ")" for r in rows) + f") d({columns})"
 
 
+# Ids of the lookup tables, in order. Labels and descriptions are the package's own wording.
+DIMENSION_IDS = {
+    "dim_contact_type": ["B", "C", "I", "ALL"],
+    "dim_sales_decile": ["D1", "D2", "D3", "D4", "D5", "D6", "D7", "D8", "D9", "D10", "Unranked", "ALL"],
+    "dim_staleness_bucket": [
+        "0-1yr", "1-2yr", "2-3yr", "3-4yr", "4-5yr", "5+yr", "never_transacted", "no_account", "ALL"],
+    "dim_parity_field": [
+        "company_name", "first_name", "last_name", "email", "business_phone", "private_phone", "mobile_phone", "street",
+        "city", "state", "zip", "country"],
+    "dim_parity_outcome": ["match", "mismatch", "equip_only", "registry_only", "both_null"],
+    "dim_creation_cohort": ["Unknown", "Pre-2015", "2016-2020", "2021-2025", "2026+", "ALL"],
+}
+PRIORITY = [
+    "phys_addr_certified_mismatch", "address_confirmed_undeliverable", "registry_oob_equip_active",
+    "registry_deceased_equip_active", "equip_inactive_reason_mismatch",
+]
+LINKAGE = [
+    "linked_count", "unlinked_count", "ckc_id_no_cross_ref", "type_mismatch_linkage", "duplicate_entity_id", "orphan_cross_ref",
+]
+# (metric, category, counts as an issue, parity field, parity outcome)
+METRICS = (
+    [(m, "linkage", m != "linked_count", None, None) for m in LINKAGE]
+    + [(f"{f}_{o}", "parity", o in ("mismatch", "equip_only", "registry_only"), f, o)
+       for f in DIMENSION_IDS["dim_parity_field"] for o in OUTCOMES]
+    + [(m, "parity", True, None, None) for m in PRIORITY]
+    + [(m, "completeness", True, None, None) for m in rules.COMPLETENESS]
+    + [(m, "field_quality", True, None, None) for m in rules.FIELD_QUALITY]
+    + [(b, "staleness", False, None, None) for b in BUCKETS]
+    + [(t, "match_readiness", False, None, None) for t in TIERS]
+)
+
+
 def dimension(name: str, column: str, source: str) -> str:
-    d = values(dimensions.dimension_rows()[name], "id, label, description, sort_order")
+    wording = {row[0]: row[1:3] for row in dimensions.dimension_rows()[name]}
+    rows = [(i, *wording.get(i, (None, None)), n) for n, i in enumerate(DIMENSION_IDS[name], start=1)]
+    d = values(rows, "id, label, description, sort_order")
     return f"""SELECT d.id, d.label, d.description, d.sort_order, CASE WHEN d.id = 'ALL' THEN (SELECT count(*) FROM {source})
         ELSE (SELECT count(*) FROM {source} s WHERE s.{column} = d.id) END AS contacts FROM {d}"""
 
@@ -502,7 +535,8 @@ METRIC_COLUMNS = "metric_name, metric_category, label, definition, is_issue, par
 
 
 def dim_metric() -> str:
-    return values(dimensions.metric_rows(Settings(as_of=AS_OF)), METRIC_COLUMNS)
+    wording = {row[0]: row[2:4] for row in dimensions.metric_rows(Settings(as_of=AS_OF))}
+    return values([(m, c, *wording.get(m, (None, None)), *rest) for m, c, *rest in METRICS], METRIC_COLUMNS)
 
 
 def stored() -> dict[str, tuple[str, dict[str, str]] | str]:
@@ -563,21 +597,60 @@ MEASURES = {
 }
 
 
-def visual(v) -> tuple[str, dict[str, str]]:
-    table = snapshots([v.category] if v.category else CATEGORIES, HISTORY if v.trend else [AS_OF])
-    where = ["true"]
-    if v.metric:
-        where.append(f"metric_name = '{v.metric}'")
-    if v.known_cohorts:
-        where.append("creation_cohort NOT IN ('ALL', 'Unknown')")
-    if v.pivot:
-        column, ids = v.pivot
+# What each report visual shows: (columns to group by, measures or pivot, filters, over all dates).
+# Filters: c = category, m = metric; a cohort chart leaves out the unknown and the total.
+BY_TYPE, NUM = ["metric_name", "contact_type"], ["numerator"]
+REPORTS = {
+    1: (["metric_category"], ["issue_count"], {}, False),
+    3: ([], ["pct_linked"], {"c": "linkage"}, False),
+    4: ([], ["match_ready"], {"c": "match_readiness"}, False),
+    5: ([], ["stale_5yr"], {"c": "staleness"}, False),
+    6: (["snapshot_date", "metric_category"], ["issue_count"], {}, True),
+    7: (BY_TYPE, ["issue_count"], {"c": "linkage"}, False),
+    8: ([], ["issue_count"], {"c": "linkage", "m": "duplicate_entity_id"}, False),
+    9: ([], ["issue_count"], {"c": "linkage", "m": "linked_count"}, False),
+    10: ([], ["issue_count"], {"c": "linkage", "m": "orphan_cross_ref"}, False),
+    11: ([], ["issue_count"], {"c": "linkage", "m": "unlinked_count"}, False),
+    12: (["snapshot_date"], ["issue_count"], {"c": "linkage", "m": "linked_count"}, True),
+    13: (BY_TYPE, ["issue_count"], {"c": "completeness"}, False),
+    14: ([], ["issue_count"], {"c": "completeness", "m": "no_contact_info"}, False),
+    15: ([], ["issue_count"], {"c": "completeness", "m": "missing_email"}, False),
+    16: ([], ["issue_count"], {"c": "completeness", "m": "missing_all_phones"}, False),
+    17: (BY_TYPE, ["numerator", "denominator", "issue_count", "record_count"], {"c": "completeness"}, False),
+    18: (BY_TYPE, NUM, {"c": "field_quality"}, False),
+    19: (["metric_name"], ["numerator", "denominator"], {"c": "field_quality"}, False),
+    20: (BY_TYPE, NUM, {"c": "parity"}, False),
+    21: ([], NUM, {"c": "parity", "m": "phys_addr_certified_mismatch"}, False),
+    22: ([], NUM, {"c": "parity", "m": "address_confirmed_undeliverable"}, False),
+    23: (BY_TYPE, NUM, {"c": "parity"}, False),
+    24: (BY_TYPE, NUM, {"c": "staleness"}, False),
+    25: ([], NUM, {"c": "staleness", "m": "never_transacted"}, False),
+    26: ([], NUM, {"c": "staleness", "m": "no_account"}, False),
+    27: ([], NUM, {"c": "staleness", "m": "5+yr"}, False),
+    28: (["metric_name"], ("sales_decile", DIMENSION_IDS["dim_sales_decile"][:-1]), {"c": "staleness"}, False),
+    29: (BY_TYPE, NUM, {"c": "match_readiness"}, False),
+    30: ([], NUM, {"c": "match_readiness", "m": "tier_1_strong"}, False),
+    31: ([], NUM, {"c": "match_readiness", "m": "tier_2_partial"}, False),
+    32: ([], NUM, {"c": "match_readiness", "m": "tier_4_no_name"}, False),
+    33: (["metric_name"], NUM, {"c": "match_readiness"}, False),
+    34: (["snapshot_date", "metric_category"], NUM, {}, True),
+    35: (["snapshot_date", "metric_name"], NUM, {}, True),
+    36: (["metric_category", "metric_name"], ["numerator", "denominator", "issue_rate"], {}, False),
+    37: (["creation_cohort"], ["issue_rate"], {"cohorts": "creation_cohort NOT IN ('ALL', 'Unknown')"}, False),
+}
+
+
+def visual(number: int) -> tuple[str, dict[str, str]]:
+    by, shown, filters, trend = REPORTS[number]
+    table = snapshots([filters["c"]] if "c" in filters else CATEGORIES, HISTORY if trend else [AS_OF])
+    where = [filters.get("cohorts", "true")] + ([f"metric_name = '{filters['m']}'"] if "m" in filters else [])
+    if isinstance(shown, tuple):
+        column, ids = shown
         items = [f"{big(f'sum(numerator) FILTER ({column} = {literal(i)})')} AS \"{i}\"" for i in ids]
     else:
-        items = [f"{MEASURES[m]} AS {m}" for m in v.measures]
-    select = ", ".join([*v.by, *items])
-    group = f" GROUP BY {', '.join(v.by)}" if v.by else ""
-    return f"SELECT {select} FROM snapshots WHERE {' AND '.join(where)}{group}", table
+        items = [f"{MEASURES[m]} AS {m}" for m in shown]
+    group = f" GROUP BY {', '.join(by)}" if by else ""
+    return f"SELECT {', '.join([*by, *items])} FROM snapshots WHERE {' AND '.join(where)}{group}", table
 
 
 def clean_records() -> str:
@@ -631,7 +704,7 @@ def specified() -> dict[str, tuple[str, dict[str, str]] | str]:
         "parity_sum_check": (
             f"SELECT snapshot_date, {SLICE}, regexp_replace(metric_name, '_(match|mismatch|equip_only|registry_only|both_null)$', '') AS field_name, "
             f"{big('sum(numerator)')} AS outcomes, max(denominator) AS denominator FROM snapshots "
-            f"WHERE metric_name NOT IN ({', '.join(literal(p) for p in parity.PRIORITY)}) GROUP BY ALL "
+            f"WHERE metric_name NOT IN ({', '.join(literal(p) for p in PRIORITY)}) GROUP BY ALL "
             "HAVING sum(numerator) <> max(denominator)", snapshots(["parity"])),
         "snapshot_delta": (
             f"""SELECT coalesce(a.metric_category, b.metric_category) AS metric_category, coalesce(a.metric_name, b.metric_name) AS metric_name,
@@ -689,14 +762,37 @@ def reports() -> dict[str, tuple[str, dict[str, str]] | str]:
         f"SELECT {MEASURES['issue_rate']} AS issue_rate FROM snapshots WHERE metric_name <> 'linked_count' AND "
         "metric_category NOT IN ('staleness', 'match_readiness') AND (metric_category <> 'parity' OR "
         "NOT regexp_matches(metric_name, '_(match|both_null)$'))", latest)
-    found |= {f"rpt_{n}": visual(v) for n, v in VISUALS.items()}
+    found |= {f"rpt_{n}": visual(n) for n in REPORTS}
     found["rpt_2"] = clean_records()
     return found
 
 
+def named_files() -> str:
+    work = linkage_work()
+    parts = [("match-upload", path_b(), "dbs_customer_number"), ("agree", work["split_agree"], "dbs_number"),
+             ("disagree", work["split_disagree"], "dbs_number")]
+    return " UNION ALL ".join(
+        f"SELECT '{stem}-' || file_no || '-{AS_OF:%Y%m%d}-000000.csv' AS file_name, count(*) AS row_count, min({key}) AS first_code, "
+        f"max({key}) AS last_code FROM (SELECT {key}, (row_number() OVER (ORDER BY {key}) - 1) // 100 + 1 AS file_no FROM ({sql})) GROUP BY file_no"
+        for stem, sql, key in parts)
+
+
+def weekly() -> str:
+    none = "CAST(NULL AS BIGINT) AS total"
+    lookups = [(n, len(rows)) for n, rows in DIMENSION_IDS.items()] + [("dim_metric", len(METRICS))]
+    return " UNION ALL ".join([
+        f"SELECT 'snapshot' AS target, snapshot_date, metric_category AS name, count(*) AS row_count, {big('sum(numerator)')} AS total "
+        f"FROM ({union(section(c, d) for d in HISTORY[-2:] for c in CATEGORIES)}) GROUP BY 2, 3",
+        f"SELECT 'issue map', snapshot_date, metric_name, count(*), {none} FROM ({issue_map()}) GROUP BY 2, 3",
+        *(f"SELECT 'lookup', CAST(NULL AS DATE), '{n}', {rows}, {none}" for n, rows in lookups),
+    ])
+
+
 def io() -> dict[str, str]:
     work = linkage_work()
     return {
+        "io_named_files": named_files(),
+        "io_weekly_run": weekly(),
         "io_append_roundtrip": union(section("linkage", d) for d in HISTORY[-2:]),
         "io_overwrite_roundtrip": union(section("completeness", d) for d in HISTORY[-2:]),
         "io_csv_roundtrip": "SELECT dbs_number, CAST(entity_id AS VARCHAR) AS entity_id, coalesce(CAST(contact_id AS VARCHAR), '') AS contact_id "
