@@ -17,7 +17,7 @@ import numpy as np
 
 _BLANKS = re.compile(r"(?:\s|\A) (?:\s|\Z)")
 #: Words of one generation of the table; two are kept.
-_WORDS = 200_000
+_WORDS = 100_000
 _MARKS = frozenset((".", ",", ";", ":", "!", "?", ")"))
 
 
