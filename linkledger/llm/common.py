@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -16,6 +17,7 @@ ROWS_AT_ONCE = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    visible_to_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -23,13 +25,21 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; a local one of our own only where none is set, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="llm-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
+def visible_to_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did, if it is not on their path."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
+
+
 class Stages:
     """Tables written below one folder of the shared storage, so that they outlive executors."""
 
