@@ -9,36 +9,15 @@ from linkledger.llm import ngram_join as nj
 from linkledger.llm.components import components
 from linkledger.llm.common import Stages
 from linkledger.llm.shingles import shingle_set
-
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
-def words(text):
-    return [w for w in __import__("re").split(r"[\x20\x09-\x0D]+", text.translate(LOWER)) if w]
-
-
-def plain_set(text):
-    w = words(text or "")
-    return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+from tests.llm import plain
 
 
 def brute(rows):
-    sets = [plain_set(t) for _, t in rows]
-    root = list(range(len(rows)))
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    for i in range(len(rows)):
-        for j in range(i):
-            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
-                root[find(i)] = find(j)
+    number, sets = plain.groups([t for _, t in rows])
     least = {}
-    for i, (d, _) in enumerate(rows):
-        least[find(i)] = min(least.get(find(i), d), d)
-    return sorted((d, len(sets[i]), least[find(i)]) for i, (d, _) in enumerate(rows))
+    for g, (d, _) in zip(number, rows):
+        least[g] = min(least.get(g, d), d)
+    return sorted((d, len(s), least[g]) for (d, _), s, g in zip(rows, sets, number))
 
 
 def run(spark, rows):
