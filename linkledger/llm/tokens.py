@@ -2,8 +2,8 @@
 
 A blank that has other than white space on a side always begins a piece of the tokenizer's own split, so words between
 blanks are encoded once each and looked up afterwards; a text where blanks meet other white space goes to the
-tokenizer whole. Letters with a mark after them are two pieces of that split, and go straight to the tokenizer's BPE
-model. All ways give the ids of the whole text.
+tokenizer whole. Letters and a run of marks after them are two pieces of that split; letters go straight to the
+tokenizer's BPE model, and marks are looked up. All ways give the ids of the whole text.
 """
 
 from __future__ import annotations
@@ -18,7 +18,10 @@ import numpy as np
 _BLANKS = re.compile(r"(?:\s|\A) (?:\s|\Z)")
 #: Words of one generation of the table; two are kept.
 _WORDS = 100_000
-_MARKS = frozenset((".", ",", ";", ":", "!", "?", ")"))
+#: Runs of marks whose ids are kept.
+_MARK_RUNS = 5_000
+#: Letters, and a run of ASCII marks after them. Apostrophes are left to the tokenizer, which has rules for them.
+_SHAPE = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")
 
 
 class Encoder:
@@ -33,7 +36,8 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.written, self.blank = self._alphabet()
-        self.marks = {m: self._plain(m) for m in (*_MARKS, "\n")}
+        self.marks: dict[str, bytes] = {}
+        self.line_feed = self._plain("\n")
         self.older: dict[str, bytes] = {}
         self.words = _Table(self._word)
 
@@ -48,16 +52,30 @@ class Encoder:
     def _plain(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def _run(self, marks: str) -> bytes:
+        """Ids of a run of marks, which is a piece of its own."""
+        found = self.marks.get(marks)
+        if found is None:
+            if len(self.marks) >= _MARK_RUNS:
+                self.marks.clear()
+            found = self.marks[marks] = self._plain(marks)
+        return found
+
     def _letters(self, word: str, before: str) -> bytes | None:
-        """Ids of Latin letters with a mark after them or none; None for any other word."""
-        core, mark = (word[:-1], self.marks[word[-1]]) if word[-1:] in _MARKS else (word, b"")
-        if not core.isalpha():
+        """Ids of Latin letters with marks after them or none; None for any other word."""
+        shape = _SHAPE.fullmatch(word)
+        if not shape:
             return None
-        if not core.isascii():
-            if max(core) >= "\u0250":
-                return None
-            core = core.encode().decode("latin-1").translate(self.written)
-        return array("I", [t.id for t in self.model.tokenize(before + core)]).tobytes() + mark
+        core, marks = shape.groups()
+        found = (self.words.get(core) or self.older.get(core)) if marks and before else None
+        if found is None:
+            piece = core
+            if not core.isascii():
+                if not core.isalpha() or max(core) >= "\u0250":
+                    return None
+                piece = core.encode().decode("latin-1").translate(self.written)
+            found = array("I", [t.id for t in self.model.tokenize(before + piece)]).tobytes()
+        return found + self._run(marks) if marks else found
 
     def _word(self, word: str) -> bytes:
         """Ids of a blank and a word, which may hold a line feed between two words."""
@@ -65,7 +83,7 @@ class Encoder:
         if found is None and word.count("\n") == 1:
             first, _, second = word.partition("\n")
             found, rest = self._letters(first, self.blank), self._letters(second, "")
-            found = found + self.marks["\n"] + rest if found and rest else None
+            found = found + self.line_feed + rest if found and rest else None
         if found is None:
             found = self._plain(" " + word)
         if len(self.words) >= _WORDS:

@@ -28,7 +28,7 @@ def test_ids_of_whole_texts(tokenizer, monkeypatch):
     monkeypatch.setattr(tokens, "_WORDS", 60)
     e = Encoder(PATH)
     rng = random.Random(4)
-    parts = ["the", " ", "  ", "\n", " \n", "\t", "don't", "'s", "12", "Ärger", "…", "\xa0", "x,", "<|endoftext|>", "日本", "😀", "ſ", "ǅ", "ᾼ", "thon.", "née!", "x)", "²", "ʰ"]
+    parts = ["the", " ", "  ", "\n", " \n", "\t", "don't", "'s", "12", "Ärger", "…", "\xa0", "x,", "<|endoftext|>", "日本", "😀", "ſ", "ǅ", "ᾼ", "thon.", "née!", "x)", "²", "ʰ", "x,!!", "a***", "WORD.!!", "ab'", "o's.", "z|", "q_", "ª."]
     texts = ["", " ", "  ", "a", " a ", "a  b", "a\n b", "a \n", "\n a", "a\x85 b"]
     texts += ["".join(rng.choices(parts, k=rng.randint(1, 60))) for _ in range(800)]
     texts += [" ".join(rng.choices([p for p in parts if p.strip()], k=rng.randint(1, 300))) for _ in range(100)]
