@@ -15,6 +15,9 @@ out. Repeated pages give repeated records with the same ids.
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: Date of records whose source does not say when it was fetched.
@@ -24,10 +27,21 @@ NO_DATE = "1970-01-01T00:00:00Z"
 _SILENT = ("script", "style", "noscript", "template", "head")
 _LINE = ("p|div|br|hr|li|ul|ol|dl|dt|dd|tr|table|h1|h2|h3|h4|h5|h6|article|section|header|footer|nav|aside|main|"
          "blockquote|pre|form")
-#: Character references, the ampersand last. Others stay as they are written.
-_REFERENCES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-               ("&copy;", "\u00a9"), ("&reg;", "\u00ae"), ("&middot;", "\u00b7"), ("&hellip;", "\u2026"),
-               ("&ndash;", "\u2013"), ("&mdash;", "\u2014"), ("&amp;", "&"))
+_CELL = "td|th"
+#: Named character references, as written with their ampersand; frequent ones are found first.
+_FREQUENT = ("&amp;", "&nbsp;", "&lt;", "&gt;", "&quot;", "&apos;", "&copy;", "&reg;", "&middot;", "&hellip;", "&ndash;",
+             "&mdash;")
+_NAMED = {name: html5[name[1:]] for name in _FREQUENT} | {f"&{name}": text for name, text in html5.items()}
+_NAMED = {name: text.replace("\u00a0", " ") for name, text in _NAMED.items()}
+#: Names that are references without a semicolon too, the longest first.
+_BARE = "&(?:" + "|".join(sorted((n[1:] for n in _NAMED if n[-1] != ";"), key=len, reverse=True)) + ")"
+_REFERENCE = "&#[xX][0-9a-fA-F]+;?|&#[0-9]+;?|&[A-Za-z][A-Za-z0-9]*;|" + _BARE
+#: What the numbers 128 to 159 stand for.
+_C1 = [bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160)]
+#: The value of the first href of a link, with its quotation marks if it has some; other attributes are passed over.
+_VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
+_HREF = (rf"""(?is)<a[\s/]++(?:(?!href\s*=)[^\s>/][^\s=>/]*+(?:\s*+=\s*+{_VALUE})?+[\s/]*+)*+"""
+         rf"""href\s*+=\s*+({_VALUE})""")
 
 
 def _urn(*parts: Column) -> Column:
@@ -40,18 +54,50 @@ def _digest(text: Column) -> Column:
     return F.concat(F.lit("sha256:"), F.sha2(text, 256))
 
 
-def _plain(text: Column) -> Column:
-    for name, char in _REFERENCES:
-        text = F.replace(text, F.lit(name), F.lit(char))
-    return text
+def _numbered(reference: Column) -> Column:
+    """The character of a numeric reference; U+FFFD for a number that is none."""
+    digits = F.left(F.regexp_extract(reference, "^&#[xX]?0*([0-9a-fA-F]*)", 1), F.lit(9))
+    number = F.when(digits == "", F.lit("0")).when(
+        F.lower(F.substring(reference, 3, 1)) == "x", F.conv(digits, 16, 10)).otherwise(F.conv(digits, 10, 10))
+
+    def char(n: Column) -> Column:
+        return (
+            F.when((n == 0) | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF), F.lit("\ufffd"))
+            .when(n.between(128, 159), F.element_at(F.array(*map(F.lit, _C1)), (n - 127).cast("int")))
+            .when(n == 160, F.lit(" "))
+            .otherwise(F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
+        )
+
+    return F.transform(F.array(number.cast("long")), char)[0]
+
+
+def _plain(text: Column, attribute: bool = False) -> Column:
+    """Text with its character references decoded once. In attributes a name without a semicolon is a reference only
+    where no letter, digit or equals sign follows."""
+    pattern = _REFERENCE + ("(?![=A-Za-z0-9])" if attribute else "")
+    named = F.from_json(F.lit(json.dumps(_NAMED)), "map<string,string>")
+
+    def decoded(reference: Column) -> Column:
+        bare = F.regexp_extract(reference, "^" + _BARE, 0)
+        cut = F.concat(F.try_element_at(named, bare), F.substr(reference, F.length(bare) + 1))
+        return F.when(F.startswith(reference, F.lit("&#")), _numbered(reference)).otherwise(
+            F.coalesce(F.try_element_at(named, reference), *([] if attribute else [cut]), reference))
+
+    def whole(x: Column) -> Column:
+        parts = F.zip_with(F.split(x, pattern), F.regexp_extract_all(x, F.lit(pattern), F.lit(0)), lambda p, r: F.when(
+            r.isNull(), p).otherwise(F.concat(p, decoded(r))))
+        return F.when(F.contains(x, F.lit("&")), F.array_join(parts, "")).otherwise(x)
+
+    return F.transform(F.array(text), whole)[0]
 
 
 def plain_text(html: Column) -> Column:
-    """Text of a page: one line per block element, spaces and blank lines closed up."""
+    """Text of a page: one line per block element, a space around table cells, spaces and blank lines closed up."""
     silent = "|".join(_SILENT)
     text = F.regexp_replace(html, r"(?s)<!--.*?(?:-->|\z)", "")
     text = F.regexp_replace(text, rf"(?is)<({silent})(?:\s[^>]*)?>.*?(?:</\1\s*>|\z)", " ")
     text = F.regexp_replace(text, rf"(?i)</?(?:{_LINE})(?:[\s/][^>]*)?>", "\n")
+    text = F.regexp_replace(text, rf"(?i)</?(?:{_CELL})(?:[\s/][^>]*)?>", " ")
     text = _plain(F.regexp_replace(text, r"</?[A-Za-z!?][^>]*>", ""))
     text = F.regexp_replace(text, r"[ \t\r\f\x0B]{2,}|[\t\r\f\x0B]", " ")
     text = F.regexp_replace(text, r" \n[ \n]*|\n[ \n]+", "\n")
@@ -76,8 +122,9 @@ def derive(records: DataFrame) -> DataFrame:
     """A metadata and a conversion record for every response record."""
     html = F.col("payload")
     links = F.transform(
-        F.regexp_extract_all(html, F.lit(r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*["']([^"'>]*)["']"""), 1),
-        lambda x: F.regexp_replace(_plain(x), r"[\r\n]+", ""))
+        F.regexp_extract_all(html, F.lit(_HREF), 1),
+        lambda x: F.regexp_replace(
+            _plain(F.regexp_replace(x, r"""(?s)^(["'])(.*)\1$""", "$2"), attribute=True), r"[\r\n]+", ""))
     title = F.trim(F.regexp_replace(
         _plain(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title", 1)), r"[\s]+", " "))
     language = F.regexp_extract(html, r"""(?is)<html[^>]*\slang\s*=\s*["']?([A-Za-z-]+)""", 1)
