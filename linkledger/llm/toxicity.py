@@ -1,7 +1,8 @@
 """Toxicity of texts: a learned lexicon, misspellings by Levenshtein automata, and the context of each hit.
 
-* **Lexicon.** From a bounded sample of labelled documents: words that stand in toxic documents again and again,
-  after different words, and hardly ever in others.
+* **Lexicon.** From a bounded sample of labelled documents: words that stand in toxic documents again and again, among
+  different words, and far more often than they are meant in others. A quotation in a clean document is no evidence
+  against a word.
 * **Match.** The Levenshtein automata of all terms, intersected with the trie of the lexicon, are one automaton. Its
   states are sets of (trie node, edits); they are built as words need them and kept. It accepts a word within one
   edit of a term of 5 letters or more, two edits from 9 letters on, and names the term and the edits. The first
@@ -18,6 +19,7 @@ labels no lexicon is found and all texts score alike.
 from __future__ import annotations
 
 import re
+import zlib
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
@@ -29,9 +31,10 @@ from linkledger.llm.labelled import remainder, training_rows
 #: Labelled documents to learn from at most.
 SAMPLE = 12_000
 THRESHOLD = 0.7
-#: A term stands in so many toxic documents and in such a share of them, after so many different words; and of the
-#: documents it stands in, so small a share is clean.
-LEAST_DOCUMENTS, LEAST_SHARE, LEAST_CONTEXTS, MOST_CLEAN = 4, 0.005, 4, 0.05
+#: A term stands in so many toxic documents and in such a share of them, in so many different windows of words (copies
+#: of a passage have one); and the smoothed logarithm of its share of toxic documents over its share of clean documents
+#: that hold it unquoted is so high.
+LEAST_DOCUMENTS, LEAST_SHARE, LEAST_CONTEXTS, LEAST_ODDS = 4, 0.005, 4, 2.0
 #: Terms at most, the most frequent first: the lexicon is broadcast.
 MOST_TERMS = 20_000
 #: Words on a side of a hit that show how it is meant.
@@ -192,24 +195,32 @@ def learn_lexicon(rows: DataFrame) -> list[str]:
     def made(texts):
         out = []
         for text in texts:
-            seen, before = {}, ""
-            for m in _WORD.finditer(text or ""):
-                word = m[0].lower()
-                seen.setdefault(word, before)
-                before = word
-            out.append([{"word": w, "before": b} for w, b in seen.items()])
+            places = [(m.start(), m.end()) for m in _WORD.finditer(text or "")]
+            words = [text[a:b].lower() for a, b in places]
+            seen, meant = {}, set()
+            for i, (word, (start, end)) in enumerate(zip(words, places)):
+                seen.setdefault(word, i)
+                if word not in meant and not _quoted(text, start, end, words[max(0, i - WINDOW):i]):
+                    meant.add(word)
+            out.append([
+                {"word": w, "around": zlib.crc32(" ".join(words[max(0, i - WINDOW):i + WINDOW + 1]).encode()),
+                 "meant": w in meant} for w, i in seen.items()])
         return [out]
 
-    words = with_columns(rows.select("label", "text"), "text", made, "seen array<struct<word:string,before:string>>")
-    words = words.select("label", F.explode("seen").alias("s")).select("label", "s.word", "s.before")
-    # Contexts are counted in two steps, so that a frequent word is not one task's rows.
-    per = words.groupBy("word", "before").agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean"))
+    words = with_columns(
+        rows.select("label", "text"), "text", made, "seen array<struct<word:string,around:long,meant:boolean>>")
+    words = words.select("label", F.explode("seen").alias("s")).select("label", "s.word", "s.around", "s.meant")
+    # Windows are counted in two steps, so that a frequent word is not one task's rows.
+    per = words.groupBy("word", "around").agg(
+        F.sum("label").alias("toxic"), F.count_if(F.expr("label = 0 and meant")).alias("clean"))
     per = per.groupBy("word").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"),
         F.sum((F.col("toxic") > 0).cast("int")).alias("contexts"))
-    least = max(LEAST_DOCUMENTS, LEAST_SHARE * rows.filter("label = 1").count())
+    n_toxic, n_clean = (rows.filter(f"label = {label}").count() for label in (1, 0))
+    least = max(LEAST_DOCUMENTS, LEAST_SHARE * n_toxic)
     per = per.filter(
-        f"toxic >= {least} and contexts >= {LEAST_CONTEXTS} and clean <= {MOST_CLEAN} * (toxic + clean)")
+        f"toxic >= {least} and contexts >= {LEAST_CONTEXTS} and "
+        f"ln((toxic + 0.5) / ({n_toxic} + 1)) - ln((clean + 0.5) / ({n_clean} + 1)) >= {LEAST_ODDS}")
     return [r.word for r in per.orderBy(F.desc("toxic"), "word").limit(MOST_TERMS).select("word").collect()]
 
 

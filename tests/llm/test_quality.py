@@ -112,3 +112,27 @@ def test_context():
     assert [(f[2], f[3], f[4]) for f in found] == [
         ("moron", 0, True), ("moron", 1, False), ("worthless", 1, False), ("moron", 0, False)]
     assert n == 9 and all(f[5] >= 2 for f in found)
+
+
+def test_quoted_and_fixed_phrases_stay_in_the_lexicon(spark):
+    rng = np.random.default_rng(7)
+    plain = [f"{a}{b}" for a in ("ka", "lo", "mi", "ru", "te", "su") for b in ("ran", "vel", "dol", "pin", "gas")]
+
+    def some(n):
+        return " ".join(rng.choice(plain, n))
+
+    rows = []
+    for i in range(900):
+        kind, word = i % 9, ("zarnok", "glibbet")[i // 9 % 2]
+        if kind < 2:  # meant, one of them always after the same word
+            rows.append((i, f"{some(8)} {'you zarnok' if word == 'zarnok' else word} {some(8)}", 1))
+        elif kind == 2:  # a third of their documents quote them
+            rows.append((i, f'{some(8)} "{some(1)} {word} {some(1)}" {some(8)}', 0))
+        else:
+            rows.append((i, some(18) + (" you" if kind == 3 else ""), 0))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert {t for t in model.value[0].term if t} == {"zarnok", "glibbet"}
+    got = {r.doc_id: r for r in toxicity.scored(docs, model).collect()}
+    assert all(got[i].predicted == y for i, _, y in rows if got[i].held_out)
