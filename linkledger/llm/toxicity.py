@@ -5,8 +5,9 @@
   against a word.
 * **Match.** The Levenshtein automata of all terms, intersected with the trie of the lexicon, are one automaton. Its
   states are sets of (trie node, edits); they are built as words need them and kept. It accepts a word within one
-  edit of a term of 5 letters or more, two edits from 9 letters on, and names the term and the edits. The first
-  letter of a term must be right.
+  edit of a term of 3 letters or more, two edits from 9 letters on, and names the term and the edits; any letter may be
+  wrong, the first one too. A word with marks or underscores inside is also matched whole, marks as letters. An edited
+  term under 5 letters counts with marks inside, or if a surer hit stands near.
 * **Context.** A window of words around a hit shows whether it is quoted (between quotation marks, or after a verb of
   saying) or meant, and how many other hits stand near. Hits are counted per class of edits, quotation and company.
 * **Score.** A logistic model over these counts, trained on the same documents. Terms are left out of their own
@@ -39,9 +40,13 @@ LEAST_DOCUMENTS, LEAST_SHARE, LEAST_CONTEXTS, LEAST_ODDS = 4, 0.005, 4, 2.0
 MOST_TERMS = 20_000
 #: Words on a side of a hit that show how it is meant.
 WINDOW = 6
-_STATES, _CACHE_WORDS = 200_000, 300_000
+#: Shorter terms need more than an edited word.
+SURE = 5
+#: Entries of kept states (a node and its edits each) and kept words.
+_STATES, _CACHE_WORDS = 2_000_000, 300_000
 
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
+_SPACE = re.compile(r"\s")
 #: Verbs that announce a quotation, in the languages of the corpus.
 _SAYING = frozenset((
     "said says wrote writes called quoted quote quotes replied term word slur insult reported "
@@ -54,7 +59,7 @@ MODEL = Ftrl(dims=DIMS, alpha=0.5, l1=0.001, l2=0.001, rounds=4, passes=15)
 
 
 def edits_allowed(term: str) -> int:
-    return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
+    return 0 if len(term) < 3 else 1 if len(term) < 9 else 2
 
 
 class Lexicon:
@@ -74,10 +79,13 @@ class Lexicon:
                 node = below
                 self.room[node] = max(self.room[node], edits_allowed(term))
             self.term[node] = term
+        self.room[0] = max(self.room)
+        #: Letters that a word near a term has at most.
+        self.longest = max((len(t) + edits_allowed(t) for t in self.term if t), default=0)
         self._forget()
 
     def _forget(self):
-        self.numbers, self.states, self.moves, self.known = {}, [], [], {}
+        self.numbers, self.states, self.moves, self.known, self.unsure, self.held = {}, [], [], {}, set(), 0
         self.start = self._number({0: 0})
 
     def _number(self, state: dict[int, int]) -> int:
@@ -86,7 +94,7 @@ class Lexicon:
         while todo:
             node = todo.pop()
             edits = state[node] + 1
-            for below in self.children[node].values() if node else ():
+            for below in self.children[node].values():
                 if edits <= self.room[below] and edits < state.get(below, 99):
                     state[below] = edits
                     todo.append(below)
@@ -95,6 +103,7 @@ class Lexicon:
         if number is None:
             number = self.numbers[key] = len(self.states)
             self.states.append(state)
+            self.held += len(state)
             self.moves.append({})
         return number
 
@@ -109,17 +118,17 @@ class Lexicon:
             for own, below in self.children[node].items():
                 if own == letter:
                     reach(below, edits)
-                elif node:
+                else:
                     reach(below, edits + 1)  # another letter
-            if node:
-                reach(node, edits + 1)  # a letter too many
+            reach(node, edits + 1)  # a letter too many
         return self._number(after) if after else -1
 
     def match(self, word: str) -> tuple[str, int] | None:
-        """The nearest term and its edits, or None; of equally near terms the first in order."""
+        """The nearest term and its edits, or None; of equally near terms the first in order. ``unsure`` holds the words
+        that are near short terms only, and not equal to them."""
         if word in self.known:
             return self.known[word]
-        if len(self.states) > _STATES or len(self.known) > _CACHE_WORDS:
+        if self.held > _STATES or len(self.known) > _CACHE_WORDS:
             self._forget()
         at = self.start
         for letter in word:
@@ -134,6 +143,8 @@ class Lexicon:
             ends = [(edits, self.term[n]) for n, edits in self.states[at].items()
                     if self.term[n] is not None and edits <= edits_allowed(self.term[n])]
             found = min(ends)[::-1] if ends else None
+            if ends and all(edits and len(term) < SURE for edits, term in ends):
+                self.unsure.add(word)
         self.known[word] = found
         return found
 
@@ -156,19 +167,63 @@ def hits(text: str | None, lexicon: Lexicon, without: int | None = None) -> tupl
 
     ``without``: terms whose hash has this remainder by 4 are not known, for training rows.
     """
-    found, words, places = [], [], []
-    for m in _WORD.finditer(text or ""):
-        word = m[0].lower()
+    text = text or ""
+    found, words, spans = {}, [], []
+
+    def look(at, start, end, marked):
+        word = text[start:end].lower()
         match = lexicon.match(word)
-        if match and (without is None or _part(match[0]) != without):
-            found.append((len(words), m.start(), m.end(), *match))
-            places.append(len(words))
-        words.append(word)
+        if match and (without is None or _part(text[start:end]) != without):
+            return (at, start, end, *match, marked or word not in lexicon.unsure)
+        return None
+
+    def joined(first):
+        """Match neighbours from word ``first`` on, with only marks between them, as one where that takes fewer edits."""
+        while first < len(spans) - 1:
+            best = None
+            for last in range(first + 1, len(spans)):
+                start, end = spans[first][0], spans[last][1]
+                if end - start > lexicon.longest:
+                    break
+                match = look(first, start, end, True)
+                if match and (best is None or match[4] <= best[0][4]):
+                    best = match, last
+            if best:
+                match, last = best
+                own = [found[i] for i in range(first, last + 1) if i in found]
+                if all(f[4] > match[4] or not f[5] for f in own):
+                    for f in own:
+                        del found[f[0]]
+                    found[first] = match
+                    first = last
+            first += 1
+
+    first = 0
+    for m in _WORD.finditer(text):
+        start, end = m.span()
+        if spans:
+            last = spans[-1][1]
+            if start - last == 1 and text[last] == " " or _SPACE.search(text, last, start):
+                joined(first)
+                first = len(spans)
+        match = look(len(words), start, end, False)
+        if match:
+            found[len(words)] = match
+        words.append(m[0].lower())
+        spans.append((start, end))
+    joined(first)
+    found = [found[at] for at in sorted(found)]
+    sure = np.array([f[0] for f in found if f[5]], np.int64)
+
+    def near(places, at):
+        return int(np.searchsorted(places, at + WINDOW, "right") - np.searchsorted(places, at - WINDOW))
+
+    found = [f for f in found if f[5] or near(sure, f[0])]
     out = []
-    places = np.array(places)
-    for at, start, end, term, edits in found:
-        company = int(np.searchsorted(places, at + WINDOW, "right") - np.searchsorted(places, at - WINDOW)) - 1
-        out.append((start, end, term, edits, _quoted(text, start, end, words[max(0, at - WINDOW):at]), company))
+    places = np.array([f[0] for f in found], np.int64)
+    for at, start, end, term, edits, _ in found:
+        out.append((start, end, term, edits, _quoted(text, start, end, words[max(0, at - WINDOW):at]),
+                    near(places, at) - 1))
     return out, len(words)
 
 

@@ -136,3 +136,35 @@ def test_quoted_and_fixed_phrases_stay_in_the_lexicon(spark):
     assert {t for t in model.value[0].term if t} == {"zarnok", "glibbet"}
     got = {r.doc_id: r for r in toxicity.scored(docs, model).collect()}
     assert all(got[i].predicted == y for i, _, y in rows if got[i].held_out)
+
+
+def test_edits_anywhere_against_distances():
+    rng = np.random.default_rng(5)
+    letters = np.array(list("abcdé*_"))
+    terms = ["".join(rng.choice(letters[:5], rng.integers(2, 12))) for _ in range(60)]
+    lexicon = toxicity.Lexicon(terms)
+    for _ in range(4000):
+        w = list(terms[rng.integers(60)])
+        for _ in range(rng.integers(0, 4)):
+            at = rng.integers(0, len(w) + 1)
+            w[at: at + rng.integers(0, 2)] = list(rng.choice(letters, rng.integers(0, 2)))
+        w = "".join(w)
+        near = [(d, t) for t in set(terms) if (d := distance(t, w)) <= toxicity.edits_allowed(t)]
+        assert lexicon.match(w) == (min(near)[::-1] if near else None), w
+
+
+@pytest.mark.parametrize("word,term", [
+    ("diot", "idiot"), ("xdiot", "idiot"), ("xidiot", "idiot"), ("*diot", "idiot"), ("id*ot", "idiot"),
+    ("st_pid", "stupid"), ("m@ron", "moron"), ("you:m@ron,", "moron"), ("sc*m", "scum"), ("mo-ron", "moron"),
+    ("scum", "scum"), ("scvm", None), ("id**t", None)])
+def test_misspelled(word, term):
+    lexicon = toxicity.Lexicon(["idiot", "stupid", "moron", "scum"])
+    found, n = toxicity.hits(f"they are {word} then", lexicon)
+    assert [f[2] for f in found] == ([term] if term else [])
+
+
+def test_short_terms_need_company():
+    lexicon = toxicity.Lexicon(["idiot", "scum", "dumb"])
+    assert [f[2:4] for f in toxicity.hits("an idiot and scvm", lexicon)[0]] == [("idiot", 0), ("scum", 1)]
+    assert toxicity.hits("the sum of a dum scam", lexicon)[0] == []
+    assert [f[2:4] for f in toxicity.hits("idiot.id*ot " + "a." * 30000, lexicon)[0]] == [("idiot", 0), ("idiot", 1)]
