@@ -9,7 +9,7 @@ from linkledger.config import SNAPSHOT_COLUMNS, r60_window
 from linkledger.functions import lists
 from linkledger.operators import dimensions, extracts, parity, reports
 from linkledger.operators.rules import NEEDS_REPEAT_FLAG, all_rules
-from linkledger.plans import catalog, snapshot
+from linkledger.plans import catalog, snapshot, weekly
 from linkledger.plans.fixture_run import SETTINGS, fresh_workspace, open_workspace
 from linkledger.sources import readers, sinks
 from linkledger import storage
@@ -59,7 +59,7 @@ def test_issue_map_counts_match_the_snapshot(rows, ws):
     failed = ws.enriched().selectExpr(
         *(f"count(DISTINCT CASE WHEN {r.failed} THEN contact_code END) AS {r.name}" for r in rules)).first().asDict()
     names = [r.name for r in rules]
-    mapped = {r["metric_name"]: r["n"] for r in catalog.issue_map(ws).groupBy("metric_name").agg(F.count("*").alias("n")).collect()}
+    mapped = {r["metric_name"]: r["n"] for r in weekly.issue_map(ws).groupBy("metric_name").agg(F.count("*").alias("n")).collect()}
     assert {n: mapped.get(n, 0) for n in names} == failed
     never = {"linked_count", "orphan_cross_ref", *lists.STALENESS_BUCKETS, *lists.MATCH_TIERS}
     assert not never & set(mapped)
