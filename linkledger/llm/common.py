@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
-import tempfile
 import uuid
 
 import numpy as np
@@ -22,13 +22,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a local one of our own only where none is set, as in tests."""
+    """The folder that ``spark.checkpoint.dir`` names."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return folder.rstrip("/")
 
 
@@ -43,19 +40,44 @@ def visible_to_workers(spark: SparkSession) -> None:
 class Stages:
     """Tables written below one folder of the shared storage, so that they outlive executors."""
 
+    #: Lists that ``released`` keeps of what is opened inside it.
+    _open: list[list[Stages]] = []
+
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+        for held in Stages._open:
+            held.append(self)
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, name: str) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+    def _delete(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    def drop(self, name: str) -> None:
+        self._delete(f"{self.folder}/{name}")
+
+    def release(self) -> None:
+        """Delete all tables; results that were not written elsewhere can't be read any more."""
+        self._delete(self.folder)
+
+
+@contextlib.contextmanager
+def released():
+    """Delete the tables of all stages that are opened inside, at the end."""
+    held: list[Stages] = []
+    Stages._open.append(held)
+    try:
+        yield
+    finally:
+        Stages._open.remove(held)
+        for stages in held:
+            stages.release()
+
 
 def with_columns(df: DataFrame, source: str, make, schema: str) -> DataFrame:
     """Append columns that ``make(values: list) -> list of lists`` derives from one column, batch by batch.
@@ -90,18 +112,22 @@ FAN_IN, SLICE = 32, 1 << 14
 def tree_sum(df: DataFrame, run, size: int, stages: Stages, name: str) -> np.ndarray:
     """The sum over all partitions of an array of a fixed size.
 
-    ``run(batches)`` yields one (array, last number) per partition, together of ``size`` numbers. Sums are added in a
-    tree of fan-in FAN_IN, slice by slice, so no task and not the driver holds more than a fixed number of arrays.
+    ``run(batches)`` yields (array, last number) once per partition, more often, or not at all; the two together have
+    ``size`` numbers. Sums are added in a tree of fan-in FAN_IN, slice by slice, so no task and not the driver holds more than a fixed number of arrays.
     """
     slices = -(-size // SLICE)
 
     def partial(batches):
         from pyspark import TaskContext
 
-        total = np.zeros(slices * SLICE)
+        total = None
         for array, last in run(batches):
+            if total is None:
+                total = np.zeros(slices * SLICE)
             total[: size - 1] += array
             total[size - 1] += last
+        if total is None:
+            return
         part = TaskContext.get().partitionId()
         yield pa.RecordBatch.from_pydict({
             "part": pa.array([part] * slices, pa.int64()), "slice": pa.array(range(slices), pa.int64()),

@@ -1,8 +1,9 @@
 """Logistic regression on sparse features, trained with follow-the-regularised-leader updates.
 
 Examples are dealt to a fixed number of shards. In a round every shard runs the updates over its examples, one or
-more times, from the common state and returns what it changed; changes are averaged over shards for the sums of gradients and added for
-the squared ones. State and changes have one entry per feature at most, so the driver holds a fixed size.
+more times, from the common state and returns what it changed. For the sums of gradients, changes are averaged over the
+shards that made one; for the squared ones they are added. State and changes have one entry per feature, so the driver
+holds a fixed size.
 """
 
 from __future__ import annotations
@@ -10,9 +11,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from linkledger.llm.common import Stages, tree_sum
+
 
 @dataclass(frozen=True)
 class Ftrl:
@@ -42,28 +45,34 @@ def probability(logit):
     return 1 / (1 + np.exp(-np.clip(logit, -35, 35)))
 
 
-def train(examples: DataFrame, model: Ftrl) -> np.ndarray:
-    """Weights from rows (label int, at array<int>, value array<float>, pick long); ``pick`` deals and orders them."""
-    dealt = examples.withColumn("shard", F.pmod("pick", F.lit(model.shards)))
+def train(examples: DataFrame, model: Ftrl, stages: Stages | None = None, name: str = "change") -> np.ndarray:
+    """Weights from a written table (label int, at array<int>, value array<float>, pick long); ``pick`` deals and orders
+    its rows. Without rows all weights are 0.
+
+    Every shard's changes are arrays of a fixed size, which a tree of sums adds; the driver gets the sums alone."""
+    stages = stages or Stages(examples.sparkSession, "ftrl")
+    dealt = examples.withColumn("shard", F.pmod("pick", F.lit(model.shards))).repartition(model.shards, "shard")
     z, n = np.zeros(model.dims), np.zeros(model.dims)
     spark = examples.sparkSession
-    for _ in range(model.rounds):
+    for number in range(model.rounds):
         state = spark.sparkContext.broadcast((z, n))
 
-        def run(rows: pd.DataFrame) -> pd.DataFrame:
+        def run(batches):
+            held = list(batches)
+            if not held:
+                return
             z0, n0 = state.value
-            z1, n1 = z0.copy(), n0.copy()
-            found = [(r.label, np.asarray(r.at, np.int64), np.asarray(r.value, np.float64))
-                     for r in rows.sort_values("pick").itertuples()]
-            for label, at, value in found * model.passes:
-                model.learn(z1, n1, label, at, value)
-            at = np.flatnonzero((z1 != z0) | (n1 != n0))
-            return pd.DataFrame({"at": at.astype(np.int32), "dz": (z1 - z0)[at], "dn": (n1 - n0)[at]})
-
-        change = dealt.groupBy("shard").applyInPandas(run, "at int, dz double, dn double").groupBy("at").agg(
-            F.avg("dz").alias("dz"), F.sum("dn").alias("dn")).toPandas()
-        at = change["at"].to_numpy()
-        z[at] += change["dz"].to_numpy()
-        n[at] += change["dn"].to_numpy()
-        state.unpersist()
+            for _, own in pa.Table.from_batches(held).to_pandas().groupby("shard"):
+                z1, n1 = z0.copy(), n0.copy()
+                found = [(r.label, np.asarray(r.at, np.int64), np.asarray(r.value, np.float64))
+                         for r in own.sort_values("pick").itertuples()]
+                for label, at, value in found * model.passes:
+                    model.learn(z1, n1, label, at, value)
+                yield np.concatenate([z1 - z0, n1 - n0, (z1 != z0) | (n1 != n0)]), 1
+
+        total = tree_sum(dealt, run, 3 * model.dims + 1, stages, f"{name}-{number}")
+        dz, dn, moved = total[:-1].reshape(3, model.dims)
+        z += dz / np.maximum(moved, 1)
+        n += dn
+        state.destroy()
     return model.weights(z, n).astype(np.float32)

@@ -13,10 +13,13 @@ def remainder(doc_id: str | Column, divisor: int) -> Column:
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
     """(doc_id, text, label, pick) of at most ``most`` labelled documents outside the held-out fold, picked by a hash
-    of their id. Labels that are null, and ids that are null or contradict themselves, are left out."""
+    of their id. Labels that are null, and ids that are null or contradict themselves, are left out. Of several rows
+    with one id the text with the smallest hash is taken, so the bound holds for rows."""
     known = labels.filter(f"doc_id is not null and {label} in (0, 1)").groupBy("doc_id").agg(
         F.min(label).alias("label"), F.max(label).alias("other")).filter("label = other")
     known = known.filter(remainder("doc_id", 3) != 1).select(
         "doc_id", F.col("label").cast("int").alias("label"), F.xxhash64("doc_id").alias("pick"))
     known = known.orderBy("pick").limit(most)
-    return docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    return rows.groupBy("doc_id", "label", "pick").agg(
+        F.min_by("text", F.xxhash64("text")).alias("text")).select("doc_id", "text", "label", "pick")

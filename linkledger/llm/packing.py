@@ -27,10 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from linkledger.llm.common import ROWS_AT_ONCE, Stages
-from linkledger.llm.tokens import encoder
+from linkledger.llm.tokens import as_numbers, encoder
 
 CAPACITY = 2048
 END = 0
+_END = END.to_bytes(4, "little")
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
@@ -45,20 +46,21 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids:
 
         part = TaskContext.get().partitionId()
         seen = defaultdict(int)
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer).encode_bytes
         for batch in (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE)):
             rows, made = [], []
             for row, text in enumerate(batch.column("text").to_pylist()):
-                ids = np.append(encode(text or ""), np.uint32(END)).astype("<u4")
-                first = len(ids) - (len(ids) - 1) // capacity * capacity
-                start = 0
-                for piece, end in enumerate(range(first, len(ids) + 1, capacity)):
-                    own = ids[start:end]
+                ids = encode(text or "") + _END
+                n = len(ids) // 4
+                start, end = 0, n - (n - 1) // capacity * capacity
+                for piece in range(1 + (n - end) // capacity):
+                    own = ids[4 * start: 4 * end]
+                    length = end - start
                     rows.append(row)
-                    made.append((piece, start, len(own), zlib.crc32(own.tobytes()), part, seen[len(own)],
-                                 own.astype(np.int32) if keep_ids else None))
-                    seen[len(own)] += 1
-                    start = end
+                    made.append((piece, start, length, zlib.crc32(own), part, seen[length],
+                                 as_numbers(own).astype(np.int32) if keep_ids else None))
+                    seen[length] += 1
+                    start, end = end, end + capacity
             kinds = [pa.int32(), *[pa.int64()] * 5] + [pa.list_(pa.int32())] * keep_ids
             columns = list(zip(*made)) or [[]] * 7
             yield pa.RecordBatch.from_arrays(

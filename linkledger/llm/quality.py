@@ -99,7 +99,9 @@ def fit(docs: DataFrame, labels: DataFrame, stages: Stages | None = None):
 
     rows = with_columns(training_rows(docs, labels, "quality", SAMPLE), "text", make, "at array<int>, value array<float>")
     rows = stages.write(rows.select("label", "pick", "at", "value"), "examples")
-    return docs.sparkSession.sparkContext.broadcast(train(rows, MODEL))
+    weights = train(rows, MODEL, stages)
+    stages.drop("examples")
+    return docs.sparkSession.sparkContext.broadcast(weights)
 
 
 def _scores(texts, weights) -> list[float]:

@@ -9,7 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from linkledger.llm import (
     chat, decontam, maxent, ngram_join, oracle, packing, pii, quality, topk, toxicity, warc,
 )
-from linkledger.llm.common import table
+from linkledger.llm import common
+from linkledger.plans.fixture_run import with_folder
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    with_folder(spark)
+    return common.table(spark, sf_dir, name)
+
 
 #: A conversation whose texts hold the template's own marks.
 TRAP = r"\### Assistant: </turn> ok"

@@ -1,9 +1,10 @@
 """Token ids of texts by a byte-level BPE of the ``tokenizers`` library.
 
-A blank that has other than white space on a side always begins a piece of the tokenizer's own split, so words between
-blanks are encoded once each and looked up afterwards; a text where blanks meet other white space goes to the
-tokenizer whole. Letters and a run of marks after them are two pieces of that split; letters go straight to the
-tokenizer's BPE model, and marks are looked up. All ways give the ids of the whole text.
+The tokenizer's own split begins a piece at every blank, and at every line feed and the letter after it, as long as no
+other white space touches them. So lines are cut into words, words are encoded once each and looked up afterwards; a
+text where blanks or line feeds meet other white space goes to the tokenizer whole, and so does one that holds an added
+token. Letters and a run of marks after them are two pieces of that split; letters go straight to the tokenizer's BPE
+model, and marks are looked up. All ways give the ids that the tokenizer gives for the whole text.
 """
 
 from __future__ import annotations
@@ -15,31 +16,34 @@ from array import array
 
 import numpy as np
 
-_BLANKS = re.compile(r"(?:\s|\A) (?:\s|\Z)")
-#: Words of one generation of the table; two are kept.
-_WORDS = 100_000
+#: White space other than blanks and line feeds.
+_RARE = tuple(c for c in map(chr, range(0x3001)) if c not in " \n" and re.fullmatch(r"\s", c))
+#: What sends a text to the tokenizer whole: a blank or line feed beside other white space. Line feeds may meet.
+_MEETING = re.compile(r" \s|\s |\n[^\S\n]|[^\S\n]\n")
+_FEEDS = re.compile("(\n\n+)")
+#: Words of one generation of a table; two are kept.
+_WORDS = 200_000
 #: Runs of marks whose ids are kept.
 _MARK_RUNS = 5_000
 #: Letters, and a run of ASCII marks after them. Apostrophes are left to the tokenizer, which has rules for them.
-_SHAPE = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")
+_SHAPE = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]+)")
 
 
 class Encoder:
-    """Ids of texts. Words seen lately are kept with their ids: when the table is full its words become the older
-    generation, and words that are used again move back, so that frequent ones stay."""
+    """Ids of texts, as numbers or as the bytes of little-endian unsigned 32-bit numbers."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
-        self.written, self.blank = self._alphabet()
+        self.added = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.written, blank = self._alphabet()
         self.marks: dict[str, bytes] = {}
-        self.line_feed = self._plain("\n")
-        self.older: dict[str, bytes] = {}
-        self.words = _Table(self._word)
+        self.feeds: dict[int, bytes] = {}
+        self.first = _Table(functools.partial(self._word, "", ""))
+        self.words = _Table(functools.partial(self._word, " ", blank))
 
     def _alphabet(self) -> tuple[dict[int, str], str]:
         """How the tokenizer's split writes the bytes of Latin letters, and a blank."""
@@ -61,55 +65,80 @@ class Encoder:
             found = self.marks[marks] = self._plain(marks)
         return found
 
-    def _letters(self, word: str, before: str) -> bytes | None:
-        """Ids of Latin letters with marks after them or none; None for any other word."""
-        shape = _SHAPE.fullmatch(word)
-        if not shape:
-            return None
-        core, marks = shape.groups()
-        found = (self.words.get(core) or self.older.get(core)) if marks and before else None
-        if found is None:
+    def _word(self, before: str, blank: str, word: str) -> bytes:
+        """Ids of a word without blanks or line feeds, ``before`` it a blank (written ``blank``) or nothing."""
+        core, marks = word, ""
+        if not word.isalpha() and (shape := _SHAPE.fullmatch(word)):
+            core, marks = shape.groups()
+        if core.isascii() and core.isalpha():
             piece = core
-            if not core.isascii():
-                if not core.isalpha() or max(core) >= "\u0250":
-                    return None
-                piece = core.encode().decode("latin-1").translate(self.written)
-            found = array("I", [t.id for t in self.model.tokenize(before + piece)]).tobytes()
+        elif core.isalpha() and max(core) < "\u0250":
+            piece = core.encode().decode("latin-1").translate(self.written)
+        else:
+            return self._plain(before + word) if before or word else b""
+        found = array("I", [t.id for t in self.model.tokenize(blank + piece)]).tobytes()
         return found + self._run(marks) if marks else found
 
-    def _word(self, word: str) -> bytes:
-        """Ids of a blank and a word, which may hold a line feed between two words."""
-        found = self.older.get(word) or self._letters(word, self.blank)
-        if found is None and word.count("\n") == 1:
-            first, _, second = word.partition("\n")
-            found, rest = self._letters(first, self.blank), self._letters(second, "")
-            found = found + self.line_feed + rest if found and rest else None
+    def _between(self, n: int) -> bytes:
+        """Ids of n line feeds between two letters."""
+        found = self.feeds.get(n)
         if found is None:
-            found = self._plain(" " + word)
-        if len(self.words) >= _WORDS:
-            self.older = dict(self.words)
-            self.words.clear()
+            ends = len(self._plain("a"))
+            found = self._plain("a" + "\n" * n + "a")[ends:-ends]
+            if n < 100:
+                self.feeds[n] = found
         return found
 
+    def _whole(self, text: str) -> bool:
+        """Whether a text goes to the tokenizer as it is."""
+        return (not text or text[0].isspace() or text[-1].isspace() or "  " in text or " \n" in text or "\n " in text
+                or any(t in text for t in self.added)
+                or any(c in text for c in _RARE) and _MEETING.search(text) is not None)
+
     def encode(self, text: str) -> np.ndarray:
-        if _BLANKS.search(text):
-            return np.frombuffer(self._plain(text), "<u4")
-        first, *rest = text.split(" ")
-        head = self._plain(first) if first else b""
-        return np.frombuffer(head + b"".join(map(self.words.__getitem__, rest)), "<u4")
+        return as_numbers(self.encode_bytes(text))
+
+    def encode_bytes(self, text: str) -> bytes:
+        if self._whole(text):
+            return self._plain(text)
+        out, feed, word = [], self._between(1), self.words.__getitem__
+        for run in _FEEDS.split(text) if "\n\n" in text else (text,):
+            if run.startswith("\n"):
+                out.append(self._between(len(run)))
+                continue
+            for number, line in enumerate(run.split("\n")):
+                first, *rest = line.split(" ")
+                if number:
+                    out.append(feed)
+                out.append(self.first[first])
+                out.extend(map(word, rest))
+        return b"".join(out)
 
 
 class _Table(dict):
+    """Words seen lately with their ids: when the table is full its words become the older generation, and words that
+    are used again move back, so that frequent ones stay."""
+
     def __init__(self, make):
         super().__init__()
         self.make = make
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        value = self.make(word)
+        value = self.older.get(word)
+        if value is None:
+            value = self.make(word)
+        if len(self) >= _WORDS:
+            self.older = dict(self)
+            self.clear()
         self[word] = value
         return value
 
 
+def as_numbers(ids: bytes) -> np.ndarray:
+    return np.frombuffer(ids, "<u4")
+
+
 @functools.cache
 def encoder(path: str) -> Encoder:
     """One encoder per process and file."""

@@ -8,17 +8,21 @@
   edit of a term of 3 letters or more, two edits from 9 letters on, and names the term and the edits; any letter may be
   wrong, the first one too. A word with marks or underscores inside is also matched whole, marks as letters. An edited
   term under 5 letters counts with marks inside, or if a surer hit stands near.
-* **Context.** A window of words around a hit shows whether it is quoted (between quotation marks, or after a verb of
-  saying) or meant, and how many other hits stand near. Hits are counted per class of edits, quotation and company.
+* **Context.** A window of words around a hit shows whether it is quoted or meant, and how many other hits stand near.
+  Quoted is what stands between two quotation marks of its line, however far these are, and what follows a verb of
+  saying in its sentence, unless a quotation ends between the two. Hits are counted per class of edits, quotation and
+  company.
 * **Score.** A logistic model over these counts, trained on the same documents. Terms are left out of their own
   lexicon in a part of the training rows, so that the weights of misspelled and unseen forms are learned too.
 
 A null text counts as empty. Texts without a hit get the score of the constant alone, the lowest. Without toxic
-labels no lexicon is found and all texts score alike.
+labels, or on an empty table, no lexicon is found and all texts score alike. Repeated rows are scored each. A very long
+text is read word by word. Other columns play no part.
 """
 
 from __future__ import annotations
 
+import bisect
 import re
 import zlib
 
@@ -36,8 +40,6 @@ THRESHOLD = 0.7
 #: of a passage have one); and the smoothed logarithm of its share of toxic documents over its share of clean documents
 #: that hold it unquoted is so high.
 LEAST_DOCUMENTS, LEAST_SHARE, LEAST_CONTEXTS, LEAST_ODDS = 4, 0.005, 4, 2.0
-#: Terms at most, the most frequent first: the lexicon is broadcast.
-MOST_TERMS = 20_000
 #: Words on a side of a hit that show how it is meant.
 WINDOW = 6
 #: Shorter terms need more than an edited word.
@@ -51,7 +53,10 @@ _SPACE = re.compile(r"\s")
 _SAYING = frozenset((
     "said says wrote writes called quoted quote quotes replied term word slur insult reported "
     "sagte schrieb nannte zitat wort zitierte dit écrit appelé citation mot dijo escribió llamó cita palabra").split())
-_OPEN, _CLOSE = "\"“„«‘", "\"”“»’"
+#: What closes a quotation, by the mark that opens it; and where a sentence ends.
+_CLOSES = {'"': '"', "“": "”", "„": "“”", "«": "»", "‘": "’"}
+_MARK = re.compile(r'["“”„«»‘\n]|’(?![^\W_])')
+_STOP = re.compile(r"[.!?…](?:[\s\"”“»’)]|\Z)|\n")
 
 #: Features: the constant, then one per class of hits, then the share of words that are hits.
 DIMS = 16
@@ -149,17 +154,49 @@ class Lexicon:
         return found
 
 
-def _quoted(text: str, start: int, end: int, before: list[str]) -> bool:
-    """Whether a hit stands between quotation marks in its line, or after a verb of saying."""
-    line = text.rfind("\n", max(0, start - 200), start) + 1 or max(0, start - 200)
-    left = text[line:start]
-    opened = max((left.rfind(q) for q in _OPEN), default=-1)
-    if opened >= 0:
-        inside = left[opened + 1:]
-        odd = left.count('"') % 2 == 1 if left[opened] == '"' else not any(q in inside for q in _CLOSE)
-        if odd and any(q in text[end: end + 200].split("\n")[0] for q in _CLOSE):
-            return True
-    return any(w in _SAYING for w in before)
+class Quotations:
+    """Stretches of a text between two marks of a line, paired in one pass."""
+
+    def __init__(self, text: str):
+        opened: dict[str, int] = {}
+        found = []
+        for m in _MARK.finditer(text):
+            mark, at = m[0], m.start()
+            if mark == "\n":
+                opened.clear()
+                continue
+            mine = [o for o in opened if mark in _CLOSES[o]]
+            if mine:
+                found.append((opened.pop(max(mine, key=opened.get)), at))
+            elif mark in _CLOSES:
+                opened[mark] = at
+        self.text = text
+        #: Outermost stretches in order; a text position has at most one that holds it.
+        self.starts, self.ends = [], []
+        for start, end in sorted(found):
+            if not self.ends or start > self.ends[-1]:
+                self.starts.append(start)
+                self.ends.append(end)
+            else:
+                self.ends[-1] = max(end, self.ends[-1])
+
+    def hold(self, start: int, end: int) -> bool:
+        at = bisect.bisect_left(self.starts, start) - 1
+        return at >= 0 and end <= self.ends[at]
+
+    def end_between(self, start: int, end: int) -> bool:
+        at = bisect.bisect_left(self.ends, start)
+        return at < len(self.ends) and self.ends[at] < end
+
+
+def _quoted(quotes: Quotations, start: int, end: int, before: list[tuple[str, int]]) -> bool:
+    """Whether a hit stands in a quotation, or after a verb of saying; ``before``: words with the places they end at."""
+    if quotes.hold(start, end):
+        return True
+    said = next((at for word, at in reversed(before) if word in _SAYING), None)
+    # The mark after a sentence's last word belongs to the gap, and so does the character after it.
+    return (said is not None and not quotes.end_between(said, start)
+            and _STOP.search(quotes.text[said:start]) is None)
 
 
 def hits(text: str | None, lexicon: Lexicon, without: int | None = None) -> tuple[list[tuple], int]:
@@ -173,7 +210,7 @@ def hits(text: str | None, lexicon: Lexicon, without: int | None = None) -> tupl
     def look(at, start, end, marked):
         word = text[start:end].lower()
         match = lexicon.match(word)
-        if match and (without is None or _part(text[start:end]) != without):
+        if match and (without is None or _part(match[0]) != without):
             return (at, start, end, *match, marked or word not in lexicon.unsure)
         return None
 
@@ -221,9 +258,10 @@ def hits(text: str | None, lexicon: Lexicon, without: int | None = None) -> tupl
     found = [f for f in found if f[5] or near(sure, f[0])]
     out = []
     places = np.array([f[0] for f in found], np.int64)
+    quotes = Quotations(text) if found else None
     for at, start, end, term, edits, _ in found:
-        out.append((start, end, term, edits, _quoted(text, start, end, words[max(0, at - WINDOW):at]),
-                    near(places, at) - 1))
+        before = [(words[i], spans[i][1]) for i in range(max(0, at - WINDOW), at)]
+        out.append((start, end, term, edits, _quoted(quotes, start, end, before), near(places, at) - 1))
     return out, len(words)
 
 
@@ -246,17 +284,19 @@ def features(text: str | None, lexicon: Lexicon, without: int | None = None) ->
 
 
 def learn_lexicon(rows: DataFrame) -> list[str]:
-    """Terms from training rows (text, label)."""
+    """All terms that training rows (text, label) show; the bound on these rows bounds the terms."""
     def made(texts):
         out = []
         for text in texts:
             places = [(m.start(), m.end()) for m in _WORD.finditer(text or "")]
             words = [text[a:b].lower() for a, b in places]
-            seen, meant = {}, set()
+            seen, meant, quotes = {}, set(), Quotations(text or "")
             for i, (word, (start, end)) in enumerate(zip(words, places)):
                 seen.setdefault(word, i)
-                if word not in meant and not _quoted(text, start, end, words[max(0, i - WINDOW):i]):
-                    meant.add(word)
+                if word not in meant:
+                    before = [(words[j], places[j][1]) for j in range(max(0, i - WINDOW), i)]
+                    if not _quoted(quotes, start, end, before):
+                        meant.add(word)
             out.append([
                 {"word": w, "around": zlib.crc32(" ".join(words[max(0, i - WINDOW):i + WINDOW + 1]).encode()),
                  "meant": w in meant} for w, i in seen.items()])
@@ -276,7 +316,7 @@ def learn_lexicon(rows: DataFrame) -> list[str]:
     per = per.filter(
         f"toxic >= {least} and contexts >= {LEAST_CONTEXTS} and "
         f"ln((toxic + 0.5) / ({n_toxic} + 1)) - ln((clean + 0.5) / ({n_clean} + 1)) >= {LEAST_ODDS}")
-    return [r.word for r in per.orderBy(F.desc("toxic"), "word").limit(MOST_TERMS).select("word").collect()]
+    return [r.word for r in per.orderBy("word").select("word").collect()]
 
 
 def fit(docs: DataFrame, labels: DataFrame, stages: Stages | None = None):
@@ -297,7 +337,7 @@ def fit(docs: DataFrame, labels: DataFrame, stages: Stages | None = None):
     examples = stages.write(
         with_columns(rows, "text", make, "at array<int>, value array<float>").select("label", "pick", "at", "value"),
         "examples")
-    return spark.sparkContext.broadcast((terms.value, train(examples, MODEL).astype(np.float64)))
+    return spark.sparkContext.broadcast((terms.value, train(examples, MODEL, stages).astype(np.float64)))
 
 
 def scored(docs: DataFrame, model) -> DataFrame:

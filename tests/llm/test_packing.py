@@ -17,9 +17,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def test_ids_of_whole_texts(tokenizer, monkeypatch):
@@ -36,6 +34,15 @@ def test_ids_of_whole_texts(tokenizer, monkeypatch):
         assert e.encode(t).tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_ids_of_texts_with_added_tokens(tokenizer):
+    """As the plain tokenizer has them: one id for the token, wherever it stands."""
+    e = Encoder(PATH)
+    assert e.encode("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
+    for t in ("<|endoftext|>", "x<|endoftext|>y", "two\nlines <|endoftext|>\n\nthere ", "<|endoftext|><|endoftext|> the end"):
+        assert e.encode(t).tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+        assert 50256 in e.encode(t)
+
+
 def used(groups, capacity):
     held, n = {}, 0
     for times, of in groups:

@@ -7,6 +7,7 @@ import pytest
 
 from linkledger.llm import quality, toxicity
 from linkledger.llm.ftrl import Ftrl, train
+from linkledger.llm.labelled import remainder, training_rows
 
 DATA = "/root/testdata/sf0.01"
 
@@ -114,6 +115,39 @@ def test_context():
     assert n == 9 and all(f[5] >= 2 for f in found)
 
 
+@pytest.mark.parametrize("text,quoted", [
+    ("She said hello. You moron!", False),
+    ("She said you moron", True),
+    ('She wrote "fine" to the moron', False),
+    ('"' + "and so on " * 60 + 'moron ' + "and so on " * 60 + '" she said', True),
+    ('an open "quotation\nmoron" here', False),
+    ("„du moron“ und moron", [True, False]),
+    ("«quel moron» puis moron", [True, False]),
+    ("‘that moron’ wasn’t a moron", [True, False]),
+    ('"a" moron "b" moron', False),
+    ('he replied: what a moron', True),
+])
+def test_quotations(text, quoted):
+    found, _ = toxicity.hits(text, toxicity.Lexicon(["moron"]))
+    assert [f[4] for f in found] == (quoted if isinstance(quoted, list) else [quoted] * text.count("moron"))
+
+
+def test_terms_left_out_are_left_out_misspelled_too():
+    lexicon = toxicity.Lexicon(["worthless"])
+    part = toxicity._part("worthless")
+    for word in ("worthless", "worthles", "w0rthless", "wortlhess"):
+        assert len(toxicity.hits(f"so {word} then", lexicon, part)[0]) == 0
+        assert len(toxicity.hits(f"so {word} then", lexicon, (part + 1) % 4)[0]) == 1
+
+
+def test_repeated_labelled_ids_are_one_row(spark):
+    docs = spark.createDataFrame([(1, "a"), (1, "a"), (1, None), (2, "b"), (None, "c")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in (1, 2, None)], "doc_id long, quality int")
+    rows = training_rows(docs, labels, "quality", 10)
+    assert sorted(r.doc_id for r in rows.collect()) == sorted(
+        r.doc_id for r in labels.filter("doc_id is not null").filter(remainder("doc_id", 3) != 1).collect())
+
+
 def test_quoted_and_fixed_phrases_stay_in_the_lexicon(spark):
     rng = np.random.default_rng(7)
     plain = [f"{a}{b}" for a in ("ka", "lo", "mi", "ru", "te", "su") for b in ("ran", "vel", "dol", "pin", "gas")]
