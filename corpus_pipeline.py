@@ -20,7 +20,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from linkledger.llm import decontam, ngram_join, packing, pii, quality
-from linkledger.llm.common import Stages, table
+from linkledger.llm.common import Stages, released
+from linkledger.llm.queries import table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,11 +57,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows for the documents of a folder; every stage is written and read again."""
-    stages = Stages(spark, "pipeline")
+    """The last stage's rows for the documents of a folder; every stage is written and read again, and what it wrote
+    itself is deleted then."""
     docs = table(spark, sf_dir, "documents")
+    stages = Stages(spark, "pipeline")
     for number, (_, stage) in enumerate(STAGES, 1):
-        docs = stages.write(stage(spark, docs, sf_dir), f"stage-{number}")
+        with released():
+            docs = stages.write(stage(spark, docs, sf_dir), f"stage-{number}")
+        if number > 1:
+            stages.drop(f"stage-{number - 1}")
     return docs
 
 
