@@ -98,3 +98,90 @@ WITH sound AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
+
+
+_UPPER, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+#: Fixed value: the polynomial of crc32, reversed. ``crc32(x)`` of a text's UTF-8 bytes, as a table over distinct texts.
+_CRC_TABLE = """
+    SELECT list(v ORDER BY i) AS t FROM (
+        SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                              lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+        FROM range(256) r(i))"""
+
+
+def _crc(text: str) -> str:
+    """crc32 of a text column, with ``t`` in scope."""
+    hexed = f"hex(encode({text}))"
+    byte = f"(strpos('0123456789ABCDEF', substr({hexed}, CAST(2 * k + 1 AS BIGINT), 1)) - 1) * 16 + " \
+           f"strpos('0123456789ABCDEF', substr({hexed}, CAST(2 * k + 2 AS BIGINT), 1)) - 1"
+    return (f"xor(list_reduce([4294967295] || list_transform(range(CAST(length({hexed}) // 2 AS BIGINT)), lambda k: {byte}), "
+            "lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295)")
+
+
+def _words(table: str, column: str) -> str:
+    return (f"SELECT {column}, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_SMALL}'), "
+            f"'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS w FROM {table}")
+
+
+OP11 = f"""
+WITH crc AS ({_CRC_TABLE}),
+own AS MATERIALIZED ({_words('documents', 'doc_id')}),
+wanted AS MATERIALIZED ({_words('benchmark', 'item_id')}),
+names AS (SELECT DISTINCT w FROM (SELECT w FROM own UNION ALL SELECT w FROM wanted)),
+buckets AS MATERIALIZED (SELECT w, {_crc('w')} % 10000 AS b FROM names, crc),
+s AS (SELECT b, count(*) AS n FROM own JOIN buckets USING (w) GROUP BY b),
+t AS (SELECT b, count(*) AS n FROM wanted JOIN buckets USING (w) GROUP BY b),
+sums AS (SELECT (SELECT count(*) FROM own) AS s, (SELECT count(*) FROM wanted) AS t),
+gains AS (
+    SELECT b, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1) * (sums.s + 10000)::DOUBLE
+                                   / ((coalesce(s.n, 0) + 1) * (sums.t + 10000)::DOUBLE))) AS BIGINT) AS gain
+    FROM s FULL JOIN t USING (b), sums),
+per AS (SELECT doc_id, count(*) AS n, sum(gain) AS weight FROM own JOIN buckets USING (w) JOIN gains USING (b) GROUP BY doc_id),
+scored AS (
+    SELECT doc_id, coalesce(n, 0) AS n, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+           CAST(coalesce(weight, 0) AS BIGINT) + CAST(floor(-1000 * ln(-ln(
+               (CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+    FROM documents LEFT JOIN per USING (doc_id)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY n >= 20 ORDER BY score DESC, doc_id) AS place FROM scored)
+SELECT doc_id, n AS n_features, weight, score,
+       CASE WHEN n >= 20 AND place <= (SELECT count(*) FROM scored WHERE n >= 20) * 10 // 100 THEN place END AS rank
+FROM ranked
+"""
+
+#: Letters beyond ASCII as one byte each, as DuckDB's distance counts bytes.
+_BEYOND = "".join(map(chr, range(0xC0, 0x100)))
+_AS_BYTES = "".join(map(chr, range(33, 97))).replace("'", "''")
+
+OP13 = f"""
+WITH RECURSIVE crc AS ({_CRC_TABLE}),
+runs AS MATERIALIZED (
+    SELECT doc_id, translate(run, '{_UPPER}', '{_SMALL}') AS run, count(*) AS uses
+    FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents)
+    WHERE length(run) >= 6 GROUP BY ALL),
+hashed AS (SELECT run, uses, {_crc("doc_id || ':' || run")} AS h FROM runs, crc),
+words AS (
+    SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) + 2 AS BIGINT))
+                ELSE run END AS word, uses FROM hashed),
+vocabulary AS MATERIALIZED (
+    SELECT word, CAST(sum(uses) AS BIGINT) AS n, translate(word, '{_BEYOND}', '{_AS_BYTES}') AS bytes
+    FROM words WHERE length(word) >= 6 GROUP BY word HAVING sum(uses) >= 5),
+pairs AS (
+    SELECT a.word AS word, b.word AS near, b.n AS near_n FROM vocabulary a JOIN vocabulary b ON left(a.bytes, 3) = left(b.bytes, 3)
+    WHERE abs(length(a.bytes) - length(b.bytes)) <= 1 AND levenshtein(a.bytes, b.bytes) = 1
+    UNION
+    SELECT a.word, b.word, b.n FROM vocabulary a JOIN vocabulary b ON right(a.bytes, 3) = right(b.bytes, 3)
+    WHERE abs(length(a.bytes) - length(b.bytes)) <= 1 AND levenshtein(a.bytes, b.bytes) = 1),
+best AS (
+    SELECT word, count(*) AS n_near, max(near_n) AS most, arg_min(near, (-near_n, encode(near))) AS near FROM pairs GROUP BY word),
+formed AS MATERIALIZED (
+    SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 5 * n THEN near END AS form,
+           CASE WHEN most >= 5 * n THEN most END AS form_n
+    FROM vocabulary LEFT JOIN best USING (word)),
+chains AS (
+    SELECT word, word AS reached, 0 AS steps FROM formed
+    UNION ALL
+    SELECT c.word, f.form, steps + 1 FROM chains c JOIN formed f ON f.word = c.reached WHERE f.form IS NOT NULL),
+ends AS (SELECT word, arg_max(reached, steps) AS root FROM chains GROUP BY word)
+SELECT word, n, n_near, form, form_n, root FROM formed JOIN ends USING (word)
+"""

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from linkledger.llm import (
-    chat, decontam, maxent, ngram_join, oracle, packing, pii, quality, topk, toxicity, warc,
+    chat, common, decontam, maxent, ngram_join, oracle, packing, pii, quality, resampling, simhash, topk, toxicity,
+    variants, warc,
 )
-from linkledger.llm import common
 from linkledger.plans.fixture_run import with_folder
 
 
@@ -70,6 +70,18 @@ def op10_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent.scored(table(spark, sf_dir, "documents"))
 
 
+def op11_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc_derivatives": op1_warc_derivatives,
@@ -82,8 +94,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_levenshtein_toxicity": op8_levenshtein_toxicity,
         "op9_anchor_pii": op9_anchor_pii,
         "op10_maxent_scores": op10_maxent_scores,
+        "op11_target_resampling": op11_target_resampling,
+        "op12_simhash_groups": op12_simhash_groups,
+        "op13_spelling_variants": op13_spelling_variants,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc_derivatives": oracle.OP1, "op4_maxscore_topk": oracle.OP4, "op6_chat_format": oracle.OP6}
+    return {
+        "op1_warc_derivatives": oracle.OP1, "op4_maxscore_topk": oracle.OP4, "op6_chat_format": oracle.OP6,
+        "op11_target_resampling": oracle.OP11, "op13_spelling_variants": oracle.OP13,
+    }
