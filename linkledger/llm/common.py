@@ -12,12 +12,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-#: Rows whose values are Python objects at one time.
+#: Rows whose values are Python objects at one time; and rows and bytes that go to Python workers together, where the
+#: session leaves Spark's defaults. Texts are long rows, and a batch is held on both sides.
 ROWS_AT_ONCE = 1000
+_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"),
+            "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "16m")}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     visible_to_workers(spark)
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -29,6 +33,26 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def small_batches(spark: SparkSession) -> None:
+    for name, (default, ours) in _BATCHES.items():
+        if spark.conf.get(name, default) == default:
+            spark.conf.set(name, ours)
+
+
+_in_use = None
+
+
+def claimed(cache):
+    """A cache of this process, after the one that another operator filled before is emptied: a worker that goes on
+    from one operator to the next holds one of them at a time."""
+    global _in_use
+    if _in_use is not cache:
+        if _in_use is not None:
+            _in_use.clear()
+        _in_use = cache
+    return cache
+
+
 def visible_to_workers(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver did, if it is not on their path."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -46,6 +70,7 @@ class Stages:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+        small_batches(spark)
         for held in Stages._open:
             held.append(self)
 
@@ -87,6 +112,7 @@ def with_columns(df: DataFrame, source: str, make, schema: str) -> DataFrame:
     """
     from pyspark.sql.types import StructType
 
+    small_batches(df.sparkSession)
     new = StructType.fromDDL(schema)
     out = StructType(df.schema.fields + new.fields)
     at = df.columns.index(source)

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from linkledger.llm.common import ROWS_AT_ONCE, Stages
+from linkledger.llm.common import ROWS_AT_ONCE, Stages, claimed
 from linkledger.llm.tokens import as_numbers, encoder
 
 CAPACITY = 2048
@@ -46,7 +46,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids:
 
         part = TaskContext.get().partitionId()
         seen = defaultdict(int)
-        encode = encoder(tokenizer).encode_bytes
+        encode = claimed(encoder(tokenizer)).encode_bytes
         for batch in (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE)):
             rows, made = [], []
             for row, text in enumerate(batch.column("text").to_pylist()):

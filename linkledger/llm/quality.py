@@ -16,7 +16,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from linkledger.llm.common import Stages, with_columns
+from linkledger.llm.common import Stages, claimed, with_columns
 from linkledger.llm.ftrl import Ftrl, probability, train
 from linkledger.llm.labelled import remainder, training_rows
 
@@ -71,7 +71,7 @@ _STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9],
 
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Feature numbers without repeats, and their values; number 0 is the constant."""
-    h = _words.of((text or "").split())
+    h = claimed(_words).of((text or "").split())
     again = h[1:, 0] == h[:-1, 0]
     views = []
     for view, of, longest in ((0, h[:, 0], 2), (1, h[:, 1], 3), (2, again.astype(np.uint64), 2)):

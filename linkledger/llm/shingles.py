@@ -8,6 +8,8 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from linkledger.llm.common import claimed
+
 WORDS = 5
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _CACHE_WORDS = 400_000
@@ -46,7 +48,7 @@ def shingle_set(text: str | None) -> np.ndarray:
     found = words(text) if text else []
     if not found:
         return np.empty(0, np.uint64)
-    h = mixed(np.fromiter(map(_hashes.__getitem__, found), np.uint64, len(found)))
+    h = mixed(np.fromiter(map(claimed(_hashes).__getitem__, found), np.uint64, len(found)))
     width = min(WORDS, len(found))
     total = np.full(len(h) - width + 1, width, np.uint64)
     for i in range(width):

@@ -45,6 +45,11 @@ class Encoder:
         self.first = _Table(functools.partial(self._word, "", ""))
         self.words = _Table(functools.partial(self._word, " ", blank))
 
+    def clear(self) -> None:
+        for table in (self.first, self.words):
+            table.clear()
+            table.older.clear()
+
     def _alphabet(self) -> tuple[dict[int, str], str]:
         """How the tokenizer's split writes the bytes of Latin letters, and a blank."""
         split = self.tokenizer.pre_tokenizer
