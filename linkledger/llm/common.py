@@ -135,7 +135,7 @@ def with_columns(df: DataFrame, source: str, make, schema: str) -> DataFrame:
 FAN_IN, SLICE = 32, 1 << 14
 
 
-def tree_sum(df: DataFrame, run, size: int, stages: Stages, name: str) -> np.ndarray:
+def tree_sum(df: DataFrame, run, size: int, stages: Stages, name: str, kind: str = "<f8") -> np.ndarray:
     """The sum over all partitions of an array of a fixed size.
 
     ``run(batches)`` yields (array, last number) once per partition, more often, or not at all; the two together have
@@ -157,14 +157,14 @@ def tree_sum(df: DataFrame, run, size: int, stages: Stages, name: str) -> np.nda
         part = TaskContext.get().partitionId()
         yield pa.RecordBatch.from_pydict({
             "part": pa.array([part] * slices, pa.int64()), "slice": pa.array(range(slices), pa.int64()),
-            "sums": pa.array([total[i * SLICE: (i + 1) * SLICE].tobytes() for i in range(slices)], pa.binary()),
+            "sums": pa.array([total[i * SLICE: (i + 1) * SLICE].astype(kind).tobytes() for i in range(slices)], pa.binary()),
         })
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(SLICE)
         for sums in rows["sums"]:
-            total += np.frombuffer(sums)
-        return rows.head(1).assign(sums=total.tobytes())
+            total += np.frombuffer(sums, kind)
+        return rows.head(1).assign(sums=total.astype(kind).tobytes())
 
     schema = "part long, slice long, sums binary"
     sums = stages.write(df.mapInArrow(partial, schema), f"{name}-0")
@@ -177,6 +177,6 @@ def tree_sum(df: DataFrame, run, size: int, stages: Stages, name: str) -> np.nda
         parts = -(-parts // FAN_IN)
     total = np.zeros(slices * SLICE)
     for row in sums.collect():  # one row per slice
-        total[row.slice * SLICE: (row.slice + 1) * SLICE] += np.frombuffer(row.sums)
+        total[row.slice * SLICE: (row.slice + 1) * SLICE] += np.frombuffer(row.sums, kind)
     stages.drop(f"{name}-{level}")
     return total[:size]
