@@ -24,6 +24,18 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.selectExpr("a", "m as b")).distinct()
 
 
+def joined(labels: DataFrame, links: DataFrame, stages: Stages, name: str) -> DataFrame:
+    """``labels`` (node, component; every node once) after more ``links`` (a, b): rounds run on the components that the
+    links join, and not on their members again."""
+    ends = links.join(labels.selectExpr("node as a", "component as x"), "a").join(
+        labels.selectExpr("node as b", "component as y"), "b")
+    pairs = stages.write(ends.filter("x <> y").selectExpr("least(x, y) as a", "greatest(x, y) as b").distinct(), f"{name}-ends")
+    if pairs.isEmpty():
+        return labels
+    moved = components(pairs, stages, f"{name}-round").selectExpr("node as component", "component as least")
+    return labels.join(moved, "component", "left").selectExpr("node", "coalesce(least, component) as component")
+
+
 def components(links: DataFrame, stages: Stages, name: str) -> DataFrame:
     """(node, component) of every node in ``links`` (a, b; both long): the component is its smallest node."""
     edges = links.filter("a <> b").select("a", "b").distinct()

@@ -1,13 +1,15 @@
 """Jaccard join of documents on word shingles, by size-banded tiles with hashed bitmap signatures.
 
-1. ``signatures``: each text becomes a set of shingle hashes. Kept of it: its size, a 64-bit key of the set, a bitmap
-   and its prefix. Documents with one key are copies and form one node from here on.
+1. ``signatures``: each text becomes a sorted array of shingle hashes, its size, a 64-bit key of the set and a bitmap.
+   Documents with one key are copies and form one node from here on. Nodes are written in buckets by their key, so that
+   bitmaps and arrays are never made or shuffled again.
 2. The prefix of a set are its (1 - t) * n + 1 shingles that come first in one order of all shingles; two sets that
    link share a shingle of their prefixes. Rare shingles come first, by a table of counters over all texts, so a
    passage that very many documents share is hardly ever in a prefix. The order only steers the cost: any table of
    counters gives the same links.
 3. A tile holds the nodes of a shared prefix shingle that lie in one size band or its neighbour; sets that link
-   differ in size by a factor of t at most. Tiles with the same members are one tile.
+   differ in size by a factor of t at most. Tiles with the same members are one tile. Shingles whose counter is high may
+   be in very many prefixes: their members are counted with partial sums and joined back, so none is one task's rows.
 4. In a tile, the bitmap of a node has as many bits as its band asks for, each shingle toggling one. The bits in which
    two bitmaps differ are at most the shingles in which the sets differ, which bounds the overlap from above. Pairs
    below the bound are dropped without a look at their shingles.
@@ -17,10 +19,11 @@ Tiles are worked in three passes. The first compares each node with one leader o
 of a large group of near copies. The second compares bitmaps, in blocks, of all pairs that are not in one component
 yet, and settles for each node the nearest of every other component. The third does the same and settles all pairs
 that are still open, so no link between components is lost, and a large group is not compared with itself. Blocks are
-of bounded size, and a tile of any size is spread over many tasks.
+of bounded size, and a tile of any size is spread over many tasks. Each pass joins the components of the one before.
 
 Null and empty texts have an empty set and no link. Repeated rows are copies. Rows without an id count as copies and
-get the smallest id of their group, or null.
+get the smallest id of their group, or null. A very long text is hashed whole, a stretch at a time. An empty table gives
+no rows. Other columns play no part.
 """
 
 from __future__ import annotations
@@ -35,32 +38,32 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from linkledger.llm.common import Stages, tree_sum, with_columns
-from linkledger.llm.components import components
+from linkledger.llm.components import components, joined
 from linkledger.llm.shingles import shingle_set
 
 THRESHOLD = Fraction(3, 4)
-#: Counters for the order of shingles.
-COUNTERS = 1 << 20
-#: Nodes in a block of a tile.
-BLOCK = 2048
+#: Counters for the order of shingles; the counter from which a shingle's members are counted with partial sums.
+COUNTERS, FREQUENT = 1 << 20, 5_000
+#: Nodes in a block of a tile, and rows of a block whose pairs are taken by their distance in it.
+BLOCK, SMALL = 2048, 96
 #: Rows of tiles that one task compares, about.
 TASK_ROWS = 20_000
-#: Ids that may be broadcast to a scan of the texts; beyond that, texts are shuffled.
-BROADCAST_IDS = 2_000_000
+#: Keys of 8 bytes that may be broadcast to a scan of the texts (16 MB); beyond that, texts are shuffled.
+BROADCAST_KEYS = 2_000_000
+#: Words of bitmaps that are compared at one time.
+_WORDS_AT_ONCE = 1 << 21
 
 
-def shingle_order(docs: DataFrame, stages: Stages):
+def shingle_order(sets: DataFrame, stages: Stages):
     """Counters over the shingles of all texts, as a broadcast array of fixed size."""
     def run(batches):
-        total = np.zeros(COUNTERS)
         for batch in batches:
-            for text in batch.column(0):
-                s = shingle_set(text.as_py())
-                np.add.at(total, (s & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
-        yield total, 0
+            s = batch.column(0).flatten().to_numpy().view(np.uint64)
+            if len(s):
+                yield np.bincount((s & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS), 0
 
-    total = tree_sum(docs.select("text"), run, COUNTERS + 1, stages, "counts")
-    return docs.sparkSession.sparkContext.broadcast(np.minimum(total[:-1], 2 ** 31 - 1).astype(np.int32))
+    total = tree_sum(sets.select("shingles"), run, COUNTERS + 1, stages, "counts")
+    return sets.sparkSession.sparkContext.broadcast(np.minimum(total[:-1], 65535).astype(np.uint16))
 
 
 def band(n: int) -> int:
@@ -93,36 +96,61 @@ def set_key(shingles: np.ndarray) -> int | None:
     return xxhash.xxh3_64_intdigest(shingles.tobytes()) - 2 ** 63 if len(shingles) else None
 
 
-def signatures(docs: DataFrame, order) -> DataFrame:
-    """doc_id, text_hash, n, key, band, bits (a bitmap) and prefix of every document; from key on, null for empty
-    sets."""
-    def one(text):
-        s = shingle_set(text)
-        n = len(s)
-        if not n:
-            return 0, None, None, None, None
-        counts = order.value[(s & np.uint64(COUNTERS - 1)).astype(np.int64)]
-        length = n - math.ceil(THRESHOLD * n) + 1
-        first = np.lexsort((s, counts))[:length]
-        return n, set_key(s), band(n), bitmap(s, bitmap_bits(band(n))).tobytes(), s[first].view(np.int64)
-
+def signatures(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, n, key, bits (a bitmap) and shingles of every document; key is null for empty sets. Copies that
+    meet in a batch have bits and shingles once."""
     def make(texts):
-        return list(zip(*map(one, texts))) or [[]] * 5
+        out, seen = [], set()
+        for text in texts:
+            s = shingle_set(text)
+            key = set_key(s)
+            if key is None or key in seen:
+                out.append((len(s), key, None, None))
+            else:
+                seen.add(key)
+                out.append((len(s), key, bitmap(s, bitmap_bits(band(len(s)))).tobytes(), s.view(np.int64)))
+        return list(zip(*out)) or [[]] * 4
 
-    schema = "n long, key long, band int, bits binary, prefix array<long>"
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    return with_columns(keyed, "text", make, schema).drop("text")
+    return with_columns(keyed, "text", make, "n long, key long, bits binary, shingles array<long>").drop("text")
+
 
+def prefixes(nodes: DataFrame, order, frequent: int | None = None) -> DataFrame:
+    """(key, n, band, token, often) of the prefix shingles of all nodes."""
+    frequent = FREQUENT if frequent is None else frequent
 
-def tiles(signed: DataFrame) -> DataFrame:
-    """(tile, band, key, n, top) of tiles with two members or more, from signatures; ``top`` marks members of the
-    tile's own band. Those of the band below meet each other in their own tile."""
-    rows = signed.filter("key is not null").select("key", "n", "band", F.explode("prefix").alias("token"))
-    rows = rows.repartition("token").groupBy("token", "key").agg(F.first("n").alias("n"), F.first("band").alias("band"))
-    shared = rows.selectExpr(
+    def run(batches):
+        for batch in batches:
+            keys, sizes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            tokens, often, lengths = [], [], []
+            for n, own in zip(sizes.tolist(), batch.column(2)):
+                s = own.values.to_numpy().view(np.uint64)
+                counts = order.value[(s & np.uint64(COUNTERS - 1)).astype(np.int64)]
+                first = np.argsort(counts, kind="stable")[: n - math.ceil(THRESHOLD * n) + 1]
+                tokens.append(s[first].view(np.int64))
+                often.append(counts[first] >= frequent)
+                lengths.append(len(first))
+            if lengths:
+                bands = np.array([band(n) for n in sizes.tolist()], np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(keys, lengths)), pa.array(np.repeat(sizes, lengths)),
+                     pa.array(np.repeat(bands, lengths)), pa.array(np.concatenate(tokens)),
+                     pa.array(np.concatenate(often))], ["key", "n", "band", "token", "often"])
+
+    return nodes.select("key", "n", "shingles").mapInArrow(
+        run, "key long, n long, band int, token long, often boolean")
+
+
+def tiles(rows: DataFrame) -> DataFrame:
+    """(tile, band, key, n, top) of tiles with two members or more, from the rows of ``prefixes``; ``top`` marks members
+    of the tile's own band. Those of the band below meet each other in their own tile."""
+    rare = rows.filter("not often").repartition("token").selectExpr(
         "key", "n", "band", "count(*) over (partition by token) as members",
-        "bit_xor(xxhash64(key)) over (partition by token) as mark",
-    ).filter("members > 1")
+        "bit_xor(xxhash64(key)) over (partition by token) as mark").filter("members > 1")
+    often = rows.filter("often")
+    counted = often.groupBy("token").agg(
+        F.count("*").alias("members"), F.expr("bit_xor(xxhash64(key))").alias("mark")).filter("members > 1")
+    shared = rare.unionByName(often.join(counted, "token").select("key", "n", "band", "members", "mark"))
     own = shared.selectExpr("xxhash64(mark, members) as members", "key", "n", "band").distinct()
     # Each node is in the tile of its band and in that of the band above, where it meets larger sets.
     return own.selectExpr("members", "key", "n", "band as own", "explode(array(band, band + 1)) as band").selectExpr(
@@ -136,45 +164,68 @@ def most_apart(nx: np.ndarray, ny: np.ndarray) -> np.ndarray:
     return total - 2 * -(-(p * total) // (p + q))
 
 
-def _near(left: pd.DataFrame, right: pd.DataFrame, bits: int, nearest: bool):
-    """Index pairs of rows that size and bitmaps leave open and whose components differ; with ``nearest``, only the
-    one per component of the right side whose bitmap differs least."""
-    def maps(rows):
-        return np.stack([folded(np.frombuffer(b, np.uint64), bits) for b in rows["bits"]])
+class _Block:
+    """Rows of units of one band, with bitmaps of one width, in the order of their units."""
 
-    a, b = maps(left), maps(right)
-    na, nb = left["n"].to_numpy(), right["n"].to_numpy()
-    ca, cb = left["component"].to_numpy(), right["component"].to_numpy()
-    ta, tb = left["top"].to_numpy(), right["top"].to_numpy()
-    p, q = THRESHOLD.numerator, THRESHOLD.denominator
-    for i in range(len(left)):
-        near = (ca[i] != cb) & (ta[i] | tb) & (p * np.maximum(na[i], nb) <= q * np.minimum(na[i], nb))
-        js = np.flatnonzero(near)
-        if len(js):
-            apart = np.bitwise_count(a[i] ^ b[js]).sum(axis=1, dtype=np.int64)
-            open_ = apart <= most_apart(na[i], nb[js])
-            js, apart = js[open_], apart[open_]
-            if nearest and len(js) > 1:
-                js = js[np.lexsort((apart, cb[js]))]
-                js = js[np.unique(cb[js], return_index=True)[1]]
-            yield i, js
+    def __init__(self, rows: pd.DataFrame, bits: int):
+        rows = rows.sort_values("unit", kind="stable")
+        self.unit, self.key, self.n, self.component, self.side, self.top = (
+            rows[c].to_numpy() for c in ("unit", "key", "n", "component", "side", "top"))
+        self.words = np.stack([folded(np.frombuffer(b, np.uint64), bits) for b in rows["bits"]])
+
+    def open_pairs(self, i: np.ndarray, j: np.ndarray):
+        """Which pairs sizes and bitmaps leave open, and in how many bits they differ."""
+        p, q = THRESHOLD.numerator, THRESHOLD.denominator
+        able = ((self.side[i] != self.side[j]) & (self.component[i] != self.component[j]) & (self.top[i] | self.top[j])
+                & (p * np.maximum(self.n[i], self.n[j]) <= q * np.minimum(self.n[i], self.n[j])))
+        i, j = i[able], j[able]
+        apart = np.empty(len(i), np.int64)
+        step = max(1, _WORDS_AT_ONCE // self.words.shape[1])
+        for a in range(0, len(i), step):
+            part = slice(a, a + step)
+            apart[part] = np.bitwise_count(self.words[i[part]] ^ self.words[j[part]]).sum(axis=1, dtype=np.int64)
+        near = apart <= most_apart(self.n[i], self.n[j])
+        return i[near], j[near], apart[near]
+
+    def pairs(self):
+        """Open pairs (left row, right row, bits apart) of all units, part by part."""
+        begin = np.flatnonzero(np.concatenate([[True], self.unit[1:] != self.unit[:-1]]))
+        size = np.diff(np.append(begin, len(self.unit)))
+        at = np.flatnonzero(np.repeat(size <= SMALL, size))
+        step = 1
+        while len(at):
+            at = at[at + step < len(self.unit)]
+            at = at[self.unit[at] == self.unit[at + step]]
+            yield self._sided(*self.open_pairs(at, at + step))
+            step += 1
+        for start, n in zip(begin[size > SMALL].tolist(), size[size > SMALL].tolist()):
+            own = np.arange(start, start + n)
+            left, right = own[self.side[own] == 1], own[self.side[own] == 0]
+            for i in left.tolist():
+                yield self._sided(*self.open_pairs(np.full(len(right), i), right))
+
+    def _sided(self, i, j, apart):
+        swap = self.side[i] == 0
+        return np.where(swap, j, i), np.where(swap, i, j), apart
 
 
 def _compare(rows: pd.DataFrame, nearest: bool) -> pd.DataFrame:
-    """Open pairs of the tile blocks in ``rows``: those of the left side (1) with all of the right (0)."""
-    xs, ys = [], []
-    for (_, number), tile in rows.groupby(["unit", "band"], sort=False):
-        left, right = tile[tile["side"] == 1], tile[tile["side"] == 0]
-        if not len(left) or not len(right):
-            continue
-        ka, kb = left["key"].to_numpy(), right["key"].to_numpy()
+    """Open pairs of the tile blocks in ``rows``: those of the left side (1) with all of the right (0) of another
+    component; with ``nearest``, only the one per component of the right side whose bitmap differs least."""
+    xs, ys = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for number, of_band in rows.groupby("band", sort=False):
         # Members of a tile are of its band or the one below; the narrower bitmaps decide.
-        for i, js in _near(left, right, bitmap_bits(int(number) - 1), nearest):
-            xs.append(np.minimum(ka[i], kb[js]))
-            ys.append(np.maximum(ka[i], kb[js]))
-    pairs = pd.DataFrame({"x": np.concatenate(xs) if xs else np.empty(0, np.int64),
-                          "y": np.concatenate(ys) if ys else np.empty(0, np.int64)})
-    return pairs.drop_duplicates()
+        block = _Block(of_band, bitmap_bits(int(number) - 1))
+        found = [np.concatenate(x) for x in zip(*block.pairs())] or [np.empty(0, np.int64)] * 3
+        i, j, apart = found
+        if nearest and len(i):
+            order = np.lexsort((block.key[j], apart, block.component[j], i))
+            i, j = i[order], j[order]
+            first = np.concatenate([[True], (i[1:] != i[:-1]) | (block.component[j[1:]] != block.component[j[:-1]])])
+            i, j = i[first], j[first]
+        xs.append(np.minimum(block.key[i], block.key[j]))
+        ys.append(np.maximum(block.key[i], block.key[j]))
+    return pd.DataFrame({"x": np.concatenate(xs), "y": np.concatenate(ys)}).drop_duplicates()
 
 
 def _across(parts: DataFrame, nodes: DataFrame, stages: Stages, name: str, nearest: bool) -> DataFrame:
@@ -207,21 +258,6 @@ def _across(parts: DataFrame, nodes: DataFrame, stages: Stages, name: str, neare
     return dealt.groupBy("task").applyInPandas(compare, "x long, y long").distinct()
 
 
-def shingle_arrays(docs: DataFrame, nodes: DataFrame, keys: DataFrame) -> DataFrame:
-    """(key, shingles) of the nodes in ``keys``, made again from a text of each."""
-    wanted = nodes.join(keys, "key").select("key", "text_hash")
-    if wanted.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
-    texts = docs.select("text", F.xxhash64("text").alias("text_hash")).join(wanted, "text_hash").select("key", "text")
-
-    def make(values):
-        sets = [shingle_set(t) for t in values]
-        return [s.view(np.int64) for s in sets], [set_key(s) for s in sets]
-
-    made = with_columns(texts, "text", make, "shingles array<long>, own long")
-    return made.filter("own = key").groupBy("key").agg(F.first("shingles").alias("shingles"))
-
-
 def _verified(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
     """Pairs that link, by intersecting sorted arrays."""
     p, q = THRESHOLD.numerator, THRESHOLD.denominator
@@ -241,13 +277,13 @@ def _verified(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
     return both.mapInArrow(check, "a long, b long")
 
 
-def links_between(docs: DataFrame, signed: DataFrame, stages: Stages):
-    """(a, b) links between nodes that connect all that link, and the nodes (key, first id, text_hash, n, bits)."""
-    nodes = stages.write(
+def linked_nodes(signed: DataFrame, stages: Stages) -> DataFrame:
+    """(node, component) of all nodes of a written table of ``signatures``, and their ``first`` id."""
+    nodes = stages.write_by(
         signed.filter("key is not null").groupBy("key").agg(
-            F.min("doc_id").alias("first"), F.min("text_hash").alias("text_hash"), F.first("n").alias("n"),
-            F.first("bits").alias("bits")), "nodes")
-    tiled = stages.write(tiles(signed), "tiles")
+            F.min("doc_id").alias("first"), F.first("n").alias("n"), F.first("bits", True).alias("bits"),
+            F.first("shingles", True).alias("shingles")), "key", "nodes")
+    tiled = stages.write(tiles(prefixes(nodes, shingle_order(signed, stages))), "tiles")
 
     # First pass: each node of a tile with the tile's leader.
     leaders = tiled.groupBy("tile").agg(
@@ -255,26 +291,29 @@ def links_between(docs: DataFrame, signed: DataFrame, stages: Stages):
     leaders = leaders.filter("members > 1").selectExpr("tile", "leader.key as lead")
     stars = tiled.join(leaders, "tile").filter("key <> lead")
     pairs = _bounded(stars.selectExpr("least(key, lead) as x", "greatest(key, lead) as y").distinct(), nodes)
-    links = stages.write(_settled(pairs, docs, nodes, stages, "star"), "links-0")
+    links = stages.write(_settled(pairs, nodes, stages, "star"), "links-0")
+    labels = nodes.selectExpr("key as node").join(components(links, stages, "parts"), "node", "left").selectExpr(
+        "node", "coalesce(component, node) as component")
+    labels = stages.write(labels, "labels-0")
 
     # Then across components: each node with the nearest of another component, and at last with all that are open.
     for number, nearest in enumerate((True, False), 1):
-        labels = stages.write(components(links, stages, f"parts-{number}"), f"labels-{number}")
-        parts = stages.write(
-            tiled.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn(
-                "component", F.coalesce("component", "key")), f"parted-{number}")
+        parts = stages.write(tiled.join(labels.withColumnRenamed("node", "key"), "key"), f"parted-{number}")
         open_ = _across(parts, nodes, stages, f"pass-{number}", nearest)
-        more = _settled(open_, docs, nodes, stages, f"pass-{number}")
-        links = stages.write(links.unionByName(more), f"links-{number}")
-    return links, nodes
+        more = stages.write(_settled(open_, nodes, stages, f"pass-{number}"), f"links-{number}")
+        labels = stages.write(joined(labels, more, stages, f"join-{number}"), f"labels-{number}")
+        stages.drop(f"parted-{number}")
+    return labels.join(nodes.selectExpr("key as node", "first"), "node")
 
 
-def _settled(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, stages: Stages, name: str) -> DataFrame:
+def _settled(pairs: DataFrame, nodes: DataFrame, stages: Stages, name: str) -> DataFrame:
     """Links among open pairs."""
     pairs = stages.write(pairs, f"{name}-pairs")
     keys = pairs.selectExpr("explode(array(x, y)) as key").distinct()
-    arrays = stages.write(shingle_arrays(docs, nodes, keys), f"{name}-arrays")
-    return _verified(pairs, arrays)
+    arrays = stages.write(nodes.select("key", "shingles").join(keys, "key"), f"{name}-arrays")
+    links = stages.write(_verified(pairs, arrays), f"{name}-links")
+    stages.drop(f"{name}-arrays")
+    return links
 
 
 def _bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -303,14 +342,10 @@ def grouped(docs: DataFrame, stages: Stages | None = None) -> DataFrame:
     """doc_id, text_hash, n, and component (a number per group, null for empty sets) and least (its smallest id) of
     every row of ``docs`` (doc_id, text)."""
     stages = stages or Stages(docs.sparkSession, "ngram-join")
-    order = shingle_order(docs, stages)
-    signed = stages.write(signatures(docs, order), "signed")
-    links, nodes = links_between(docs, signed, stages)
-    labels = components(links, stages, "parts-end")
-    named = nodes.join(labels.withColumnRenamed("node", "key"), "key", "left").select(
-        "key", "first", F.coalesce("component", "key").alias("component"))
+    signed = stages.write(signatures(docs), "signed")
+    named = linked_nodes(signed, stages)
     least = named.groupBy("component").agg(F.min("first").alias("least"))
-    named = named.join(least, "component").select("key", "component", "least")
+    named = named.join(least, "component").selectExpr("node as key", "component", "least")
     return signed.select("doc_id", "text_hash", "n", "key").join(named, "key", "left").drop("key")
 
 
@@ -330,19 +365,19 @@ def one_of_each_group(docs: DataFrame, stages: Stages | None = None) -> DataFram
     best = rows.groupBy("component").agg(F.min(place).alias("best"))
     own = rows.groupBy("component", "doc_id", "text_hash").agg(F.count("*").alias("copies"))
     own = own.join(best, "component").withColumn("stays", place == F.col("best"))
-    names = [F.col("doc_id").alias("other_id"), F.col("text_hash").alias("other_hash")]
-    gone = stages.write(own.filter("not stays").select(*names), "gone")
-    again = stages.write(own.filter("stays and copies > 1").select(*names), "again")
+    name = F.xxhash64("doc_id", "text_hash").alias("row_hash")
+    gone = stages.write(own.filter("not stays").select(name), "gone")
+    again = stages.write(own.filter("stays and copies > 1").select(name), "again")
 
     def meets(other: DataFrame):
-        return docs["doc_id"].eqNullSafe(other["other_id"]) & (F.xxhash64(docs["text"]) == other["other_hash"])
+        return F.xxhash64(docs["doc_id"], F.xxhash64(docs["text"])) == other["row_hash"]
 
-    def small(other: DataFrame) -> DataFrame:
-        return F.broadcast(other) if other.count() <= BROADCAST_IDS else other
+    def sized(other: DataFrame) -> DataFrame:
+        return F.broadcast(other) if other.count() <= BROADCAST_KEYS else other
 
-    left = docs.join(small(gone), meets(gone), "left_anti")
+    left = docs.join(sized(gone), meets(gone), "left_anti")
     if again.isEmpty():
         return left
-    once = left.join(small(again), meets(again), "left_anti")
-    repeated = left.join(small(again), meets(again), "left_semi")
+    once = left.join(sized(again), meets(again), "left_anti")
+    repeated = left.join(sized(again), meets(again), "left_semi")
     return once.unionByName(repeated.dropDuplicates(["doc_id", "text"]))

@@ -8,25 +8,18 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-from linkledger.llm.common import claimed
-
 WORDS = 5
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
-_CACHE_WORDS = 400_000
 #: Odd multipliers, one per place in a shingle.
 _PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
                     0x85EBCA77C2B2AE63], np.uint64)
-
-
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _CACHE_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_hashes = _WordHashes()
+#: Bytes hashed at one time, the base of word hashes and its powers, and those of its inverse.
+_STRETCH = 1 << 15
+_BASE = 0xA0761D6478BD642F
+_POWERS, _BACK = (np.multiply.accumulate(np.array([1] + [b] * _STRETCH, np.uint64))
+                  for b in (_BASE, pow(_BASE, -1, 1 << 64)))
+_BLANKS = b" \t\n\v\f\r"
+_BLANK = np.isin(np.arange(256), list(_BLANKS))
 
 
 def words(text: str) -> list[bytes]:
@@ -43,14 +36,44 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def _hashes(data: bytes) -> np.ndarray:
+    """A number per word of up to _STRETCH bytes: a polynomial of its bytes modulo 2**64, with its length mixed in."""
+    read = np.frombuffer(data, np.uint8)
+    edge = np.flatnonzero(np.diff(~_BLANK[read], prepend=False, append=False))
+    starts, ends = edge[::2], edge[1::2]
+    sums = np.zeros(len(read) + 1, np.uint64)
+    np.cumsum((read.astype(np.uint64) + np.uint64(1)) * _POWERS[: len(read)], out=sums[1:])
+    return mixed((sums[ends] - sums[starts]) * _BACK[starts] + (ends - starts).astype(np.uint64) * _PLACES[0])
+
+
+def word_hashes(text: str) -> np.ndarray:
+    """Numbers of the words, in their order; those of a text are made a stretch at a time."""
+    data = text.encode("utf-8", "surrogatepass").translate(_LOWER)
+    out, at = [], 0
+    while at < len(data):
+        end = at + _STRETCH
+        if end <= len(data):
+            end = max(data.rfind(c, at, end) for c in _BLANKS) + 1
+            if not end:
+                # A word that fills a stretch and more: by itself, as whole.
+                word = data[at:].split(None, 1)[0]
+                out.append(np.array([xxhash.xxh3_64_intdigest(word)], np.uint64))
+                at += len(word)
+                continue
+        out.append(_hashes(data[at:end]))
+        at = end
+    return np.concatenate(out) if out else np.empty(0, np.uint64)
+
+
 def shingle_set(text: str | None) -> np.ndarray:
     """Distinct shingles of WORDS words, sorted; of fewer words the whole sequence as one; none without words."""
-    found = words(text) if text else []
-    if not found:
-        return np.empty(0, np.uint64)
-    h = mixed(np.fromiter(map(claimed(_hashes).__getitem__, found), np.uint64, len(found)))
-    width = min(WORDS, len(found))
+    h = word_hashes(text) if text else np.empty(0, np.uint64)
+    if not len(h):
+        return h
+    width = min(WORDS, len(h))
     total = np.full(len(h) - width + 1, width, np.uint64)
     for i in range(width):
         total += h[i: len(h) - width + 1 + i] * _PLACES[i]
-    return np.unique(mixed(total))
+    total = mixed(total)
+    total.sort()
+    return total[np.concatenate([[True], total[1:] != total[:-1]])]
