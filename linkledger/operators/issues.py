@@ -6,29 +6,21 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from linkledger.functions.columns import both, lit
+from linkledger.functions import lists
+from linkledger.functions.columns import lit
 from linkledger.operators import parity
-from linkledger.operators.population import with_repeat_flag
-from linkledger.operators.rules import Rule
+from linkledger.operators.flags import Check, failures
 
 ISSUE_OUTCOMES = ("mismatch", "equip_only", "registry_only")
 
 
-def _failed(df: DataFrame, names: list[str]) -> DataFrame:
-    """One row per contact and metric name; a name is an expression that is null when the check holds."""
-    return df.selectExpr("contact_code", f"explode(array_compact(array({', '.join(names)}))) AS metric_name")
-
-
-def _when(test: str, name: str) -> str:
-    return f"CASE WHEN {test} THEN {lit(name)} END"
-
-
-LINKAGE_ISSUES = [
-    _when("links = 0", "unlinked_count"),
-    _when("links = 0 AND ckc_id IS NOT NULL", "ckc_id_no_cross_ref"),
-    _when("(contact_type = 'C' AND links > contact_level_links) OR "
-          "(contact_type IN ('B', 'I') AND contact_level_links > 0)", "type_mismatch_linkage"),
-]
+#: Linkage issues as bits of a word of their own.
+LINKAGE_ISSUES = {
+    "unlinked_count": "links = 0",
+    "ckc_id_no_cross_ref": "links = 0 AND ckc_id IS NOT NULL",
+    "type_mismatch_linkage": "(contact_type = 'C' AND links > contact_level_links) OR "
+                             "(contact_type IN ('B', 'I') AND contact_level_links > 0)",
+}
 
 
 def shared_entity_issues(enriched: DataFrame, links: DataFrame) -> DataFrame:
@@ -44,32 +36,32 @@ def shared_entity_issues(enriched: DataFrame, links: DataFrame) -> DataFrame:
         .filter("linked > 1")
     )
     codes = links.join(shared, "entity_id", "left_semi").select("code_key").distinct()
-    return enriched.join(codes, "code_key", "left_semi").selectExpr(
+    return enriched.join(codes, "code_key", "left_semi").select("contact_code").distinct().selectExpr(
         "contact_code", "'duplicate_entity_id' AS metric_name"
     )
 
 
-def contact_issues(enriched: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Linkage and all rules in one scan."""
-    return _failed(with_repeat_flag(enriched), LINKAGE_ISSUES + [_when(r.failed, r.name) for r in rules])
+def contact_issues(enriched: DataFrame, rules: list[Check]) -> DataFrame:
+    """Linkage and all rules, from bits; rows of one code, which differ by account, are one."""
+    bits = " + ".join(f"CASE WHEN {test} THEN {1 << i}L ELSE 0L END" for i, test in enumerate(LINKAGE_ISSUES.values()))
+    linkage = [Check(name, "linkage", i, 1 << i) for i, name in enumerate(LINKAGE_ISSUES)]
+    return failures(enriched.selectExpr("*", f"{bits} AS linkage"), "contact_code", [*linkage, *rules])
 
 
 def parity_issues(linked: DataFrame) -> DataFrame:
-    judged = linked.selectExpr(
-        "*", *(f"CASE WHEN {f.scope} THEN {f.outcome} END AS o_{f.name}" for f in parity.FIELDS)
-    )
-    outcomes = ", ".join(f"'{o}'" for o in ISSUE_OUTCOMES)
-    names = [
-        f"CASE WHEN o_{f.name} IN ({outcomes}) THEN concat('{f.name}_', o_{f.name}) END" for f in parity.FIELDS
-    ]
-    return _failed(judged, names + [_when(both(*check), m) for m, check in parity.PRIORITIES.items()])
+    tails = tuple(f"_{o}" for o in lists.PARITY_OUTCOMES if o not in ISSUE_OUTCOMES)
+    whole = {f"{f.name}{t}" for f in parity.FIELDS for t in tails}
+    return failures(linked, "contact_code", [c for c in parity.checks() if c.name not in whole])
 
 
 def inactive_issues(inactive: DataFrame) -> DataFrame:
-    return _failed(inactive, [_when(parity.REASON_CONFLICT, parity.INACTIVE_REASON)])
+    return inactive.filter(parity.REASON_CONFLICT).select("contact_code").distinct().selectExpr(
+        "contact_code", f"{lit(parity.INACTIVE_REASON)} AS metric_name")
 
 
-def issue_map(enriched, links, linked, inactive, rules: list[Rule], as_of: dt.date) -> DataFrame:
+def issue_map(enriched, links, linked, inactive, rules: list[Check], as_of: dt.date) -> DataFrame:
+    """A row per contact and metric. The parts have different metrics and each has a contact once, so the whole needs
+    no further shuffle."""
     parts = [
         contact_issues(enriched, rules), shared_entity_issues(enriched, links),
         parity_issues(linked), inactive_issues(inactive),
@@ -77,4 +69,4 @@ def issue_map(enriched, links, linked, inactive, rules: list[Rule], as_of: dt.da
     everything = parts[0]
     for part in parts[1:]:
         everything = everything.unionByName(part)
-    return everything.distinct().selectExpr(f"{lit(as_of)} AS snapshot_date", "metric_name", "contact_code")
+    return everything.selectExpr(f"{lit(as_of)} AS snapshot_date", "metric_name", "contact_code")

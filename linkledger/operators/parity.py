@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
 from linkledger.config import SLICE
+from linkledger.functions import lists
 from linkledger.functions.columns import either, lit, parity, phone_parity, sure, values
+from linkledger.operators.flags import Check
 
 
 @dataclass(frozen=True)
@@ -74,6 +77,43 @@ PRIORITIES = {
 INACTIVE_REASON = "equip_inactive_reason_mismatch"
 PRIORITY = (*PRIORITIES, INACTIVE_REASON)
 
+_OUTCOMES = len(lists.PARITY_OUTCOMES)
+#: Fields in a word of outcomes. As with rules, a projection judges one word.
+WORD_FIELDS = 4
+
+
+def checks(names: Iterable[str] | None = None) -> list[Check]:
+    """Where ``judged`` keeps outcomes: a bit per outcome of a field, and two per further check, in scope and failed.
+    Only the fields and checks in ``names``, if any are given."""
+    found = []
+    for k, f in enumerate(FIELDS):
+        if names is None or f.name in names:
+            word, first = f"outcomes_{k // WORD_FIELDS}", _OUTCOMES * (k % WORD_FIELDS)
+            mask = ((1 << _OUTCOMES) - 1) << first
+            found += [Check(f"{f.name}_{o}", word, first + i, mask) for i, o in enumerate(lists.PARITY_OUTCOMES)]
+    return found + [Check(m, "priorities", 2 * k + 1, 1 << 2 * k)
+                    for k, m in enumerate(PRIORITIES) if names is None or m in names]
+
+
+def judged(linked: DataFrame) -> DataFrame:
+    """Linked contacts with the words of ``checks``, and ``compared``, the number of fields in scope."""
+    columns, out, compared = list(linked.columns), linked, "0"
+    for at in range(0, len(FIELDS), WORD_FIELDS):
+        name = f"outcomes_{at // WORD_FIELDS}"
+        bits = []
+        for k, f in enumerate(FIELDS[at: at + WORD_FIELDS]):
+            bit = f.outcome
+            for i, o in enumerate(lists.PARITY_OUTCOMES):
+                bit = bit.replace(lit(o), f"{1 << _OUTCOMES * k + i}L")
+            bits.append(f"CASE WHEN {f.scope} THEN {bit} ELSE 0L END")
+        out = out.selectExpr(*columns, f"{' + '.join(bits)} AS {name}", f"{compared} AS compared")
+        columns, compared = [*columns, name], f"compared + cast(bit_count({name}) AS int)"
+    further = (
+        f"CASE WHEN NOT {sure(scope)} THEN 0L WHEN {sure(issue)} THEN {3 << 2 * k}L ELSE {1 << 2 * k}L END"
+        for k, (scope, issue) in enumerate(PRIORITIES.values()))
+    return out.selectExpr(*columns, f"{' + '.join(further)} AS priorities", f"{compared} AS compared")
+
+
 # The inactive reason claims what the registry does not confirm.
 REASON_CONFLICT = sure(either(
     "inactive_reason = 'Out of Business' AND coalesce(out_of_business, 'N') <> 'Y'",

@@ -9,6 +9,7 @@ from linkledger.functions.columns import (
     IS_ACTIVE, blank_to_null, cleaned, code_key, creation_cohort, lit, staleness_bucket, valid_entity,
 )
 from linkledger.operators.revenue import DECILE_LABEL
+from linkledger.operators.rules import judged
 
 TEXT_FIELDS = (
     "first_name", "last_name", "company_name", "email", "biz_phone", "priv_phone", "mob_phone",
@@ -62,17 +63,19 @@ CONTACT_COLUMNS = ("contact_code", "contact_type", "ckc_id", "cmp_ckc_id", "crea
 
 
 def active_contacts(contact, technician, salesperson, account, vendor) -> DataFrame:
-    population = customers_and_leads(
-        contact.filter(IS_ACTIVE), technician, salesperson, account.select("contact_code", "account_no", "branch"), vendor
-    )
-    return population.selectExpr(*CONTACT_COLUMNS, *cleaned(TEXT_FIELDS), "account_no", "branch")
+    # Texts are cleaned once per contact, before its accounts multiply it.
+    people = contact.filter(IS_ACTIVE).selectExpr(*CONTACT_COLUMNS, *cleaned(TEXT_FIELDS))
+    return customers_and_leads(
+        people, technician, salesperson, account.select("contact_code", "account_no", "branch"), vendor
+    ).select(*CONTACT_COLUMNS, *TEXT_FIELDS, "account_no", "branch")
 
 
-def active_base(contact, technician, salesperson, account, vendor, links: DataFrame) -> DataFrame:
-    """Active contacts with their account, link counts and repeated-code flag: all that no date changes."""
+def active_base(contact, technician, salesperson, account, vendor, links: DataFrame, settings: Settings) -> DataFrame:
+    """Active contacts with their account, link counts, repeated-code flag and the outcomes of all rules: all that no
+    date changes."""
     rows = active_contacts(contact, technician, salesperson, account, vendor).selectExpr(
         "*", f"{code_key('contact_code')} AS code_key")
-    return with_repeat_flag(with_link_counts(rows, links))
+    return judged(with_repeat_flag(with_link_counts(rows, links)), settings)
 
 
 def contact_enriched(base: DataFrame, ranked: DataFrame, settings: Settings) -> DataFrame:

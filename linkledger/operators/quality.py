@@ -6,44 +6,49 @@ from pyspark.sql import DataFrame, functions as F
 
 from linkledger.config import Settings
 from linkledger.functions import lists
-from linkledger.functions.columns import IS_PERSON, MATCH_TIER, either, matches, sure, valid_entity, values
-from linkledger.operators.population import with_repeat_flag
+from linkledger.functions.columns import IS_PERSON, MATCH_TIER, both, either, valid_entity, values
+from linkledger.operators.flags import Check
 from linkledger.operators.revenue import exprs
-from linkledger.operators.rules import PHONES, Rule
+from linkledger.operators.rules import PHONES
 
 # Weight of each part of the quality index.
 INDEX_WEIGHTS = {"name": 25, "address": 25, "reachable": 20, "no_flags": 20, "ready": 10}
 
 
-def any_flag(rules: list[Rule]) -> str:
+def any_failed(rules: list[Check]) -> str:
     """True when a contact fails any of the rules."""
-    return either(*(r.failed for r in rules))
+    words = sorted({c.word for c in rules})
+    return either(*(f"({w} & {sum(1 << c.bit for c in rules if c.word == w)}L) <> 0" for w in words))
 
 
-def clean_record_pct(enriched: DataFrame, rules: list[Rule]) -> DataFrame:
+def clean_record_pct(judged: DataFrame, rules: list[Check]) -> DataFrame:
     """Share of active contacts without any completeness or field quality flag."""
-    judged = with_repeat_flag(enriched).selectExpr(f"{any_flag(rules)} AS flagged")
-    return judged.agg(
+    return judged.selectExpr(f"{any_failed(rules)} AS flagged").agg(
         *exprs("count_if(NOT flagged) AS clean_contacts", "count(*) AS active_contacts")
     ).selectExpr("*", "try_divide(clean_contacts, active_contacts) AS clean_record_pct")
 
 
-def quality_index(enriched: DataFrame, field_rules: list[Rule]) -> DataFrame:
+def quality_index(judged: DataFrame, field_rules: list[Check]) -> DataFrame:
     """Weighted score of 0 to 100 per contact, averaged by type.
 
     A linked contact needs no match readiness and gets that part in full.
     """
-    zip_ok = f"if(coalesce(country, 'US') = 'US', {sure(matches('pcode', lists.US_ZIP))}, pcode IS NOT NULL)"
-    phones = [sure(matches(p, lists.NORTH_AMERICAN_PHONE)) for p in PHONES]
+    check = {c.name: c for c in field_rules}
+
+    def holds(rule: str) -> str:
+        return f"({check[rule].applies} AND NOT {check[rule].counts})"
+
+    zip_ok = f"if(coalesce(country, 'US') = 'US', {holds('zip_invalid_format')}, pcode IS NOT NULL)"
+    phones = [holds(f"{p}_nanp_invalid") for p in PHONES]
     parts = {
         "name": f"if({IS_PERSON}, first_name IS NOT NULL AND last_name IS NOT NULL, company_name IS NOT NULL)",
         "address": f"street IS NOT NULL AND city IS NOT NULL AND length(state) = 2 AND {zip_ok}",
-        "reachable": either(*phones, sure(matches("email", lists.EMAIL_SHAPE))),
-        "no_flags": f"NOT {any_flag(field_rules)}",
+        "reachable": either(*phones, both("email IS NOT NULL", holds("email_invalid_format"))),
+        "no_flags": f"NOT {any_failed(field_rules)}",
         "ready": f"links > 0 OR {MATCH_TIER} IN {values(lists.MATCH_TIERS[:2])}",
     }
     score = " + ".join(f"if({test}, {INDEX_WEIGHTS[p]}, 0)" for p, test in parts.items())
-    scored = with_repeat_flag(enriched).selectExpr("contact_type", f"{score} AS score")
+    scored = judged.selectExpr("contact_type", f"{score} AS score")
     return scored.groupBy("contact_type").agg(
         *exprs("count(*) AS contacts", "sum(score) AS score_sum")
     ).selectExpr("*", "try_divide(score_sum, contacts) AS quality_index").orderBy("contact_type")

@@ -9,11 +9,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql import DataFrame
+
 from linkledger.config import Settings
 from linkledger.functions import lists
 from linkledger.functions.columns import (
     IS_FIRM, IS_PERSON, both, either, holds_any, is_one_of, lit, matches, sure, values,
 )
+from linkledger.operators.flags import Check
 
 PHONES = ("biz_phone", "priv_phone", "mob_phone")
 NAMES = ("first_name", "last_name")
@@ -162,3 +165,45 @@ def field_quality_rules(settings: Settings) -> list[Rule]:
 def all_rules(settings: Settings, standalone: bool = False) -> list[Rule]:
     found = completeness_rules() + field_quality_rules(settings)
     return found if standalone else [r for r in found if r.in_snapshot]
+
+
+# Judged once, kept as bits
+
+#: Rules in a word. A projection judges one word, so its generated method stays small enough to be compiled.
+WORD_RULES = 16
+
+
+def _words(rules: list[Rule]) -> list[list[Rule]]:
+    return [rules[i: i + WORD_RULES] for i in range(0, len(rules), WORD_RULES)]
+
+
+def word_columns(settings: Settings) -> list[str]:
+    return [f"rules_{k}" for k in range(len(_words(all_rules(settings, standalone=True))))]
+
+
+def checks(settings: Settings, rules: list[Rule]) -> list[Check]:
+    """Where the outcomes of ``rules`` are: two bits each, in scope and failed."""
+    place = {
+        r.name: (f"rules_{k}", 2 * i)
+        for k, word in enumerate(_words(all_rules(settings, standalone=True))) for i, r in enumerate(word)}
+    return [Check(r.name, place[r.name][0], place[r.name][1] + 1, 1 << place[r.name][1]) for r in rules]
+
+
+#: The failed bits of a word.
+_FAILED = sum(2 << 2 * i for i in range(WORD_RULES))
+
+
+def judged(contacts: DataFrame, settings: Settings) -> DataFrame:
+    """The contacts with the outcomes of all rules, and ``flags``, the number of rules that a contact fails.
+
+    Each word is a projection of its own. The next one reads it twice, so Spark does not merge the two: all rules in
+    one generated method would be too much for the compiler."""
+    columns = list(contacts.columns)
+    out, flags = contacts, "0"
+    for name, word in zip(word_columns(settings), _words(all_rules(settings, standalone=True))):
+        bits = " + ".join(
+            f"CASE WHEN NOT {sure(SCOPES[r.scope])} THEN 0L WHEN {sure(r.issue)} THEN {3 << 2 * i}L ELSE {1 << 2 * i}L END"
+            for i, r in enumerate(word))
+        out = out.selectExpr(*columns, f"{bits} AS {name}", f"{flags} AS flags")
+        columns, flags = [*columns, name], f"flags + cast(bit_count({name} & {_FAILED}L) AS int)"
+    return out.selectExpr(*columns, f"{flags} AS flags")

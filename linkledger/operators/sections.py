@@ -1,34 +1,25 @@
 """The six snapshot sections.
 
-Each section is one grouped pass with many conditional counts, turned into one
-row per metric afterwards. Every slice is grouped first and counted then, so
-zero counts keep their row and no spine has to be joined.
+Each section is one grouped pass. Linkage, staleness and match readiness are conditional counts, turned into one row
+per metric afterwards; rules and parity are bits, judged before, whose rows are counted alike and meet the list of
+checks then. Every slice is grouped first, so zero counts keep their row and no spine has to be joined.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
-from functools import reduce
-
 from pyspark.sql import DataFrame, functions as F
 
 from linkledger.config import SLICE, SNAPSHOT_COLUMNS
 from linkledger.functions import lists
-from linkledger.functions.columns import MATCH_TIER, both, lit, sure
+from linkledger.functions.columns import MATCH_TIER, lit
 from linkledger.operators import parity
-from linkledger.operators.population import with_repeat_flag
-from linkledger.operators.rules import NEEDS_REPEAT_FLAG, SCOPES, Rule
+from linkledger.operators.flags import Check, folded, tally
 
 STANDALONE = ("contact_type", "creation_cohort")
 Entry = tuple[str, str, str]  # metric, numerator, denominator
 
 
-def folded(keep: tuple[str, ...] = SLICE) -> list[str]:
-    """The slice columns, those not kept replaced by 'ALL'."""
-    return [d if d in keep else f"'ALL' AS {d}" for d in SLICE]
-
-
 def counted(df: DataFrame, counts: list[str]) -> DataFrame:
     return df.groupBy(*SLICE).agg(*(F.expr(c) for c in counts))
 
@@ -42,22 +33,6 @@ def metric_rows(df: DataFrame, entries: list[Entry]) -> DataFrame:
     return df.selectExpr(*SLICE, f"inline(array({rows}))")
 
 
-@dataclass(frozen=True)
-class Part:
-    """Checks that can share a pass: per-row columns, their counts, and the metrics made of them."""
-
-    judged: list[str]
-    counts: list[str]
-    entries: list[Entry]
-
-
-def part_rows(df: DataFrame, *parts: Part, keep: tuple[str, ...] = SLICE) -> DataFrame:
-    """Metrics of several parts from one grouped scan; empty denominators give no row."""
-    judged = df.selectExpr(*folded(keep), *(x for p in parts for x in p.judged))
-    numbers = counted(judged, [c for p in parts for c in p.counts])
-    return metric_rows(numbers, [e for p in parts for e in p.entries]).filter("denominator > 0")
-
-
 def to_snapshot_rows(df: DataFrame, category: str, as_of: dt.date) -> DataFrame:
     """Rows of one category in the snapshot's columns."""
     return df.selectExpr(
@@ -120,26 +95,10 @@ def linkage_overall(enriched: DataFrame, links: DataFrame, branch: str | None =
 
 # Parity
 
-def field_part(fields: list[str] | None = None) -> Part:
-    """All five outcomes of every field, zero counts included."""
-    checks = [f for f in parity.FIELDS if fields is None or f.name in fields]
-    outcomes = [(f.name, o) for f in checks for o in lists.PARITY_OUTCOMES]
-    return Part(
-        [f"CASE WHEN {f.scope} THEN {f.outcome} END AS o_{f.name}" for f in checks],
-        [f"count_if(o_{f} = '{o}') AS {f}_{o}" for f, o in outcomes] + [f"count(o_{f.name}) AS d_{f.name}" for f in checks],
-        [(f"{f}_{o}", f"{f}_{o}", f"d_{f}") for f, o in outcomes],
-    )
-
-
-def priority_part(metrics: tuple[str, ...] | None = None) -> Part:
-    """Certified address differs, undeliverable, out of business, deceased."""
-    checks = {m: c for m, c in parity.PRIORITIES.items() if metrics is None or m in metrics}
-    return Part(
-        [f"{sure(both(scope, issue))} AS i_{m}" for m, (scope, issue) in checks.items()]
-        + [f"{sure(scope)} AS s_{m}" for m, (scope, _) in checks.items()],
-        [f"count_if({p}_{m}) AS {p}_{m}" for m in checks for p in ("i", "s")],
-        [(m, f"i_{m}", f"s_{m}") for m in checks],
-    )
+def parity_rows(judged: DataFrame, names: list[str] | None = None, keep: tuple[str, ...] = SLICE) -> DataFrame:
+    """All five outcomes of every field, zero counts included, and the address and status checks; or those of the
+    fields and checks in ``names``."""
+    return tally(judged, parity.checks(names), keep)
 
 
 def inactive_reason_rows(inactive: DataFrame, keep: tuple[str, ...] = SLICE) -> DataFrame:
@@ -151,30 +110,9 @@ def inactive_reason_rows(inactive: DataFrame, keep: tuple[str, ...] = SLICE) ->
 
 # Completeness and field quality
 
-def rule_part(rules: list[Rule]) -> Part:
-    """Rules with the same scope share a denominator."""
-    used = sorted({r.scope for r in rules})
-    return Part(
-        [f"{sure(SCOPES[s])} AS s_{s}" for s in used] + [f"{r.failed} AS i_{r.name}" for r in rules],
-        [f"count_if(s_{s}) AS s_{s}" for s in used] + [f"count_if(i_{r.name}) AS i_{r.name}" for r in rules],
-        [(r.name, f"i_{r.name}", f"s_{r.scope}") for r in rules],
-    )
-
-
-def rule_rows(enriched: DataFrame, rules: list[Rule], keep: tuple[str, ...] = SLICE) -> DataFrame:
-    """Count all rules in one pass.
-
-    The repeated-code rule needs a join unless contacts are flagged before; it
-    then runs by itself over a few columns and wide rows are not shuffled.
-    """
-    flagged = "code_repeats" in enriched.columns
-    joined = [r for r in rules if r.name == NEEDS_REPEAT_FLAG and not flagged]
-    plain = [r for r in rules if r not in joined]
-    found = [part_rows(enriched, rule_part(plain), keep=keep)] if plain else []
-    if joined:
-        narrow = with_repeat_flag(enriched.select("contact_code", *SLICE))
-        found.append(part_rows(narrow, rule_part(joined), keep=keep))
-    return reduce(DataFrame.unionByName, found)
+def rule_rows(judged: DataFrame, found: list[Check], keep: tuple[str, ...] = SLICE) -> DataFrame:
+    """Counts of rules whose outcomes are bits of the contacts."""
+    return tally(judged, found, keep)
 
 
 # Staleness and match readiness

@@ -12,7 +12,7 @@ from linkledger.functions.columns import MATCH_TIER, lit
 from linkledger.operators import (
     dimensions, extracts, parity, population, profiling, quality, reconcile, reports, revenue, tracking,
 )
-from linkledger.operators.rules import all_rules, completeness_rules, field_quality_rules
+from linkledger.operators.rules import all_rules, checks, completeness_rules, field_quality_rules
 from linkledger.plans import snapshot, weekly
 from linkledger.plans.workspace import Workspace
 from linkledger.sources import readers, sinks
@@ -37,7 +37,12 @@ def r60_window_volumes(ws: Workspace) -> DataFrame:
     ).selectExpr(f"{lit(start)} AS start_date", f"{lit(end)} AS end_date", "invoices", "units")
 
 
-INTERNAL = ("code_key", "links", "contact_level_links", "code_repeats")
+#: Columns of the contacts that serve other queries only.
+INTERNAL = ("code_key", "links", "contact_level_links", "code_repeats", "flags", "compared", "priorities")
+
+
+def _shown(contacts: DataFrame) -> DataFrame:
+    return contacts.drop(*INTERNAL, *(c for c in contacts.columns if c.startswith(("rules_", "outcomes_"))))
 
 STAGES: dict[str, Query] = {
     "r60_window": r60_window_volumes,
@@ -46,10 +51,10 @@ STAGES: dict[str, Query] = {
     "sales_decile_share": lambda ws: ws.ranked_revenue("share").filter("raw_decile IS NOT NULL"),
     "last_transaction": Workspace.last_transaction,
     "active_contacts": Workspace.active,
-    "contact_enriched": lambda ws: ws.enriched().drop(*INTERNAL),
+    "contact_enriched": lambda ws: _shown(ws.enriched()),
     "contact_linkage": lambda ws: population.contact_linkage(ws.enriched(), ws.links()),
-    "unlinked_contacts": lambda ws: population.unlinked_contacts(ws.enriched(), ws.links()).drop(*INTERNAL),
-    "active_linked": lambda ws: ws.linked().drop("creation_date"),
+    "unlinked_contacts": lambda ws: _shown(population.unlinked_contacts(ws.enriched(), ws.links())),
+    "active_linked": lambda ws: _shown(ws.linked()).drop("creation_date"),
     "inactive_linked": Workspace.inactive_linked,
     "field_parity": lambda ws: parity.field_parity(ws.linked()),
     "linked_counts": lambda ws: population.linked_counts(ws.linked()),
@@ -211,7 +216,7 @@ def _report(visual: reports.Visual) -> Query:
 
 
 def clean_records(ws: Workspace) -> DataFrame:
-    return quality.clean_record_pct(ws.enriched(), all_rules(ws.settings))
+    return quality.clean_record_pct(ws.enriched(), checks(ws.settings, all_rules(ws.settings)))
 
 
 REPORTS: dict[str, Query] = {
@@ -230,7 +235,7 @@ FIELD_NAMES = [f.name for f in parity.FIELDS]
 SPECIFIED: dict[str, Query] = {
     "clean_record_pct": clean_records,
     "quality_index": lambda ws: quality.quality_index(
-        ws.enriched(), [r for r in field_quality_rules(ws.settings) if r.in_snapshot]),
+        ws.enriched(), checks(ws.settings, [r for r in field_quality_rules(ws.settings) if r.in_snapshot])),
     "parity_sum_check": lambda ws: reports.parity_sum_check(snapshot.stored_snapshots(ws), FIELD_NAMES),
     "snapshot_delta": lambda ws: reports.snapshot_delta(snapshot.stored_snapshots(ws), ws.settings.dates[0], ws.settings.dates[-1]),
     "prospect_customer_pairs": lambda ws: extracts.prospect_customer_pairs(ws.table("crm_account"), ws.settings),

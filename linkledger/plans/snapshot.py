@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from linkledger.config import SLICE
 from linkledger.functions.columns import MATCH_TIER, values
 from linkledger.operators import parity, sections
-from linkledger.operators.rules import all_rules, completeness_rules, field_quality_rules
+from linkledger.operators.rules import Rule, all_rules, checks, completeness_rules, field_quality_rules
 from linkledger.plans.workspace import Workspace
 from linkledger.sources.readers import read_snapshot
 from linkledger.sources.sinks import append_snapshot
@@ -21,6 +21,10 @@ def union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _rules(ws: Workspace, rules: list[Rule], keep: tuple[str, ...] = SLICE) -> DataFrame:
+    return sections.rule_rows(ws.enriched(), checks(ws.settings, rules), keep)
+
+
 def section(ws: Workspace, category: str) -> DataFrame:
     """One category of the snapshot over all slice columns."""
     s = ws.settings
@@ -31,13 +35,13 @@ def section(ws: Workspace, category: str) -> DataFrame:
         ])
     elif category == "parity":
         rows = union([
-            sections.part_rows(ws.linked(), sections.field_part(), sections.priority_part()),
+            sections.parity_rows(ws.linked()),
             sections.inactive_reason_rows(ws.inactive_linked()),
         ])
     elif category == "completeness":
-        rows = sections.rule_rows(ws.enriched(), completeness_rules())
+        rows = _rules(ws, completeness_rules())
     elif category == "field_quality":
-        rows = sections.rule_rows(ws.enriched(), [r for r in field_quality_rules(s) if r.in_snapshot])
+        rows = _rules(ws, [r for r in field_quality_rules(s) if r.in_snapshot])
     elif category == "staleness":
         rows = sections.staleness_rows(ws.enriched())
     else:
@@ -50,7 +54,7 @@ def dq_snapshot(ws: Workspace) -> DataFrame:
     readiness are counts of the same slices and share another."""
     counts = sections.contact_rows(ws.enriched())
     counts["linkage"] = counts["linkage"].unionByName(sections.linkage_overall(ws.enriched(), ws.links()))
-    rules = sections.rule_rows(ws.enriched(), all_rules(ws.settings))
+    rules = _rules(ws, all_rules(ws.settings))
     first = f"metric_name IN {values(r.name for r in completeness_rules())}"
     return union([
         *(sections.to_snapshot_rows(rows, c, ws.settings.as_of) for c, rows in counts.items()),
@@ -84,9 +88,8 @@ def dq_linkage(ws: Workspace) -> DataFrame:
 def dq_parity(ws: Workspace) -> DataFrame:
     """Only outcomes that occur, and the two address checks."""
     address = parity.PRIORITY[:2]
-    rows = sections.part_rows(
-        ws.linked(), sections.field_part(), sections.priority_part(address), keep=sections.STANDALONE
-    ).filter(f"numerator > 0 OR metric_name IN {values(address)}")
+    names = [*(f.name for f in parity.FIELDS), *address]
+    rows = sections.parity_rows(ws.linked(), names, sections.STANDALONE).filter(f"numerator > 0 OR metric_name IN {values(address)}")
     return sections.to_snapshot_rows(rows, "parity", ws.settings.as_of)
 
 
@@ -94,15 +97,15 @@ def dq_completeness(ws: Workspace) -> DataFrame:
     """Name checks by type; address, phone and mail checks over all types."""
     rules = completeness_rules()
     rows = union([
-        sections.rule_rows(ws.enriched(), [r for r in rules if r.scope != "all"], sections.STANDALONE),
-        sections.rule_rows(ws.enriched(), [r for r in rules if r.scope == "all"], ("creation_cohort",)),
+        _rules(ws, [r for r in rules if r.scope != "all"], sections.STANDALONE),
+        _rules(ws, [r for r in rules if r.scope == "all"], ("creation_cohort",)),
     ])
     return sections.to_snapshot_rows(rows, "completeness", ws.settings.as_of)
 
 
 def dq_field_quality(ws: Workspace) -> DataFrame:
     """All field quality rules, including those the snapshot leaves out."""
-    rows = sections.rule_rows(ws.enriched(), field_quality_rules(ws.settings), sections.STANDALONE)
+    rows = _rules(ws, field_quality_rules(ws.settings), sections.STANDALONE)
     return sections.to_snapshot_rows(rows, "field_quality", ws.settings.as_of)
 
 
@@ -138,10 +141,10 @@ def metric(ws: Workspace, category: str, name: str) -> DataFrame:
         if name == parity.PRIORITY[4]:
             rows = sections.inactive_reason_rows(ws.inactive_linked())
         else:
-            rows = sections.part_rows(ws.linked(), sections.priority_part((name,)))
+            rows = sections.parity_rows(ws.linked(), [name])
         category = "parity"
     elif category == "parity":
-        rows = sections.part_rows(ws.linked(), sections.field_part([name]))
+        rows = sections.parity_rows(ws.linked(), [name])
     else:
-        rows = sections.rule_rows(ws.enriched(), [r for r in all_rules(s, standalone=True) if r.name == name])
+        rows = _rules(ws, [r for r in all_rules(s, standalone=True) if r.name == name])
     return sections.to_snapshot_rows(rows, category, s.as_of)

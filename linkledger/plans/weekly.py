@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from linkledger.operators import dimensions, issues
 from linkledger.operators.revenue import exprs
-from linkledger.operators.rules import all_rules
+from linkledger.operators.rules import all_rules, checks
 from linkledger.plans import snapshot
 from linkledger.plans.workspace import Workspace
 from linkledger.sources import readers, sinks
@@ -45,7 +45,8 @@ def lookup_tables(ws: Workspace) -> dict[str, DataFrame]:
 
 def issue_map(ws: Workspace) -> DataFrame:
     return issues.issue_map(
-        ws.enriched(), ws.links(), ws.linked(), ws.inactive_linked(), all_rules(ws.settings), ws.settings.as_of
+        ws.enriched(), ws.links(), ws.linked(), ws.inactive_linked(), checks(ws.settings, all_rules(ws.settings)),
+        ws.settings.as_of,
     )
 
 

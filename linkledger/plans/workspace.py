@@ -9,10 +9,22 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from linkledger.config import Settings, r60_window
 from linkledger.functions.columns import creation_cohort
-from linkledger.operators import population, revenue
+from linkledger.operators import parity, population, revenue
 from linkledger.storage import Scratch
 
 
+#: The JVM compiles no method above this size.
+METHOD_BYTES = 8000
+
+
+def compiled_methods(spark: SparkSession) -> None:
+    """Let Spark split the widest projections (all rules, all parity fields) into small methods rather than fuse a stage
+    into one method that stays interpreted; a limit that the session sets itself is left alone."""
+    name, default = "spark.sql.codegen.hugeMethodLimit", "65535"
+    if spark.conf.get(name, default) == default:
+        spark.conf.set(name, str(METHOD_BYTES))
+
+
 class Workspace:
     """Relations of one run. Stages that several sections read are written once.
 
@@ -24,6 +36,7 @@ class Workspace:
         self.tables = tables
         self.settings = settings
         self.scratch = scratch or Scratch(spark)
+        compiled_methods(spark)
         self._stages: dict[str, DataFrame] = {}
         self._dated: dict[dt.date, Workspace] = {settings.as_of: self}
         self._other_cohorts: dict[str, Workspace] = {}
@@ -102,7 +115,7 @@ class Workspace:
     def base(self) -> DataFrame:
         """Contacts as far as no date changes them; written once for all dates of a run."""
         if "base" not in self._dateless:
-            self._dateless["base"] = self.scratch.stage(population.active_base(*self.people(), self.links()), "base")
+            self._dateless["base"] = self.scratch.stage(population.active_base(*self.people(), self.links(), self.settings), "base")
         return self._dateless["base"]
 
     def links(self) -> DataFrame:
@@ -112,10 +125,10 @@ class Workspace:
         return population.registry_profiles(self.table("profile"), self.settings)
 
     def linked(self) -> DataFrame:
-        """Linked contacts with both systems' values; read by all parity checks."""
+        """Linked contacts with both systems' values and the outcomes of their comparison; read by all parity checks."""
         return self.staged(
-            "linked", lambda: population.active_linked(
-                self.enriched(), self.links(), self.profiles(), self.settings.parity_us_default)
+            "linked", lambda: parity.judged(population.active_linked(
+                self.enriched(), self.links(), self.profiles(), self.settings.parity_us_default))
         )
 
     def inactive_linked(self) -> DataFrame:

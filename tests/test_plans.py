@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkledger.operators import revenue
+from linkledger.operators.rules import SCOPES, all_rules, checks
 from linkledger.plans import catalog
 from linkledger.plans.fixture_run import SETTINGS
+from linkledger.plans.workspace import METHOD_BYTES
 
 BAD = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "PythonUDF")
 NAMES = sorted(catalog.all_queries(SETTINGS))
@@ -41,9 +43,43 @@ def test_window_filter_reaches_the_scan(spark, tmp_path):
 
 
 def test_one_metric_reads_few_columns(ws):
+    """Rules are judged once, when contacts are staged; counting one reads its word."""
     plan = plan_of(catalog.all_queries(ws.settings)["cp_missing_street"](ws))
     schema = plan[plan.index("ReadSchema"):]
-    assert "street" in schema and "email" not in schema
+    assert "rules_0" in schema and "rules_1" not in schema and "street" not in schema and "email" not in schema
+
+
+def method_sizes(df) -> list[int]:
+    found = df._jdf.queryExecution().debug().codegenToSeq()
+    return [found.apply(i)._3().maxMethodCodeSize() for i in range(found.size())]
+
+
+@pytest.mark.parametrize("name", [
+    "dq_snapshot", "dq_field_quality", "dq_completeness", "dq_parity", "issue_map", "issue_map_counts",
+    "clean_record_pct", "quality_index", "rpt_2"])
+def test_what_reads_outcomes_has_small_methods(ws, spark, name):
+    """Of all rules, nothing but bits is left: every generated method is small enough to be compiled."""
+    build = catalog.all_queries(ws.settings)[name]
+    build(ws)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = method_sizes(build(ws))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sizes and max(sizes) < METHOD_BYTES
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= METHOD_BYTES
+
+
+def test_bits_are_the_rules(ws):
+    """Every bit against its rule's expressions, over all contacts; flags count the failed ones."""
+    rules = all_rules(ws.settings, standalone=True)
+    contacts = ws.enriched()
+    wrong = contacts.selectExpr(*(
+        f"count_if(({c.applies}) <> coalesce({SCOPES[r.scope]}, false) OR ({c.counts}) <> {r.failed}) AS {r.name}"
+        for r, c in zip(rules, checks(ws.settings, rules)))).first().asDict()
+    assert not {n: k for n, k in wrong.items() if k} and len(wrong) == len(rules)
+    failed = " + ".join(f"cast({r.failed} AS int)" for r in rules)
+    assert contacts.filter(f"flags <> {failed}").isEmpty() and not contacts.filter("flags > 2").isEmpty()
 
 
 def test_contacts_are_shuffled_once(ws, spark):
