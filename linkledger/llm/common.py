@@ -70,7 +70,6 @@ class Stages:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-        self.tables: list[str] = []
         small_batches(spark)
         for held in Stages._open:
             held.append(self)
@@ -80,13 +79,6 @@ class Stages:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def write_by(self, df: DataFrame, key: str, name: str) -> DataFrame:
-        """A table in buckets by ``key``: joins on that column do not shuffle it again."""
-        self.tables.append(f"stage_{uuid.uuid4().hex}")
-        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        df.write.bucketBy(buckets, key).option("path", f"{self.folder}/{name}").saveAsTable(self.tables[-1])
-        return self.spark.table(self.tables[-1])
-
     def _delete(self, folder: str) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
@@ -96,9 +88,6 @@ class Stages:
 
     def release(self) -> None:
         """Delete all tables; results that were not written elsewhere can't be read any more."""
-        for table in self.tables:
-            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-        self.tables.clear()
         self._delete(self.folder)
 
 

@@ -1,8 +1,7 @@
 """Jaccard join of documents on word shingles, by size-banded tiles with hashed bitmap signatures.
 
-1. ``signatures``: each text becomes a sorted array of shingle hashes, its size, a 64-bit key of the set and a bitmap.
-   Documents with one key are copies and form one node from here on. Nodes are written in buckets by their key, so that
-   bitmaps and arrays are never made or shuffled again.
+1. ``signatures``: each text becomes a set of shingle hashes. Kept of it: its size, a 64-bit key of the set, a bitmap
+   and its prefix. Documents with one key are copies and form one node from here on.
 2. The prefix of a set are its (1 - t) * n + 1 shingles that come first in one order of all shingles; two sets that
    link share a shingle of their prefixes. Rare shingles come first, by a table of counters over all texts, so a
    passage that very many documents share is hardly ever in a prefix. The order only steers the cost: any table of
@@ -13,7 +12,8 @@
 4. In a tile, the bitmap of a node has as many bits as its band asks for, each shingle toggling one. The bits in which
    two bitmaps differ are at most the shingles in which the sets differ, which bounds the overlap from above. Pairs
    below the bound are dropped without a look at their shingles.
-5. The other pairs are settled by intersecting their sorted shingle arrays.
+5. The other pairs are settled by intersecting their sorted shingle arrays, which are made again from the texts:
+   hashing is cheap, and arrays of all texts would fill more disk than the texts do.
 
 Tiles are worked in three passes. The first compares each node with one leader of its tile, which joins most members
 of a large group of near copies. The second compares bitmaps, in blocks, of all pairs that are not in one component
@@ -48,22 +48,24 @@ COUNTERS, FREQUENT = 1 << 20, 5_000
 BLOCK, SMALL = 2048, 96
 #: Rows of tiles that one task compares, about.
 TASK_ROWS = 20_000
-#: Keys of 8 bytes that may be broadcast to a scan of the texts (16 MB); beyond that, texts are shuffled.
+#: Rows of one or two keys of 8 bytes that may be broadcast to a scan of the texts (32 MB at most); beyond that, texts
+#: are shuffled.
 BROADCAST_KEYS = 2_000_000
 #: Words of bitmaps that are compared at one time.
 _WORDS_AT_ONCE = 1 << 21
 
 
-def shingle_order(sets: DataFrame, stages: Stages):
+def shingle_order(docs: DataFrame, stages: Stages):
     """Counters over the shingles of all texts, as a broadcast array of fixed size."""
     def run(batches):
         for batch in batches:
-            s = batch.column(0).flatten().to_numpy().view(np.uint64)
+            sets = [shingle_set(text.as_py()) for text in batch.column(0)]
+            s = np.concatenate(sets) if sets else np.empty(0, np.uint64)
             if len(s):
                 yield np.bincount((s & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS), 0
 
-    total = tree_sum(sets.select("shingles"), run, COUNTERS + 1, stages, "counts")
-    return sets.sparkSession.sparkContext.broadcast(np.minimum(total[:-1], 65535).astype(np.uint16))
+    total = tree_sum(docs.select("text"), run, COUNTERS + 1, stages, "counts")
+    return docs.sparkSession.sparkContext.broadcast(np.minimum(total[:-1], 65535).astype(np.uint16))
 
 
 def band(n: int) -> int:
@@ -96,62 +98,47 @@ def set_key(shingles: np.ndarray) -> int | None:
     return xxhash.xxh3_64_intdigest(shingles.tobytes()) - 2 ** 63 if len(shingles) else None
 
 
-def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, n, key, bits (a bitmap) and shingles of every document; key is null for empty sets. Copies that
-    meet in a batch have bits and shingles once."""
+def signatures(docs: DataFrame, order) -> DataFrame:
+    """doc_id, text_hash, n, key, bits (a bitmap), prefix and rare (how many of the prefix are not frequent; they come
+    first) of every document; key is null for empty sets. Copies that meet in a batch have bits and prefix once."""
+    frequent = FREQUENT
+
     def make(texts):
         out, seen = [], set()
         for text in texts:
             s = shingle_set(text)
             key = set_key(s)
             if key is None or key in seen:
-                out.append((len(s), key, None, None))
-            else:
-                seen.add(key)
-                out.append((len(s), key, bitmap(s, bitmap_bits(band(len(s)))).tobytes(), s.view(np.int64)))
-        return list(zip(*out)) or [[]] * 4
+                out.append((len(s), key, None, None, None))
+                continue
+            seen.add(key)
+            counts = order.value[(s & np.uint64(COUNTERS - 1)).astype(np.int64)]
+            first = np.argsort(counts, kind="stable")[: len(s) - math.ceil(THRESHOLD * len(s)) + 1]
+            out.append((len(s), key, bitmap(s, bitmap_bits(band(len(s)))).tobytes(), s[first].view(np.int64),
+                        int((counts[first] < frequent).sum())))
+        return list(zip(*out)) or [[]] * 5
 
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    return with_columns(keyed, "text", make, "n long, key long, bits binary, shingles array<long>").drop("text")
-
-
-def prefixes(nodes: DataFrame, order, frequent: int | None = None) -> DataFrame:
-    """(key, n, band, token, often) of the prefix shingles of all nodes."""
-    frequent = FREQUENT if frequent is None else frequent
-
-    def run(batches):
-        for batch in batches:
-            keys, sizes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            tokens, often, lengths = [], [], []
-            for n, own in zip(sizes.tolist(), batch.column(2)):
-                s = own.values.to_numpy().view(np.uint64)
-                counts = order.value[(s & np.uint64(COUNTERS - 1)).astype(np.int64)]
-                first = np.argsort(counts, kind="stable")[: n - math.ceil(THRESHOLD * n) + 1]
-                tokens.append(s[first].view(np.int64))
-                often.append(counts[first] >= frequent)
-                lengths.append(len(first))
-            if lengths:
-                bands = np.array([band(n) for n in sizes.tolist()], np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(keys, lengths)), pa.array(np.repeat(sizes, lengths)),
-                     pa.array(np.repeat(bands, lengths)), pa.array(np.concatenate(tokens)),
-                     pa.array(np.concatenate(often))], ["key", "n", "band", "token", "often"])
-
-    return nodes.select("key", "n", "shingles").mapInArrow(
-        run, "key long, n long, band int, token long, often boolean")
-
-
-def tiles(rows: DataFrame) -> DataFrame:
-    """(tile, band, key, n, top) of tiles with two members or more, from the rows of ``prefixes``; ``top`` marks members
-    of the tile's own band. Those of the band below meet each other in their own tile."""
-    rare = rows.filter("not often").repartition("token").selectExpr(
-        "key", "n", "band", "count(*) over (partition by token) as members",
+    return with_columns(
+        keyed, "text", make, "n long, key long, bits binary, prefix array<long>, rare int").drop("text")
+
+
+def tiles(signed: DataFrame) -> DataFrame:
+    """(tile, band, key, n, top) of tiles with two members or more, from signatures; ``top`` marks members of the tile's
+    own band. Those of the band below meet each other in their own tile."""
+    held = signed.filter("prefix is not null")
+    banded = f"cast(floor(ln(n) / ln({float(1 / THRESHOLD)}) + 1e-9) as int) as band"
+    # A node comes once per batch that holds a copy of it.
+    rare = held.selectExpr("key", "n", "explode(slice(prefix, 1, rare)) as token").repartition("token").groupBy(
+        "token", "key").agg(F.first("n").alias("n")).selectExpr(
+        "key", "n", "count(*) over (partition by token) as members",
         "bit_xor(xxhash64(key)) over (partition by token) as mark").filter("members > 1")
-    often = rows.filter("often")
+    often = held.selectExpr("key", "n", "explode(slice(prefix, rare + 1, size(prefix))) as token").distinct()
     counted = often.groupBy("token").agg(
         F.count("*").alias("members"), F.expr("bit_xor(xxhash64(key))").alias("mark")).filter("members > 1")
-    shared = rare.unionByName(often.join(counted, "token").select("key", "n", "band", "members", "mark"))
-    own = shared.selectExpr("xxhash64(mark, members) as members", "key", "n", "band").distinct()
+    shared = rare.select("key", "n", "members", "mark").unionByName(
+        often.join(counted, "token").select("key", "n", "members", "mark"))
+    own = shared.selectExpr("xxhash64(mark, members) as members", "key", "n", banded).distinct()
     # Each node is in the tile of its band and in that of the band above, where it meets larger sets.
     return own.selectExpr("members", "key", "n", "band as own", "explode(array(band, band + 1)) as band").selectExpr(
         "xxhash64(members, band) as tile", "band", "key", "n", "own = band as top")
@@ -258,6 +245,26 @@ def _across(parts: DataFrame, nodes: DataFrame, stages: Stages, name: str, neare
     return dealt.groupBy("task").applyInPandas(compare, "x long, y long").distinct()
 
 
+def shingle_arrays(docs: DataFrame, nodes: DataFrame, keys: DataFrame) -> DataFrame:
+    """(key, shingles) of the nodes in ``keys``, made again from a text of each."""
+    wanted = nodes.join(keys, "key").select("key", "text_hash")
+    if wanted.count() <= BROADCAST_KEYS:
+        wanted = F.broadcast(wanted)
+    texts = docs.select("text", F.xxhash64("text").alias("text_hash")).join(wanted, "text_hash").select("key", "text")
+
+    def make(values):
+        out, seen = [], set()
+        for text in values:
+            s = shingle_set(text)
+            key = set_key(s)
+            out.append((None if key in seen else s.view(np.int64), key))
+            seen.add(key)
+        return list(zip(*out)) or [[]] * 2
+
+    made = with_columns(texts, "text", make, "shingles array<long>, own long")
+    return made.filter("own = key and shingles is not null").groupBy("key").agg(F.first("shingles").alias("shingles"))
+
+
 def _verified(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
     """Pairs that link, by intersecting sorted arrays."""
     p, q = THRESHOLD.numerator, THRESHOLD.denominator
@@ -277,13 +284,13 @@ def _verified(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
     return both.mapInArrow(check, "a long, b long")
 
 
-def linked_nodes(signed: DataFrame, stages: Stages) -> DataFrame:
-    """(node, component) of all nodes of a written table of ``signatures``, and their ``first`` id."""
-    nodes = stages.write_by(
+def linked_nodes(docs: DataFrame, signed: DataFrame, stages: Stages) -> DataFrame:
+    """(node, component, first) of all nodes of a written table of ``signatures``; ``first`` is the smallest id."""
+    nodes = stages.write(
         signed.filter("key is not null").groupBy("key").agg(
-            F.min("doc_id").alias("first"), F.first("n").alias("n"), F.first("bits", True).alias("bits"),
-            F.first("shingles", True).alias("shingles")), "key", "nodes")
-    tiled = stages.write(tiles(prefixes(nodes, shingle_order(signed, stages))), "tiles")
+            F.min("doc_id").alias("first"), F.min("text_hash").alias("text_hash"), F.first("n").alias("n"),
+            F.first("bits", True).alias("bits")), "nodes")
+    tiled = stages.write(tiles(signed), "tiles")
 
     # First pass: each node of a tile with the tile's leader.
     leaders = tiled.groupBy("tile").agg(
@@ -291,7 +298,7 @@ def linked_nodes(signed: DataFrame, stages: Stages) -> DataFrame:
     leaders = leaders.filter("members > 1").selectExpr("tile", "leader.key as lead")
     stars = tiled.join(leaders, "tile").filter("key <> lead")
     pairs = _bounded(stars.selectExpr("least(key, lead) as x", "greatest(key, lead) as y").distinct(), nodes)
-    links = stages.write(_settled(pairs, nodes, stages, "star"), "links-0")
+    links = stages.write(_settled(pairs, docs, nodes, stages, "star"), "links-0")
     labels = nodes.selectExpr("key as node").join(components(links, stages, "parts"), "node", "left").selectExpr(
         "node", "coalesce(component, node) as component")
     labels = stages.write(labels, "labels-0")
@@ -300,17 +307,17 @@ def linked_nodes(signed: DataFrame, stages: Stages) -> DataFrame:
     for number, nearest in enumerate((True, False), 1):
         parts = stages.write(tiled.join(labels.withColumnRenamed("node", "key"), "key"), f"parted-{number}")
         open_ = _across(parts, nodes, stages, f"pass-{number}", nearest)
-        more = stages.write(_settled(open_, nodes, stages, f"pass-{number}"), f"links-{number}")
+        more = stages.write(_settled(open_, docs, nodes, stages, f"pass-{number}"), f"links-{number}")
         labels = stages.write(joined(labels, more, stages, f"join-{number}"), f"labels-{number}")
         stages.drop(f"parted-{number}")
     return labels.join(nodes.selectExpr("key as node", "first"), "node")
 
 
-def _settled(pairs: DataFrame, nodes: DataFrame, stages: Stages, name: str) -> DataFrame:
+def _settled(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, stages: Stages, name: str) -> DataFrame:
     """Links among open pairs."""
     pairs = stages.write(pairs, f"{name}-pairs")
     keys = pairs.selectExpr("explode(array(x, y)) as key").distinct()
-    arrays = stages.write(nodes.select("key", "shingles").join(keys, "key"), f"{name}-arrays")
+    arrays = stages.write(shingle_arrays(docs, nodes, keys), f"{name}-arrays")
     links = stages.write(_verified(pairs, arrays), f"{name}-links")
     stages.drop(f"{name}-arrays")
     return links
@@ -342,8 +349,9 @@ def grouped(docs: DataFrame, stages: Stages | None = None) -> DataFrame:
     """doc_id, text_hash, n, and component (a number per group, null for empty sets) and least (its smallest id) of
     every row of ``docs`` (doc_id, text)."""
     stages = stages or Stages(docs.sparkSession, "ngram-join")
-    signed = stages.write(signatures(docs), "signed")
-    named = linked_nodes(signed, stages)
+    order = shingle_order(docs, stages)
+    signed = stages.write(signatures(docs, order), "signed")
+    named = linked_nodes(docs, signed, stages)
     least = named.groupBy("component").agg(F.min("first").alias("least"))
     named = named.join(least, "component").selectExpr("node as key", "component", "least")
     return signed.select("doc_id", "text_hash", "n", "key").join(named, "key", "left").drop("key")
