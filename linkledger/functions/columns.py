@@ -43,6 +43,12 @@ def sure(test: str) -> str:
     return f"coalesce({test}, false)"
 
 
+def rank_of(x: str, order: Iterable[str]) -> str:
+    """Place of a value in a fixed order, from 0; what is not in it comes last."""
+    steps = " ".join(f"WHEN {lit(v)} THEN {i}" for i, v in enumerate(order))
+    return f"CASE {x} {steps} ELSE {len(tuple(order))} END"
+
+
 def blank_to_null(x: str) -> str:
     return f"nullif(trim({x}), '')"
 

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from linkledger.config import SLICE
 from linkledger.functions import lists
-from linkledger.functions.columns import lit, values
+from linkledger.functions.columns import lit, rank_of, values
 from linkledger.operators.revenue import exprs
 
 
@@ -35,9 +36,18 @@ def measure(name: str) -> Column:
     return F.expr(f"{MEASURES[name]} AS {name}")
 
 
+def stored_dates(snapshot: DataFrame) -> list[dt.date]:
+    """Dates of a stored snapshot table, the oldest first, from the folder names among its files: no data is read. A
+    frame without such files is scanned."""
+    named = {m[1] for f in snapshot.inputFiles() if (m := re.search(r"/snapshot_date=(\d{4}-\d\d-\d\d)/", f))}
+    if named:
+        return sorted(map(dt.date.fromisoformat, named))
+    return [r[0] for r in snapshot.select("snapshot_date").distinct().orderBy("snapshot_date").collect() if r[0]]
+
+
 def latest_date(snapshot: DataFrame) -> dt.date | None:
     """Newest snapshot date. Resolved first, so that later scans prune to one partition."""
-    return snapshot.agg(F.max("snapshot_date")).first()[0]
+    return next(reversed(stored_dates(snapshot)), None)
 
 
 def latest(snapshot: DataFrame) -> DataFrame:
@@ -123,9 +133,11 @@ def report(snapshot: DataFrame, visual: Visual) -> DataFrame:
     if not visual.by:
         return rows.agg(*measures)
     grouped = rows.groupBy(*visual.by)
+    order = [F.expr(rank_of(c, lists.STALENESS_BUCKETS) if (visual.category, c) == ("staleness", "metric_name") else c)
+             for c in visual.by]
     if visual.pivot:
-        return grouped.pivot(visual.pivot[0], list(visual.pivot[1])).agg(*measures).orderBy(*visual.by)
-    return grouped.agg(*measures).orderBy(*visual.by)
+        return grouped.pivot(visual.pivot[0], list(visual.pivot[1])).agg(*measures).orderBy(*order)
+    return grouped.agg(*measures).orderBy(*order)
 
 
 def issue_rate_of_issues(snapshot: DataFrame, dim_metric: DataFrame) -> DataFrame:
@@ -134,7 +146,7 @@ def issue_rate_of_issues(snapshot: DataFrame, dim_metric: DataFrame) -> DataFram
     return latest(snapshot).join(issues, "metric_name", "left_semi").agg(measure("issue_rate"))
 
 
-def snapshot_delta(snapshot: DataFrame, before: dt.date, after: dt.date) -> DataFrame:
+def snapshot_delta(snapshot: DataFrame, before: dt.date | None, after: dt.date | None) -> DataFrame:
     """Change of every metric between two snapshots, in one grouped pass."""
     at = lambda day: f"coalesce(sum(CASE WHEN snapshot_date = {lit(day)} THEN numerator END), 0)"
     return (
@@ -146,6 +158,13 @@ def snapshot_delta(snapshot: DataFrame, before: dt.date, after: dt.date) -> Data
     )
 
 
+def latest_delta(snapshot: DataFrame) -> DataFrame:
+    """Change between the two newest stored dates; from nothing, if there is only one."""
+    dates = stored_dates(snapshot)
+    before, after = (dates[-2:] if len(dates) > 1 else (None, *dates)) if dates else (None, None)
+    return snapshot_delta(snapshot, before, after)
+
+
 def parity_sum_check(snapshot: DataFrame, fields: list[str]) -> DataFrame:
     """Slices whose five outcomes do not add up to the denominator; none expected."""
     names = [f"{f}_{o}" for f in fields for o in lists.PARITY_OUTCOMES]

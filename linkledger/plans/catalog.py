@@ -15,7 +15,7 @@ from linkledger.operators import (
 from linkledger.operators.rules import all_rules, checks, completeness_rules, field_quality_rules
 from linkledger.plans import snapshot, weekly
 from linkledger.plans.workspace import Workspace
-from linkledger.sources import readers, sinks
+from linkledger.sources import publishing, readers, sinks
 
 Query = Callable[[Workspace], DataFrame]
 
@@ -237,7 +237,7 @@ SPECIFIED: dict[str, Query] = {
     "quality_index": lambda ws: quality.quality_index(
         ws.enriched(), checks(ws.settings, [r for r in field_quality_rules(ws.settings) if r.in_snapshot])),
     "parity_sum_check": lambda ws: reports.parity_sum_check(snapshot.stored_snapshots(ws), FIELD_NAMES),
-    "snapshot_delta": lambda ws: reports.snapshot_delta(snapshot.stored_snapshots(ws), ws.settings.dates[0], ws.settings.dates[-1]),
+    "snapshot_delta": lambda ws: reports.latest_delta(snapshot.stored_snapshots(ws)),
     "prospect_customer_pairs": lambda ws: extracts.prospect_customer_pairs(ws.table("crm_account"), ws.settings),
     "duplicate_candidates": lambda ws: quality.duplicate_candidates(ws.enriched(), ws.settings),
     "upload_batches": lambda ws: extracts.upload_batches(ws.unlinked(), ws.scratch.stage),
@@ -293,20 +293,20 @@ def io_match_reports(ws: Workspace) -> DataFrame:
 
 
 def io_weekly_run(ws: Workspace) -> DataFrame:
-    """Run for two dates, the later one twice, and profile what the three targets hold."""
-    targets = weekly.Targets(*(ws.scratch.path(f"weekly-{n}") for n in ("snapshots", "issues", "dimensions")))
+    """Run for two dates, the later one twice, and profile what is current."""
+    root = ws.scratch.path("weekly")
     days = ws.settings.dates[-2:]
     for day in (*days, days[-1]):
-        weekly.weekly_run(ws.at(day), targets)
-    counts = readers.read_snapshot(ws.spark, targets.snapshots).groupBy("snapshot_date", "metric_category").agg(
+        weekly.weekly_run(ws.at(day), root, lookups=True)
+    counts = publishing.read_snapshots(ws.spark, root).groupBy("snapshot_date", "metric_category").agg(
         *revenue.exprs("count(*) AS row_count", "sum(numerator) AS total")
     ).selectExpr("'snapshot' AS target", "snapshot_date", "metric_category AS name", "row_count", "total")
-    mapped = ws.spark.read.parquet(targets.issue_map).groupBy("snapshot_date", "metric_name").agg(
+    mapped = publishing.read_issue_map(ws.spark, root).groupBy("snapshot_date", "metric_name").agg(
         F.expr("count(*) AS row_count")
     ).selectExpr("'issue map' AS target", "snapshot_date", "metric_name AS name", "row_count", "cast(NULL AS bigint) AS total")
     found = counts.unionByName(mapped)
     for name in weekly.lookup_tables(ws):
-        found = found.unionByName(ws.spark.read.parquet(f"{targets.dimensions}/{name}").agg(
+        found = found.unionByName(publishing.read_lookup(ws.spark, root, name).agg(
             *revenue.exprs("'lookup' AS target", "cast(NULL AS date) AS snapshot_date", f"{lit(name)} AS name",
                            "count(*) AS row_count", "cast(NULL AS bigint) AS total")))
     return found

@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from linkledger.config import SLICE
-from linkledger.functions.columns import MATCH_TIER, values
+from linkledger.functions import lists
+from linkledger.functions.columns import MATCH_TIER, rank_of, values
 from linkledger.operators import parity, sections
 from linkledger.operators.rules import Rule, all_rules, checks, completeness_rules, field_quality_rules
 from linkledger.plans.workspace import Workspace
@@ -110,10 +111,11 @@ def dq_field_quality(ws: Workspace) -> DataFrame:
 
 
 def dq_staleness(ws: Workspace) -> DataFrame:
-    """Buckets that occur, by type, decile and cohort."""
+    """Buckets that occur, by type, decile and cohort, in the order of the buckets."""
     enriched = ws.enriched().select(*SLICE)
     rows = sections.occurring(enriched, "staleness_bucket", (*sections.STANDALONE, "sales_decile"))
-    return sections.to_snapshot_rows(rows, "staleness", ws.settings.as_of)
+    return sections.to_snapshot_rows(rows, "staleness", ws.settings.as_of).orderBy(
+        F.expr(rank_of("metric_name", lists.STALENESS_BUCKETS)), "contact_type", "sales_decile", "creation_cohort")
 
 
 def dq_match_readiness(ws: Workspace) -> DataFrame:

@@ -1,26 +1,15 @@
-"""The recurring run: snapshot, issue map and lookup tables written to their targets."""
+"""The recurring run: snapshot, issue map and lookup tables, published together."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from linkledger.operators import dimensions, issues
 from linkledger.operators.revenue import exprs
 from linkledger.operators.rules import all_rules, checks
 from linkledger.plans import snapshot
 from linkledger.plans.workspace import Workspace
-from linkledger.sources import readers, sinks
-
-
-@dataclass(frozen=True)
-class Targets:
-    """Where a run writes: paths of the snapshot table and the issue map, and the folder of the lookup tables."""
-
-    snapshots: str
-    issue_map: str
-    dimensions: str | None = None  # lookup tables stay as they are if none is given
+from linkledger.sources import publishing
 
 
 class NamesDiffer(Exception):
@@ -50,21 +39,22 @@ def issue_map(ws: Workspace) -> DataFrame:
     )
 
 
-def weekly_run(ws: Workspace, targets: Targets) -> None:
-    """Compute and store everything of the date ``as_of``.
+def weekly_run(ws: Workspace, root: str, lookups: bool = False) -> publishing.Pointer:
+    """Compute and publish everything of the date ``as_of`` below ``root``.
 
-    Metric names are compared before anything is written. The date is added to the snapshot table, or replaced if it
-    is there, and read back to verify it; the issue map and the lookup tables are overwritten.
+    Metric names are compared before anything is written. Snapshot, issue map and, if asked for, lookup tables go to
+    folders of this run, the snapshot is read back and verified, and only then all of them become current together;
+    the date is added to the snapshot table, or replaced if it is there. After a failure the run before is current.
     """
     rows = ws.scratch.stage(snapshot.dq_snapshot(ws), "run")
     tables = lookup_tables(ws)
     differing = dimensions.metric_name_parity(rows, tables["dim_metric"]).orderBy("metric_name").collect()
     if differing:
         raise NamesDiffer("; ".join(f"{r.metric_name}: {r.finding}" for r in differing))
-    sinks.replace_snapshot(rows, targets.snapshots)
-    stored = readers.read_snapshot(ws.spark, targets.snapshots)
-    if _totals(stored.filter(F.col("snapshot_date") == F.lit(ws.settings.as_of))) != _totals(rows):
-        raise NotStored(f"snapshot of {ws.settings.as_of} in {targets.snapshots}")
-    sinks.overwrite(issue_map(ws), targets.issue_map)
-    if targets.dimensions:
-        sinks.write_dimensions(tables, targets.dimensions, enabled=True)
+    run = publishing.Run(ws.spark, root)
+    if _totals(run.write_snapshot(rows)) != _totals(rows):
+        raise NotStored(f"snapshot of {ws.settings.as_of} below {root}")
+    run.write_issue_map(issue_map(ws))
+    if lookups:
+        run.write_lookups(tables)
+    return run.publish()

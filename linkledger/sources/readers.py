@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from linkledger.sources import schemas
+from linkledger.storage import folders
+
 MATCH_REPORT_SCHEMA = "dbs_number string, entity_id string, contact_id string"
 
 
@@ -59,5 +64,13 @@ def read_exclusions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The stored snapshots; columns added by later runs read as null in earlier ones."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+    """The stored snapshots. Columns come from the file beside the table; those that later runs added read as null in
+    earlier ones."""
+    columns = schemas.known(spark, path)
+    return (spark.read.schema(columns) if columns else spark.read).parquet(path)
+
+
+def stored_dates(spark: SparkSession, path: str) -> list[dt.date]:
+    """Dates of the stored snapshots, the oldest first, from the names of their folders."""
+    names = (n.partition("=") for n in folders(spark, path))
+    return sorted(dt.date.fromisoformat(day) for column, _, day in names if column == "snapshot_date")

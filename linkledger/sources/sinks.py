@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from linkledger.operators.ranking import in_global_order
+from linkledger.sources import schemas
 from linkledger.storage import hadoop_path
 
 # Limits of the upload tool.
@@ -15,8 +16,14 @@ FILE_ROWS = 60_000
 FILE_BYTES = 6_000_000
 
 
+def write_snapshot(df: DataFrame, path: str) -> None:
+    """The rows of a run, as a table of their own."""
+    _by_category(df).write.partitionBy("snapshot_date").parquet(path)
+
+
 def append_snapshot(df: DataFrame, path: str) -> None:
-    """Add a run to the stored snapshots."""
+    """Add a run to the stored snapshots. It may have columns that earlier runs lack."""
+    schemas.widen(df.sparkSession, path, df.schema)
     _by_category(df).write.mode("append").partitionBy("snapshot_date").parquet(path)
 
 
@@ -27,11 +34,15 @@ def _by_category(df: DataFrame) -> DataFrame:
 
 def reset_snapshots(df: DataFrame, path: str) -> None:
     """Drop all stored snapshots and start with this run."""
+    fs, at = hadoop_path(df.sparkSession, f"{path}/{schemas.FILE}")
+    fs.delete(at, False)
     _by_category(df).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("snapshot_date").parquet(path)
+    schemas.widen(df.sparkSession, path, df.schema)
 
 
 def replace_snapshot(df: DataFrame, path: str) -> None:
     """Write a run again; only the partitions of its dates are replaced."""
+    schemas.widen(df.sparkSession, path, df.schema)
     _by_category(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(path)
 
 

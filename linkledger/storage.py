@@ -25,6 +25,37 @@ def hadoop_path(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; None if there is none."""
+    fs, at = hadoop_path(spark, path)
+    if not fs.exists(at):
+        return None
+    stream = fs.open(at)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, whole or not at all: written aside and renamed. Another one of the name is replaced."""
+    fs, at = hadoop_path(spark, path)
+    _, aside = hadoop_path(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    stream = fs.create(aside, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    fs.delete(at, False)
+    if not fs.rename(aside, at):
+        fs.delete(aside, False)
+        raise OSError(f"{path} could not be written")
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly below a folder; none if it does not exist."""
+    fs, at = hadoop_path(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(at)) if fs.exists(at) else []
+
+
 def fingerprint(spark: SparkSession, paths: list[str]) -> tuple:
     """Length and change time of each input, to notice replaced data."""
     marks = []

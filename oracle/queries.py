@@ -709,9 +709,9 @@ def specified() -> dict[str, tuple[str, dict[str, str]] | str]:
         "snapshot_delta": (
             f"""SELECT coalesce(a.metric_category, b.metric_category) AS metric_category, coalesce(a.metric_name, b.metric_name) AS metric_name,
             coalesce(a.n, 0) AS numerator_before, coalesce(b.n, 0) AS numerator_after, coalesce(b.n, 0) - coalesce(a.n, 0) AS numerator_delta
-            FROM (SELECT metric_category, metric_name, {big("sum(numerator)")} AS n FROM snapshots WHERE snapshot_date = DATE '{HISTORY[0]}' GROUP BY 1, 2) a
+            FROM (SELECT metric_category, metric_name, {big("sum(numerator)")} AS n FROM snapshots WHERE snapshot_date = DATE '{HISTORY[-2]}' GROUP BY 1, 2) a
             FULL JOIN (SELECT metric_category, metric_name, {big("sum(numerator)")} AS n FROM snapshots WHERE snapshot_date = DATE '{AS_OF}' GROUP BY 1, 2) b
-            ON a.metric_category = b.metric_category AND a.metric_name = b.metric_name""", snapshots(days=[HISTORY[0], AS_OF])),
+            ON a.metric_category = b.metric_category AND a.metric_name = b.metric_name""", snapshots(days=[HISTORY[-2], AS_OF])),
         "prospect_customer_pairs": """SELECT * FROM (WITH pairs AS (SELECT p.crm_id AS p, c.crm_id AS c, p.comp_entity_id AS entity_id
                 FROM crm_account p JOIN crm_account c ON c.erp_entity_id = p.comp_entity_id
                 WHERE p.record_type = 'PROSPECT' AND c.record_type = 'CUSTOMER'),

@@ -222,3 +222,21 @@ def test_release_deletes_the_staged_tables(spark):
     assert fs.exists(path)
     own.release()
     assert not fs.exists(path)
+
+
+@pytest.mark.parametrize("name", ["dq_staleness", "rpt_24", "rpt_28"])
+def test_buckets_come_in_their_order(ws, name):
+    found = [lists.STALENESS_BUCKETS.index(r.metric_name) for r in catalog.all_queries(ws.settings)[name](ws).collect()]
+    assert found == sorted(found) and len(set(found)) > 2
+
+
+def test_delta_is_between_the_newest_stored_dates(ws, spark):
+    stored = snapshot.stored_snapshots(ws)
+    days = reports.stored_dates(stored)
+    assert days == sorted(ws.settings.dates) and reports.latest_date(stored) == ws.settings.as_of
+    got = {r.metric_name: (r.numerator_before, r.numerator_after) for r in reports.latest_delta(stored).collect()}
+    for at, day in enumerate(days[-2:]):
+        own = stored.filter(F.col("snapshot_date") == F.lit(day)).groupBy("metric_name").agg(F.sum("numerator").alias("n"))
+        assert all(got[r.metric_name][at] == r.n for r in own.collect())
+    only = reports.latest_delta(stored.filter(F.col("snapshot_date") == F.lit(days[0])).drop("branch").coalesce(1).cache())
+    assert all(r.numerator_before + r.numerator_delta == r.numerator_after for r in only.collect())
