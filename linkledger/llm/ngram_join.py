@@ -44,6 +44,8 @@ from linkledger.llm.shingles import shingle_set
 THRESHOLD = Fraction(3, 4)
 #: Counters for the order of shingles; the counter from which a shingle's members are counted with partial sums.
 COUNTERS, FREQUENT = 1 << 20, 5_000
+#: Bits of a bitmap per shingle, at least.
+SPARSE = 4
 #: Nodes in a block of a tile, and rows of a block whose pairs are taken by their distance in it.
 BLOCK, SMALL = 2048, 96
 #: Rows of tiles that one task compares, about.
@@ -74,8 +76,9 @@ def band(n: int) -> int:
 
 
 def bitmap_bits(band_number: int) -> int:
-    """Bits per bitmap: at least the size of the largest set in the band after it, from 64 to 65536."""
-    largest = float(1 / THRESHOLD) ** (band_number + 2)
+    """Bits per bitmap: at least SPARSE times the size of the largest set in the band after it, from 64 to 65536. The
+    more bits, the fewer shingles share one, and the fewer pairs just below the threshold stay open."""
+    largest = SPARSE * float(1 / THRESHOLD) ** (band_number + 2)
     return 1 << min(16, max(6, math.ceil(math.log2(largest))))
 
 
@@ -245,9 +248,8 @@ def _across(parts: DataFrame, nodes: DataFrame, stages: Stages, name: str, neare
     return dealt.groupBy("task").applyInPandas(compare, "x long, y long").distinct()
 
 
-def shingle_arrays(docs: DataFrame, nodes: DataFrame, keys: DataFrame) -> DataFrame:
-    """(key, shingles) of the nodes in ``keys``, made again from a text of each."""
-    wanted = nodes.join(keys, "key").select("key", "text_hash")
+def shingle_arrays(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(key, shingles) of the nodes in a written table (key, text_hash), made again from a text of each."""
     if wanted.count() <= BROADCAST_KEYS:
         wanted = F.broadcast(wanted)
     texts = docs.select("text", F.xxhash64("text").alias("text_hash")).join(wanted, "text_hash").select("key", "text")
@@ -316,8 +318,9 @@ def linked_nodes(docs: DataFrame, signed: DataFrame, stages: Stages) -> DataFram
 def _settled(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, stages: Stages, name: str) -> DataFrame:
     """Links among open pairs."""
     pairs = stages.write(pairs, f"{name}-pairs")
-    keys = pairs.selectExpr("explode(array(x, y)) as key").distinct()
-    arrays = stages.write(shingle_arrays(docs, nodes, keys), f"{name}-arrays")
+    ends = pairs.select(F.col("x").alias("key")).union(pairs.select("y")).distinct()
+    wanted = stages.write(ends.join(nodes.select("key", "text_hash"), "key"), f"{name}-wanted")
+    arrays = stages.write(shingle_arrays(docs, wanted), f"{name}-arrays")
     links = stages.write(_verified(pairs, arrays), f"{name}-links")
     stages.drop(f"{name}-arrays")
     return links
