@@ -24,7 +24,7 @@ _BLANK = np.isin(np.arange(256), list(_BLANKS))
 
 def words(text: str) -> list[bytes]:
     """Words between white space of ASCII, A-Z in lower case."""
-    return text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
+    return lowered(text).split()
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -36,20 +36,24 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _hashes(data: bytes) -> np.ndarray:
-    """A number per word of up to _STRETCH bytes: a polynomial of its bytes modulo 2**64, with its length mixed in."""
+def _coded(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Of each word of up to _STRETCH bytes: a number, a polynomial of its bytes modulo 2**64 with its length mixed in;
+    and its last three bytes, as they are in a number of 24 bits."""
     read = np.frombuffer(data, np.uint8)
     edge = np.flatnonzero(np.diff(~_BLANK[read], prepend=False, append=False))
     starts, ends = edge[::2], edge[1::2]
     sums = np.zeros(len(read) + 1, np.uint64)
     np.cumsum((read.astype(np.uint64) + np.uint64(1)) * _POWERS[: len(read)], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * _BACK[starts] + (ends - starts).astype(np.uint64) * _PLACES[0])
+    length = ends - starts
+    last = read[ends - 1].astype(np.uint32)
+    for k in (2, 3):
+        last |= np.where(length >= k, read[np.maximum(ends - k, 0)], 0).astype(np.uint32) << np.uint32(8 * k - 8)
+    return mixed((sums[ends] - sums[starts]) * _BACK[starts] + length.astype(np.uint64) * _PLACES[0]), last
 
 
-def word_hashes(text: str) -> np.ndarray:
-    """Numbers of the words, in their order; those of a text are made a stretch at a time."""
-    data = text.encode("utf-8", "surrogatepass").translate(_LOWER)
-    out, at = [], 0
+def coded_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers and last three bytes of the words of a text in lower case, in their order; a stretch is read at a time."""
+    out, at = [(np.empty(0, np.uint64), np.empty(0, np.uint32))], 0
     while at < len(data):
         end = at + _STRETCH
         if end <= len(data):
@@ -57,12 +61,22 @@ def word_hashes(text: str) -> np.ndarray:
             if not end:
                 # A word that fills a stretch and more: by itself, as whole.
                 word = data[at:].split(None, 1)[0]
-                out.append(np.array([xxhash.xxh3_64_intdigest(word)], np.uint64))
+                out.append((np.array([xxhash.xxh3_64_intdigest(word)], np.uint64),
+                            np.array([int.from_bytes(word[:-4:-1], "little")], np.uint32)))
                 at += len(word)
                 continue
-        out.append(_hashes(data[at:end]))
+        out.append(_coded(data[at:end]))
         at = end
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
+    return tuple(map(np.concatenate, zip(*out))) if len(out) > 2 else out[-1]
+
+
+def lowered(text: str) -> bytes:
+    return text.encode("utf-8", "surrogatepass").translate(_LOWER)
+
+
+def word_hashes(text: str) -> np.ndarray:
+    """Numbers of the words, in their order."""
+    return coded_words(lowered(text))[0]
 
 
 def shingle_set(text: str | None) -> np.ndarray:
