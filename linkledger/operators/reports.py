@@ -165,6 +165,14 @@ def latest_delta(snapshot: DataFrame) -> DataFrame:
     return snapshot_delta(snapshot, before, after)
 
 
+def coverage(snapshot: DataFrame) -> DataFrame:
+    """How far the newest snapshot reaches each metric: its slices, those where it counts something, and the sum. A
+    metric that counts nothing in any slice shows a rule that never fires, or data that never reach it."""
+    return latest(snapshot).groupBy("metric_category", "metric_name").agg(*exprs(
+        "count(*) AS slices", "count_if(numerator > 0) AS reached_slices", "sum(numerator) AS total"
+    )).selectExpr("*", "reached_slices > 0 AS reached").orderBy("metric_category", "metric_name")
+
+
 def parity_sum_check(snapshot: DataFrame, fields: list[str]) -> DataFrame:
     """Slices whose five outcomes do not add up to the denominator; none expected."""
     names = [f"{f}_{o}" for f in fields for o in lists.PARITY_OUTCOMES]

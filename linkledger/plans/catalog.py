@@ -238,6 +238,7 @@ SPECIFIED: dict[str, Query] = {
         ws.enriched(), checks(ws.settings, [r for r in field_quality_rules(ws.settings) if r.in_snapshot])),
     "parity_sum_check": lambda ws: reports.parity_sum_check(snapshot.stored_snapshots(ws), FIELD_NAMES),
     "snapshot_delta": lambda ws: reports.latest_delta(snapshot.stored_snapshots(ws)),
+    "snapshot_coverage": lambda ws: reports.coverage(snapshot.stored_snapshots(ws)),
     "prospect_customer_pairs": lambda ws: extracts.prospect_customer_pairs(ws.table("crm_account"), ws.settings),
     "duplicate_candidates": lambda ws: quality.duplicate_candidates(ws.enriched(), ws.settings),
     "upload_batches": lambda ws: extracts.upload_batches(ws.unlinked(), ws.scratch.stage),

@@ -19,9 +19,9 @@ AS_OF = dt.date(2001, 8, 15)
 SETTINGS = Settings(
     as_of=AS_OF,
     history=(dt.date(2001, 6, 15), dt.date(2001, 7, 15), AS_OF),
-    dealer_id="034",
+    dealer_id="120",
     project_start=dt.date(2001, 7, 1),
-    closed_branches=("07", "13", "52", "55", "61", "63", "64", "67", "70", "71"),
+    closed_branches=("03", "18", "29", "47"),
     internal_domains=("internal.example",),
 )
 

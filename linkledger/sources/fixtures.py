@@ -27,6 +27,17 @@ DUCKDB = {
     "levels": "CROSS JOIN (VALUES (0), (1), (2)) v(lvl)",
 }
 
+def nameless(value: str) -> str:
+    """Some contacts have a name and nothing else."""
+    return f"CASE WHEN c_custkey % 57 = 3 THEN NULL ELSE {value} END"
+
+
+def quiet(customer: str, day: str) -> str:
+    """Some customers have been quiet for two to more than five years."""
+    steps = " ".join(f"WHEN {n} THEN {day} - INTERVAL '{days}' DAY" for n, days in ((4, 800), (5, 1200), (6, 1550), (7, 2000)))
+    return f"CASE {customer} % 17 {steps} ELSE {day} END"
+
+
 # relation -> (FROM clause, [(column, expression)])
 RELATIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
     "contact": (
@@ -43,15 +54,15 @@ RELATIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
             ("first_name", "CASE c_custkey % 29 WHEN 0 THEN NULL WHEN 1 THEN '  ' WHEN 2 THEN 'Firstname' WHEN 3 THEN 'XXXX' WHEN 4 THEN '1234' WHEN 5 THEN 'Mr. Ann' WHEN 6 THEN 'John & Mary' WHEN 7 THEN 'Billy (Joe)' WHEN 8 THEN 'Deceased' WHEN 9 THEN 'Test' WHEN 10 THEN 'dr bob' ELSE concat(' Fn', CAST(c_custkey % 211 AS STRING), ' ') END"),
             ("last_name", "CASE c_custkey % 31 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'LNAME' WHEN 3 THEN '.....' WHEN 4 THEN 'Smith Jr.' WHEN 5 THEN 'Jones III' WHEN 6 THEN 'Do Not Use' WHEN 7 THEN '77' ELSE concat('Ln', CAST(c_custkey % 307 AS STRING)) END"),
             ("company_name", "CASE WHEN c_custkey % 5 > 1 AND c_custkey % 17 <> 0 THEN NULL WHEN c_custkey % 19 = 0 THEN ' ' WHEN c_custkey % 23 = 1 THEN 'Acme DBA Widgets' WHEN c_custkey % 23 = 2 THEN 'N/A' WHEN c_custkey % 23 = 3 THEN 'Farm OOB Supply' WHEN c_custkey % 23 = 4 THEN '999' WHEN c_custkey % 23 = 5 THEN 'ZZZ' ELSE concat('Co ', c_mktsegment, ' ', CAST(c_custkey % 401 AS STRING)) END"),
-            ("street", "CASE c_custkey % 13 WHEN 0 THEN NULL WHEN 1 THEN ' ' WHEN 2 THEN 'n/a' WHEN 3 THEN 'CLOSED 2 Elm' WHEN 4 THEN 'c/o Bob 5 Elm' WHEN 5 THEN 'Attn: Desk' ELSE concat(CAST(c_custkey % 900 + 1 AS STRING), ' Main St') END"),
-            ("city", "CASE c_custkey % 21 WHEN 0 THEN NULL WHEN 1 THEN 'Unknown' WHEN 2 THEN '' ELSE concat('City', CAST(c_nationkey AS STRING)) END"),
-            ("state", "CASE c_custkey % 25 WHEN 0 THEN NULL WHEN 1 THEN 'Iowa' WHEN 2 THEN 'XX' WHEN 3 THEN 'zz' ELSE CASE WHEN c_nationkey % 2 = 0 THEN 'KY' ELSE 'TN' END END"),
-            ("pcode", "CASE c_custkey % 27 WHEN 0 THEN NULL WHEN 1 THEN '4210' WHEN 2 THEN '42101-1234' WHEN 3 THEN '421011234' WHEN 4 THEN 'K1A 0B1' ELSE lpad(CAST(40000 + c_custkey % 3000 AS STRING), 5, '0') END"),
+            ("street", nameless("CASE c_custkey % 13 WHEN 0 THEN NULL WHEN 1 THEN ' ' WHEN 2 THEN 'n/a' WHEN 3 THEN 'CLOSED 2 Elm' WHEN 4 THEN 'c/o Bob 5 Elm' WHEN 5 THEN 'Attn: Desk' ELSE concat(CAST(c_custkey % 900 + 1 AS STRING), ' Main St') END")),
+            ("city", nameless("CASE c_custkey % 21 WHEN 0 THEN NULL WHEN 1 THEN 'Unknown' WHEN 2 THEN '' ELSE concat('City', CAST(c_nationkey AS STRING)) END")),
+            ("state", nameless("CASE c_custkey % 25 WHEN 0 THEN NULL WHEN 1 THEN 'Iowa' WHEN 2 THEN 'XX' WHEN 3 THEN 'zz' ELSE CASE WHEN c_nationkey % 2 = 0 THEN 'KY' ELSE 'TN' END END")),
+            ("pcode", nameless("CASE c_custkey % 27 WHEN 0 THEN NULL WHEN 1 THEN '4210' WHEN 2 THEN '42101-1234' WHEN 3 THEN '421011234' WHEN 4 THEN 'K1A 0B1' WHEN 5 THEN NULL ELSE lpad(CAST(40000 + c_custkey % 3000 AS STRING), 5, '0') END")),
             ("country", "CASE c_custkey % 9 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'USA' WHEN 3 THEN 'CA' ELSE 'US' END"),
-            ("biz_phone", "CASE c_custkey % 15 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '1234567890' WHEN 3 THEN '0000000000' WHEN 4 THEN '5551234' WHEN 5 THEN concat('1', CAST(2702005555 + c_custkey AS STRING)) ELSE CAST(2702005555 + c_custkey AS STRING) END"),
-            ("priv_phone", "CASE WHEN c_custkey % 3 = 1 THEN NULL WHEN c_custkey % 14 = 1 THEN '1112223333' WHEN c_custkey % 28 = 2 THEN '0000000000' WHEN c_custkey % 28 = 4 THEN '1234567890' WHEN c_custkey % 28 = 5 THEN '555123' WHEN c_custkey % 28 = 10 THEN '0152005555' WHEN c_custkey % 28 = 11 THEN '8888888888' ELSE CAST(6152005555 + c_custkey AS STRING) END"),
-            ("mob_phone", "CASE WHEN c_custkey % 4 <> 0 THEN NULL WHEN c_custkey % 16 = 0 THEN '5555555555' WHEN c_custkey % 48 = 4 THEN '1234567890' WHEN c_custkey % 48 = 8 THEN '0000000000' WHEN c_custkey % 48 = 20 THEN '93120' WHEN c_custkey % 48 = 28 THEN '0312005555' ELSE CAST(9312005555 + c_custkey AS STRING) END"),
-            ("email", "CASE c_custkey % 12 WHEN 0 THEN NULL WHEN 1 THEN ' ' WHEN 2 THEN 'NoEmail@x.com' WHEN 3 THEN 'bad.at.example' WHEN 4 THEN 'user@nodot' WHEN 5 THEN 'emp@internal.example' WHEN 6 THEN NULL ELSE concat('User', CAST(c_custkey AS STRING), '@mail.example.com') END"),
+            ("biz_phone", nameless("CASE c_custkey % 15 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '1234567890' WHEN 3 THEN '0000000000' WHEN 4 THEN '5551234' WHEN 5 THEN concat('1', CAST(2702005555 + c_custkey AS STRING)) ELSE CAST(2702005555 + c_custkey AS STRING) END")),
+            ("priv_phone", nameless("CASE WHEN c_custkey % 3 = 1 THEN NULL WHEN c_custkey % 14 = 1 THEN '1112223333' WHEN c_custkey % 28 = 2 THEN '0000000000' WHEN c_custkey % 28 = 4 THEN '1234567890' WHEN c_custkey % 28 = 5 THEN '555123' WHEN c_custkey % 28 = 10 THEN '0152005555' WHEN c_custkey % 28 = 11 THEN '8888888888' ELSE CAST(6152005555 + c_custkey AS STRING) END")),
+            ("mob_phone", nameless("CASE WHEN c_custkey % 4 <> 0 THEN NULL WHEN c_custkey % 16 = 0 THEN '5555555555' WHEN c_custkey % 48 = 4 THEN '1234567890' WHEN c_custkey % 48 = 8 THEN '0000000000' WHEN c_custkey % 48 = 20 THEN '93120' WHEN c_custkey % 48 = 28 THEN '0312005555' ELSE CAST(9312005555 + c_custkey AS STRING) END")),
+            ("email", nameless("CASE c_custkey % 12 WHEN 0 THEN NULL WHEN 1 THEN ' ' WHEN 2 THEN 'NoEmail@x.com' WHEN 3 THEN 'bad.at.example' WHEN 4 THEN 'user@nodot' WHEN 5 THEN 'emp@internal.example' WHEN 6 THEN NULL ELSE concat('User', CAST(c_custkey AS STRING), '@mail.example.com') END")),
             ("title", "CASE c_custkey % 6 WHEN 0 THEN 'Mr.' WHEN 1 THEN ' ms ' WHEN 2 THEN 'Farmer' ELSE NULL END"),
             ("generation", "CASE c_custkey % 33 WHEN 0 THEN 'Jr' WHEN 1 THEN 'III' WHEN 2 THEN '3rd' ELSE NULL END"),
             ("suffix", "CASE c_custkey % 35 WHEN 0 THEN 'MD' WHEN 1 THEN '123 Main St' ELSE NULL END"),
@@ -108,12 +119,12 @@ RELATIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
             ("contact_id", "link_contact_id"),
             ("cross_ref_number", "CASE WHEN k % 8 = 1 THEN rpad(upper(contact_code), 15, ' ') ELSE upper(contact_code) END"),
             ("source_desc", "CASE WHEN k % 23 = 0 THEN 'THIRD PARTY BUYERS' ELSE 'DEALER XREF' END"),
-            ("dealer_id", "'034'"),
+            ("dealer_id", "'120'"),
             ("created_ts", "CASE WHEN k % 29 = 0 THEN NULL ELSE CAST(DATE '2001-05-01' + CAST((k * 11) % 100 AS INT) AS {ts}) END"),
         ],
     ),
     "xref": (
-        "(SELECT entity_id, contact_id, cross_ref_number, source_desc, dealer_id, created_ts FROM xref_linked UNION ALL SELECT 300900000 + s_suppkey, 0, concat('ORPHAN', CAST(s_suppkey AS STRING)), CASE WHEN s_suppkey % 3 = 0 THEN 'THIRD PARTY BUYERS' ELSE 'DEALER XREF' END, '034', NULL FROM supplier) x",
+        "(SELECT entity_id, contact_id, cross_ref_number, source_desc, dealer_id, created_ts FROM xref_linked UNION ALL SELECT 300900000 + s_suppkey, 0, concat('ORPHAN', CAST(s_suppkey AS STRING)), CASE WHEN s_suppkey % 3 = 0 THEN 'THIRD PARTY BUYERS' ELSE 'DEALER XREF' END, '120', NULL FROM supplier) x",
         [
             ("entity_id", "entity_id"),
             ("contact_id", "contact_id"),
@@ -131,18 +142,18 @@ RELATIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
             ("source_desc", "CASE WHEN v.lvl = 2 AND c.k % 31 = 1 THEN 'THIRD PARTY BUYERS' ELSE 'DEALER XREF' END"),
             ("reg_company_name", "CASE WHEN c.k % 6 = 0 THEN NULL ELSE upper(c.company_name) END"),
             ("reg_first_name", "CASE WHEN c.k % 8 = 0 THEN NULL WHEN c.k % 8 = 1 THEN 'Other' ELSE upper(c.first_name) END"),
-            ("reg_last_name", "CASE WHEN c.k % 8 = 2 THEN ' ' ELSE upper(c.last_name) END"),
-            ("reg_email", "CASE WHEN c.k % 7 = 0 THEN 'reg@mail.example.com' ELSE lower(c.email) END"),
+            ("reg_last_name", "CASE WHEN c.k % 8 = 2 THEN ' ' WHEN c.k % 31 = 0 THEN 'KEPT' ELSE upper(c.last_name) END"),
+            ("reg_email", "CASE WHEN c.k % 7 = 0 THEN 'reg@mail.example.com' WHEN c.k % 13 = 5 THEN NULL ELSE lower(c.email) END"),
             ("reg_biz_area", "CASE WHEN length(c.biz_phone) = 10 THEN substring(c.biz_phone, 1, 3) ELSE NULL END"),
-            ("reg_biz_num", "CASE WHEN length(c.biz_phone) = 10 AND c.k % 5 <> 0 THEN substring(c.biz_phone, 4, 7) ELSE NULL END"),
+            ("reg_biz_num", "CASE WHEN c.k % 30 = 1 THEN '2005555' WHEN length(c.biz_phone) = 10 AND c.k % 5 <> 0 THEN substring(c.biz_phone, 4, 7) ELSE NULL END"),
             ("reg_priv_area", "CASE WHEN c.k % 2 = 0 THEN '615' ELSE NULL END"),
             ("reg_priv_num", "CASE WHEN c.k % 2 = 0 THEN substring(c.priv_phone, 4, 7) ELSE NULL END"),
-            ("reg_mob_area", "CAST(NULL AS STRING)"),
-            ("reg_mob_num", "CASE WHEN c.k % 4 = 1 THEN '2005555' ELSE NULL END"),
-            ("reg_street", "CASE WHEN c.k % 9 = 0 THEN '1 New Rd' ELSE upper(c.street) END"),
-            ("reg_city", "CASE WHEN c.k % 9 = 1 THEN 'ELSEWHERE' ELSE upper(c.city) END"),
+            ("reg_mob_area", "CASE WHEN c.k % 8 = 4 THEN substring(c.mob_phone, 1, 3) ELSE NULL END"),
+            ("reg_mob_num", "CASE WHEN c.k % 8 = 4 THEN substring(c.mob_phone, 4, 7) WHEN c.k % 4 = 1 THEN '2005555' ELSE NULL END"),
+            ("reg_street", "CASE WHEN c.k % 7 = 1 THEN '1 New Rd' WHEN c.k % 11 = 4 THEN NULL ELSE upper(c.street) END"),
+            ("reg_city", "CASE WHEN c.k % 9 = 1 THEN 'ELSEWHERE' WHEN c.k % 9 = 4 THEN NULL ELSE upper(c.city) END"),
             ("reg_state", "CASE WHEN c.k % 9 = 2 THEN NULL ELSE c.state END"),
-            ("reg_pcode", "CASE WHEN c.k % 2 = 0 THEN concat(substring(c.pcode, 1, 5), '-0001') ELSE c.pcode END"),
+            ("reg_pcode", "CASE WHEN c.k % 12 = 7 OR c.pcode IS NULL THEN NULL WHEN c.k % 2 = 0 THEN concat(substring(c.pcode, 1, 5), '-0001') ELSE c.pcode END"),
             ("reg_country", "CASE WHEN c.k % 10 = 1 THEN NULL ELSE 'US' END"),
             ("postal_certified", "CASE WHEN c.k % 3 = 1 THEN 'CERTIFIED' WHEN c.k % 7 = 0 THEN 'NO MATCH' ELSE NULL END"),
             ("phys_undeliverable", "CASE WHEN c.k % 37 = 1 THEN 'Y' ELSE 'N' END"),
@@ -158,7 +169,7 @@ RELATIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
             ("bill_to_acc", "o_custkey + 100000"),
             ("invo_type", "CASE o_orderstatus WHEN 'F' THEN 'I' WHEN 'O' THEN 'C' ELSE 'X' END"),
             ("module_type", "CASE o_orderkey % 3 WHEN 0 THEN 'I' WHEN 1 THEN 'W' ELSE 'R' END"),
-            ("invo_datetime", "o_orderdate + INTERVAL '14' HOUR"),
+            ("invo_datetime", f"{quiet('o_custkey', 'o_orderdate')} + INTERVAL '14' HOUR"),
             ("parts_sale", "CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE CAST(o_totalprice AS DECIMAL(12,2)) END"),
             ("labour_sale", "CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE CAST(o_orderkey % 5000 AS DECIMAL(12,2)) END"),
             ("sublet_sale", "CAST(o_orderkey % 70 AS DECIMAL(12,2))"),
@@ -173,7 +184,7 @@ RELATIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
         [
             ("unit_no", "l.l_orderkey * 10 + l.l_linenumber"),
             ("owner_code", "c.contact_code"),
-            ("sales_date", "CASE WHEN l.l_suppkey % 50 = 0 THEN NULL ELSE l.l_shipdate END"),
+            ("sales_date", f"CASE WHEN l.l_suppkey % 50 = 0 THEN NULL ELSE {quiet('o.o_custkey', 'l.l_shipdate')} END"),
             ("sales_value", "CASE WHEN l.l_partkey % 9 = 0 THEN NULL ELSE CAST(l.l_extendedprice AS DECIMAL(12,2)) END"),
             ("wholesale", "CAST(l.l_partkey AS DECIMAL(12,2))"),
             ("repair_cost", "CASE WHEN l.l_partkey % 2 = 0 THEN CAST(l.l_suppkey AS DECIMAL(12,2)) ELSE NULL END"),

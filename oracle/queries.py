@@ -431,12 +431,12 @@ def linkage_work() -> dict[str, str]:
             WHERE registry_status IS NOT NULL""",
         "tracking_totals": """
             SELECT 'BASELINE' AS period, count(*) AS linkage_count FROM xref
-                WHERE dealer_id = '034' AND (created_ts < DATE '2001-07-01' OR created_ts IS NULL)
-            UNION ALL SELECT 'PROJECT', count(*) FROM xref WHERE dealer_id = '034' AND created_ts >= DATE '2001-07-01'
-            UNION ALL SELECT 'TOTAL', count(*) FROM xref WHERE dealer_id = '034'""",
+                WHERE dealer_id = '120' AND (created_ts < DATE '2001-07-01' OR created_ts IS NULL)
+            UNION ALL SELECT 'PROJECT', count(*) FROM xref WHERE dealer_id = '120' AND created_ts >= DATE '2001-07-01'
+            UNION ALL SELECT 'TOTAL', count(*) FROM xref WHERE dealer_id = '120'""",
         "tracking_daily": f"""SELECT CAST(created_ts AS DATE) AS created_date, count(*) AS new_linkages,
             {big("sum(count(*)) OVER (ORDER BY CAST(created_ts AS DATE))")} AS project_running_total
-            FROM xref WHERE dealer_id = '034' AND created_ts >= DATE '2001-07-01' GROUP BY 1""",
+            FROM xref WHERE dealer_id = '120' AND created_ts >= DATE '2001-07-01' GROUP BY 1""",
         "reconcile_matches": RECONCILED,
         "reconcile_summary": f"""SELECT v.s AS status, count(r.status) AS matches FROM (VALUES ('AGREE'), ('DISAGREE'), ('SF_MISSING')) v(s)
             LEFT JOIN ({RECONCILED}) r ON r.status = v.s GROUP BY 1""",
@@ -712,6 +712,9 @@ def specified() -> dict[str, tuple[str, dict[str, str]] | str]:
             FROM (SELECT metric_category, metric_name, {big("sum(numerator)")} AS n FROM snapshots WHERE snapshot_date = DATE '{HISTORY[-2]}' GROUP BY 1, 2) a
             FULL JOIN (SELECT metric_category, metric_name, {big("sum(numerator)")} AS n FROM snapshots WHERE snapshot_date = DATE '{AS_OF}' GROUP BY 1, 2) b
             ON a.metric_category = b.metric_category AND a.metric_name = b.metric_name""", snapshots(days=[HISTORY[-2], AS_OF])),
+        "snapshot_coverage": (
+            "SELECT metric_category, metric_name, count(*) AS slices, count(*) FILTER (numerator > 0) AS reached_slices, "
+            f"{big('sum(numerator)')} AS total, bool_or(numerator > 0) AS reached FROM snapshots GROUP BY 1, 2", snapshots(days=[AS_OF])),
         "prospect_customer_pairs": """SELECT * FROM (WITH pairs AS (SELECT p.crm_id AS p, c.crm_id AS c, p.comp_entity_id AS entity_id
                 FROM crm_account p JOIN crm_account c ON c.erp_entity_id = p.comp_entity_id
                 WHERE p.record_type = 'PROSPECT' AND c.record_type = 'CUSTOMER'),

@@ -2,7 +2,8 @@
 
 import pytest
 
-from linkledger.plans import catalog
+from linkledger.operators import dimensions, reports
+from linkledger.plans import catalog, snapshot
 from linkledger.plans.fixture_run import SETTINGS, fresh_workspace
 
 QUERIES = catalog.all_queries(SETTINGS)
@@ -21,6 +22,21 @@ def test_every_rule_finds_something(wide, section):
     assert [r[0] for r in rows if not r[1]] == []
 
 
+def test_every_metric_is_reached(wide):
+    """No metric is 0 in every slice, so no rule, outcome, bucket or tier is green for want of data."""
+    rows = reports.coverage(snapshot.dq_snapshot(wide)).collect()
+    assert len(rows) == len(dimensions.metric_rows(SETTINGS))
+    assert [r.metric_name for r in rows if not r.reached or not r.total] == []
+
+
+def test_coverage_names_what_is_missing(spark):
+    rows = [("2001-01-01", "old", 5), ("2001-01-08", "old", 0), ("2001-01-08", "none", 0), ("2001-01-08", "some", 0), ("2001-01-08", "some", 3)]
+    df = spark.createDataFrame(rows, "d string, metric_name string, numerator long").selectExpr(
+        "cast(d AS date) AS snapshot_date", "'c' AS metric_category", "metric_name", "numerator")
+    got = {r.metric_name: (r.slices, r.reached_slices, r.reached) for r in reports.coverage(df).collect()}
+    assert got == {"none": (1, 0, False), "old": (1, 0, False), "some": (2, 1, True)}
+
+
 def test_contacts_with_several_accounts(wide):
     sizes = {r["contact_code_count"]: r["account_count"] for r in QUERIES["account_cardinality"](wide).collect()}
     assert {1, 2} <= set(sizes) and max(sizes) > 20
