@@ -8,6 +8,7 @@ from linkledger.config import Settings
 from linkledger.functions import lists
 from linkledger.functions.columns import IS_PERSON, MATCH_TIER, both, either, valid_entity, values
 from linkledger.operators.flags import Check
+from linkledger.operators.groups import Stage, connected
 from linkledger.operators.revenue import exprs
 from linkledger.operators.rules import PHONES
 
@@ -76,3 +77,16 @@ def duplicate_candidates(enriched: DataFrame, settings: Settings) -> DataFrame:
     )).filter("key_value IS NOT NULL").distinct()
     repeated = own.groupBy("key_type", "key_value").agg(F.expr("count(*) AS contacts")).filter("contacts > 1")
     return own.join(repeated, ["key_type", "key_value"]).select("key_type", "key_value", "contacts", "contact_code")
+
+
+def duplicate_groups(candidates: DataFrame, stage: Stage) -> DataFrame:
+    """The candidates with the group that each contact falls into.
+
+    A group holds all contacts that keys connect: those that share a phone, and through another of them a mail. Its
+    code is the smallest of its contacts'. The members of a key are linked with its first one, not with each other.
+    """
+    members = stage(candidates, "duplicates")
+    first = members.groupBy("key_type", "key_value").agg(F.expr("min(contact_code) AS first_code"))
+    links = members.join(first, ["key_type", "key_value"]).selectExpr("contact_code AS a", "first_code AS b")
+    groups = connected(links, stage).selectExpr("node AS contact_code", "least AS group_code")
+    return members.join(groups, "contact_code").select(*candidates.columns, "group_code")

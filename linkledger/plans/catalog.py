@@ -240,7 +240,8 @@ SPECIFIED: dict[str, Query] = {
     "snapshot_delta": lambda ws: reports.latest_delta(snapshot.stored_snapshots(ws)),
     "snapshot_coverage": lambda ws: reports.coverage(snapshot.stored_snapshots(ws)),
     "prospect_customer_pairs": lambda ws: extracts.prospect_customer_pairs(ws.table("crm_account"), ws.settings),
-    "duplicate_candidates": lambda ws: quality.duplicate_candidates(ws.enriched(), ws.settings),
+    "duplicate_candidates": lambda ws: quality.duplicate_groups(
+        quality.duplicate_candidates(ws.enriched(), ws.settings), ws.scratch.stage),
     "upload_batches": lambda ws: extracts.upload_batches(ws.unlinked(), ws.scratch.stage),
     "upload_validation": lambda ws: extracts.upload_validation(LINKAGE_WORK["path_b_extract"](ws)),
     "match_type_alignment": lambda ws: extracts.match_type_alignment(*_t(ws, "tight_match", "contact")),

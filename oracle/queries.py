@@ -721,8 +721,17 @@ def specified() -> dict[str, tuple[str, dict[str, str]] | str]:
             sizes AS (SELECT entity_id, count(DISTINCT p) AS prospects, count(DISTINCT c) AS customers FROM pairs GROUP BY 1)
             SELECT DISTINCT s.entity_id, 'PROSPECT' AS record_type, p AS crm_id, prospects, customers FROM pairs JOIN sizes s USING (entity_id)
             UNION ALL SELECT DISTINCT s.entity_id, 'CUSTOMER', c, prospects, customers FROM pairs JOIN sizes s USING (entity_id))""",
-        "duplicate_candidates": f"""SELECT key_type, key_value, contacts, contact_code FROM (
-            SELECT *, count(*) OVER (PARTITION BY key_type, key_value) AS contacts FROM ({own})) WHERE contacts > 1""",
+        "duplicate_candidates": f"""SELECT * FROM (WITH RECURSIVE members AS MATERIALIZED (
+                SELECT key_type, key_value, contacts, contact_code, first_code FROM (
+                    SELECT *, count(*) OVER k AS contacts, min(contact_code) OVER k AS first_code FROM ({own})
+                    WINDOW k AS (PARTITION BY key_type, key_value)) WHERE contacts > 1),
+            edges AS MATERIALIZED (
+                SELECT contact_code AS a, first_code AS b FROM members UNION SELECT first_code, contact_code FROM members),
+            grouped(code, least) USING KEY (code) AS (
+                SELECT a, min(b) FROM edges GROUP BY a
+                UNION (SELECT e.a, min(g.least) FROM grouped g JOIN edges e ON e.b = g.code JOIN recurring.grouped r ON r.code = e.a
+                    WHERE g.least < r.least GROUP BY e.a))
+            SELECT key_type, key_value, contacts, contact_code, least AS group_code FROM members JOIN grouped ON code = contact_code)""",
         "upload_batches": f"""SELECT contact_code, contact_type, total_revenue, pos AS upload_position,
             CAST(floor((pos - 1) / 60000) AS BIGINT) + 1 AS batch_no FROM (SELECT *, row_number() OVER (
                 ORDER BY total_revenue DESC, contact_code) AS pos FROM {UNLINKED_CODES})""",

@@ -1,6 +1,7 @@
 """Hot keys: results stay whole, and no group is gathered or paired."""
 
 import datetime as dt
+import random
 from collections import Counter, defaultdict
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from linkledger.config import Settings
 from linkledger.functions import lists
-from linkledger.operators import extracts, issues, population, profiling, quality, revenue, sections
+from linkledger.operators import extracts, groups, issues, population, profiling, quality, revenue, sections
 
 SETTINGS = Settings(as_of=dt.date(2001, 8, 15))
 
@@ -200,3 +201,34 @@ def test_pairs_by_members(spark):
     crm = spark.createDataFrame(rows, "crm_id string, record_type string, comp_entity_id bigint, erp_entity_id bigint")
     got = extracts.prospect_customer_pairs(crm, SETTINGS).collect()
     assert len(got) == 90 and {(r["prospects"], r["customers"]) for r in got} == {(50, 40)}
+
+
+def test_groups_through_several_keys(spark, stage):
+    """Contacts that share a phone and, through another, a mail are one group; a hot phone is no row pairs."""
+    fields = ("contact_code", "biz_phone", "priv_phone", "mob_phone", "email", "company_name", "first_name", "last_name",
+              "city", "state")
+    chain = [(f"X{i:02d}", f"{i // 2}", f"p{(i + 1) // 2}", None, None) for i in range(40)]
+    hot = [(f"H{i:04d}", "hot", None, None, f"m{i}") for i in range(3000)]
+    rows = [("A1", "1-1", None, None, "a"), ("A2", "1-1", None, None, "B"), ("A3", None, None, None, "b"), ("A4", "seven", None, None, "c"),
+            ("H9999", None, None, None, "m17"), *chain, *hot]
+    df = spark.createDataFrame([(*r, None, None, None, None, None) for r in rows], ", ".join(f"{f} string" for f in fields))
+    df = df.selectExpr("*", "cast(NULL AS bigint) AS ckc_id", "cast(NULL AS bigint) AS cmp_ckc_id")
+    found = quality.duplicate_groups(quality.duplicate_candidates(df, SETTINGS), stage).collect()
+    group = {r.contact_code: r.group_code for r in found}
+    assert len(found) == len({(r.key_type, r.key_value, r.contact_code) for r in found})
+    assert group["A1"] == group["A2"] == group["A3"] == "A1" and "A4" not in group
+    assert {group[f"X{i:02d}"] for i in range(40)} == {"X00"}
+    assert {group[c] for c in group if c[0] == "H"} == {"H0000"} and len([c for c in group if c[0] == "H"]) == 3001
+
+
+def test_connected_nodes(spark, stage):
+    rng = random.Random(2)
+    for n, m in ((1, 0), (60, 50), (300, 280), (40, 400)):
+        links = [(f"n{rng.randrange(n)}", f"n{rng.randrange(n)}") for _ in range(m)] + [(f"p{i}", f"p{i + 1}") for i in range(n)]
+        least = {x: x for link in links for x in link}
+        while any(least[a] != least[b] for a, b in links):
+            for a, b in links:
+                least[a] = least[b] = min(least[a], least[b])
+        alone = {a for a, b in links if a == b} - {x for a, b in links if a != b for x in (a, b)}
+        got = {r.node: r.least for r in groups.connected(spark.createDataFrame(links, "a string, b string"), stage).collect()}
+        assert got == {x: y for x, y in least.items() if x not in alone}
