@@ -93,29 +93,46 @@ def export_name(stem: str, extension: str, stamp: dt.datetime, number: int | Non
     return stem[: NAME_LENGTH - len(tail)] + tail
 
 
-def rows_per_file(df: DataFrame, header: str, file_rows: int, file_bytes: int) -> int:
-    """Rows that fit a file whatever rows it gets: the widest row sets the number.
-
-    A field may double its quotation marks and gets two around it and a comma.
-    """
-    width = " + ".join(
+def row_bytes(columns: list[str]) -> str:
+    """Bytes of a row in a CSV file at most: a field may double its quotation marks and gets two around it and a comma."""
+    return "1 + " + " + ".join(
         f"coalesce(octet_length(cast(`{c}` AS string)) + length(cast(`{c}` AS string)) "
-        f"- length(replace(cast(`{c}` AS string), '\"', '')), 0) + 3" for c in df.columns
+        f"- length(replace(cast(`{c}` AS string), '\"', '')), 0) + 3" for c in columns
     )
-    widest = df.agg(F.expr(f"coalesce(max({width}), 1) AS w")).first()[0]
-    return max(1, min(file_rows, (file_bytes - len(header.encode()) - 2) // (widest + 1)))
+
+
+#: A row above this part of a file's size is wide.
+WIDE = 16
+
+
+def with_file(df: DataFrame, order: list[str], stage, header: str, file_rows: int, file_bytes: int) -> DataFrame:
+    """Add ``position`` and ``_file``, which grows with it: files hold ``file_rows`` rows and ``file_bytes`` bytes at most.
+
+    A row's file follows from the bytes of all rows before it, so files are nearly full whatever their rows are like. A
+    wide row has a file of its own: it may not share the space that the last row of a file needs. Only a row that is
+    above the limit by itself makes a file above it.
+    """
+    room = file_bytes - len(header.encode()) - 2
+    step = max(1, room - room // WIDE)
+    sized = df.selectExpr("*", f"cast({row_bytes(df.columns)} AS bigint) AS _bytes")
+    wide = f"_bytes > {room // WIDE}"
+    # A wide row takes two steps: its own file is the one after the rows before, and the rows behind it have a third.
+    taken = f"if({wide}, {2 * step}, _bytes)"
+    placed = in_global_order(sized, order, stage, taken)
+    return placed.withColumn("_file", F.expr(
+        f"((position - 1) div {file_rows}) * {1 << 32}L "
+        f"+ cast(running - {taken} + if({wide}, {step}, 0) AS bigint) div {step}")).drop("_bytes")
 
 
 def export_files(df: DataFrame, folder: str, stem: str, stamp: dt.datetime, order: list[str], stage,
                  headers: dict[str, str], file_rows: int = FILE_ROWS, file_bytes: int = FILE_BYTES) -> None:
     """CSV files with the template's header, in order, named and within the limits of the upload tool.
 
-    Rows are numbered in a distributed order and every file is written by one task; the driver only renames files.
+    Rows are placed in a distributed order and every file is written by one task; the driver only renames files.
     An empty table gives one file with the header.
     """
     renamed = df.withColumnsRenamed(headers)
-    size = rows_per_file(renamed, ",".join(renamed.columns), file_rows, file_bytes)
-    placed = in_global_order(df, order, stage).withColumn("_file", F.expr(f"cast((position - 1) div {size} + 1 AS int)"))
+    placed = with_file(df, order, stage, ",".join(renamed.columns), file_rows, file_bytes)
     parts = f"{folder}/_parts-{stem}"
     (
         placed.repartition("_file").sortWithinPartitions("_file", "position")
@@ -123,19 +140,15 @@ def export_files(df: DataFrame, folder: str, stem: str, stamp: dt.datetime, orde
         .write.mode("overwrite").partitionBy("_file").option("header", True).option("emptyValue", "").csv(parts)
     )
     fs, at = hadoop_path(df.sparkSession, parts)
-    found = 0
-    for written in fs.listStatus(at):
-        label = written.getPath().getName()
-        if not label.startswith("_file="):
-            continue
-        number = int(label.partition("=")[2])
-        part = next(f.getPath() for f in fs.listStatus(written.getPath()) if f.getPath().getName().endswith(".csv"))
+    written = {int(f.getPath().getName().partition("=")[2]): f.getPath() for f in fs.listStatus(at)
+               if f.getPath().getName().startswith("_file=")}
+    for number, file in enumerate(sorted(written), 1):
+        part = next(f.getPath() for f in fs.listStatus(written[file]) if f.getPath().getName().endswith(".csv"))
         _, target = hadoop_path(df.sparkSession, f"{folder}/{export_name(stem, '.csv', stamp, number)}")
         fs.delete(target, False)
         fs.rename(part, target)
-        found += 1
     fs.delete(at, True)
-    if not found:
+    if not written:
         _, target = hadoop_path(df.sparkSession, f"{folder}/{export_name(stem, '.csv', stamp, 1)}")
         out = fs.create(target, True)
         out.write(bytearray((",".join(renamed.columns) + "\n").encode()))

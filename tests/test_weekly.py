@@ -146,6 +146,24 @@ def test_files_within_limits(spark, stage, tmp_path):
     assert all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
 
 
+@pytest.mark.parametrize("wide", [0, 1, 5])
+def test_files_are_nearly_full(spark, stage, tmp_path, wide):
+    """Real sizes cut files, so wide rows cost a file each and leave the rest full."""
+    rows = [(f"C{i:05d}", "é" * (i % 40), '"' if i % 3 else None) for i in range(4000)]
+    for k in range(wide):
+        rows[700 * k + 13] = (rows[700 * k + 13][0], "w" * 18_000, None)
+    df = spark.createDataFrame(rows, "code string, note string, mark string").repartition(5)
+    stamp = dt.datetime(2026, 1, 2, 3, 4, 5)
+    sinks.export_files(df, str(tmp_path), "wide", stamp, ["code"], stage, {}, file_bytes=20_000)
+    files = sorted(tmp_path.glob("*.csv"), key=lambda f: int(f.name.split("-")[1]))
+    assert [int(f.name.split("-")[1]) for f in files] == list(range(1, len(files) + 1))
+    sizes = [f.stat().st_size for f in files]
+    assert max(sizes) <= 20_000
+    assert len(files) <= 1 + (sum(sizes) - 18_000 * wide) // (20_000 * 13 // 16) + 2 * wide
+    read = [line.split(",")[0] for f in files for line in f.read_text().splitlines()[1:]]
+    assert read == sorted(r[0] for r in rows)
+
+
 def test_empty_file_has_a_header(spark, stage, tmp_path):
     df = spark.createDataFrame([], "code string")
     sinks.export_files(df, str(tmp_path), "none", dt.datetime(2026, 1, 2), ["code"], stage, {"code": "Code"})
