@@ -77,6 +77,7 @@ def metrics(settings) -> dict[str, Query]:
     found |= {f"cp_{r.name}": _metric("completeness", r.name) for r in completeness_rules()}
     found |= {f"fq_{r.name}": _metric("field_quality", r.name) for r in field_quality_rules(settings)}
     found["sb_staleness"] = lambda ws: snapshot.section(ws, "staleness")
+    found["sb_staleness_365d"] = lambda ws: snapshot.section(ws.with_staleness_step("365d"), "staleness")
     found["tr_tiers"] = lambda ws: snapshot.section(ws, "match_readiness")
     return found
 

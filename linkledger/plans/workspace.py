@@ -8,7 +8,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from linkledger.config import Settings, r60_window
-from linkledger.functions.columns import creation_cohort
+from linkledger.functions.columns import creation_cohort, staleness_bucket
 from linkledger.operators import parity, population, revenue
 from linkledger.storage import Scratch
 
@@ -39,7 +39,7 @@ class Workspace:
         compiled_methods(spark)
         self._stages: dict[str, DataFrame] = {}
         self._dated: dict[dt.date, Workspace] = {settings.as_of: self}
-        self._other_cohorts: dict[str, Workspace] = {}
+        self._variants: dict[str, Workspace] = {}
         self._dateless: dict[str, DataFrame] = {}
 
     # Inputs
@@ -61,13 +61,21 @@ class Workspace:
 
     def with_cohorts(self, cohorts: str) -> "Workspace":
         """The same stages with other creation cohorts; nothing is written again."""
-        if cohorts not in self._other_cohorts:
-            other = Workspace(self.spark, self.tables, replace(self.settings, cohorts=cohorts), self.scratch)
-            cohort = F.expr(creation_cohort("creation_date", cohorts))
-            for name, rows in (("enriched", self.enriched()), ("linked", self.linked())):
-                other._stages[name] = rows.withColumn("creation_cohort", cohort)
-            self._other_cohorts[cohorts] = other
-        return self._other_cohorts[cohorts]
+        return self._variant(cohorts, replace(self.settings, cohorts=cohorts), {
+            "enriched": self.enriched, "linked": self.linked}, "creation_cohort", creation_cohort("creation_date", cohorts))
+
+    def with_staleness_step(self, step: str) -> "Workspace":
+        """The contacts with staleness in other steps; nothing is written again."""
+        bucket = staleness_bucket("account_no", "last_tx_date", self.settings.as_of, step)
+        return self._variant(
+            step, replace(self.settings, staleness_step=step), {"enriched": self.enriched}, "staleness_bucket", bucket)
+
+    def _variant(self, name: str, settings: Settings, stages: dict, column: str, value: str) -> "Workspace":
+        if name not in self._variants:
+            other = Workspace(self.spark, self.tables, settings, self.scratch)
+            other._stages |= {stage: rows().withColumn(column, F.expr(value)) for stage, rows in stages.items()}
+            self._variants[name] = other
+        return self._variants[name]
 
     def once(self, name: str, build) -> DataFrame:
         """A relation of this run, built on first use."""
@@ -143,4 +151,4 @@ class Workspace:
         self._dateless.clear()
         for ws in self._dated.values():
             ws._stages.clear()
-            ws._other_cohorts.clear()
+            ws._variants.clear()

@@ -237,6 +237,10 @@ def metrics() -> dict[str, str]:
     quality = rules.FIELD_QUALITY | rules.STANDALONE_QUALITY
     found |= {f"fq_{m}": shaped(rule_rows({m: r}, ""), "field_quality", AS_OF) for m, r in quality.items()}
     found["sb_staleness"] = section("staleness")
+    steps = " ".join(f"WHEN last_tx_date >= DATE '{AS_OF}' - {365 * n} THEN '{b}'" for n, b in enumerate(BUCKETS[2:-1], 1))
+    found["sb_staleness_365d"] = (shaped(staleness_rows("_365d"), "staleness", AS_OF), {
+        "contact_enriched_365d": f"""SELECT * REPLACE (CASE WHEN account_no IS NULL THEN 'no_account'
+            WHEN last_tx_date IS NULL THEN 'never_transacted' {steps} ELSE '5+yr' END AS staleness_bucket) FROM contact_enriched"""})
     found["tr_tiers"] = section("match_readiness")
     return found
 
