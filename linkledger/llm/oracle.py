@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-#: Formatting is undone here by counting: what escapes add, and a header wherever a role or a part begins.
+#: Formatting is undone here by counting: what escapes add, and a header wherever a role begins.
 OP6 = r"""
 WITH said AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
 ), sized AS (
   SELECT *,
-    lag(role) OVER (PARTITION BY conv_id, floor(turn / 256) ORDER BY turn, role, text) AS before,
+    lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS before,
     length(role) + length(role) - length(replace(role, '\', ''))
       + length(role) - length(replace(role, ':', '')) + 6 AS header,
     length(text) + length(text) - length(replace(text, '\', ''))
