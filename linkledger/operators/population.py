@@ -25,6 +25,9 @@ REGISTRY_FLAGS = (
     "postal_certified", "phys_undeliverable", "mail_undeliverable", "out_of_business", "deceased",
 )
 
+#: Parts that contacts without account are dealt to.
+SALTS = 4096
+
 CONTACT_LEVEL = "coalesce(contact_id, 0) <> 0"
 
 
@@ -81,9 +84,14 @@ def active_base(contact, technician, salesperson, account, vendor, links: DataFr
 def contact_enriched(base: DataFrame, ranked: DataFrame, settings: Settings) -> DataFrame:
     """The contacts with staleness, decile and cohort; ``ranked`` has one row per account."""
     staleness = staleness_bucket("account_no", "last_tx_date", settings.as_of, settings.staleness_step)
-    # Contacts without account do not meet the ranking, so that their missing number is no hot key.
-    known = base.filter("account_no IS NOT NULL").join(ranked, "account_no", "left")
-    rows = known.unionByName(base.filter("account_no IS NULL"), allowMissingColumns=True)
+    # Contacts without account meet nothing, but one outer join keeps them; salt spreads them, as their missing number
+    # would be a hot key.
+    salted = base.selectExpr(
+        "*", "coalesce(account_no, 0) AS _account",
+        f"CASE WHEN account_no IS NULL THEN 1 + pmod(xxhash64(contact_code), {SALTS}) ELSE 0 END AS _salt")
+    accounts = ranked.filter("account_no IS NOT NULL").withColumnRenamed("account_no", "_account").withColumn(
+        "_salt", F.lit(0).cast("bigint"))
+    rows = salted.join(accounts, ["_account", "_salt"], "left")
     return rows.selectExpr(
         *base.columns,
         "cast(coalesce(total_revenue, 0) AS decimal(18,2)) AS total_revenue",

@@ -70,8 +70,9 @@ def stored_snapshots(ws: Workspace) -> DataFrame:
     """The snapshot table over all history dates, each date appended as its own run."""
     def build() -> DataFrame:
         path = ws.scratch.path("snapshots")
-        for day in ws.settings.dates:
-            append_snapshot(dq_snapshot(ws.at(day)), path)
+        runs = [ws.at(day) for day in ws.settings.dates]  # all of them first, so that they share the contacts
+        for run in runs:
+            append_snapshot(dq_snapshot(run), path)
         return read_snapshot(ws.spark, path)
     return ws.once("snapshots", build)
 

@@ -121,9 +121,12 @@ class Workspace:
         return self.staged("enriched", build)
 
     def base(self) -> DataFrame:
-        """Contacts as far as no date changes them; written once for all dates of a run."""
+        """Contacts as far as no date changes them; written once if several dates of a run share it."""
         if "base" not in self._dateless:
-            self._dateless["base"] = self.scratch.stage(population.active_base(*self.people(), self.links(), self.settings), "base")
+            rows = population.active_base(*self.people(), self.links(), self.settings)
+            if len(self._dated) == 1:
+                return rows
+            self._dateless["base"] = self.scratch.stage(rows, "base")
         return self._dateless["base"]
 
     def links(self) -> DataFrame:
