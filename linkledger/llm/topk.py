@@ -4,99 +4,105 @@ A vector is a document whose terms are (dimension, sign) pairs; its impact on a
 A query has the term of every component that is not 0: documents with the same sign in that dimension gain, those with
 the other sign lose, so the gains alone bound a score from above.
 
-Candidates are dealt to shards of bounded size by a hash of their id, queries to blocks. A shard builds its postings
-once and answers every query of a block with MaxScore:
+Candidates are dealt to shards of bounded size by a hash of their id, and every query meets every shard. A shard builds
+its postings once, with the largest impact of each term in each block of documents, and answers one query after the
+other with MaxScore. Documents are traversed in blocks, in the order of their ids:
 
-* terms are ordered by their bound (query weight times largest impact in the shard), and the longest run of small
-  terms that cannot reach the threshold together is non-essential;
-* documents are found in postings of essential terms only; their remaining terms are probed, the largest bound first,
-  while partial score plus remaining bounds still reaches the threshold;
-* survivors are scored in full, losses included, and the threshold rises to the k-th best score.
+* the terms are ordered by their bound in the block (query weight times largest impact), and the longest run of small
+  terms that cannot beat the threshold together is non-essential;
+* documents of the block are found in postings of essential terms only; all terms are then probed, the largest bound
+  first, with gains and losses, while the partial score plus the remaining bounds still beats the threshold;
+* what is left has its whole score, and the threshold rises to the k-th best score so far. A later document needs more
+  than that, as equal scores go to the smaller id; so the split moves on from block to block.
 
-Shards send k rows per query, and a ranking over those rows merges them. Bounds are exact integers and ties at the
-threshold stay, so the result is that of a full comparison: highest scores first, ties to the smaller id.
+Shards send k rows per query, and a ranking over those rows merges them. Bounds are exact integers, so the result is
+that of a full comparison: highest scores first, ties to the smaller id.
 
 Vectors that are null, or hold a null or a component that is not finite, take no part; nor do rows without an id. A
 shorter vector counts as having zeros at its end. Repeated rows of one id are separate candidates, and none of them
-is a candidate of a query with that id; a repeated query id is answered once, for its smallest vector.
+is a candidate of a query with that id; a repeated query id is answered once, for its smallest vector. Empty tables give
+no rows. Other columns play no part.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-#: Rows of a candidate shard and of a query block, about. They bound the memory of a task, not the result.
+#: Rows of a candidate shard, about, and documents of a block. They bound the memory of a task, not the result.
 SHARD_ROWS = 8192
-BLOCK_ROWS = 1024
+BLOCK_ROWS = 512
+#: Terms that are probed together.
+PROBES = 8
 RESULT = "query_id long, vec_id long, score long"
 
 
 class Shard:
-    """Postings of one shard: per (dimension, sign) the rows and impacts, largest impact first."""
+    """Postings of one shard: per (dimension, sign) the rows in order, and the largest impact in every block."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, block_rows: int = BLOCK_ROWS):
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
-        self.postings, self.largest = {}, {}
+        # The first blocks are small, so that a threshold is found early.
+        edges, size = [0], min(64, block_rows)
+        while edges[-1] < len(ids):
+            edges.append(min(len(ids), edges[-1] + size))
+            size = min(block_rows, 2 * size)
+        self.edges = np.array(edges)
+        self.postings, self.starts, self.largest = {}, {}, {}
         for d in range(vectors.shape[1]):
             column = self.vectors[:, d]
             for sign in (1, -1):
                 rows = np.flatnonzero(column * sign > 0)
-                impact = column[rows] * sign
-                by_impact = np.argsort(-impact, kind="stable")
-                self.postings[d, sign] = rows[by_impact]
-                self.largest[d, sign] = int(impact.max(initial=0))
-
-    def _best(self, rows: np.ndarray, scores: np.ndarray, k: int):
-        """The k best of rows, ties to the smaller id; rows follow ids."""
-        if len(rows) > k:
-            edge = np.partition(scores, len(scores) - k)[len(scores) - k]
-            keep = scores >= edge
-            rows, scores = rows[keep], scores[keep]
-        order = np.lexsort((rows, -scores))[:k]
-        return rows[order], scores[order]
+                impact = np.zeros(len(column), np.int64)
+                impact[rows] = column[rows] * sign
+                self.postings[d, sign] = rows
+                self.starts[d, sign] = np.searchsorted(rows, self.edges)
+                self.largest[d, sign] = np.maximum.reduceat(impact, self.edges[:-1]) if len(rows) else np.zeros(
+                    len(self.edges) - 1, np.int64)
+        #: Documents whose whole score was made, for all queries.
+        self.scored = 0
 
     def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the k best documents but ``own``."""
         width = min(len(query), self.vectors.shape[1])
-        query = query[:width]
-        vectors = self.vectors[:, :width]
-        mine = self.ids != own
-        terms = [(d, 1 if query[d] > 0 else -1) for d in np.flatnonzero(query)]
-        bounds = np.array([abs(int(query[d])) * self.largest[d, s] for d, s in terms], np.int64)
-        order = np.argsort(-bounds, kind="stable")
-        terms, bounds = [terms[i] for i in order], bounds[order]
-        #: rest[i]: what the terms from i on can give at most
-        rest = np.append(np.cumsum(bounds[::-1])[::-1], 0)
-
-        # A first threshold: documents at the head of the largest terms' postings.
-        heads = [self.postings[t][: 4 * k] for t in terms[:16]]
-        seed = np.unique(np.concatenate(heads)) if heads else np.empty(0, np.int64)
-        seed = seed[mine[seed]]
-        seed_scores = vectors[seed] @ query
-        threshold = np.sort(seed_scores)[-k] if len(seed) >= k else None
-        essential = len(terms)
-        if threshold is None or threshold <= 0:
-            # Documents without any gain can be among the best: all are candidates.
-            alive = np.flatnonzero(mine)
-        else:
-            essential = int(np.count_nonzero(rest[:-1] >= threshold))
-            seen = np.zeros(len(self.ids), bool)
-            for t in terms[:essential]:
-                seen[self.postings[t]] = True
-            alive = np.flatnonzero(seen & mine)
-        gain = np.zeros(len(alive), np.int64)
-        for i, (d, sign) in enumerate(terms):
-            gain += np.maximum(vectors[alive, d] * sign, 0) * abs(int(query[d]))
-            if threshold is not None and (i % 4 == 3 or i == len(terms) - 1):
-                keep = gain + rest[i + 1] >= threshold
-                if not keep.all():
-                    alive, gain = alive[keep], gain[keep]
-                if len(alive) <= 4 * k:
-                    break
-        rows, scores = self._best(alive, vectors[alive] @ query, k)
+        dims = np.flatnonzero(query[:width])
+        weight = np.abs(query[dims])
+        signs = np.where(query[dims] > 0, 1, -1).tolist()
+        terms = list(zip(dims.tolist(), signs))
+        bounds = np.stack([w * self.largest[t] for w, t in zip(weight, terms)]) if terms else np.zeros(
+            (0, len(self.edges) - 1), np.int64)
+        rows, scores = np.empty(0, np.int64), np.empty(0, np.int64)
+        for block, (start, end) in enumerate(zip(self.edges[:-1].tolist(), self.edges[1:].tolist())):
+            threshold = int(scores[-1]) if len(scores) == k else None
+            order = np.argsort(-bounds[:, block], kind="stable")
+            #: rest[i]: what the terms from i on can give at most
+            rest = np.append(np.cumsum(bounds[order, block][::-1])[::-1], 0)
+            if threshold is None or threshold < 0:
+                alive = np.arange(start, end)  # documents without any gain can be among the best
+            else:
+                seen = np.zeros(end - start, bool)
+                for i in order[: np.count_nonzero(rest[:-1] > threshold)].tolist():
+                    first = self.starts[terms[i]]
+                    seen[self.postings[terms[i]][first[block]: first[block + 1]] - start] = True
+                    if seen.all():
+                        break
+                alive = np.flatnonzero(seen) + start
+            alive = alive[self.ids[alive] != own]
+            score = np.zeros(len(alive), np.int64)
+            for at in range(0, len(order), PROBES):
+                probed = dims[order[at: at + PROBES]]
+                score += self.vectors[alive[:, None], probed] @ query[probed]
+                if threshold is not None:
+                    able = score + rest[min(at + PROBES, len(order))] > threshold
+                    alive, score = alive[able], score[able]
+                    if not len(alive):
+                        break
+            self.scored += len(alive)
+            rows, scores = np.concatenate([rows, alive]), np.concatenate([scores, score])
+            best = np.lexsort((rows, -scores))[:k]
+            rows, scores = rows[best], scores[best]
         return self.ids[rows], scores
 
 
@@ -118,33 +124,43 @@ def integer_vectors(table: DataFrame, vector: str, scale: int) -> DataFrame:
 def search(candidates: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int = SHARD_ROWS,
            block_rows: int = BLOCK_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score of the k best candidates of every query. Both inputs have vec_id and v."""
-    n_candidates, n_queries = candidates.count(), queries.count()
-    shards = max(1, -(-n_candidates // shard_rows))
-    blocks = max(1, -(-n_queries // block_rows))
-
-    def dealt(df: DataFrame, own: str, n: int, other: str, m: int, tag: int) -> DataFrame:
-        """Each row once for every shard or block of the other side."""
-        return df.select(
-            F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int").alias(own),
-            F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias(other), F.lit(tag).alias("tag"), "vec_id", "v",
-        ).select("shard", "block", "tag", "vec_id", "v")
-
-    both = dealt(candidates, "shard", shards, "block", blocks, 0).unionByName(
-        dealt(queries.groupBy("vec_id").agg(F.min("v").alias("v")), "block", blocks, "shard", shards, 1))
-
-    def answer(rows: pd.DataFrame) -> pd.DataFrame:
-        asked = rows[rows["tag"] == 1]
-        held = rows[rows["tag"] == 0]
-        found = []
-        if len(asked) and len(held):
-            width = max(rows["v"].map(len))
-            shard = Shard(held["vec_id"].to_numpy(np.int64), _matrix(held["v"].to_list(), width))
-            for own, query in zip(asked["vec_id"].tolist(), _matrix(asked["v"].to_list(), width)):
-                ids, scores = shard.search(query, own, k)
-                found.append(pd.DataFrame({"query_id": own, "vec_id": ids, "score": scores}))
-        return pd.concat(found) if found else pd.DataFrame({c: np.empty(0, np.int64) for c in ("query_id", "vec_id", "score")})
-
-    best = both.groupBy("shard", "block").applyInPandas(answer, RESULT)
+    shards = max(1, -(-candidates.count() // shard_rows))
+    held = candidates.select(
+        F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("asks"), "vec_id", "v")
+    asked = queries.groupBy("vec_id").agg(F.min("v").alias("v")).select(
+        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("asks"), "vec_id", "v")
+    # A shard's candidates come first, then its queries, one batch after the other.
+    dealt = held.unionByName(asked).repartition(shards, "shard").sortWithinPartitions("shard", "asks")
+
+    def matrix(rows: pa.Table, width: int) -> np.ndarray:
+        return _matrix(rows.column("v").to_pylist(), width)
+
+    def answer(batches):
+        number, waiting, shard = None, [], None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            keys = 2 * table.column("shard").to_numpy().astype(np.int64) + table.column("asks").to_numpy()
+            edges = np.flatnonzero(np.diff(keys, prepend=-1, append=-1))
+            for a, b in zip(edges, edges[1:]):
+                part, own, asks = table.slice(a, b - a), int(keys[a]) // 2, int(keys[a]) % 2
+                if own != number:
+                    number, waiting, shard = own, [], None
+                if not asks:
+                    waiting.append(part)
+                    continue
+                if shard is None:
+                    if not waiting:
+                        continue
+                    rows = pa.concat_tables(waiting)
+                    width = max(map(len, rows.column("v").to_pylist()))
+                    shard, waiting = Shard(rows.column("vec_id").to_numpy(), matrix(rows, width), block_rows), []
+                for query_id, query in zip(part.column("vec_id").to_pylist(), part.column("v").to_pylist()):
+                    ids, scores = shard.search(np.array(query, np.int64), query_id, k)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(ids), query_id)), pa.array(ids), pa.array(scores)],
+                        ["query_id", "vec_id", "score"])
+
+    best = dealt.mapInArrow(answer, RESULT)
     # Merge of the shards: k rows of each per query.
     return best.selectExpr(
         "query_id",

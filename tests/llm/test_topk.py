@@ -55,3 +55,26 @@ def test_unsound_rows(spark):
     assert got[0] == [(5, 1024 * 1024), (6, 0), (10, 512 * 1024 - 512 * 2048)]
     assert set(got) == {0, 5, 10}
     assert run(spark, [(1, None)], 1) == {}
+
+
+@pytest.mark.parametrize("seed,k,block", [(1, 10, 512), (2, 3, 40), (3, 1, 64)])
+def test_threshold_rises_and_fewer_are_scored(seed, k, block):
+    """Results of a full comparison, with whole scores of a part of the documents only; later blocks add few."""
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(12, 32))
+    vectors = np.rint(400 * (centres[rng.integers(0, 12, 3000)] + 0.4 * rng.normal(size=(3000, 32)))).astype(np.int64)
+    ids = rng.permutation(5000)[:3000]
+    shard = topk.Shard(ids, vectors, block)
+    for own in ids[:40].tolist():
+        query = vectors[ids == own][0]
+        got = list(zip(*(x.tolist() for x in shard.search(query, own, k))))
+        want = sorted(((-int(v @ query), i) for i, v in zip(ids.tolist(), vectors) if i != own))[:k]
+        assert got == [(i, -s) for s, i in want]
+    assert shard.scored < 0.2 * 40 * 3000
+    sparse = vectors * (rng.random(vectors.shape) < 0.1)
+    shard = topk.Shard(ids, sparse, block)
+    query = sparse[np.argmax(np.count_nonzero(sparse, axis=1))]
+    scores = sparse @ query
+    ids_, found = shard.search(query, -1, k)
+    assert found.tolist() == sorted(scores.tolist(), reverse=True)[:k]
+    assert shard.scored < np.count_nonzero(scores > 0)
