@@ -45,7 +45,7 @@ THRESHOLD = Fraction(3, 4)
 #: Counters for the order of shingles; the counter from which a shingle's members are counted with partial sums.
 COUNTERS, FREQUENT = 1 << 20, 5_000
 #: Bits of a bitmap per shingle, at least.
-SPARSE = 4
+SPARSE = 2
 #: Nodes in a block of a tile, and rows of a block whose pairs are taken by their distance in it.
 BLOCK, SMALL = 2048, 96
 #: Rows of tiles that one task compares, about.
