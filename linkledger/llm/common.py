@@ -74,9 +74,9 @@ class Stages:
         for held in Stages._open:
             held.append(self)
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
+    def write(self, df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
         path = f"{self.folder}/{name}"
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def _delete(self, folder: str) -> None:
