@@ -14,7 +14,7 @@ A conversation is formatted in parts of ``PART_TURNS`` turn numbers, and these i
 array grows with a conversation. Its formatted text is its parts and chunks in order, the same as if made at once: one
 that goes on with the role before it has no header, and names that role in ``carried``. Null texts and roles are empty.
 Null turns come first; rows with the same turn are ordered by role and text and all stay, repeated ones too. Rows
-with a null conversation id form one conversation.
+with a null conversation id form one conversation. An empty table gives no rows; other columns play no part.
 """
 
 from __future__ import annotations

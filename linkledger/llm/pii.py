@@ -6,7 +6,9 @@ at a stretch of text once, so the work is linear in the text whatever it holds.
 
 Base kinds are email, ip, card and phone; per kind the spans are the leftmost matches that do not overlap, and a
 span that fails its check is dropped without another try. The method adds ``url`` and ``account`` spans.
-A null text has no spans, as an empty one. Offsets are code points, ends exclusive.
+A null text has no spans, as an empty one. Offsets are code points, ends exclusive. Repeated rows are read each, very
+long texts whole; an empty table gives no rows. Other columns play no part in spans, and pass through where texts are
+masked.
 """
 
 from __future__ import annotations

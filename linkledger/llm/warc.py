@@ -10,7 +10,8 @@ derived from the content of a row, so that a run can be repeated. ``serialized``
 standard. All steps are row by row in SQL functions; nothing is shuffled.
 
 A null or empty payload gives an empty text, no title and no links; a null URI stays null and its header line is left
-out. Repeated pages give repeated records with the same ids.
+out. Repeated pages give repeated records with the same ids. A very long page is read whole, in its row; an empty table
+gives no records. Other columns of the pages play no part.
 """
 
 from __future__ import annotations
