@@ -13,7 +13,8 @@ The plan says for every length which ranks go to which sequences. A piece's rank
 number within its part of the table plus the pieces of earlier parts, so ranks are made without a common sort.
 
 A null text is an empty one: its only token is the end mark. Rows without an id are packed like any other; repeated
-rows are packed each. An empty table gives no pieces.
+rows are packed each. A very long text is encoded whole and cut into pieces. An empty table gives no pieces. Other
+columns play no part.
 """
 
 from __future__ import annotations

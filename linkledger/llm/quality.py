@@ -7,7 +7,7 @@ are square roots of shares, so that a score does not grow with the length of a t
 follow-the-regularised-leader updates on a bounded sample of labelled documents, and a score is a sparse dot product.
 
 A null text counts as empty: it has no feature but the constant one. Empty tables give no rows; without labels all
-scores are 0.5. Repeated rows are scored alike.
+scores are 0.5. Repeated rows are scored alike, very long texts read whole. Other columns play no part.
 """
 
 from __future__ import annotations
