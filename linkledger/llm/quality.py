@@ -24,7 +24,7 @@ MODEL = Ftrl(dims=1 << 18)
 #: Labelled documents to learn from at most.
 SAMPLE = 12_000
 THRESHOLD = 0.5
-_CACHE_WORDS = 300_000
+_CACHE_WORDS = 200_000
 
 
 def shape(word: str) -> str:

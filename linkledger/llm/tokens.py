@@ -22,7 +22,7 @@ _RARE = tuple(c for c in map(chr, range(0x3001)) if c not in " \n" and re.fullma
 _MEETING = re.compile(r" \s|\s |\n[^\S\n]|[^\S\n]\n")
 _FEEDS = re.compile("(\n\n+)")
 #: Words of one generation of a table; two are kept.
-_WORDS = 200_000
+_WORDS = 150_000
 #: Runs of marks whose ids are kept.
 _MARK_RUNS = 5_000
 #: Letters, and a run of ASCII marks after them. Apostrophes are left to the tokenizer, which has rules for them.
