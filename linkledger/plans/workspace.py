@@ -41,6 +41,7 @@ class Workspace:
         self._dated: dict[dt.date, Workspace] = {settings.as_of: self}
         self._variants: dict[str, Workspace] = {}
         self._dateless: dict[str, DataFrame] = {}
+        self._standings: dict[tuple[dt.date, dt.date], DataFrame] = {}
 
     # Inputs
 
@@ -55,7 +56,7 @@ class Workspace:
         """The same inputs seen from another date."""
         if as_of not in self._dated:
             other = Workspace(self.spark, self.tables, self.settings.at(as_of), self.scratch)
-            other._dated, other._dateless = self._dated, self._dateless
+            other._dated, other._dateless, other._standings = self._dated, self._dateless, self._standings
             self._dated[as_of] = other
         return self._dated[as_of]
 
@@ -104,6 +105,20 @@ class Workspace:
     def last_transaction(self) -> DataFrame:
         return revenue.last_transaction(*(self.table(t) for t in ("account", "unit_sale", "invoice", "rental")))
 
+    def standing(self) -> DataFrame:
+        """Window revenue and last date of every account; if a run has several dates, all their windows are summed in
+        one pass over the transactions and written once."""
+        if len(self._dated) == 1:
+            return revenue.account_standing(*self.transactions(), self.settings.as_of)
+        window = r60_window(self.settings.as_of)
+        if window not in self._standings:
+            wanted = {r60_window(day) for day, ws in self._dated.items() if "enriched" not in ws._stages}
+            windows = sorted(wanted - set(self._standings))
+            rows = self.scratch.stage(revenue.account_standings(*self.transactions(), windows), "standings")
+            for i, known in enumerate(windows):
+                self._standings[known] = rows.selectExpr("account_no", f"revenue_{i} AS total_revenue", "last_tx_date")
+        return self._standings[window]
+
     # Populations
 
     def people(self) -> list[DataFrame]:
@@ -115,8 +130,7 @@ class Workspace:
     def enriched(self) -> DataFrame:
         """Active contacts with staleness, decile, cohort and link counts; read by every section."""
         def build() -> DataFrame:
-            standing = revenue.account_standing(*self.transactions(), self.settings.as_of)
-            ranked = revenue.with_sales_decile(standing, self.scratch.stage, self.settings.decile_method)
+            ranked = revenue.with_sales_decile(self.standing(), self.scratch.stage, self.settings.decile_method)
             return population.contact_enriched(self.base(), ranked, self.settings)
         return self.staged("enriched", build)
 
@@ -152,6 +166,7 @@ class Workspace:
         """Delete the staged tables of this run."""
         self.scratch.release()
         self._dateless.clear()
+        self._standings.clear()
         for ws in self._dated.values():
             ws._stages.clear()
             ws._variants.clear()

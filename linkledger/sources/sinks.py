@@ -28,8 +28,8 @@ def append_snapshot(df: DataFrame, path: str) -> None:
 
 
 def _by_category(df: DataFrame) -> DataFrame:
-    """Few files per date, instead of one per task of each section."""
-    return df.repartition("snapshot_date", "metric_category")
+    """Few files per date, instead of one per task of each section; a category of many rows is split."""
+    return df.hint("rebalance", "snapshot_date", "metric_category")
 
 
 def reset_snapshots(df: DataFrame, path: str) -> None:
