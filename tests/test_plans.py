@@ -96,3 +96,13 @@ def test_contacts_are_shuffled_once(ws, spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     plan = plan[: plan.index("== Initial Plan ==")]
     assert "LeftOuter" not in plan and "ReusedExchange" in plan
+
+
+def test_months_of_accounts_are_summed_in_partitions_of_their_own(spark, ws):
+    """The sums of a month are not also held in the tasks that join, and Spark does not merge the partitions."""
+    plan = plan_of(catalog.all_queries(ws.settings)["account_sales_history"](ws))
+    dealt = [line for line in plan.splitlines() if "hashpartitioning(account_no" in line and "REPARTITION_BY_NUM" in line]
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    assert len(dealt) == 1 and "year" in dealt[0] and "month" in dealt[0] and f", {partitions})" in dealt[0]
+    summed = [i for i, line in enumerate(plan.splitlines()) if "Aggregate(keys=[account_no" in line and "year" in line and "partial_sum" in line]
+    assert all(i < plan.splitlines().index(dealt[0]) for i in summed)
